@@ -24,6 +24,12 @@ LINK_KEY_COLUMNS: dict[str, tuple[str, ...]] = {
     "traffic": ("user_id", "device_id", "traffic_time"),
 }
 
+# Column holding each hub's business key in the staging sources.
+HUB_KEY_COLUMN: dict[str, str] = {
+    "user": "user_id", "account": "account", "billing_period": "billing_period",
+    "paysys": "pay_doc_type", "service": "service", "tariff": "tariff", "device": "device_id",
+}
+
 MDM_COLUMNS = ("user_id", "legal_type", "district", "billing_mode", "is_vip", "registered_at")
 
 
@@ -76,6 +82,8 @@ def _hash_layout(source: str) -> tuple[dict[str, tuple[str, ...]], dict[str, tup
                 keys[hub.name] = (feed.key_column,)
     for link in LINKS:
         if link.source == source:
+            for member in link.hubs:
+                keys.setdefault(member, (HUB_KEY_COLUMN[member],))
             keys[link.name] = LINK_KEY_COLUMNS[link.name]
     diffs = {s.name: s.context for s in SATS + (SAT_USER_MDM,) if s.source == source}
     return keys, diffs

@@ -78,9 +78,13 @@ def link_delta(hashed_rows: DataFrame, link: LinkSpec, stored: DataFrame | None)
 
 # ---------------------------------------------------------- satellites
 
+def sat_keys(sat: SatSpec) -> tuple[str, str]:
+    """(key, hashdiff) column names: the key is the parent's, the hashdiff the satellite's."""
+    return f"{sat.parent}_pk", f"{sat.name}_hashdiff"
+
+
 def sat_columns(sat: SatSpec) -> list[str]:
-    return [f"{sat.name}_pk", f"{sat.name}_hashdiff", *sat.context,
-            "effective_from", "load_dts", "rec_source"]
+    return [*sat_keys(sat), *sat.context, "effective_from", "load_dts", "rec_source"]
 
 
 def satellite_source(hashed_batch: DataFrame, sat: SatSpec) -> DataFrame:
@@ -101,7 +105,7 @@ def latest_versions(stored: DataFrame, sat: SatSpec, bound: dt.date) -> DataFram
     Equals ``rank() over (partition by pk order by load_dts desc) = 1`` with
     ties kept: every version stored by the key's latest run counts.
     """
-    pk, hd = f"{sat.name}_pk", f"{sat.name}_hashdiff"
+    pk, hd = sat_keys(sat)
     rows = stored.filter(F.col("load_dts") <= F.lit(bound))
     pairs = rows.groupBy(pk, hd).agg(F.max("load_dts").alias("_pair_dts"))
     keys = pairs.groupBy(pk).agg(F.max("_pair_dts").alias("_key_dts"))
@@ -120,7 +124,7 @@ def satellite_delta(hashed_batch: DataFrame, sat: SatSpec, stored: DataFrame | N
     if stored is None:
         return src
     latest = latest_versions(stored, sat, load_dts)
-    return src.join(latest, [f"{sat.name}_pk", f"{sat.name}_hashdiff"], "left_anti")
+    return src.join(latest, list(sat_keys(sat)), "left_anti")
 
 
 # -------------------------------------------------------- several yearly runs

@@ -186,3 +186,89 @@ def user_row_counts(spark, sf_dir):
 def top_users_issues(spark, sf_dir):
     return reports.top_users_issues(dm_traffic(spark, sf_dir), ods(spark, sf_dir, "issue"),
                                     P.TOP_YEAR, P.TOP_SERVICE, 20)
+
+
+# ------------------------------------------------------------------ vault
+
+from ..operators import ods as ods_ops  # noqa: E402
+from ..operators import vault  # noqa: E402
+from ..session import cut_lineage  # noqa: E402
+from .specs import HUB_BY_NAME, LINK_BY_NAME, SAT_BY_NAME, SAT_USER_V1  # noqa: E402
+
+
+def hashed_all(spark, sf_dir, source: str) -> DataFrame:
+    """Hashed rows of every yearly run at once (load date = 1 January of the row's year)."""
+    if source == "mdm":
+        return ods_ops.mdm_reload(stg(spark, sf_dir).mdm_user, P.YEARS[0])
+    rows = ods(spark, sf_dir, source).drop("year")
+    return ods_ops.hashed(rows, source)
+
+
+def hub(spark, sf_dir, name: str) -> DataFrame:
+    spec = HUB_BY_NAME[name]
+    feeds = {f.source: hashed_all(spark, sf_dir, f.source) for f in spec.sources}
+    return vault.hub_candidates(feeds, spec)
+
+
+def link(spark, sf_dir, name: str) -> DataFrame:
+    spec = LINK_BY_NAME[name]
+    return vault.link_candidates(hashed_all(spark, sf_dir, spec.source), spec)
+
+
+def satellite(spark, sf_dir, sat, years=P.YEARS) -> DataFrame:
+    """The satellite after the yearly runs of ``years``, in order."""
+    if sat.source == "mdm":
+        mdm = cut_lineage(stg(spark, sf_dir).mdm_user)
+        return vault.satellite_over_years(lambda y: ods_ops.mdm_reload(mdm, y), sat, years)
+    rows = cut_lineage(hashed_all(spark, sf_dir, sat.source).select(
+        *vault.sat_columns(sat)))
+    return vault.satellite_over_years(
+        lambda y: rows.filter(F.year("load_dts") == F.lit(y)), sat, years)
+
+
+@query("hashed_payment")
+def hashed_payment(spark, sf_dir):
+    return ods_ops.hashed_slice(ods_slice(stg(spark, sf_dir).payment, "payment", P.SLICE_YEAR),
+                                "payment", P.SLICE_YEAR)
+
+
+@query("hashed_traffic")
+def hashed_traffic(spark, sf_dir):
+    return ods_ops.hashed_slice(ods_slice(stg(spark, sf_dir).traffic, "traffic", P.SLICE_YEAR),
+                                "traffic", P.SLICE_YEAR)
+
+
+@query("hashed_user")
+def hashed_user(spark, sf_dir):
+    return ods_ops.mdm_reload(stg(spark, sf_dir).mdm_user, P.SLICE_YEAR)
+
+
+def _hub_query(name):
+    return lambda spark, sf_dir: hub(spark, sf_dir, name)
+
+
+def _link_query(name):
+    return lambda spark, sf_dir: link(spark, sf_dir, name)
+
+
+def _sat_query(sat):
+    return lambda spark, sf_dir: satellite(spark, sf_dir, sat)
+
+
+for _name in HUB_BY_NAME:
+    QUERIES[f"hub_{_name}"] = _hub_query(_name)
+for _name in LINK_BY_NAME:
+    QUERIES[f"lnk_{_name}"] = _link_query(_name)
+for _name, _sat in SAT_BY_NAME.items():
+    QUERIES[f"sat_{_name}"] = _sat_query(_sat)
+QUERIES["sat_user_v1"] = _sat_query(SAT_USER_V1)
+
+
+@query("sat_rerun_year")
+def sat_rerun_year(spark, sf_dir):
+    """Load three years of the user satellite, then run the middle year again."""
+    sat = SAT_BY_NAME["user"]
+    rows = cut_lineage(hashed_all(spark, sf_dir, "payment").select(*vault.sat_columns(sat)))
+    batch = lambda y: rows.filter(F.year("load_dts") == F.lit(y))
+    first = vault.satellite_over_years(batch, sat, P.RERUN_YEARS)
+    return vault.satellite_over_years(batch, sat, [P.RERUN_YEAR], stored=first)

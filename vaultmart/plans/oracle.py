@@ -245,3 +245,212 @@ SELECT t.*, i.user_id AS issue_user_id, i.start_time, i.end_time, i.title, i.des
 FROM dm_traffic t LEFT JOIN ods_issue i ON t.user_id = i.user_id
 WHERE t.year = '{P.TOP_YEAR}' AND i.year = '{P.TOP_YEAR}' AND i.service = '{P.TOP_SERVICE}'
 ORDER BY t.bts_received_avg DESC, t.user_id, i.start_time, i.description LIMIT 20"""
+
+
+# ------------------------------------------------------------------ vault
+def _text(col: str, kind: str) -> str:
+    if kind == "date":
+        return f"strftime({col}, '%Y-%m-%d')"
+    if kind == "ts":
+        return f"strftime({col}, '%Y-%m-%d %H:%M:%S')"
+    return f"CAST({col} AS VARCHAR)"
+
+
+def h(*cols: tuple[str, str]) -> str:
+    """md5 over fixed text of the columns; (name, kind) with kind in '', 'date', 'ts'."""
+    parts = [f"upper(trim(coalesce({_text(c, k)}, '^^')))" for c, k in cols]
+    return f"md5(concat_ws('||', {', '.join(parts)}))"
+
+
+def _c(*names: str) -> tuple[tuple[str, str], ...]:
+    kinds = {"pay_date": "date", "created_at": "date", "registered_at": "date",
+             "start_time": "ts", "end_time": "ts", "traffic_time": "ts"}
+    return tuple((n, kinds.get(n, "")) for n in names)
+
+
+def _load(col: str) -> str:
+    return f"make_date(CAST(year({col}) AS INTEGER), 1, 1)"
+
+
+cte("hashed_payment", f"""
+SELECT p.* EXCLUDE (year),
+       {h(*_c('user_id'))} AS user_pk,
+       {h(*_c('account'))} AS account_pk,
+       {h(*_c('billing_period'))} AS billing_period_pk,
+       {h(*_c('pay_doc_type'))} AS paysys_pk,
+       {h(*_c('user_id', 'account', 'billing_period', 'pay_doc_type', 'pay_doc_num'))} AS payment_pk,
+       {h(*_c('phone'))} AS user_hashdiff,
+       {h(*_c('pay_doc_num', 'pay_sum'))} AS payment_hashdiff,
+       pay_date AS effective_from, {_load('pay_date')} AS load_dts, 'payment' AS rec_source
+FROM ods_payment p""", "ods_payment")
+
+cte("hashed_billing", f"""
+SELECT b.* EXCLUDE (year),
+       {h(*_c('user_id'))} AS user_pk,
+       {h(*_c('billing_period'))} AS billing_period_pk,
+       {h(*_c('service'))} AS service_pk,
+       {h(*_c('tariff'))} AS tariff_pk,
+       {h(*_c('user_id', 'billing_period', 'service', 'tariff'))} AS billing_pk,
+       {h(*_c('billing_sum'))} AS billing_hashdiff,
+       created_at AS effective_from, {_load('created_at')} AS load_dts, 'billing' AS rec_source
+FROM ods_billing b""", "ods_billing")
+
+cte("hashed_issue", f"""
+SELECT i.* EXCLUDE (year),
+       {h(*_c('user_id'))} AS user_pk,
+       {h(*_c('service'))} AS service_pk,
+       {h(*_c('user_id', 'service', 'start_time'))} AS issue_pk,
+       {h(*_c('title', 'description', 'end_time'))} AS issue_hashdiff,
+       start_time AS effective_from, {_load('start_time')} AS load_dts, 'issue' AS rec_source
+FROM ods_issue i""", "ods_issue")
+
+cte("hashed_traffic", f"""
+SELECT t.* EXCLUDE (year),
+       {h(*_c('user_id'))} AS user_pk,
+       {h(*_c('device_id'))} AS device_pk,
+       {h(*_c('user_id', 'device_id', 'traffic_time'))} AS traffic_pk,
+       {h(*_c('bytes_sent', 'bytes_received'))} AS traffic_hashdiff,
+       {h(*_c('device_ip_addr'))} AS device_hashdiff,
+       traffic_time AS effective_from, {_load('traffic_time')} AS load_dts, 'traffic' AS rec_source
+FROM ods_traffic t""", "ods_traffic")
+
+
+def _mdm_hashed(load_year: int) -> str:
+    return f"""
+SELECT m.*,
+       {h(*_c('user_id'))} AS user_pk,
+       {h(*_c('legal_type', 'district', 'billing_mode', 'is_vip'))} AS user_mdm_hashdiff,
+       registered_at AS effective_from, DATE '{load_year}-01-01' AS load_dts, 'mdm' AS rec_source
+FROM mdm_user m"""
+
+
+cte("hashed_mdm", _mdm_hashed(P.YEARS[0]), "mdm_user")
+
+ORACLE["hashed_payment"] = with_("hashed_payment") + f"""
+SELECT * REPLACE (DATE '{P.SLICE_YEAR}-01-01' AS load_dts) FROM hashed_payment
+WHERE year(effective_from) = {P.SLICE_YEAR}"""
+ORACLE["hashed_traffic"] = with_("hashed_traffic") + f"""
+SELECT * REPLACE (DATE '{P.SLICE_YEAR}-01-01' AS load_dts) FROM hashed_traffic
+WHERE year(effective_from) = {P.SLICE_YEAR}"""
+ORACLE["hashed_user"] = with_("mdm_user") + _mdm_hashed(P.SLICE_YEAR)
+
+# hubs: keys in the order the feeds are loaded (earlier year, then earlier feed)
+_HUB_FEEDS = {
+    "user": (("user_mdm", "hashed_mdm", "user_id"), ("user_payment", "hashed_payment", "user_id")),
+    "account": (("account", "hashed_payment", "account"),),
+    "billing_period": (("billing_period", "hashed_payment", "billing_period"),
+                       ("billing_period_billing", "hashed_billing", "billing_period")),
+    "paysys": (("paysys", "hashed_payment", "pay_doc_type"),),
+    "service": (("service_issue", "hashed_issue", "service"),
+                ("service_billing", "hashed_billing", "service")),
+    "tariff": (("tariff", "hashed_billing", "tariff"),),
+    "device": (("device", "hashed_traffic", "device_id"),),
+}
+for _hub, _feeds in _HUB_FEEDS.items():
+    _union = "\n  UNION ALL\n".join(
+        f"  SELECT {_hub}_pk, {col} AS {_hub}_key, load_dts, {i} AS prio, '{view}' AS rec_source FROM {src}"
+        for i, (view, src, col) in enumerate(_feeds))
+    ORACLE[f"hub_{_hub}"] = with_(*sorted({src for _, src, _ in _feeds})) + f"""
+, feeds AS (
+{_union}
+)
+SELECT {_hub}_pk, {_hub}_key, load_dts, rec_source FROM (
+  SELECT *, row_number() OVER (PARTITION BY {_hub}_pk
+                               ORDER BY load_dts, prio, {_hub}_key, rec_source) AS rn
+  FROM feeds) f
+WHERE rn = 1"""
+
+_LINK_HUBS = {
+    "billing": ("user", "billing_period", "service", "tariff"),
+    "issue": ("user", "service"),
+    "payment": ("user", "account", "billing_period", "paysys"),
+    "traffic": ("user", "device"),
+}
+for _link, _hubs in _LINK_HUBS.items():
+    _members = ", ".join(f"{m}_pk" for m in _hubs)
+    ORACLE[f"lnk_{_link}"] = with_(f"hashed_{_link}") + f"""
+SELECT {_link}_pk, {_members}, effective_from, load_dts, rec_source FROM (
+  SELECT *, row_number() OVER (PARTITION BY {_link}_pk
+                               ORDER BY load_dts, effective_from, {_members}, rec_source) AS rn
+  FROM hashed_{_link}) x
+WHERE rn = 1"""
+
+
+def _sat_batches(name: str, source_cte: str, context: tuple[str, ...], first_only: bool,
+                 years, batch_from=None, start=None, parent=None) -> tuple[list[str], str]:
+    """CTE chain of the yearly satellite runs, each in the warehouse's own SQL form:
+    delete the year, take the batch, rank stored versions at or before the batch,
+    insert the batch rows whose (pk, hashdiff) is not among the latest."""
+    pk, hd = f"{parent or name}_pk", f"{name}_hashdiff"
+    cols = ", ".join([pk, hd, *context, "effective_from", "load_dts", "rec_source"])
+    order = ", ".join(["effective_from", *context, "load_dts", "rec_source"])
+    parts, prev = [], start
+    for y in years:
+        tag = f"{name}_{y}" if start is None else f"{name}_re{y}"
+        batch = (batch_from(y) if batch_from else
+                 f"SELECT {cols} FROM {source_cte} WHERE year(load_dts) = {y}")
+        if first_only:
+            batch = (f"SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY {pk}, {hd} "
+                     f"ORDER BY {order}) AS row_num FROM ({batch}) b) n WHERE row_num = 1")
+        parts.append(f"src_{tag} AS ({batch})")
+        if prev is None:
+            parts.append(f"sat_{tag} AS (SELECT DISTINCT * FROM src_{tag})")
+        else:
+            parts.append(f"""kept_{tag} AS (SELECT * FROM {prev} WHERE year(load_dts) <> {y}),
+upd_{tag} AS (
+  SELECT s.* FROM kept_{tag} s JOIN src_{tag} src
+    ON s.{pk} = src.{pk} AND s.load_dts <= (SELECT max(load_dts) FROM src_{tag})),
+lat_{tag} AS (
+  SELECT {pk}, {hd} FROM (
+    SELECT {pk}, {hd}, load_dts, rank() OVER (PARTITION BY {pk} ORDER BY load_dts DESC) AS row_rank
+    FROM upd_{tag}) r
+  WHERE row_rank = 1),
+ins_{tag} AS (
+  SELECT DISTINCT a.* FROM src_{tag} a
+  LEFT JOIN lat_{tag} l ON l.{hd} = a.{hd} AND l.{pk} = a.{pk}
+  WHERE l.{hd} IS NULL),
+sat_{tag} AS (SELECT * FROM kept_{tag} UNION ALL SELECT * FROM ins_{tag})""")
+        prev = f"sat_{tag}"
+    return parts, prev
+
+
+_SATS = {  # name: (hashed cte, context, first_only)
+    "user": ("hashed_payment", ("phone",), True),
+    "payment": ("hashed_payment", ("pay_doc_num", "pay_sum"), False),
+    "issue": ("hashed_issue", ("title", "description", "end_time"), False),
+    "billing": ("hashed_billing", ("billing_sum",), False),
+    "traffic": ("hashed_traffic", ("bytes_sent", "bytes_received"), False),
+    "device": ("hashed_traffic", ("device_ip_addr",), True),
+}
+
+
+def _mdm_batch(y: int) -> str:
+    return ("SELECT user_pk, user_mdm_hashdiff, legal_type, district, billing_mode, is_vip, "
+            f"effective_from, DATE '{y}-01-01' AS load_dts, rec_source FROM hashed_mdm")
+
+
+def sat_sql(name: str, years=P.YEARS) -> tuple[list[str], str, str]:
+    """(CTE parts, final CTE name, needed base CTE) of a satellite after ``years``."""
+    if name == "user_mdm":
+        parts, last = _sat_batches("user_mdm", "hashed_mdm",
+                                   ("legal_type", "district", "billing_mode", "is_vip"),
+                                   True, years, batch_from=_mdm_batch, parent="user")
+        return parts, last, "hashed_mdm"
+    if name == "user_v1":
+        src, ctx, _ = _SATS["user"]
+        parts, last = _sat_batches("user", src, ctx, False, years)
+        return parts, last, src
+    src, ctx, first = _SATS[name]
+    parts, last = _sat_batches(name, src, ctx, first, years)
+    return parts, last, src
+
+
+for _name in list(_SATS) + ["user_mdm", "user_v1"]:
+    _parts, _last, _base = sat_sql(_name)
+    ORACLE[f"sat_{_name}"] = with_(_base) + ",\n" + ",\n".join(_parts) + f"\nSELECT * FROM {_last}"
+
+_parts, _last, _base = sat_sql("user", P.RERUN_YEARS)
+_src, _ctx, _ = _SATS["user"]
+_re_parts, _re_last = _sat_batches("user", _src, _ctx, True, [P.RERUN_YEAR], start=_last)
+ORACLE["sat_rerun_year"] = (with_(_base) + ",\n" + ",\n".join(_parts + _re_parts)
+                            + f"\nSELECT * FROM {_re_last}")
