@@ -14,7 +14,10 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EPOCH_NTZ = F.lit(dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
+
+
+def _epoch() -> Column:
+    return F.lit(dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
 
 
 def lenient(col: str | Column, spark_type: str) -> Column:
@@ -27,12 +30,12 @@ def epoch_ms_to_ts(col: str | Column) -> Column:
     """``from_unixtime(floor(ms / 1000))`` as a timestamp: whole seconds, millis dropped."""
     c = F.col(col) if isinstance(col, str) else col
     seconds = F.floor(c / F.lit(1000))
-    return F.timestamp_add("SECOND", seconds, EPOCH_NTZ)
+    return F.timestamp_add("SECOND", seconds, _epoch())
 
 
 def ts_to_epoch_ms(col: str | Column) -> Column:
     c = F.col(col) if isinstance(col, str) else col
-    return F.timestamp_diff("MILLISECOND", EPOCH_NTZ, c.cast("timestamp_ntz"))
+    return F.timestamp_diff("MILLISECOND", _epoch(), c.cast("timestamp_ntz"))
 
 
 def year_bounds_ms(year: int) -> tuple[int, int]:
@@ -51,7 +54,7 @@ def year_of(col: str | Column) -> Column:
 def period_year(col: str | Column) -> Column:
     """``extract(year from to_date(period, 'YYYY-MM'))`` with lenient parsing."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.year(F.try_to_date(c, F.lit("yyyy-MM")))
+    return F.year(F.try_to_date(c, "yyyy-MM"))
 
 
 def as_text(col: str | Column, spark_type: str) -> Column:

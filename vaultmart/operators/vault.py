@@ -147,3 +147,35 @@ def satellite_over_years(batch_of_year: Callable[[int], DataFrame], sat: SatSpec
             delta = cut_lineage(delta)
         result = delta if kept is None else kept.unionByName(delta)
     return result
+
+
+def satellite_backfill(batches: DataFrame, sat: SatSpec, years: Iterable[int],
+                       load_date: Callable[[int], dt.date] = lambda y: dt.date(y, 1, 1)
+                       ) -> DataFrame:
+    """The yearly runs of ``years`` on an empty satellite, for all batches at once.
+
+    ``batches`` holds the hashed rows of every run (``load_dts`` tells the run).
+    A key whose rows all sit in one run's batch never meets a stored version,
+    so its rows are simply the batch's distinct (first, for non-link
+    satellites) rows: one job for all of them.  Only keys seen by several runs
+    go through the runs one after another, on their own rows.  The result is
+    the same as running every year in order.
+    """
+    years = list(years)
+    pk, hd = sat_keys(sat)
+    rows = batches.filter(F.year("load_dts").isin(years))
+    if sat.first_only:
+        cols = sat_columns(sat)
+        first = rows.select(*cols).groupBy(pk, hd, "load_dts").agg(
+            F.min(F.struct(*[c for c in cols[2:] if c != "load_dts"])).alias("_first"))
+        rows = first.select(pk, hd, *[F.col(f"_first.{c}").alias(c) for c in cols[2:]
+                                      if c != "load_dts"], "load_dts")
+    rows = rows.select(*sat_columns(sat))
+    runs = rows.groupBy(pk).agg(F.count_distinct("load_dts").alias("_runs"))
+    single = rows.join(runs.filter(F.col("_runs") == 1).select(pk), pk, "left_semi").distinct()
+    multi = cut_lineage(rows.join(runs.filter(F.col("_runs") > 1).select(pk), pk, "left_semi"))
+    if multi.isEmpty():
+        return single
+    looped = satellite_over_years(
+        lambda y: multi.filter(F.year("load_dts") == F.lit(y)), sat, years, load_date=load_date)
+    return single.unionByName(looped)

@@ -220,10 +220,8 @@ def satellite(spark, sf_dir, sat, years=P.YEARS) -> DataFrame:
     if sat.source == "mdm":
         mdm = cut_lineage(stg(spark, sf_dir).mdm_user)
         return vault.satellite_over_years(lambda y: ods_ops.mdm_reload(mdm, y), sat, years)
-    rows = cut_lineage(hashed_all(spark, sf_dir, sat.source).select(
-        *vault.sat_columns(sat)))
-    return vault.satellite_over_years(
-        lambda y: rows.filter(F.year("load_dts") == F.lit(y)), sat, years)
+    rows = hashed_all(spark, sf_dir, sat.source).select(*vault.sat_columns(sat))
+    return vault.satellite_backfill(rows, sat, years)
 
 
 @query("hashed_payment")
@@ -272,3 +270,76 @@ def sat_rerun_year(spark, sf_dir):
     batch = lambda y: rows.filter(F.year("load_dts") == F.lit(y))
     first = vault.satellite_over_years(batch, sat, P.RERUN_YEARS)
     return vault.satellite_over_years(batch, sat, [P.RERUN_YEAR], stored=first)
+
+
+# ------------------------------------------------------------------ marts
+
+from ..operators import report_mart as rm  # noqa: E402
+from .specs import DM_DIMENSIONS, DM_V1_DIMENSIONS, MEASURE_BY_LINK, MEASURES  # noqa: E402
+
+
+def vault_view(spark, sf_dir) -> rm.VaultView:
+    """Vault tables after the yearly runs of every year (what the marts read)."""
+    return rm.VaultView(
+        hub_user=hub(spark, sf_dir, "user"),
+        hub_billing_period=hub(spark, sf_dir, "billing_period"),
+        links={m.link: link(spark, sf_dir, m.link) for m in MEASURES},
+        sats={m.link: satellite(spark, sf_dir, SAT_BY_NAME[m.link]) for m in MEASURES},
+        sat_user_mdm=satellite(spark, sf_dir, SAT_BY_NAME["user_mdm"]),
+    )
+
+
+def _vault_for(spark, sf_dir, links) -> rm.VaultView:
+    return rm.VaultView(
+        hub_user=hub(spark, sf_dir, "user"),
+        hub_billing_period=hub(spark, sf_dir, "billing_period"),
+        links={name: link(spark, sf_dir, name) for name in links},
+        sats={name: satellite(spark, sf_dir, SAT_BY_NAME[name]) for name in links},
+        sat_user_mdm=satellite(spark, sf_dir, SAT_BY_NAME["user_mdm"]),
+    )
+
+
+def _report_query(name):
+    def run(spark, sf_dir):
+        v = _vault_for(spark, sf_dir, [name])
+        return rm.report_aggregate(v, MEASURE_BY_LINK[name])
+    return run
+
+
+for _m in MEASURES:
+    QUERIES[f"report_{_m.link}"] = _report_query(_m.link)
+
+
+@query("report_dims")
+def report_dims(spark, sf_dir):
+    dims, _ = rm.marts_over_years(vault_view(spark, sf_dir), P.YEARS)
+    return rm.dimensions_table(dims, DM_DIMENSIONS)
+
+
+@query("report_fct_dense")
+def report_fct_dense(spark, sf_dir):
+    _, fact = rm.marts_over_years(vault_view(spark, sf_dir), P.YEARS)
+    return fact
+
+
+_V1_MEASURE = (MEASURE_BY_LINK["payment"],)
+
+
+@query("payment_report_tmp")
+def payment_report_tmp(spark, sf_dir):
+    v = _vault_for(spark, sf_dir, ["payment"])
+    return rm.report_aggregate(v, _V1_MEASURE[0], None, DM_V1_DIMENSIONS, "billing_year")
+
+
+@query("payment_report_dims")
+def payment_report_dims(spark, sf_dir):
+    v = _vault_for(spark, sf_dir, ["payment"])
+    dims, _ = rm.marts_over_years(v, P.YEARS, DM_V1_DIMENSIONS, _V1_MEASURE, sparse=True)
+    return rm.dimensions_table(dims, DM_V1_DIMENSIONS)
+
+
+@query("payment_report_fct")
+def payment_report_fct(spark, sf_dir):
+    v = _vault_for(spark, sf_dir, ["payment"])
+    _, fact = rm.marts_over_years(v, P.YEARS, DM_V1_DIMENSIONS, _V1_MEASURE, sparse=True)
+    return fact

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -62,7 +61,7 @@ class MeasureSpec:
     from_billing: bool                    # report date = billing period (else link date)
     fields: tuple[str, ...]
     name: str
-    agg: callable = field(compare=False)  # () -> aggregate Column
+    value: callable = field(compare=False)  # () -> per-row Column; the measure is its sum
 
 
 # --- fixed values: names, date fields and groupings of the warehouse -------------
@@ -144,16 +143,17 @@ DM_V1_DIMENSIONS: tuple[str, ...] = ("billing_year", "legal_type", "district",
 
 MEASURES: tuple[MeasureSpec, ...] = (
     MeasureSpec("payment", True, ("pay_sum",), "payment_sum",
-                lambda: F.sum("pay_sum")),
+                lambda: F.col("pay_sum")),
     MeasureSpec("billing", True, ("billing_sum",), "billing_sum",
-                lambda: F.sum("billing_sum")),
-    MeasureSpec("issue", False, ("issue_pk",), "issue_cnt",
-                lambda: F.count(F.lit(1))),
+                lambda: F.col("billing_sum")),
+    MeasureSpec("issue", False, (), "issue_cnt",
+                lambda: F.lit(1).cast("long")),
     MeasureSpec("traffic", False, ("bytes_sent", "bytes_received"), "traffic_amount",
-                lambda: F.sum(F.col("bytes_sent").cast("long") + F.col("bytes_received").cast("long"))),
+                lambda: F.col("bytes_sent").cast("long") + F.col("bytes_received").cast("long")),
 )
 MEASURE_BY_LINK = {m.link: m for m in MEASURES}
 
 
-def measure_column(m: MeasureSpec) -> Column:
-    return m.agg().alias(m.name)
+def measure_type(m: MeasureSpec) -> str:
+    """Declared type of a measure: money as decimal(38,2), counts and bytes as bigint."""
+    return "decimal(38,2)" if m.name in ("payment_sum", "billing_sum") else "bigint"

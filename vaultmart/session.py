@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,6 +72,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the reliable checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder and
+    read it back.
+
+    One job writes it (``checkpoint()`` would compute the plan twice unless
+    cached); the table survives the loss of any executor, keeps the plan of
+    the next step short, and its file sizes give the planner real statistics
+    for its broadcast decisions.
+    """
+    spark = df.sparkSession
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
