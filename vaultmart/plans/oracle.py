@@ -350,15 +350,15 @@ for _hub, _feeds in _HUB_FEEDS.items():
     _union = "\n  UNION ALL\n".join(
         f"  SELECT {_hub}_pk, {col} AS {_hub}_key, load_dts, {i} AS prio, '{view}' AS rec_source FROM {src}"
         for i, (view, src, col) in enumerate(_feeds))
-    ORACLE[f"hub_{_hub}"] = with_(*sorted({src for _, src, _ in _feeds})) + f"""
-, feeds AS (
-{_union}
-)
+    cte(f"hub_{_hub}", f"""
 SELECT {_hub}_pk, {_hub}_key, load_dts, rec_source FROM (
   SELECT *, row_number() OVER (PARTITION BY {_hub}_pk
                                ORDER BY load_dts, prio, {_hub}_key, rec_source) AS rn
-  FROM feeds) f
-WHERE rn = 1"""
+  FROM (
+{_union}
+  ) feeds) f
+WHERE rn = 1""", *sorted({src for _, src, _ in _feeds}))
+    ORACLE[f"hub_{_hub}"] = with_(f"hub_{_hub}") + f"SELECT * FROM hub_{_hub}"
 
 _LINK_HUBS = {
     "billing": ("user", "billing_period", "service", "tariff"),
@@ -368,12 +368,13 @@ _LINK_HUBS = {
 }
 for _link, _hubs in _LINK_HUBS.items():
     _members = ", ".join(f"{m}_pk" for m in _hubs)
-    ORACLE[f"lnk_{_link}"] = with_(f"hashed_{_link}") + f"""
+    cte(f"lnk_{_link}", f"""
 SELECT {_link}_pk, {_members}, effective_from, load_dts, rec_source FROM (
   SELECT *, row_number() OVER (PARTITION BY {_link}_pk
                                ORDER BY load_dts, effective_from, {_members}, rec_source) AS rn
   FROM hashed_{_link}) x
-WHERE rn = 1"""
+WHERE rn = 1""", f"hashed_{_link}")
+    ORACLE[f"lnk_{_link}"] = with_(f"lnk_{_link}") + f"SELECT * FROM lnk_{_link}"
 
 
 def _sat_batches(name: str, source_cte: str, context: tuple[str, ...], first_only: bool,
@@ -447,10 +448,99 @@ def sat_sql(name: str, years=P.YEARS) -> tuple[list[str], str, str]:
 
 for _name in list(_SATS) + ["user_mdm", "user_v1"]:
     _parts, _last, _base = sat_sql(_name)
-    ORACLE[f"sat_{_name}"] = with_(_base) + ",\n" + ",\n".join(_parts) + f"\nSELECT * FROM {_last}"
+    cte(f"sat_{_name}", "WITH " + ",\n".join(_parts) + f"\nSELECT * FROM {_last}", _base)
+    ORACLE[f"sat_{_name}"] = with_(f"sat_{_name}") + f"SELECT * FROM sat_{_name}"
 
 _parts, _last, _base = sat_sql("user", P.RERUN_YEARS)
 _src, _ctx, _ = _SATS["user"]
 _re_parts, _re_last = _sat_batches("user", _src, _ctx, True, [P.RERUN_YEAR], start=_last)
 ORACLE["sat_rerun_year"] = (with_(_base) + ",\n" + ",\n".join(_parts + _re_parts)
                             + f"\nSELECT * FROM {_re_last}")
+
+
+# ------------------------------------------------------------------ marts
+_MEASURES = {  # link: (from_billing, satellite fields, formula, name)
+    "payment": (True, ("pay_sum",), "CAST(sum(pay_sum) AS DECIMAL(38,2))", "payment_sum"),
+    "billing": (True, ("billing_sum",), "CAST(sum(billing_sum) AS DECIMAL(38,2))", "billing_sum"),
+    "issue": (False, (), "count(*)", "issue_cnt"),
+    "traffic": (False, ("bytes_sent", "bytes_received"),
+                "CAST(sum(CAST(bytes_sent AS BIGINT) + CAST(bytes_received AS BIGINT)) AS BIGINT)",
+                "traffic_amount"),
+}
+_ZERO = {"payment_sum": "CAST(0 AS DECIMAL(38,2))", "billing_sum": "CAST(0 AS DECIMAL(38,2))",
+         "issue_cnt": "CAST(0 AS BIGINT)", "traffic_amount": "CAST(0 AS BIGINT)"}
+_DIMS = ("report_year", "legal_type", "district", "billing_mode", "registration_year")
+_DIMS_V1 = ("billing_year", "legal_type", "district", "registration_year")
+_YEAR_LIST = ", ".join(str(y) for y in P.YEARS)
+
+for _m, (_fb, _fields, _formula, _mname) in _MEASURES.items():
+    _sf = "".join(f", s.{f}" for f in _fields)
+    _date = ("TRY_STRPTIME(hbp.billing_period_key, '%Y-%m')" if _fb else "l.effective_from")
+    _hbp = ("JOIN hub_billing_period hbp ON l.billing_period_pk = hbp.billing_period_pk"
+            if _fb else "")
+    cte(f"raw_{_m}", f"""
+SELECT su.legal_type, su.district, su.billing_mode,
+       CAST(EXTRACT(YEAR FROM su.effective_from) AS INTEGER) AS registration_year,
+       su.is_vip{_sf},
+       CAST(EXTRACT(YEAR FROM {_date}) AS INTEGER) AS report_year
+FROM lnk_{_m} l
+{_hbp}
+JOIN hub_user hu ON l.user_pk = hu.user_pk
+JOIN sat_{_m} s ON l.{_m}_pk = s.{_m}_pk
+LEFT JOIN sat_user_mdm su ON hu.user_pk = su.user_pk""",
+        f"lnk_{_m}", "hub_user", f"sat_{_m}", "sat_user_mdm",
+        *(["hub_billing_period"] if _fb else []))
+    _g = ", ".join(_DIMS) + ", is_vip"
+    cte(f"agg_{_m}", f"SELECT {_g}, {_formula} AS {_mname} FROM raw_{_m} GROUP BY {_g}",
+        f"raw_{_m}")
+    ORACLE[f"report_{_m}"] = with_(f"agg_{_m}") + f"SELECT * FROM agg_{_m}"
+
+# Dimension members in the order the yearly runs add them: by first report year
+# with a payment, then by key, NULL last.
+for _d in _DIMS:
+    cte(f"dim_{_d}", f"""
+SELECT row_number() OVER (ORDER BY first_year, {_d}_key NULLS LAST) AS id, {_d}_key, first_year
+FROM (SELECT {_d} AS {_d}_key, min(report_year) AS first_year FROM agg_payment
+      WHERE report_year IN ({_YEAR_LIST}) GROUP BY {_d}) m""", "agg_payment")
+
+ORACLE["report_dims"] = with_(*[f"dim_{d}" for d in _DIMS]) + "\nUNION ALL\n".join(
+    f"SELECT '{d}' AS dimension, id, CAST({d}_key AS VARCHAR) AS member_key FROM dim_{d}"
+    for d in _DIMS)
+
+_cross = "\nCROSS JOIN ".join(f"dim_{d} d{i}" for i, d in enumerate(_DIMS))
+_on = {m: " AND ".join(f"{m}.{d} = d{i}.{d}_key" for i, d in enumerate(_DIMS))
+       + f" AND {m}.is_vip = vip.is_vip" for m in _MEASURES}
+_left = "\n".join(f"LEFT JOIN agg_{m} {m} ON {_on[m]}" for m in _MEASURES)
+_ids = ", ".join(f"d{i}.id AS {d}_id" for i, d in enumerate(_DIMS))
+_meas = ", ".join(f"coalesce({m}.{v[3]}, {_ZERO[v[3]]}) AS {v[3]}" for m, v in _MEASURES.items())
+_asof = " AND ".join(f"d{i}.first_year <= d0.report_year_key" for i in range(1, len(_DIMS)))
+ORACLE["report_fct_dense"] = with_(*[f"dim_{d}" for d in _DIMS],
+                                   *[f"agg_{m}" for m in _MEASURES], "sat_user_mdm") + f"""
+SELECT {_ids}, vip.is_vip, {_meas}
+FROM {_cross}
+CROSS JOIN (SELECT DISTINCT is_vip FROM sat_user_mdm) vip
+{_left}
+WHERE {_asof}"""
+
+# first mart version: payment only, billing year, sparse fact
+_g1 = ", ".join(_DIMS_V1) + ", is_vip"
+cte("tmp_payment_v1", f"""
+SELECT {_g1}, CAST(sum(pay_sum) AS DECIMAL(38,2)) AS payment_sum
+FROM (SELECT * EXCLUDE (report_year), report_year AS billing_year FROM raw_payment) r
+GROUP BY {_g1}""", "raw_payment")
+ORACLE["payment_report_tmp"] = with_("tmp_payment_v1") + "SELECT * FROM tmp_payment_v1"
+for _d in _DIMS_V1:
+    cte(f"dim1_{_d}", f"""
+SELECT row_number() OVER (ORDER BY first_year, {_d}_key NULLS LAST) AS id, {_d}_key, first_year
+FROM (SELECT {_d} AS {_d}_key, min(billing_year) AS first_year FROM tmp_payment_v1
+      WHERE billing_year IN ({_YEAR_LIST}) GROUP BY {_d}) m""", "tmp_payment_v1")
+ORACLE["payment_report_dims"] = with_(*[f"dim1_{d}" for d in _DIMS_V1]) + "\nUNION ALL\n".join(
+    f"SELECT '{d}' AS dimension, id, CAST({d}_key AS VARCHAR) AS member_key FROM dim1_{d}"
+    for d in _DIMS_V1)
+_joins1 = "\n".join(f"JOIN dim1_{d} d{i} ON tmp.{d} = d{i}.{d}_key" for i, d in enumerate(_DIMS_V1))
+_ids1 = ", ".join(f"d{i}.id AS {d}_id" for i, d in enumerate(_DIMS_V1))
+ORACLE["payment_report_fct"] = with_("tmp_payment_v1", *[f"dim1_{d}" for d in _DIMS_V1]) + f"""
+SELECT {_ids1}, tmp.is_vip, tmp.payment_sum
+FROM tmp_payment_v1 tmp
+{_joins1}
+WHERE tmp.billing_year IN ({_YEAR_LIST})"""
