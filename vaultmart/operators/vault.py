@@ -172,10 +172,13 @@ def satellite_backfill(batches: DataFrame, sat: SatSpec, years: Iterable[int],
                                       if c != "load_dts"], "load_dts")
     rows = rows.select(*sat_columns(sat))
     runs = rows.groupBy(pk).agg(F.count_distinct("load_dts").alias("_runs"))
-    single = rows.join(runs.filter(F.col("_runs") == 1).select(pk), pk, "left_semi").distinct()
-    multi = cut_lineage(rows.join(runs.filter(F.col("_runs") > 1).select(pk), pk, "left_semi"))
-    if multi.isEmpty():
-        return single
+    multi_keys = runs.filter(F.col("_runs") > 1).select(pk)
+    if multi_keys.isEmpty():
+        return rows.distinct()
+    tagged = cut_lineage(rows.join(runs, pk, "left").withColumn(
+        "_multi", F.coalesce(F.col("_runs") > 1, F.lit(False))).drop("_runs"))
+    single = tagged.filter(~F.col("_multi")).drop("_multi").distinct()
+    multi = tagged.filter(F.col("_multi")).drop("_multi")
     looped = satellite_over_years(
         lambda y: multi.filter(F.year("load_dts") == F.lit(y)), sat, years, load_date=load_date)
     return single.unionByName(looped)

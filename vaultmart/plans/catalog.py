@@ -187,41 +187,66 @@ def top_users_issues(spark, sf_dir):
     return reports.top_users_issues(dm_traffic(spark, sf_dir), ods(spark, sf_dir, "issue"),
                                     P.TOP_YEAR, P.TOP_SERVICE, 20)
 
-
 # ------------------------------------------------------------------ vault
 
 from ..operators import ods as ods_ops  # noqa: E402
+from ..operators import report_mart as rm  # noqa: E402
 from ..operators import vault  # noqa: E402
 from ..session import cut_lineage  # noqa: E402
-from .specs import HUB_BY_NAME, LINK_BY_NAME, SAT_BY_NAME, SAT_USER_V1  # noqa: E402
-
-
-def hashed_all(spark, sf_dir, source: str) -> DataFrame:
-    """Hashed rows of every yearly run at once (load date = 1 January of the row's year)."""
-    if source == "mdm":
-        return ods_ops.mdm_reload(stg(spark, sf_dir).mdm_user, P.YEARS[0])
-    rows = ods(spark, sf_dir, source).drop("year")
-    return ods_ops.hashed(rows, source)
-
-
-def hub(spark, sf_dir, name: str) -> DataFrame:
-    spec = HUB_BY_NAME[name]
-    feeds = {f.source: hashed_all(spark, sf_dir, f.source) for f in spec.sources}
-    return vault.hub_candidates(feeds, spec)
-
-
-def link(spark, sf_dir, name: str) -> DataFrame:
-    spec = LINK_BY_NAME[name]
-    return vault.link_candidates(hashed_all(spark, sf_dir, spec.source), spec)
-
-
-def satellite(spark, sf_dir, sat, years=P.YEARS) -> DataFrame:
-    """The satellite after the yearly runs of ``years``, in order."""
-    if sat.source == "mdm":
-        mdm = cut_lineage(stg(spark, sf_dir).mdm_user)
-        return vault.satellite_over_years(lambda y: ods_ops.mdm_reload(mdm, y), sat, years)
-    rows = hashed_all(spark, sf_dir, sat.source).select(*vault.sat_columns(sat))
-    return vault.satellite_backfill(rows, sat, years)
+from .specs import (DM_DIMENSIONS, DM_V1_DIMENSIONS, HUB_BY_NAME, LINK_BY_NAME,  # noqa: E402
+                    MEASURE_BY_LINK, MEASURES, SAT_BY_NAME, SAT_USER_V1)
+
+
+class Vault:
+    """The vault of one query, built from the test tables.
+
+    The typed ODS of each source is written once (as the yearly runs store
+    ``ods_t_<source>``); hubs, links and satellites hash it lazily, so each
+    computes only the keys it uses.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self._ods: dict[str, DataFrame] = {}
+
+    def ods(self, source: str) -> DataFrame:
+        if source not in self._ods:
+            self._ods[source] = cut_lineage(ods(self.spark, self.sf_dir, source).drop("year"))
+        return self._ods[source]
+
+    def hashed(self, source: str) -> DataFrame:
+        """Hashed rows of every yearly run (load date = 1 January of the row's year)."""
+        if source == "mdm":
+            return ods_ops.mdm_reload(stg(self.spark, self.sf_dir).mdm_user, P.YEARS[0])
+        return ods_ops.hashed(self.ods(source), source)
+
+    def hub(self, name: str) -> DataFrame:
+        spec = HUB_BY_NAME[name]
+        return vault.hub_candidates({f.source: self.hashed(f.source) for f in spec.sources}, spec)
+
+    def link(self, name: str) -> DataFrame:
+        spec = LINK_BY_NAME[name]
+        return vault.link_candidates(self.hashed(spec.source), spec)
+
+    def satellite(self, sat, years=P.YEARS) -> DataFrame:
+        """The satellite after the yearly runs of ``years``, in order."""
+        if sat.source == "mdm":
+            # One master-data snapshot: every yearly run reloads the same rows,
+            # and a run whose batch equals the latest stored versions inserts
+            # nothing, so the backfill is the first run's load.
+            return vault.satellite_backfill(self.hashed("mdm"), sat, years[:1])
+        rows = self.hashed(sat.source).select(*vault.sat_columns(sat))
+        return vault.satellite_backfill(rows, sat, years)
+
+    def view(self, links=tuple(m.link for m in MEASURES)) -> rm.VaultView:
+        """The tables a mart reads."""
+        return rm.VaultView(
+            hub_user=self.hub("user"),
+            hub_billing_period=self.hub("billing_period"),
+            links={name: self.link(name) for name in links},
+            sats={name: self.satellite(SAT_BY_NAME[name]) for name in links},
+            sat_user_mdm=self.satellite(SAT_BY_NAME["user_mdm"]),
+        )
 
 
 @query("hashed_payment")
@@ -242,15 +267,15 @@ def hashed_user(spark, sf_dir):
 
 
 def _hub_query(name):
-    return lambda spark, sf_dir: hub(spark, sf_dir, name)
+    return lambda spark, sf_dir: Vault(spark, sf_dir).hub(name)
 
 
 def _link_query(name):
-    return lambda spark, sf_dir: link(spark, sf_dir, name)
+    return lambda spark, sf_dir: Vault(spark, sf_dir).link(name)
 
 
 def _sat_query(sat):
-    return lambda spark, sf_dir: satellite(spark, sf_dir, sat)
+    return lambda spark, sf_dir: Vault(spark, sf_dir).satellite(sat)
 
 
 for _name in HUB_BY_NAME:
@@ -266,7 +291,7 @@ QUERIES["sat_user_v1"] = _sat_query(SAT_USER_V1)
 def sat_rerun_year(spark, sf_dir):
     """Load three years of the user satellite, then run the middle year again."""
     sat = SAT_BY_NAME["user"]
-    rows = cut_lineage(hashed_all(spark, sf_dir, "payment").select(*vault.sat_columns(sat)))
+    rows = Vault(spark, sf_dir).hashed("payment").select(*vault.sat_columns(sat))
     batch = lambda y: rows.filter(F.year("load_dts") == F.lit(y))
     first = vault.satellite_over_years(batch, sat, P.RERUN_YEARS)
     return vault.satellite_over_years(batch, sat, [P.RERUN_YEAR], stored=first)
@@ -274,35 +299,9 @@ def sat_rerun_year(spark, sf_dir):
 
 # ------------------------------------------------------------------ marts
 
-from ..operators import report_mart as rm  # noqa: E402
-from .specs import DM_DIMENSIONS, DM_V1_DIMENSIONS, MEASURE_BY_LINK, MEASURES  # noqa: E402
-
-
-def vault_view(spark, sf_dir) -> rm.VaultView:
-    """Vault tables after the yearly runs of every year (what the marts read)."""
-    return rm.VaultView(
-        hub_user=hub(spark, sf_dir, "user"),
-        hub_billing_period=hub(spark, sf_dir, "billing_period"),
-        links={m.link: link(spark, sf_dir, m.link) for m in MEASURES},
-        sats={m.link: satellite(spark, sf_dir, SAT_BY_NAME[m.link]) for m in MEASURES},
-        sat_user_mdm=satellite(spark, sf_dir, SAT_BY_NAME["user_mdm"]),
-    )
-
-
-def _vault_for(spark, sf_dir, links) -> rm.VaultView:
-    return rm.VaultView(
-        hub_user=hub(spark, sf_dir, "user"),
-        hub_billing_period=hub(spark, sf_dir, "billing_period"),
-        links={name: link(spark, sf_dir, name) for name in links},
-        sats={name: satellite(spark, sf_dir, SAT_BY_NAME[name]) for name in links},
-        sat_user_mdm=satellite(spark, sf_dir, SAT_BY_NAME["user_mdm"]),
-    )
-
-
 def _report_query(name):
     def run(spark, sf_dir):
-        v = _vault_for(spark, sf_dir, [name])
-        return rm.report_aggregate(v, MEASURE_BY_LINK[name])
+        return rm.report_aggregate(Vault(spark, sf_dir).view([name]), MEASURE_BY_LINK[name])
     return run
 
 
@@ -312,13 +311,13 @@ for _m in MEASURES:
 
 @query("report_dims")
 def report_dims(spark, sf_dir):
-    dims, _ = rm.marts_over_years(vault_view(spark, sf_dir), P.YEARS)
+    dims, _ = rm.marts_backfill(Vault(spark, sf_dir).view(), P.YEARS)
     return rm.dimensions_table(dims, DM_DIMENSIONS)
 
 
 @query("report_fct_dense")
 def report_fct_dense(spark, sf_dir):
-    _, fact = rm.marts_over_years(vault_view(spark, sf_dir), P.YEARS)
+    _, fact = rm.marts_backfill(Vault(spark, sf_dir).view(), P.YEARS)
     return fact
 
 
@@ -327,19 +326,19 @@ _V1_MEASURE = (MEASURE_BY_LINK["payment"],)
 
 @query("payment_report_tmp")
 def payment_report_tmp(spark, sf_dir):
-    v = _vault_for(spark, sf_dir, ["payment"])
+    v = Vault(spark, sf_dir).view(["payment"])
     return rm.report_aggregate(v, _V1_MEASURE[0], None, DM_V1_DIMENSIONS, "billing_year")
 
 
 @query("payment_report_dims")
 def payment_report_dims(spark, sf_dir):
-    v = _vault_for(spark, sf_dir, ["payment"])
-    dims, _ = rm.marts_over_years(v, P.YEARS, DM_V1_DIMENSIONS, _V1_MEASURE, sparse=True)
+    v = Vault(spark, sf_dir).view(["payment"])
+    dims, _ = rm.marts_backfill(v, P.YEARS, DM_V1_DIMENSIONS, _V1_MEASURE, sparse=True)
     return rm.dimensions_table(dims, DM_V1_DIMENSIONS)
 
 
 @query("payment_report_fct")
 def payment_report_fct(spark, sf_dir):
-    v = _vault_for(spark, sf_dir, ["payment"])
-    _, fact = rm.marts_over_years(v, P.YEARS, DM_V1_DIMENSIONS, _V1_MEASURE, sparse=True)
+    v = Vault(spark, sf_dir).view(["payment"])
+    _, fact = rm.marts_backfill(v, P.YEARS, DM_V1_DIMENSIONS, _V1_MEASURE, sparse=True)
     return fact
