@@ -342,3 +342,34 @@ def payment_report_fct(spark, sf_dir):
     v = Vault(spark, sf_dir).view(["payment"])
     _, fact = rm.marts_backfill(v, P.YEARS, DM_V1_DIMENSIONS, _V1_MEASURE, sparse=True)
     return fact
+
+
+# ------------------------------------------------------------------ table IO
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder for a query's tables inside the shared checkpoint folder."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+
+
+@query("replace_slice_rerun")
+def replace_slice_rerun(spark, sf_dir):
+    """Backfill ods_payment for every year, run one year again, read the table back."""
+    from ..sources import tables
+    path = _scratch(spark, "ods_payment")
+    s = stg(spark, sf_dir)
+    tables.write_slices(ods_all_years(s.payment, "payment"), path)
+    tables.replace_slice(ods_slice(s.payment, "payment", P.SLICE_YEAR), path, str(P.SLICE_YEAR))
+    return tables.read_partitioned(spark, path)
+
+
+@query("drop_partitions_after")
+def drop_partitions_after(spark, sf_dir):
+    """Write ods_issue for every year, drop the partitions after a bound, read back."""
+    from ..sources import tables
+    path = _scratch(spark, "ods_issue")
+    tables.write_slices(ods_all_years(stg(spark, sf_dir).issue, "issue"), path)
+    tables.drop_partitions(spark, path, lambda v: int(v) > P.YEARS_AFTER)
+    return tables.read_partitioned(spark, path)

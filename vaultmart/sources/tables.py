@@ -21,6 +21,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import (IntegerType, LongType, StringType, StructField, StructType)
 
 from ..session import cut_lineage
@@ -76,7 +77,9 @@ def read_partitioned(spark: SparkSession, path: str, schema: StructType | None =
         if schema is None:
             raise FileNotFoundError(path)
         return spark.createDataFrame([], schema)
-    return reader.parquet(path)
+    df = reader.parquet(path)
+    # partition discovery would type `year=1997` as int; the column is declared string
+    return df.withColumn(column, F.col(column).cast("string")) if column in df.columns else df
 
 
 def replace_slice(df: DataFrame, path: str, value: str, column: str = "year",
