@@ -78,3 +78,15 @@ def test_vault_and_mart_runs(spark, workdir):
     for s in sizes:
         expected_rows *= s
     assert fact.count() == expected_rows
+
+
+def test_flagship_golden_values_sf001(spark):
+    """FIXTURES.md section 4: dense fact of 1997 at sf0.01, first mart fill."""
+    from vaultmart.plans.catalog import QUERIES
+    from pyspark.sql import functions as F
+    from decimal import Decimal
+    fact = QUERIES["report_fct_dense"](spark, "/root/testdata/sf0.01")
+    year_1997 = fact.filter(F.col("report_year_id") == 3)
+    got = year_1997.agg(F.count(F.lit(1)).alias("n"), F.sum("payment_sum").alias("s")).first()
+    assert got.n == 1728
+    assert got.s == Decimal("524564149.80")
