@@ -39,7 +39,22 @@ class Staging:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return balanced(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def balanced(df: DataFrame) -> DataFrame:
+    """Spread an under-split scan over the cluster.
+
+    A Parquet file with one row group is read by one task, and everything up
+    to the first shuffle (joins to broadcast tables, casts, hashing) would run
+    in that task.  When the scan yields fewer partitions than the cluster's
+    parallelism, the rows are spread round-robin; a large source already has
+    more splits than cores and is left alone (deciding runs no job).
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
 
 
 def _amount_text(col: str):
