@@ -241,7 +241,7 @@ def marts_backfill(v: VaultView, years, dim_names: tuple[str, ...] = DM_DIMENSIO
     aggs = {m.link: cut_lineage(report_aggregate(v, m, None, dim_names, year_col))
             for m in measures}
     pay = aggs["payment"]
-    dims = {n: cut_lineage(dimension_backfill(pay, n, year_col, years)) for n in dim_names}
+    dims = {n: dimension_backfill(pay, n, year_col, years) for n in dim_names}
     if sparse:
         fact = sparse_fact(pay.filter(F.col(year_col).isin(years)), dims, dim_names,
                            measures[0].name)

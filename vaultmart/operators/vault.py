@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Iterable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -120,11 +121,13 @@ def satellite_delta(hashed_batch: DataFrame, sat: SatSpec, stored: DataFrame | N
     among the key's latest stored versions.  ``stored`` must not hold the
     run's own year (the run deletes it first).  A NULL key never matches, so
     such rows are always inserted."""
-    src = satellite_source(hashed_batch, sat).distinct()
+    src = satellite_source(hashed_batch, sat)
     if stored is None:
-        return src
+        return src.distinct()
     latest = latest_versions(stored, sat, load_dts)
-    return src.join(latest, list(sat_keys(sat)), "left_anti")
+    # anti join first: its (pk, hashdiff) partitioning already clusters the
+    # distinct that follows, so the distinct needs no shuffle of its own
+    return src.join(latest, list(sat_keys(sat)), "left_anti").distinct()
 
 
 # -------------------------------------------------------- several yearly runs
@@ -171,14 +174,16 @@ def satellite_backfill(batches: DataFrame, sat: SatSpec, years: Iterable[int],
         rows = first.select(pk, hd, *[F.col(f"_first.{c}").alias(c) for c in cols[2:]
                                       if c != "load_dts"], "load_dts")
     rows = rows.select(*sat_columns(sat))
-    runs = rows.groupBy(pk).agg(F.count_distinct("load_dts").alias("_runs"))
-    multi_keys = runs.filter(F.col("_runs") > 1).select(pk)
-    if multi_keys.isEmpty():
+    spans = rows.groupBy(pk).agg(F.min("load_dts").alias("_first"), F.max("load_dts").alias("_last"))
+    if spans.filter(F.col("_first") < F.col("_last")).isEmpty():
         return rows.distinct()
-    tagged = cut_lineage(rows.join(runs, pk, "left").withColumn(
-        "_multi", F.coalesce(F.col("_runs") > 1, F.lit(False))).drop("_runs"))
+    tagged = cut_lineage(rows.join(spans, pk, "left").withColumn(
+        "_multi", F.coalesce(F.col("_first") < F.col("_last"), F.lit(False)))
+        .drop("_first", "_last"))
     single = tagged.filter(~F.col("_multi")).drop("_multi").distinct()
     multi = tagged.filter(F.col("_multi")).drop("_multi")
+    # rows are already the first per (pk, hashdiff) of each run
+    per_run = replace(sat, first_only=False)
     looped = satellite_over_years(
-        lambda y: multi.filter(F.year("load_dts") == F.lit(y)), sat, years, load_date=load_date)
+        lambda y: multi.filter(F.year("load_dts") == F.lit(y)), per_run, years, load_date=load_date)
     return single.unionByName(looped)
