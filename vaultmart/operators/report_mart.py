@@ -238,8 +238,10 @@ def marts_backfill(v: VaultView, years, dim_names: tuple[str, ...] = DM_DIMENSIO
 
     years = sorted(years)
     year_col = dim_names[0]
-    aggs = {m.link: cut_lineage(report_aggregate(v, m, None, dim_names, year_col))
-            for m in measures}
+    # the payment aggregate feeds every dimension and the fact: written once;
+    # the other aggregates are read once, by the fact, and stay lazy
+    aggs = {m.link: report_aggregate(v, m, None, dim_names, year_col) for m in measures}
+    aggs["payment"] = cut_lineage(aggs["payment"])
     pay = aggs["payment"]
     dims = {n: dimension_backfill(pay, n, year_col, years) for n in dim_names}
     if sparse:

@@ -261,6 +261,18 @@ def hashed_traffic(spark, sf_dir):
                                 "traffic", P.SLICE_YEAR)
 
 
+@query("hashed_billing")
+def hashed_billing(spark, sf_dir):
+    return ods_ops.hashed_slice(ods_slice(stg(spark, sf_dir).billing, "billing", P.SLICE_YEAR),
+                                "billing", P.SLICE_YEAR)
+
+
+@query("hashed_issue")
+def hashed_issue(spark, sf_dir):
+    return ods_ops.hashed_slice(ods_slice(stg(spark, sf_dir).issue, "issue", P.SLICE_YEAR),
+                                "issue", P.SLICE_YEAR)
+
+
 @query("hashed_user")
 def hashed_user(spark, sf_dir):
     return ods_ops.mdm_reload(stg(spark, sf_dir).mdm_user, P.SLICE_YEAR)
@@ -373,3 +385,14 @@ def drop_partitions_after(spark, sf_dir):
     tables.write_slices(ods_all_years(stg(spark, sf_dir).issue, "issue"), path)
     tables.drop_partitions(spark, path, lambda v: int(v) > P.YEARS_AFTER)
     return tables.read_partitioned(spark, path)
+
+
+@query("mdm_reload")
+def mdm_reload(spark, sf_dir):
+    """Full reload of master data into the ODS (truncate + insert), read back."""
+    from ..sources import tables
+    path = _scratch(spark, "ods_t_user")
+    mdm = stg(spark, sf_dir).mdm_user
+    tables.reload(mdm, path)
+    tables.reload(mdm, path)  # a second run replaces, it does not add
+    return spark.read.parquet(path)

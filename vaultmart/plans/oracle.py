@@ -332,6 +332,12 @@ WHERE year(effective_from) = {P.SLICE_YEAR}"""
 ORACLE["hashed_traffic"] = with_("hashed_traffic") + f"""
 SELECT * REPLACE (DATE '{P.SLICE_YEAR}-01-01' AS load_dts) FROM hashed_traffic
 WHERE year(effective_from) = {P.SLICE_YEAR}"""
+ORACLE["hashed_billing"] = with_("hashed_billing") + f"""
+SELECT * REPLACE (DATE '{P.SLICE_YEAR}-01-01' AS load_dts) FROM hashed_billing
+WHERE year(effective_from) = {P.SLICE_YEAR}"""
+ORACLE["hashed_issue"] = with_("hashed_issue") + f"""
+SELECT * REPLACE (DATE '{P.SLICE_YEAR}-01-01' AS load_dts) FROM hashed_issue
+WHERE year(effective_from) = {P.SLICE_YEAR}"""
 ORACLE["hashed_user"] = with_("mdm_user") + _mdm_hashed(P.SLICE_YEAR)
 
 # hubs: keys in the order the feeds are loaded (earlier year, then earlier feed)
@@ -549,3 +555,4 @@ WHERE tmp.billing_year IN ({_YEAR_LIST})"""
 ORACLE["replace_slice_rerun"] = with_("ods_payment") + "SELECT * FROM ods_payment"
 ORACLE["drop_partitions_after"] = with_("ods_issue") + (
     f"SELECT * FROM ods_issue WHERE CAST(year AS INTEGER) <= {P.YEARS_AFTER}")
+ORACLE["mdm_reload"] = with_("mdm_user") + "SELECT * FROM mdm_user"
