@@ -21,7 +21,7 @@ from ..operators import ods as ods_ops
 from ..operators import report_mart as rm
 from ..operators import vault
 from ..operators.lake_mart import min_max_avg_mart
-from ..session import cut_lineage
+from ..session import cut_lineage, scratch_scope
 from ..sources import tables
 from ..sources.fixtures import Staging
 from .specs import DM_DIMENSIONS, HUBS, LINKS, MEASURES, SAT_USER_MDM, SATS
@@ -72,6 +72,11 @@ def _slice_of_load_year(df: DataFrame | None, year: int) -> DataFrame | None:
 
 
 def run_vault_year(stg: Staging, root: str, year: int) -> None:
+    with scratch_scope(stg.payment.sparkSession):
+        _run_vault_year(stg, root, year)
+
+
+def _run_vault_year(stg: Staging, root: str, year: int) -> None:
     """One yearly vault run.
 
     The hashed ODS slice of each source is replaced (partitioned by the year of
@@ -131,6 +136,11 @@ def read_vault(spark: SparkSession, root: str) -> rm.VaultView:
 
 
 def run_mart_year(spark: SparkSession, root: str, year: int) -> None:
+    with scratch_scope(spark):
+        _run_mart_year(spark, root, year)
+
+
+def _run_mart_year(spark: SparkSession, root: str, year: int) -> None:
     """Aggregates of the year, dimension fills from the payment aggregate, and
     the dense fact slice of the year (replaced, so a rerun does not double it)."""
     v = read_vault(spark, root)

@@ -9,6 +9,7 @@ touches the others.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -71,6 +72,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_OPEN_SCOPES: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete the tables ``cut_lineage`` writes inside the block when it ends.
+
+    For runs that store their results (the pipelines); a query that returns a
+    lazy frame still reading a cut table must not use it.
+    """
+    created: list[str] = []
+    _OPEN_SCOPES.append(created)
+    try:
+        yield
+    finally:
+        _OPEN_SCOPES.pop()
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in created:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` as a Parquet table in the shared checkpoint folder and
     read it back.
@@ -83,4 +107,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(folder)
+    if _OPEN_SCOPES:
+        _OPEN_SCOPES[-1].append(folder)
     return spark.read.schema(df.schema).parquet(folder)

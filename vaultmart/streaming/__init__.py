@@ -1,0 +1,8 @@
+"""No stream operators.
+
+The warehouse has no stream, watermark, window or stateful operator: time
+enters only as the yearly batch slice, and late data is handled by running
+the year again (its slices are replaced, ``vaultmart.plans.pipeline``).  A
+streaming ingest would land staging files; the yearly runs read them as they
+read any staging table.
+"""
