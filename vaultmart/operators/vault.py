@@ -121,13 +121,13 @@ def satellite_delta(hashed_batch: DataFrame, sat: SatSpec, stored: DataFrame | N
     among the key's latest stored versions.  ``stored`` must not hold the
     run's own year (the run deletes it first).  A NULL key never matches, so
     such rows are always inserted."""
-    src = satellite_source(hashed_batch, sat)
+    # distinct first: repeated rows of a hot key collapse map-side, before
+    # the anti join's shuffle on (pk, hashdiff)
+    src = satellite_source(hashed_batch, sat).distinct()
     if stored is None:
-        return src.distinct()
+        return src
     latest = latest_versions(stored, sat, load_dts)
-    # anti join first: its (pk, hashdiff) partitioning already clusters the
-    # distinct that follows, so the distinct needs no shuffle of its own
-    return src.join(latest, list(sat_keys(sat)), "left_anti").distinct()
+    return src.join(latest, list(sat_keys(sat)), "left_anti")
 
 
 # -------------------------------------------------------- several yearly runs
