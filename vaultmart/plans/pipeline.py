@@ -113,7 +113,8 @@ def _run_vault_year(stg: Staging, root: str, year: int) -> None:
         name = f"dds_t_sat_{sat.name}"
         stored = _read(spark, root, name)
         if stored is not None:
-            stored = stored.drop("year")
+            # only loads up to this run can be "latest": prune later partitions
+            stored = stored.filter(F.col("year").cast("int") <= F.lit(year)).drop("year")
         delta = vault.satellite_delta(hashed[sat.source], sat,
                                       _slice_of_load_year(stored, year), load)
         tables.replace_slice(delta.withColumn("year", F.lit(str(year))),
