@@ -127,3 +127,15 @@ def test_slice_replace_and_partition_drops(spark, workdir):
     assert tables.list_partitions(spark, path) == ["2012", "2013", "2014"]
     assert tables.drop_partitions(spark, path, lambda v: int(v) > 2012) == ["2013", "2014"]
     assert tables.list_partitions(spark, path) == ["2012"]
+
+
+def test_declared_schema_staging_read(spark, workdir):
+    from conftest import SMALL
+    from vaultmart.sources.fixtures import staging_from_testdata
+    stg = staging_from_testdata(spark, SMALL).traffic
+    stg.write.parquet(f"{workdir}/stg_traffic")
+    read = tables.read_stg(spark, f"{workdir}/stg_traffic", "traffic")
+    assert read.schema == tables.STG_SCHEMAS["traffic"]
+    a = ods_ops.ods_slice(read, "traffic", 1997)
+    b = ods_ops.ods_slice(stg, "traffic", 1997)
+    assert a.count() == b.count() == a.intersectAll(b).count()

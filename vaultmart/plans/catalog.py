@@ -6,6 +6,7 @@ and runs the warehouse builders over the whole tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -13,10 +14,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import checks, reports
+from ..operators import ods as ods_ops
+from ..operators import report_mart as rm
+from ..operators import vault
 from ..operators.lake_mart import min_max_avg_mart
 from ..operators.ods import ods_all_years, ods_slice
+from ..session import cut_lineage, ensure_checkpoint_dir
+from ..sources import tables
 from ..sources.fixtures import Staging, staging_from_testdata
 from . import params as P
+from .specs import (DM_DIMENSIONS, DM_V1_DIMENSIONS, HUB_BY_NAME, LINK_BY_NAME,
+                    MEASURE_BY_LINK, MEASURES, SAT_BY_NAME, SAT_USER_V1)
 
 SOURCES = ("billing", "issue", "payment", "traffic")
 
@@ -189,14 +197,6 @@ def top_users_issues(spark, sf_dir):
 
 # ------------------------------------------------------------------ vault
 
-from ..operators import ods as ods_ops  # noqa: E402
-from ..operators import report_mart as rm  # noqa: E402
-from ..operators import vault  # noqa: E402
-from ..session import cut_lineage  # noqa: E402
-from .specs import (DM_DIMENSIONS, DM_V1_DIMENSIONS, HUB_BY_NAME, LINK_BY_NAME,  # noqa: E402
-                    MEASURE_BY_LINK, MEASURES, SAT_BY_NAME, SAT_USER_V1)
-
-
 class Vault:
     """The vault of one query, built from the test tables.
 
@@ -360,16 +360,12 @@ def payment_report_fct(spark, sf_dir):
 
 def _scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder for a query's tables inside the shared checkpoint folder."""
-    import uuid
-
-    from ..session import ensure_checkpoint_dir
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
 
 
 @query("replace_slice_rerun")
 def replace_slice_rerun(spark, sf_dir):
     """Backfill ods_payment for every year, run one year again, read the table back."""
-    from ..sources import tables
     path = _scratch(spark, "ods_payment")
     s = stg(spark, sf_dir)
     tables.write_slices(ods_all_years(s.payment, "payment"), path)
@@ -380,7 +376,6 @@ def replace_slice_rerun(spark, sf_dir):
 @query("drop_partitions_after")
 def drop_partitions_after(spark, sf_dir):
     """Write ods_issue for every year, drop the partitions after a bound, read back."""
-    from ..sources import tables
     path = _scratch(spark, "ods_issue")
     tables.write_slices(ods_all_years(stg(spark, sf_dir).issue, "issue"), path)
     tables.drop_partitions(spark, path, lambda v: int(v) > P.YEARS_AFTER)
@@ -390,7 +385,6 @@ def drop_partitions_after(spark, sf_dir):
 @query("mdm_reload")
 def mdm_reload(spark, sf_dir):
     """Full reload of master data into the ODS (truncate + insert), read back."""
-    from ..sources import tables
     path = _scratch(spark, "ods_t_user")
     mdm = stg(spark, sf_dir).mdm_user
     tables.reload(mdm, path)
