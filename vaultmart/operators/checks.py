@@ -76,6 +76,12 @@ def distinct_users(stg: DataFrame, source: str) -> DataFrame:
                    F.count_distinct("user_id").alias("distinct_users"))
 
 
+def distinct_user_ids(stg: DataFrame, source: str) -> DataFrame:
+    """The distinct users of a staging source, one row each."""
+    return stg.select(F.lit(source).alias("source"),
+                      lenient("user_id", "int").alias("user_id")).distinct()
+
+
 def distinct_devices(stg_traffic: DataFrame) -> DataFrame:
     """V4: devices seen in traffic and how many rows each produced."""
     return stg_traffic.groupBy("device_id").agg(F.count(F.lit(1)).alias("row_count"))

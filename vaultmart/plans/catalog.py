@@ -111,6 +111,22 @@ def distinct_users(spark, sf_dir):
     return _union([checks.distinct_users(s.source(src), src) for src in SOURCES])
 
 
+@query("distinct_user_ids")
+def distinct_user_ids(spark, sf_dir):
+    s = stg(spark, sf_dir)
+    return _union([checks.distinct_user_ids(s.source(src), src) for src in SOURCES])
+
+
+@query("issue_dates")
+def issue_dates(spark, sf_dir):
+    """``to_date`` of the raw issue times, first rows in time order."""
+    issues = stg(spark, sf_dir).issue
+    return (issues.select(F.to_date(F.col("start_time").try_cast("timestamp_ntz")).alias("start_date"),
+                          F.to_date(F.col("end_time").try_cast("timestamp_ntz")).alias("end_date"),
+                          "description")
+            .orderBy("start_date", "description").limit(20))
+
+
 @query("distinct_device_count")
 def distinct_device_count(spark, sf_dir):
     return checks.distinct_devices(stg(spark, sf_dir).traffic)

@@ -174,6 +174,15 @@ ORACLE["distinct_users"] = with_(*[f"stg_{s}" for s in _SOURCES]) + "\nUNION ALL
     f"SELECT '{s}' AS source, count(DISTINCT user_id) AS distinct_users FROM stg_{s}"
     for s in _SOURCES)
 
+ORACLE["distinct_user_ids"] = with_(*[f"stg_{s}" for s in _SOURCES]) + "\nUNION ALL\n".join(
+    f"SELECT DISTINCT '{s}' AS source, TRY_CAST(user_id AS INTEGER) AS user_id FROM stg_{s}"
+    for s in _SOURCES)
+
+ORACLE["issue_dates"] = with_("stg_issue") + """
+SELECT CAST(TRY_CAST(start_time AS TIMESTAMP) AS DATE) AS start_date,
+       CAST(TRY_CAST(end_time AS TIMESTAMP) AS DATE) AS end_date, description
+FROM stg_issue ORDER BY start_date, description LIMIT 20"""
+
 ORACLE["distinct_device_count"] = with_("stg_traffic") + (
     "SELECT device_id, count(*) AS row_count FROM stg_traffic GROUP BY device_id")
 
