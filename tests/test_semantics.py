@@ -139,3 +139,9 @@ def test_declared_schema_staging_read(spark, workdir):
     a = ods_ops.ods_slice(read, "traffic", 1997)
     b = ods_ops.ods_slice(stg, "traffic", 1997)
     assert a.count() == b.count() == a.intersectAll(b).count()
+
+
+def test_user_set_as_sorted_array(spark):
+    from vaultmart.operators import reports
+    users = spark.createDataFrame([(30,), (10,), (20,), (10,)], "user_id int")
+    assert reports.users_as_array(users).first().user_ids == [10, 20, 30]
