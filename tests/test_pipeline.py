@@ -90,3 +90,32 @@ def test_flagship_golden_values_sf001(spark):
     got = year_1997.agg(F.count(F.lit(1)).alias("n"), F.sum("payment_sum").alias("s")).first()
     assert got.n == 1728
     assert got.s == Decimal("524564149.80")
+
+
+def test_unknown_users_give_null_members(spark):
+    """Users unknown to master data: a NULL member in each user dimension; its
+    dense fact rows are all zero, the sparse fact drops them, and a null-safe
+    fact (keep_unknown) reconciles with every payment of the year."""
+    from decimal import Decimal
+    from vaultmart.plans.specs import DM_V1_DIMENSIONS, MEASURE_BY_LINK
+    v = Vault(spark, SMALL).view()
+    dims, fact = rm.marts_backfill(v, YEARS)
+    null_ids = {n: [r.id for r in dims[n].filter(F.col(f"{n}_key").isNull()).collect()]
+                for n in ("legal_type", "district", "billing_mode", "registration_year")}
+    assert all(len(ids) == 1 for ids in null_ids.values())
+    on_null = fact.filter(F.col("legal_type_id") == null_ids["legal_type"][0])
+    totals = on_null.agg(F.sum("payment_sum"), F.sum("billing_sum"), F.sum("issue_cnt"),
+                         F.sum("traffic_amount")).first()
+    assert on_null.count() > 0 and all(t == 0 for t in totals)
+
+    v1_dims, v1_fact = rm.marts_backfill(v, YEARS, DM_V1_DIMENSIONS,
+                                         (MEASURE_BY_LINK["payment"],), sparse=True)
+    null_lt = v1_dims["legal_type"].filter(F.col("legal_type_key").isNull()).first().id
+    assert v1_fact.filter(F.col("legal_type_id") == null_lt).count() == 0
+
+    _, kept = rm.marts_backfill(v, YEARS, keep_unknown=True)
+    year_id = dims["report_year"].filter(F.col("report_year_key") == 1997).first().id
+    in_fact = kept.filter(F.col("report_year_id") == year_id).agg(F.sum("payment_sum")).first()[0]
+    paid = (Vault(spark, SMALL).ods("payment").filter(F.year("pay_date") == 1997)
+            .agg(F.sum("pay_sum")).first()[0])
+    assert in_fact == paid and paid > Decimal(0)

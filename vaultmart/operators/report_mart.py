@@ -94,6 +94,16 @@ def fill_dimension(members: DataFrame, name: str, stored: DataFrame | None) -> D
     return new.select((base + F.row_number().over(order)).cast("long").alias("id"), key)
 
 
+def _vip_values(vip: DataFrame, keep_unknown: bool) -> DataFrame:
+    """Distinct ``is_vip`` values of the grid; with ``keep_unknown`` also NULL,
+    the flag of users unknown to master data, so their money finds a cell."""
+    flags = vip.select(F.col("is_vip").alias("vip")).distinct()
+    if keep_unknown:
+        unknown = vip.sparkSession.createDataFrame([(None,)], "vip boolean")
+        flags = flags.unionByName(unknown).distinct()
+    return flags
+
+
 def _match(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]],
            null_safe: bool) -> Column:
     conds = [left[a].eqNullSafe(right[b]) if null_safe else left[a] == right[b]
@@ -112,7 +122,7 @@ def dense_fact(dims: dict[str, DataFrame], vip: DataFrame, aggregates: dict[str,
     for name in dim_names[1:]:
         d = dims[name].select(F.col("id").alias(f"{name}_id"), f"{name}_key")
         grid = grid.crossJoin(d)
-    grid = grid.crossJoin(vip.select(F.col("is_vip").alias("vip")).distinct())
+    grid = grid.crossJoin(_vip_values(vip, keep_unknown))
     for m in measures:
         agg = aggregates[m.link].filter(F.col(year_dim) == F.lit(year))
         agg = agg.select(*[F.col(n).alias(f"_{m.link}_{n}") for n in dim_names],
@@ -214,7 +224,7 @@ def dense_fact_backfill(dims: dict[str, DataFrame], vip: DataFrame,
             F.col("id").alias(f"{name}_id"), f"{name}_key",
             F.explode(F.sequence(F.col("first_year"), last)).alias("_year"))
         grid = grid.join(d, "_year")
-    flags = vip.select(F.col("is_vip").alias("vip")).distinct().select(
+    flags = _vip_values(vip, keep_unknown).select(
         "vip", F.explode(F.array(*[F.lit(y) for y in years])).alias("_year"))
     grid = grid.join(flags, "_year")
     for m in measures:
@@ -229,8 +239,8 @@ def dense_fact_backfill(dims: dict[str, DataFrame], vip: DataFrame,
 
 
 def marts_backfill(v: VaultView, years, dim_names: tuple[str, ...] = DM_DIMENSIONS,
-                   measures: tuple[MeasureSpec, ...] = MEASURES, sparse: bool = False
-                   ) -> tuple[dict[str, DataFrame], DataFrame]:
+                   measures: tuple[MeasureSpec, ...] = MEASURES, sparse: bool = False,
+                   keep_unknown: bool = False) -> tuple[dict[str, DataFrame], DataFrame]:
     """Same result as ``marts_over_years`` from empty dimensions, without the
     run-by-run chain: aggregates once, every dimension once, one fact job."""
     years = sorted(years)
@@ -246,5 +256,5 @@ def marts_backfill(v: VaultView, years, dim_names: tuple[str, ...] = DM_DIMENSIO
                            measures[0].name)
     else:
         vip = v.sat_user_mdm.select("is_vip").distinct()
-        fact = dense_fact_backfill(dims, vip, aggs, years, dim_names, measures)
+        fact = dense_fact_backfill(dims, vip, aggs, years, dim_names, measures, keep_unknown)
     return {n: d.drop("first_year") for n, d in dims.items()}, fact
