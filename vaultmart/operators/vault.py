@@ -42,7 +42,12 @@ def hub_candidates(hashed_by_source: dict[str, DataFrame], hub: HubSpec) -> Data
             F.col(pk), F.col(feed.key_column).alias(key), F.col("load_dts"),
             F.lit(priority).alias("_priority"), F.lit(feed.view).alias("rec_source")))
     feeds = reduce(lambda a, b: a.unionByName(b), parts)
-    first = feeds.groupBy(pk).agg(
+    # Feeds repeat a key on every row (each payment carries its user): a hash
+    # aggregate collapses the repeats map-side, so the sort-based struct
+    # minimum below only sees each (key, feed) once.
+    per_feed = feeds.groupBy(pk, key, "_priority", "rec_source").agg(
+        F.min("load_dts").alias("load_dts"))
+    first = per_feed.groupBy(pk).agg(
         F.min(F.struct("load_dts", "_priority", key, "rec_source")).alias("_first"))
     return first.select(pk, F.col(f"_first.{key}").alias(key), "_first.load_dts",
                         "_first.rec_source")
