@@ -93,16 +93,27 @@ def sat_columns(sat: SatSpec) -> list[str]:
     return [*sat_keys(sat), *sat.context, "effective_from", "load_dts", "rec_source"]
 
 
+def _first_rows(rows: DataFrame, sat: SatSpec, group: list[str]) -> DataFrame:
+    """Earliest row per ``group`` (W2): ``effective_from`` decides, the other
+    columns break ties.  A hash aggregate first collapses repeated versions
+    (same context, many dates) map-side; the sort-based struct minimum then
+    sees each distinct version once."""
+    cols = sat_columns(sat)
+    rest = [c for c in cols if c not in group and c != "effective_from"]
+    versions = rows.groupBy(*group, *rest).agg(F.min("effective_from").alias("effective_from"))
+    first = versions.groupBy(*group).agg(
+        F.min(F.struct("effective_from", *rest)).alias("_first"))
+    return first.select(*group, *[F.col(f"_first.{c}").alias(c) for c in cols if c not in group]
+                        ).select(*cols)
+
+
 def satellite_source(hashed_batch: DataFrame, sat: SatSpec) -> DataFrame:
     """The batch's candidate rows.  Non-link satellites keep only the earliest
     row per (pk, hashdiff) of the batch (W2); link satellites keep all."""
-    cols = sat_columns(sat)
-    src = hashed_batch.select(*cols)
+    src = hashed_batch.select(*sat_columns(sat))
     if not sat.first_only:
         return src
-    pk, hd = cols[0], cols[1]
-    first = src.groupBy(pk, hd).agg(F.min(F.struct(*cols[2:])).alias("_first"))
-    return first.select(pk, hd, *[F.col(f"_first.{c}").alias(c) for c in cols[2:]])
+    return _first_rows(src, sat, list(sat_keys(sat)))
 
 
 def latest_versions(stored: DataFrame, sat: SatSpec, bound: dt.date) -> DataFrame:
@@ -172,13 +183,9 @@ def satellite_backfill(batches: DataFrame, sat: SatSpec, years: Iterable[int],
     years = list(years)
     pk, hd = sat_keys(sat)
     rows = batches.filter(F.year("load_dts").isin(years))
-    if sat.first_only:
-        cols = sat_columns(sat)
-        first = rows.select(*cols).groupBy(pk, hd, "load_dts").agg(
-            F.min(F.struct(*[c for c in cols[2:] if c != "load_dts"])).alias("_first"))
-        rows = first.select(pk, hd, *[F.col(f"_first.{c}").alias(c) for c in cols[2:]
-                                      if c != "load_dts"], "load_dts")
     rows = rows.select(*sat_columns(sat))
+    if sat.first_only:
+        rows = _first_rows(rows, sat, [pk, hd, "load_dts"])
     spans = rows.groupBy(pk).agg(F.min("load_dts").alias("_first"), F.max("load_dts").alias("_last"))
     if spans.filter(F.col("_first") < F.col("_last")).isEmpty():
         return rows.distinct()
