@@ -42,6 +42,8 @@ def main():
     out.append(("Q2 top users (pruned scan, partial aggregate, TakeOrderedAndProject)",
                 plan(QUERIES["top_users"](spark, sf_dir))))
     v = Vault(spark, sf_dir)
+    out.append(("Hub load from two feeds (hash pre-aggregation, then min of a struct per key)",
+                plan(v.hub("user"))))
     out.append(("Link load (min of a struct per key, combined map-side)",
                 plan(v.link("billing"))))
     out.append(("Report aggregate (link x satellite, per-user partial sum, then master data)",
