@@ -56,10 +56,12 @@ def balanced(df: DataFrame) -> DataFrame:
     parallelism, the rows are spread round-robin; a large source already has
     more splits than cores and is left alone (deciding runs no job).
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of the plan (e.g. a Spark Connect session)
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def _amount_text(col: str):
