@@ -24,8 +24,39 @@ def op3_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset")
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .linededup import dedup_lines
+
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10, min_key_chars=1).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import COUNTS, judge
+
+    return judge(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")).select(
+        "doc_id", *COUNTS, "base_failed", "kept", "score")
+
+
 QUERIES = {
     "op3_sum_of_squares_packing": op3_sum_of_squares_packing,
+    "op9_line_dedup": op9_line_dedup,
+    "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE: dict[str, str] = {}
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+ORACLE: dict[str, str] = {
+    "op9_line_dedup": f"""
+WITH lines AS (
+    SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS pos
+    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
+keyed AS (
+    SELECT *, translate(trim(line, {_BLANKS}), '{_UPPER}', '{_LOWER}') AS k FROM lines),
+frequent AS (
+    SELECT k FROM keyed WHERE k <> '' GROUP BY k HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE f.k IS NOT NULL) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE f.k IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN frequent f USING (k) GROUP BY doc_id""",
+}
