@@ -34,12 +34,13 @@ def ship(spark: SparkSession) -> None:
     sc._llm_shipped = True
 
 
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_table(df: DataFrame) -> None:
     """Delete a table written by ``cut_lineage`` that no later read needs."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
         if "/tables/" in folder:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
+            delete_folder(df.sparkSession, folder)

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import ship
 
+GROUP_CHARS = 2_000_000
 PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, "
           "sequence_id long, offset long")
 
@@ -110,6 +111,20 @@ _ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa
                     ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
 
 
+def _encoded(batches, code, end_id: int) -> Iterator[tuple]:
+    """(doc_id, ids with the end id) of every row; texts are encoded a few million characters at a time."""
+    for batch in batches:
+        ids = batch.column(0).to_pylist()
+        group, chars = [], 0
+        for i, text in enumerate(batch.column(1)):
+            group.append(text.as_py() or "")
+            chars += len(group[-1])
+            if chars > GROUP_CHARS or i == len(ids) - 1:
+                for doc_id, got in zip(ids[i - len(group) + 1:i + 1], code.encode(group), strict=True):
+                    yield doc_id, np.append(got, np.uint32(end_id)).astype("<u4")
+                group, chars = [], 0
+
+
 def pack(docs: DataFrame, vocabulary: str, size: int = 2048, end_id: int = 1) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids`` (little-endian uint32), ``doc_tokens, sequence_id, offset``."""
     ship(docs.sparkSession)
@@ -119,19 +134,17 @@ def pack(docs: DataFrame, vocabulary: str, size: int = 2048, end_id: int = 1) ->
 
         code, packer, out = encoder(vocabulary), LevelPacker(size), []
         sequence = TaskContext.get().partitionId() << 33
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.append(code.ids(text.as_py() or ""), np.uint32(end_id)).astype("<u4")
-                key = (doc_id, len(ids))
-                for start in range(0, len(ids), size):
-                    part = ids[start:start + size]
-                    done = packer.place((key, part, start), len(part))
-                    if done:
-                        out.extend(_pieces(done, sequence))
-                        sequence += 1
-                if len(out) >= 4000:
-                    yield _batch(out, _ARROW)
-                    out = []
+        for doc_id, ids in _encoded(batches, code, end_id):
+            key = (doc_id, len(ids))
+            for start in range(0, len(ids), size):
+                part = ids[start:start + size]
+                done = packer.place((key, part, start), len(part))
+                if done:
+                    out.extend(_pieces(done, sequence))
+                    sequence += 1
+            if len(out) >= 4000:
+                yield _batch(out, _ARROW)
+                out = []
         for done in packer.close():
             out.extend(_pieces(done, sequence))
             sequence += 1

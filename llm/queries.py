@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import delete_folder, ensure_checkpoint_dir, table
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -24,6 +26,27 @@ def op3_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset")
 
 
+def op2_gzip_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import warc
+
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/warc/{uuid.uuid4().hex}"
+    warc.write_monolithic(warc.records(table(spark, sf_dir, "pages"), min_bytes=0), f"{root}/monolithic")
+    warc.normalise(spark, f"{root}/monolithic", f"{root}/members").write.parquet(f"{root}/archives")
+    delete_folder(spark, f"{root}/monolithic")
+    return warc.read_records(spark, f"{root}/members").select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op5_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .chat import prefix_targets, read_back
+
+    said = "\\### Assistant: </turn> ok"
+    extra = spark.sql("select -7L as conv_id, turn, role, :said as text from values (0L, 'user'), (1L, 'assistant') as t(turn, role)",
+                      args={"said": said})
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return read_back(prefix_targets(rows))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .linededup import dedup_lines
 
@@ -39,7 +62,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_gzip_normaliser": op2_gzip_normaliser,
     "op3_sum_of_squares_packing": op3_sum_of_squares_packing,
+    "op5_prefix_targets": op5_prefix_targets,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
@@ -47,7 +72,45 @@ QUERIES = {
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+def _escaped(column: str, marks: str) -> str:
+    for mark in marks:
+        column = f"replace({column}, '{mark}', '\\{mark}')"
+    return column
+
+
+# The i-th group of five bits of the 160-bit hexadecimal number h, as a base32 digit.
+_BASE32_DIGITS = [f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((CAST('0x' || substr(h, {1 + 5 * (i // 4)}, 5) AS BIGINT) "
+                  f">> {15 - 5 * (i % 4)}) & 31 AS INT), 1)" for i in range(32)]
+
 ORACLE: dict[str, str] = {
+    "op2_gzip_normaliser": f"""
+WITH hashed AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, upper(sha1(coalesce(html, ''))) AS h FROM pages),
+digested AS (
+    SELECT *, {" || ".join(_BASE32_DIGITS)} AS payload_digest
+    FROM hashed),
+firsts AS (SELECT h, min(page_id) AS first_id FROM hashed GROUP BY h)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM digested JOIN firsts USING (h)""",
+    "op5_prefix_targets": f"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, t, r, '\\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(t, r)),
+sized AS (
+    SELECT *, length('### : </turn>x') + length({_escaped("role", chr(92) + "#<:")}) + length({_escaped("text", chr(92) + "#<")}) AS size
+    FROM turns),
+summed AS (
+    SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS upto,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role DESC, text DESC) = 1 AS last
+    FROM sized)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(upto) FILTER (WHERE role = 'assistant' OR last) AS BIGINT) AS formatted_chars
+FROM summed GROUP BY conv_id""",
     "op9_line_dedup": f"""
 WITH lines AS (
     SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS pos
