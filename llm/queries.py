@@ -37,6 +37,16 @@ def op2_gzip_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+URL_RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+             ("block", "net", "/es/"), ("block", "net", "/fr/"))
+
+
+def op4_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .linkgraph import judge_urls
+
+    return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url", "html"), URL_RULES)
+
+
 def op5_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .chat import prefix_targets, read_back
 
@@ -64,6 +74,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_gzip_normaliser": op2_gzip_normaliser,
     "op3_sum_of_squares_packing": op3_sum_of_squares_packing,
+    "op4_link_graph": op4_link_graph,
     "op5_prefix_targets": op5_prefix_targets,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
