@@ -57,6 +57,15 @@ def op5_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(prefix_targets(rows))
 
 
+def op7_viterbi_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import identify, learn
+
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    docs = table(spark, sf_dir, "documents")
+    model = learn(docs.where(~held_out).select("text", "lang"))
+    return identify(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .linededup import dedup_lines
 
@@ -76,6 +85,7 @@ QUERIES = {
     "op3_sum_of_squares_packing": op3_sum_of_squares_packing,
     "op4_link_graph": op4_link_graph,
     "op5_prefix_targets": op5_prefix_targets,
+    "op7_viterbi_language": op7_viterbi_language,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
