@@ -4,8 +4,10 @@ Each document's lines are normalised and hashed to 128 bits in the scan; only
 its distinct keys are exploded, as ``(key, doc_id)`` rows.  Documents per key
 are counted by a distinct count, which Spark spreads over ``(key, doc_id)``
 before it sums per key, so a key found in a third of all documents is summed
-from partial counts.  The keys over the threshold go back to the documents that
-hold them, and one pass rebuilds every text from the remaining lines in order.
+from partial counts.  The keys over the threshold are written as a table of their
+own, so that its join with the documents' keys can be broadcast or split like any
+skewed join, and go back to the documents that hold them.  One pass
+rebuilds every text from the remaining lines in order.
 Only the rebuilding shuffles texts, once, by ``doc_id``.
 
 Defined results: null or empty text is one empty line; a key of fewer code
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ship
+from .common import cut_lineage, ship
 
 _BLANKS = b" \t\n\x0b\x0c\r"
 _KEYS = "__line_dedup_keys"
@@ -58,8 +60,8 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_key_chars: int = 1) ->
     """The rows of ``docs`` with the remaining lines as ``text``, and ``n_lines`` (before), ``n_dropped``."""
     ship(docs.sparkSession)
     keys = line_keys(docs, min_key_chars)
-    frequent = (keys.groupBy("key").agg(F.count_distinct(F.struct("doc_id")).alias("n"))
-                .where(F.col("n") >= min_docs).select("key"))
+    frequent = cut_lineage(keys.groupBy("key").agg(F.count_distinct(F.struct("doc_id")).alias("n"))
+                           .where(F.col("n") >= min_docs).select("key"))
     of_doc = (keys.join(frequent, "key").groupBy(F.col("doc_id").alias("__line_dedup_id"))
               .agg(F.collect_set("key").alias(_KEYS)))
     docs = docs.drop("n_lines", "n_dropped")

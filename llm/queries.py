@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import delete_folder, ensure_checkpoint_dir, table
 
+SURROGATE_KEY = "registered query"  # a production run passes a secret of its own
 VOCABULARY = "word_bpe_49k.json"
 
 
@@ -66,6 +67,12 @@ def op7_viterbi_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .surrogates import replace_entities
+
+    return replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"), key=SURROGATE_KEY)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .linededup import dedup_lines
 
@@ -86,6 +93,7 @@ QUERIES = {
     "op4_link_graph": op4_link_graph,
     "op5_prefix_targets": op5_prefix_targets,
     "op7_viterbi_language": op7_viterbi_language,
+    "op8_surrogates": op8_surrogates,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
