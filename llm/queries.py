@@ -27,6 +27,12 @@ def op3_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset")
 
 
+def op1_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontam import contamination
+
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_gzip_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import warc
 
@@ -88,6 +94,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_qgram_decontamination": op1_qgram_decontamination,
     "op2_gzip_normaliser": op2_gzip_normaliser,
     "op3_sum_of_squares_packing": op3_sum_of_squares_packing,
     "op4_link_graph": op4_link_graph,
