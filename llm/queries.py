@@ -64,6 +64,12 @@ def op5_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(prefix_targets(rows))
 
 
+def op6_prefix_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_viterbi_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .langid import identify, learn
 
@@ -99,6 +105,7 @@ QUERIES = {
     "op3_sum_of_squares_packing": op3_sum_of_squares_packing,
     "op4_link_graph": op4_link_graph,
     "op5_prefix_targets": op5_prefix_targets,
+    "op6_prefix_tree_join": op6_prefix_tree_join,
     "op7_viterbi_language": op7_viterbi_language,
     "op8_surrogates": op8_surrogates,
     "op9_line_dedup": op9_line_dedup,
