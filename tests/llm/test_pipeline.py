@@ -1,0 +1,77 @@
+"""The stages' decisions against plain versions, each on what the stage before it kept."""
+
+import numpy as np
+import pytest
+
+corpus_pipeline = pytest.importorskip("corpus_pipeline")
+
+from llm.decontam import ERROR, Q  # noqa: E402
+from test_decontam import least_edits, norm  # noqa: E402
+from test_jaccard import brute as classes  # noqa: E402
+from test_linededup import brute as lines  # noqa: E402
+from test_packing import check  # noqa: E402
+from test_quality import brute as counts  # noqa: E402
+
+SF = "/root/testdata/sf0.001"
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_stages(spark, workdir):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    bench = [(r.item_id, norm(r.text)) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        before = {r.doc_id: r for r in docs.collect()}
+        stage(spark, docs, SF).write.parquet(f"{workdir}/{i}")
+        docs = spark.read.parquet(f"{workdir}/{i}")
+        rows = docs.collect()
+        if name != "packing":
+            assert docs.columns == COLUMNS
+            after = {r.doc_id: r for r in rows}
+            assert len(after) == len(rows)
+        if name == "quality rules":
+            for d, r in before.items():
+                b = counts(r.text)
+                if b[0] < 50 or 2 * b[4] > b[0]:
+                    assert d not in after
+            assert 0.5 * len(before) < len(after) < len(before) and all(after[d] == before[d] for d in after)
+        elif name == "line dedup":
+            want = {d: t for d, t, _, _ in lines([(r.doc_id, r.text) for r in before.values()], 10, 1)}
+            assert {d: r.text for d, r in after.items()} == want
+            assert all(r.n_chars == len(r.text) for d, r in after.items() if r.text != before[d].text)
+        elif name == "n-gram Jaccard join":
+            assert set(after) == {d for d, _, c in classes([(r.doc_id, r.text) for r in before.values()]) if d == c}
+        elif name == "benchmark decontamination":
+            grams = [{x[i:i + Q] for i in range(len(x) - Q + 1)} for _, x in bench]
+            for d, r in before.items():
+                t = norm(r.text)
+                own = {t[i:i + Q] for i in range(len(t) - Q + 1)}
+                hit = False
+                for (_, x), g in zip(bench, grams, strict=True):
+                    k = min(int(len(x) * ERROR), (len(x) - Q) // Q)
+                    if len(g & own) >= len(g) - k * Q and g:  # the lemma, over the whole text
+                        hit = hit or least_edits(x, t) <= k
+                assert (d not in after) == hit
+        else:
+            check_rows(spark, stage, docs, before)
+
+
+def check_rows(spark, stage, docs, before):
+    from llm.packing import pack
+    from llm.queries import vocabulary_path
+
+    texts = [(d, r.text) for d, r in before.items()]
+    again = pack(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1), vocabulary_path()).collect()
+    tokens, sequences = check(again, texts, 2048)
+    assert sequences * 2048 - tokens < 2048
+    got = docs.collect()
+    assert sum(r.length for r in got) == tokens and {r.doc_id for r in got} == set(before)
+
+
+def test_run_gives_the_last_stage(spark):
+    rows = corpus_pipeline.run(spark, SF).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in by.values():
+        ends = np.cumsum([n for _, n in sorted(parts)])
+        assert [o for o, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= 2048
