@@ -42,8 +42,8 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 # Kind and pattern of a whole mention, in the order in which they are tried.
 KINDS = (
     ("email", r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}"),
-    ("secret", r"(?<=(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\"?\s{0,3}[=:]\s{0,3}[\"']?)[\w+/=.-]{12,}"),
-    ("secret", r"(?<![\w])[0-9a-f]{32,128}(?![\w])"),
+    ("secret", r"(?=[\w+/=.-]{12})(?<=(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key)\"?\s{0,3}[=:]\s{0,3}[\"']?)[\w+/=.-]{12,}"),
+    ("secret", r"(?<![\w])[0-9a-fA-F]{32,128}(?![\w])"),
     ("iban", r"(?<![\w])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\w])"),
     ("phone", r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?![\w])"),
     ("phone", r"(?<![\w])\(\d{3}\) ?\d{3}[ .-]\d{4}(?![\w])"),
@@ -51,10 +51,12 @@ KINDS = (
     ("card", r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w])"),
     ("ssn", r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"),
     ("ip", rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d|\w)"),
-    ("person", rf"(?<![\p{{L}}\p{{N}}]){_ADDRESS} {_NAME}(?: {_NAME})?(?![\p{{L}}])"),
+    ("person", rf"(?=[MFSDPHГΚ]){_ADDRESS} {_NAME}(?: {_NAME})?(?![\p{{L}}])"),
 )
-MENTION = "|".join(f"(?:{p})" for _, p in KINDS)
-MAY_HOLD = rf"[0-9@]|(?<![\p{{L}}\p{{N}}]){_ADDRESS} \p{{Lu}}|(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\"?\s{{0,3}}[=:]"
+# Every mention starts where no word goes on; this is looked at first, so most places cost one step.
+MENTION = rf"(?<![\p{{L}}\p{{N}}_])(?:{'|'.join(f'(?:{p})' for _, p in KINDS)})"
+MAY_START = ("Mr", "Ms", "Miss", "Mme", "Mad", "Monsieur", "Frau", "Herr", "Señor", "Sr", "Dr", "Prof", "Г-", "Госпо", "Κυρί", "Κύρι",
+             "token", "secret", "password", "passwd", "api", "access")  # of every address and every word before a secret
 LOWER = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзиклмнопрстуфхцчшэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
 CROWDED = 12
 VOWELS = {"latin": "aeiou", "cyrillic": "аеиоу", "greek": "αεηιο"}
@@ -126,6 +128,7 @@ def with_surrogate(entities: DataFrame, key: str) -> DataFrame:
     drawn = (F.when(kind == "ip", octets).when(kind == "card", F.concat(F.col("body"), F.element_at(valid, 1)))
              .when(kind == "phone", F.concat(prefix, F.substr(shaped, F.length(prefix) + 1, F.length(value))))
              .when((kind == "secret") & value.rlike("^[0-9a-f]+$"), hexed)
+             .when((kind == "secret") & value.rlike("^[0-9A-F]+$"), F.upper(hexed))
              .when(kind.isin("given_f", "given_m", "surname"), name).otherwise(shaped))
     crowded = F.when(F.col("attempt") >= CROWDED, F.substr(F.conv(F.substr(hexes, F.lit(1), F.lit(12)), 16, 10), F.lit(1), F.lit(8)))
     return rows.select("kind", "value", "attempt", F.concat(drawn, F.coalesce(crowded, F.lit(""))).alias("surrogate"))
@@ -170,7 +173,10 @@ def draw(entities: DataFrame, key: str) -> DataFrame:
 def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     """The rows of ``docs`` with surrogates in ``text``, and ``n_entities``, the mentions replaced."""
     docs = docs.drop("n_entities").withColumn("text", F.col("text").cast("string"))
-    may = F.coalesce(F.col("text").rlike(MAY_HOLD), F.lit(False))
+    may = F.col("text").rlike("[0-9@]")
+    for word in MAY_START:
+        may = may | F.contains(F.col("text"), F.lit(word))
+    may = F.coalesce(may, F.lit(False))
     found = F.regexp_extract_all(F.col("text"), F.lit(MENTION), 0)
     id_of, text_of = F.col("doc_id").cast("string"), F.xxhash64("text")
     mentions = docs.where(may).select(id_of.alias("__id"), text_of.alias("__text"), F.explode(F.array_distinct(found)).alias("mention"))
