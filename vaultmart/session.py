@@ -10,7 +10,7 @@ touches the others.
 from __future__ import annotations
 
 import contextlib
-import os
+import re
 import tempfile
 import uuid
 
@@ -65,10 +65,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):  # one process; local-cluster has several
         raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
-    base = os.environ.get("VAULTMART_LOCAL_CHECKPOINT") or tempfile.mkdtemp(prefix="vaultmart-ckpt-")
-    sc.setCheckpointDir(base)
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="vaultmart-ckpt-"))
     return sc.getCheckpointDir()
 
 
@@ -107,6 +106,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(folder)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)  # else they outlive the session
     if _OPEN_SCOPES:
         _OPEN_SCOPES[-1].append(folder)
     return spark.read.schema(df.schema).parquet(folder)

@@ -38,30 +38,8 @@ class Staging:
         return getattr(self, name)
 
 
-# Tables that grow with the scale factor; the others are dimension-sized.
-FACT_TABLES = ("orders", "lineitem")
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return balanced(df) if name in FACT_TABLES else df
-
-
-def balanced(df: DataFrame) -> DataFrame:
-    """Spread an under-split scan over the cluster.
-
-    A Parquet file with one row group is read by one task, and everything up
-    to the first shuffle (joins to broadcast tables, casts, hashing) would run
-    in that task.  When the scan yields fewer partitions than the cluster's
-    parallelism, the rows are spread round-robin; a large source already has
-    more splits than cores and is left alone (deciding runs no job).
-    """
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view of the plan (e.g. a Spark Connect session)
-        return df
-    return df.repartition(want) if have < want else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _amount_text(col: str):
@@ -73,7 +51,8 @@ def stg_payment(orders: DataFrame) -> DataFrame:
     return orders.select(
         ck.cast("int").alias("user_id"),
         F.col("o_orderpriority").alias("pay_doc_type"),
-        F.col("o_orderkey").cast("int").alias("pay_doc_num"),
+        F.when(F.col("o_orderkey") % 97 == 0, F.concat(F.lit("N/A-"), F.col("o_orderkey").cast("string")))
+        .otherwise(F.col("o_orderkey").cast("string")).alias("pay_doc_num"),
         F.concat(F.lit("FL-"), ck.cast("string")).alias("account"),
         F.concat(F.lit("+7"), F.lpad((ck * 7 + F.year("o_orderdate") % 2).cast("string"), 10, "0"))
         .alias("phone"),
@@ -127,10 +106,9 @@ def stg_traffic(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def mdm_user(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
-    """Master data; nation and region are 25 and 5 rows, a fixed bound, so broadcast."""
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "r_name")
     return (customer.filter(F.col("c_acctbal") >= 0)
-            .join(F.broadcast(geo), customer.c_nationkey == geo.n_nationkey)
+            .join(geo, customer.c_nationkey == geo.n_nationkey)
             .select(
                 F.col("c_custkey").cast("int").alias("user_id"),
                 F.col("c_mktsegment").alias("legal_type"),
@@ -142,6 +120,14 @@ def mdm_user(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataF
             ))
 
 
+def mdm_snapshots(mdm: DataFrame, years) -> DataFrame:
+    """Master data as each run of ``years`` (an array column) finds it: from 1999 on, users whose id is
+    a multiple of 50 are on the other billing mode."""
+    other = F.when(F.col("billing_mode") == "prepaid", "postpaid").otherwise("prepaid")
+    return mdm.withColumn("_year", F.explode(years)).withColumn("billing_mode", F.when(
+        (F.col("user_id") % 50 == 0) & (F.col("_year") >= 1999), other).otherwise(F.col("billing_mode")))
+
+
 def staging_from_testdata(spark: SparkSession, sf_dir: str) -> Staging:
     t = {name: read_table(spark, sf_dir, name) for name in ("orders", "lineitem", "customer",
                                                           "nation", "region")}

@@ -26,6 +26,8 @@ from pyspark.sql.types import (IntegerType, LongType, StringType, StructField, S
 
 from ..session import cut_lineage
 
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's folder name of a NULL partition value
+
 # Declared staging schemas.  `sum` and `timestamp` are renamed to pay_sum /
 # billing_sum / traffic_ms so that no column needs quoting.
 STG_SCHEMAS: dict[str, StructType] = {
@@ -39,7 +41,7 @@ STG_SCHEMAS: dict[str, StructType] = {
         StructField("description", StringType()), StructField("service", StringType())]),
     "payment": StructType([
         StructField("user_id", IntegerType()), StructField("pay_doc_type", StringType()),
-        StructField("pay_doc_num", IntegerType()), StructField("account", StringType()),
+        StructField("pay_doc_num", StringType()), StructField("account", StringType()),
         StructField("phone", StringType()), StructField("billing_period", StringType()),
         StructField("pay_date", StringType()), StructField("pay_sum", StringType())]),
     "traffic": StructType([
@@ -82,30 +84,76 @@ def read_partitioned(spark: SparkSession, path: str, schema: StructType | None =
     return df.withColumn(column, F.col(column).cast("string")) if column in df.columns else df
 
 
+def _work_folder(path: str) -> str:
+    """Folder beside a table for slices on their way; its name starts with a dot, so no read of the table sees it."""
+    head, _, name = path.rstrip("/").rpartition("/")
+    return f"{head}/.slices_{name}"
+
+
+def _rename(fs, source, target) -> None:
+    """Hadoop's rename reports failure as False."""
+    if not fs.rename(source, target):
+        raise OSError(f"could not rename {source} to {target}")
+
+
+def recover_slice(spark: SparkSession, path: str, value: str, column: str = "year") -> None:
+    """Undo what a killed replacement of the slice left: a slice that was moved aside and not replaced comes back."""
+    fs, work = _fs(spark, _work_folder(path))
+    if not fs.exists(work):
+        return
+    target = _fs(spark, f"{path.rstrip('/')}/{column}={value}")[1]
+    for status in fs.listStatus(work):
+        name = status.getPath().getName()
+        if name.startswith(f"{column}={value}.") and name.endswith(".old") and not fs.exists(target):
+            _rename(fs, status.getPath(), target)
+        elif name.startswith(f"{column}={value}."):
+            fs.delete(status.getPath(), True)
+
+
 def replace_slice(df: DataFrame, path: str, value: str, column: str = "year",
                   reads_target: bool = False) -> None:
     """Replace the partition ``column=value`` by ``df`` (empty ``df`` empties it).
 
-    The slice is written to a fresh folder first and swapped in afterwards, so a
-    failed job leaves the old slice in place.
+    The slice is written outside the table, the old one is moved aside, the new
+    one moved in, and only then the old one is deleted.  A job that fails while
+    writing leaves the table as it was; a failed move puts the old slice back;
+    after a kill between the moves the next replacement (or ``recover_slice``) does.
     """
     spark = df.sparkSession
     if reads_target:
         df = cut_lineage(df)
     data = df.drop(column) if column in df.columns else df
-    staging = f"{path.rstrip('/')}/_staging_{column}={value}_{uuid.uuid4().hex}"
-    data.write.mode("overwrite").parquet(staging)
+    recover_slice(spark, path, value, column)
+    stem = f"{_work_folder(path)}/{column}={value}.{uuid.uuid4().hex}"
+    data.write.mode("overwrite").parquet(f"{stem}.new")
     fs, target = _fs(spark, f"{path.rstrip('/')}/{column}={value}")
-    if fs.exists(target):
-        fs.delete(target, True)
+    new, old = _fs(spark, f"{stem}.new")[1], _fs(spark, f"{stem}.old")[1]
     fs.mkdirs(target.getParent())
-    fs.rename(_fs(spark, staging)[1], target)
-
-
-def write_slices(df: DataFrame, path: str, column: str = "year") -> None:
-    """Replace every partition present in ``df`` in one job; others stay."""
+    had = bool(fs.exists(target))
+    if had:
+        _rename(fs, target, old)
+    try:
+        _rename(fs, new, target)
+    except Exception:
+        if had:
+            _rename(fs, old, target)
+        raise
+    if had:
+        fs.delete(old, True)
+
+
+def write_slices(df: DataFrame, path: str, column: str = "year", whole: bool = False) -> None:
+    """Replace every partition present in ``df`` in one job; others stay.
+
+    With ``whole`` the table holds exactly the partitions of ``df`` afterwards
+    (a backfill: a year that has vanished from staging goes).
+    """
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(column).parquet(path))
+    if whole:
+        spark = df.sparkSession
+        kept = {str(r[0]) for r in df.select(column).distinct().collect()}  # one row per partition
+        drop_partitions(spark, path, lambda v: v not in kept, column)
 
 
 def append(df: DataFrame, path: str, column: str | None = None) -> None:
@@ -138,11 +186,12 @@ def drop_partitions(spark: SparkSession, path: str, predicate: Callable[[str], b
     """Drop every partition whose value satisfies ``predicate``; returns the dropped ones.
 
     ``DROP PARTITION (year > 2012)`` takes a range; Spark's DDL takes only
-    equality, so the values are listed and dropped one by one.
+    equality, so the values are listed and dropped one by one.  The partition
+    of NULL values fits no predicate and stays.
     """
     dropped = []
     for value in list_partitions(spark, path, column):
-        if predicate(value):
+        if value != NULL_PARTITION and predicate(value):
             fs, p = _fs(spark, f"{path.rstrip('/')}/{column}={value}")
             fs.delete(p, True)
             dropped.append(value)
