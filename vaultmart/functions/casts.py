@@ -29,8 +29,7 @@ def lenient(col: str | Column, spark_type: str) -> Column:
 def epoch_ms_to_ts(col: str | Column) -> Column:
     """``from_unixtime(floor(ms / 1000))`` as a timestamp: whole seconds, millis dropped."""
     c = F.col(col) if isinstance(col, str) else col
-    seconds = F.floor(c / F.lit(1000))
-    return F.timestamp_add("SECOND", seconds, _epoch())
+    return F.timestamp_add("MILLISECOND", c - F.pmod(c, F.lit(1000)), _epoch())  # integers only
 
 
 def ts_to_epoch_ms(col: str | Column) -> Column:
@@ -64,5 +63,5 @@ def as_text(col: str | Column, spark_type: str) -> Column:
     if t == "date":
         return F.date_format(c, "yyyy-MM-dd")
     if t.startswith("timestamp"):
-        return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+        return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
     return c.cast("string")

@@ -1,8 +1,9 @@
 """Hash keys and hashdiffs of the vault.
 
-``md5`` over the business key columns: each value as fixed text, NULL as '^^'
-(``concat_ws`` would skip it and merge ('A', NULL, 'B') with ('A', 'B')),
-trimmed, upper-cased, joined by a double pipe.  No central counter is needed,
+``md5`` over the business key columns: each value as fixed text, trimmed,
+upper-cased, with a backslash before every backslash, pipe and caret, NULL as
+'^^' (``concat_ws`` would skip it and merge ('A', NULL, 'B') with ('A', 'B')),
+joined by a double pipe.  No text can imitate the separator or a NULL.  No central counter is needed,
 so hub, link and satellite keys are computed in parallel on every executor.
 """
 
@@ -20,6 +21,11 @@ SEPARATOR = "||"
 
 def hash_columns(df: DataFrame, columns: tuple[str, ...] | list[str]) -> Column:
     types = dict((f.name, f.dataType.simpleString()) for f in df.schema.fields)
-    parts = [F.upper(F.trim(F.coalesce(as_text(c, types[c]), F.lit(NULL_TEXT))))
-             for c in columns]
+    parts = [F.coalesce(_escaped(F.upper(F.trim(as_text(c, types[c])))), F.lit(NULL_TEXT)) for c in columns]
     return F.md5(F.concat_ws(SEPARATOR, *parts))
+
+
+def _escaped(text: Column) -> Column:
+    for mark in "\\|^":
+        text = F.replace(text, F.lit(mark), F.lit("\\" + mark))
+    return text

@@ -45,11 +45,20 @@ def typed(stg: DataFrame, spec: OdsSpec) -> DataFrame:
 
 
 def _year_prefilter(stg: DataFrame, spec: OdsSpec, year: int) -> DataFrame:
-    """An exact range on the raw epoch column, which Parquet statistics can prune."""
+    """A range on the raw column that Parquet statistics can prune.
+
+    The epoch column has an exact one.  A text whose first character is one of
+    ``1`` to ``9`` parses to the year only if it lies between the year and the next
+    as text; every other text (blanks, signs, zeros) passes.  The cast decides
+    afterwards, so no row is lost.
+    """
     if spec.epoch_ms_field:
         lo, hi = year_bounds_ms(year)
         c = F.col(spec.epoch_ms_field)
         return stg.filter((c >= F.lit(lo)) & (c < F.lit(hi)))
+    if dict(stg.dtypes)[spec.date_field] == "string" and 1000 <= year < 9999:
+        c = F.col(spec.date_field)
+        return stg.filter(((c >= F.lit(str(year))) & (c < F.lit(str(year + 1)))) | (c < F.lit("1")) | (c >= F.lit(":")))
     return stg
 
 
@@ -123,3 +132,9 @@ def hashed_slice(ods_rows: DataFrame, source: str, year: int) -> DataFrame:
 def mdm_reload(mdm: DataFrame, year: int) -> DataFrame:
     """Master data copied in full and hashed; no year filter."""
     return hashed(mdm.select(*MDM_COLUMNS), "mdm", load_date(year))
+
+
+def mdm_hashed(snapshots: DataFrame, year_column: str = "_year") -> DataFrame:
+    """Hashed master data of every run; ``year_column`` is the year of the run that reloads the row."""
+    rows = hashed(snapshots.select(*MDM_COLUMNS, year_column), "mdm", F.make_date(year_column, F.lit(1), F.lit(1)))
+    return rows.drop(year_column)

@@ -184,16 +184,15 @@ def dimensions_table(dims: dict[str, DataFrame], dim_names: tuple[str, ...]) ->
 
 # ------------------------------------------------------------ backfill (many years at once)
 
-def dimension_backfill(payment_agg: DataFrame, name: str, year_column: str,
-                       years) -> DataFrame:
-    """Dimension ``name`` as the yearly fills of ``years`` leave it, from empty.
+def dimension_backfill(payment_agg: DataFrame, name: str, year_column: str) -> DataFrame:
+    """Dimension ``name`` as the yearly fills of every report year leave it, from empty.
 
     A member gets its id in the first run whose payments show it; within a run
     ids follow the key, NULL last.  So the ids are the member order by (first
     year, key): one aggregate and one numbering over the members.
     """
     key = f"{name}_key"
-    members = (payment_agg.filter(F.col(year_column).isin(list(years)))
+    members = (payment_agg.filter(F.col(year_column).isNotNull())
                .groupBy(name).agg(F.min(year_column).alias("first_year")))
     order = Window.orderBy(F.col("first_year"), F.col(name).asc_nulls_last())
     return members.select(F.row_number().over(order).cast("long").alias("id"),
@@ -201,11 +200,11 @@ def dimension_backfill(payment_agg: DataFrame, name: str, year_column: str,
 
 
 def dense_fact_backfill(dims: dict[str, DataFrame], vip: DataFrame,
-                        aggregates: dict[str, DataFrame], years,
+                        aggregates: dict[str, DataFrame],
                         dim_names: tuple[str, ...] = DM_DIMENSIONS,
                         measures: tuple[MeasureSpec, ...] = MEASURES,
                         keep_unknown: bool = False) -> DataFrame:
-    """The dense facts of all ``years`` in one job.
+    """The dense facts of every report year in one job.
 
     Each member is valid from its first year on; exploding that validity over
     the report years turns the per-year grid into equi-joins on the report
@@ -213,9 +212,8 @@ def dense_fact_backfill(dims: dict[str, DataFrame], vip: DataFrame,
     sum over years of the product of member counts rows, independent of the
     fact volume.
     """
-    years = sorted(years)
-    last = F.lit(years[-1])
     year_dim = dim_names[0]
+    last = dims[year_dim].agg(F.max(f"{year_dim}_key")).scalar()
     grid = dims[year_dim].select(F.col("id").alias(f"{year_dim}_id"),
                                  F.col(f"{year_dim}_key"),
                                  F.col(f"{year_dim}_key").alias("_year"))
@@ -224,9 +222,7 @@ def dense_fact_backfill(dims: dict[str, DataFrame], vip: DataFrame,
             F.col("id").alias(f"{name}_id"), f"{name}_key",
             F.explode(F.sequence(F.col("first_year"), last)).alias("_year"))
         grid = grid.join(d, "_year")
-    flags = _vip_values(vip, keep_unknown).select(
-        "vip", F.explode(F.array(*[F.lit(y) for y in years])).alias("_year"))
-    grid = grid.join(flags, "_year")
+    grid = grid.crossJoin(_vip_values(vip, keep_unknown))  # two or three flags
     for m in measures:
         agg = aggregates[m.link].select(*[F.col(n).alias(f"_{m.link}_{n}") for n in dim_names],
                                         F.col("is_vip").alias(f"_{m.link}_is_vip"), m.name)
@@ -238,23 +234,21 @@ def dense_fact_backfill(dims: dict[str, DataFrame], vip: DataFrame,
           for m in measures])
 
 
-def marts_backfill(v: VaultView, years, dim_names: tuple[str, ...] = DM_DIMENSIONS,
+def marts_backfill(v: VaultView, dim_names: tuple[str, ...] = DM_DIMENSIONS,
                    measures: tuple[MeasureSpec, ...] = MEASURES, sparse: bool = False,
                    keep_unknown: bool = False) -> tuple[dict[str, DataFrame], DataFrame]:
     """Same result as ``marts_over_years`` from empty dimensions, without the
     run-by-run chain: aggregates once, every dimension once, one fact job."""
-    years = sorted(years)
     year_col = dim_names[0]
     # the payment aggregate feeds every dimension and the fact: written once;
     # the other aggregates are read once, by the fact, and stay lazy
     aggs = {m.link: report_aggregate(v, m, None, dim_names, year_col) for m in measures}
     aggs["payment"] = cut_lineage(aggs["payment"])
     pay = aggs["payment"]
-    dims = {n: dimension_backfill(pay, n, year_col, years) for n in dim_names}
+    dims = {n: cut_lineage(dimension_backfill(pay, n, year_col)) for n in dim_names}
     if sparse:
-        fact = sparse_fact(pay.filter(F.col(year_col).isin(years)), dims, dim_names,
-                           measures[0].name)
+        fact = sparse_fact(pay, dims, dim_names, measures[0].name)
     else:
         vip = v.sat_user_mdm.select("is_vip").distinct()
-        fact = dense_fact_backfill(dims, vip, aggs, years, dim_names, measures, keep_unknown)
+        fact = dense_fact_backfill(dims, vip, aggs, dim_names, measures, keep_unknown)
     return {n: d.drop("first_year") for n, d in dims.items()}, fact

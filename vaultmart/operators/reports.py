@@ -55,20 +55,14 @@ def above_average_users(mart: DataFrame, year: int) -> DataFrame:
 
     The set comes back as rows, one user per row, rather than as one
     ``collect_set`` array: an array of all qualifying users would be built in a
-    single task and grows with the user base (``users_as_array`` gives the
-    array form for small results).  The average is a scalar subquery, run once.
+    single task and grows with the user base.  The average is a scalar subquery,
+    run once.
     """
     rows = _year(mart, year)
     avg = rows.agg(F.avg("bts_received_avg")).scalar()
     return rows.filter(F.col("bts_received_avg") > avg).select("user_id").distinct()
 
 
-def users_as_array(users: DataFrame) -> DataFrame:
-    """``collect_set`` form of a user set, sorted.  One task builds the array, so
-    use it only where the set is known to be small."""
-    return users.agg(F.sort_array(F.collect_set("user_id")).alias("user_ids"))
-
-
 def max_avg_by_year(mart: DataFrame) -> DataFrame:
     """Q6: highest yearly average per year."""
     return mart.groupBy("year").agg(F.max("bts_received_avg").alias("max_bts_received_avg"))

@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Iterable
-from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -142,6 +141,9 @@ def satellite_delta(hashed_batch: DataFrame, sat: SatSpec, stored: DataFrame | N
     src = satellite_source(hashed_batch, sat).distinct()
     if stored is None:
         return src
+    # only versions of the batch's keys matter: the stored history of all others is not aggregated
+    pk = sat_keys(sat)[0]
+    stored = stored.join(hashed_batch.select(pk).distinct(), pk, "left_semi")
     latest = latest_versions(stored, sat, load_dts)
     return src.join(latest, list(sat_keys(sat)), "left_anti")
 
@@ -168,36 +170,33 @@ def satellite_over_years(batch_of_year: Callable[[int], DataFrame], sat: SatSpec
     return result
 
 
-def satellite_backfill(batches: DataFrame, sat: SatSpec, years: Iterable[int],
-                       load_date: Callable[[int], dt.date] = lambda y: dt.date(y, 1, 1)
-                       ) -> DataFrame:
-    """The yearly runs of ``years`` on an empty satellite, for all batches at once.
+def satellite_backfill(batches: DataFrame, sat: SatSpec) -> DataFrame:
+    """Every run that ``batches`` holds, in the order of ``load_dts``, on an empty satellite.
 
-    ``batches`` holds the hashed rows of every run (``load_dts`` tells the run).
-    A key whose rows all sit in one run's batch never meets a stored version,
-    so its rows are simply the batch's distinct (first, for non-link
-    satellites) rows: one job for all of them.  Only keys seen by several runs
-    go through the runs one after another, on their own rows.  The result is
-    the same as running every year in order.
+    One lazy plan, no job and no list of years.  A key's runs are reduced to
+    their sets of hashdiffs; a fold over them keeps the set that the key's
+    latest inserting run stored: a run inserts what is not in that set, and
+    only a run that inserts something replaces it.  The inserted (key, hashdiff,
+    load) triples then pick their rows, so context columns never enter the fold.
+    A key's state is one hashdiff per stored version and run; repeated rows of a
+    hot key collapse map-side before they reach it.  Rows with a NULL key never
+    match a stored version and are always inserted.
     """
-    years = list(years)
     pk, hd = sat_keys(sat)
-    rows = batches.filter(F.year("load_dts").isin(years))
-    rows = rows.select(*sat_columns(sat))
-    if sat.first_only:
-        rows = _first_rows(rows, sat, [pk, hd, "load_dts"])
-    if len(years) == 1:  # one run: no key can meet an earlier version
-        return rows.distinct()
-    spans = rows.groupBy(pk).agg(F.min("load_dts").alias("_first"), F.max("load_dts").alias("_last"))
-    if spans.filter(F.col("_first") < F.col("_last")).isEmpty():
-        return rows.distinct()
-    tagged = cut_lineage(rows.join(spans, pk, "left").withColumn(
-        "_multi", F.coalesce(F.col("_first") < F.col("_last"), F.lit(False)))
-        .drop("_first", "_last"))
-    single = tagged.filter(~F.col("_multi")).drop("_multi").distinct()
-    multi = tagged.filter(F.col("_multi")).drop("_multi")
-    # rows are already the first per (pk, hashdiff) of each run
-    per_run = replace(sat, first_only=False)
-    looped = satellite_over_years(
-        lambda y: multi.filter(F.year("load_dts") == F.lit(y)), per_run, years, load_date=load_date)
-    return single.unionByName(looped)
+    rows = batches.select(*sat_columns(sat))
+    rows = _first_rows(rows, sat, [pk, hd, "load_dts"]) if sat.first_only else rows.distinct()
+    keyed = F.col(pk).isNotNull() & F.col(hd).isNotNull()
+    runs = (rows.where(keyed).groupBy(pk, "load_dts").agg(F.collect_set(hd).alias("found"))
+            .groupBy(pk).agg(F.sort_array(F.collect_list(F.struct("load_dts", "found"))).alias("runs")))
+    none = F.array().cast("array<string>")
+    start = F.struct(none.alias("latest"), F.array().cast("array<struct<load_dts:date,added:array<string>>>").alias("done"))
+
+    def step(state, run):
+        added = F.array_except(run["found"], state["latest"])
+        return F.struct(F.when(F.size(added) > 0, added).otherwise(state["latest"]).alias("latest"),
+                        F.concat(state["done"], F.array(F.struct(run["load_dts"].alias("load_dts"), added.alias("added")))).alias("done"))
+
+    done = runs.select(pk, F.explode(F.aggregate("runs", start, step)["done"]).alias("_run"))
+    added = done.select(pk, F.col("_run.load_dts").alias("load_dts"), F.explode("_run.added").alias(hd))
+    return rows.where(keyed).join(added, [pk, hd, "load_dts"], "left_semi").select(*sat_columns(sat)).unionByName(
+        rows.where(~keyed))

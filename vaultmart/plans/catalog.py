@@ -21,7 +21,7 @@ from ..operators.lake_mart import min_max_avg_mart
 from ..operators.ods import ods_all_years, ods_slice
 from ..session import cut_lineage, ensure_checkpoint_dir
 from ..sources import tables
-from ..sources.fixtures import Staging, staging_from_testdata
+from ..sources.fixtures import Staging, mdm_snapshots, staging_from_testdata
 from . import params as P
 from .specs import (DM_DIMENSIONS, DM_V1_DIMENSIONS, HUB_BY_NAME, LINK_BY_NAME,
                     MEASURE_BY_LINK, MEASURES, SAT_BY_NAME, SAT_USER_V1)
@@ -233,9 +233,14 @@ class Vault:
     def hashed(self, source: str) -> DataFrame:
         """Hashed rows of every yearly run (load date = 1 January of the row's year)."""
         if source == "mdm":
-            return ods_ops.mdm_reload(stg(self.spark, self.sf_dir).mdm_user, P.YEARS[0])
+            return self.mdm_runs()
         return ods_ops.hashed(self.ods(source), source)
 
+    def mdm_runs(self) -> DataFrame:
+        """Master data as every yearly run reloads it: one snapshot per year that has payments."""
+        years = self.ods("payment").agg(F.collect_set(F.year("pay_date"))).scalar()
+        return ods_ops.mdm_hashed(mdm_snapshots(stg(self.spark, self.sf_dir).mdm_user, years))
+
     def hub(self, name: str) -> DataFrame:
         spec = HUB_BY_NAME[name]
         return vault.hub_candidates({f.source: self.hashed(f.source) for f in spec.sources}, spec)
@@ -244,15 +249,9 @@ class Vault:
         spec = LINK_BY_NAME[name]
         return vault.link_candidates(self.hashed(spec.source), spec)
 
-    def satellite(self, sat, years=P.YEARS) -> DataFrame:
-        """The satellite after the yearly runs of ``years``, in order."""
-        if sat.source == "mdm":
-            # One master-data snapshot: every yearly run reloads the same rows,
-            # and a run whose batch equals the latest stored versions inserts
-            # nothing, so the backfill is the first run's load.
-            return vault.satellite_backfill(self.hashed("mdm"), sat, years[:1])
-        rows = self.hashed(sat.source).select(*vault.sat_columns(sat))
-        return vault.satellite_backfill(rows, sat, years)
+    def satellite(self, sat) -> DataFrame:
+        """The satellite after every yearly run, in order."""
+        return vault.satellite_backfill(self.hashed(sat.source).select(*vault.sat_columns(sat)), sat)
 
     def view(self, links=tuple(m.link for m in MEASURES)) -> rm.VaultView:
         """The tables a mart reads."""
@@ -339,13 +338,14 @@ for _m in MEASURES:
 
 @query("report_dims")
 def report_dims(spark, sf_dir):
-    dims, _ = rm.marts_backfill(Vault(spark, sf_dir).view(), P.YEARS)
+    # the dimensions come from payments alone
+    dims, _ = rm.marts_backfill(Vault(spark, sf_dir).view(["payment"]), measures=(MEASURE_BY_LINK["payment"],))
     return rm.dimensions_table(dims, DM_DIMENSIONS)
 
 
 @query("report_fct_dense")
 def report_fct_dense(spark, sf_dir):
-    _, fact = rm.marts_backfill(Vault(spark, sf_dir).view(), P.YEARS)
+    _, fact = rm.marts_backfill(Vault(spark, sf_dir).view())
     return fact
 
 
@@ -361,14 +361,14 @@ def payment_report_tmp(spark, sf_dir):
 @query("payment_report_dims")
 def payment_report_dims(spark, sf_dir):
     v = Vault(spark, sf_dir).view(["payment"])
-    dims, _ = rm.marts_backfill(v, P.YEARS, DM_V1_DIMENSIONS, _V1_MEASURE, sparse=True)
+    dims, _ = rm.marts_backfill(v, DM_V1_DIMENSIONS, _V1_MEASURE, sparse=True)
     return rm.dimensions_table(dims, DM_V1_DIMENSIONS)
 
 
 @query("payment_report_fct")
 def payment_report_fct(spark, sf_dir):
     v = Vault(spark, sf_dir).view(["payment"])
-    _, fact = rm.marts_backfill(v, P.YEARS, DM_V1_DIMENSIONS, _V1_MEASURE, sparse=True)
+    _, fact = rm.marts_backfill(v, DM_V1_DIMENSIONS, _V1_MEASURE, sparse=True)
     return fact
 
 

@@ -1,8 +1,9 @@
 """Oracle SQL (DuckDB dialect) for every registered query.
 
-Written independently of the Spark builders, in the warehouse's own SQL shape
-(LEFT JOIN ... IS NULL, rank() windows, scalar subqueries), over the same test
-tables.  Column names and types are aligned with the Spark results.
+Satellites are one recursive statement over the runs of each key; the report
+marts are computed from the typed sources, past hubs, links and satellites, so
+they are a second opinion on the whole chain.  Column names and types are
+aligned with the Spark results.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ def with_(*names: str) -> str:
 cte("stg_payment", """
 SELECT CAST(o_custkey AS INTEGER) AS user_id,
        o_orderpriority AS pay_doc_type,
-       CAST(o_orderkey AS INTEGER) AS pay_doc_num,
+       CASE WHEN o_orderkey % 97 = 0 THEN 'N/A-' ELSE '' END || CAST(o_orderkey AS VARCHAR) AS pay_doc_num,
        'FL-' || CAST(o_custkey AS VARCHAR) AS account,
        '+7' || lpad(CAST(o_custkey * 7 + year(o_orderdate) % 2 AS VARCHAR), 10, '0') AS phone,
        strftime(o_orderdate, '%Y-%m') AS billing_period,
@@ -85,7 +86,7 @@ WHERE c.c_acctbal >= 0""")
 
 # ------------------------------------------------------------------ typed ODS, all years
 cte("ods_payment", """
-SELECT user_id, pay_doc_type, pay_doc_num, account, phone, billing_period,
+SELECT user_id, pay_doc_type, TRY_CAST(pay_doc_num AS INTEGER) AS pay_doc_num, account, phone, billing_period,
        TRY_CAST(pay_date AS DATE) AS pay_date,
        TRY_CAST(pay_sum AS DECIMAL(10,2)) AS pay_sum,
        CAST(year(TRY_CAST(pay_date AS DATE)) AS VARCHAR) AS year
@@ -192,6 +193,7 @@ _CAST_COLUMNS = (
     ("issue", "user_id", "int", "INTEGER"),
     ("issue", "start_time", "timestamp_ntz", "TIMESTAMP"),
     ("issue", "end_time", "timestamp_ntz", "TIMESTAMP"),
+    ("payment", "pay_doc_num", "int", "INTEGER"),
     ("payment", "pay_date", "date", "DATE"),
     ("payment", "pay_sum", "decimal(10,2)", "DECIMAL(10,2)"),
 )
@@ -261,13 +263,19 @@ def _text(col: str, kind: str) -> str:
     if kind == "date":
         return f"strftime({col}, '%Y-%m-%d')"
     if kind == "ts":
-        return f"strftime({col}, '%Y-%m-%d %H:%M:%S')"
+        return f"strftime({col}, '%Y-%m-%d %H:%M:%S.%f')"
     return f"CAST({col} AS VARCHAR)"
 
 
 def h(*cols: tuple[str, str]) -> str:
     """md5 over fixed text of the columns; (name, kind) with kind in '', 'date', 'ts'."""
-    parts = [f"upper(trim(coalesce({_text(c, k)}, '^^')))" for c, k in cols]
+    def part(c: str, k: str) -> str:
+        text = f"upper(trim({_text(c, k)}))"
+        for mark in "\\|^":
+            text = f"replace({text}, '{mark}', '\\{mark}')"
+        return f"coalesce({text}, '^^')"
+
+    parts = [part(c, k) for c, k in cols]
     return f"md5(concat_ws('||', {', '.join(parts)}))"
 
 
@@ -324,16 +332,22 @@ SELECT t.* EXCLUDE (year),
 FROM ods_traffic t""", "ods_traffic")
 
 
-def _mdm_hashed(load_year: int) -> str:
+def _mdm_hashed(source: str, load_dts: str) -> str:
     return f"""
-SELECT m.*,
+SELECT m.user_id, m.legal_type, m.district, m.billing_mode, m.is_vip, m.registered_at,
        {h(*_c('user_id'))} AS user_pk,
        {h(*_c('legal_type', 'district', 'billing_mode', 'is_vip'))} AS user_mdm_hashdiff,
-       registered_at AS effective_from, DATE '{load_year}-01-01' AS load_dts, 'mdm' AS rec_source
-FROM mdm_user m"""
+       registered_at AS effective_from, {load_dts} AS load_dts, 'mdm' AS rec_source
+FROM {source} m"""
 
 
-cte("hashed_mdm", _mdm_hashed(P.YEARS[0]), "mdm_user")
+# every yearly run reloads master data; from 1999 on, users whose id is a multiple of 50 are on another billing mode
+cte("mdm_runs", """
+SELECT m.* REPLACE (CASE WHEN user_id % 50 = 0 AND y.run >= 1999 THEN
+                         CASE billing_mode WHEN 'prepaid' THEN 'postpaid' ELSE 'prepaid' END
+                         ELSE billing_mode END AS billing_mode), y.run
+FROM mdm_user m, (SELECT DISTINCT CAST(year(pay_date) AS INTEGER) AS run FROM ods_payment) y""", "mdm_user", "ods_payment")
+cte("hashed_mdm", _mdm_hashed("mdm_runs", "make_date(run, 1, 1)"), "mdm_runs")
 
 ORACLE["hashed_payment"] = with_("hashed_payment") + f"""
 SELECT * REPLACE (DATE '{P.SLICE_YEAR}-01-01' AS load_dts) FROM hashed_payment
@@ -347,14 +361,13 @@ WHERE year(effective_from) = {P.SLICE_YEAR}"""
 ORACLE["hashed_issue"] = with_("hashed_issue") + f"""
 SELECT * REPLACE (DATE '{P.SLICE_YEAR}-01-01' AS load_dts) FROM hashed_issue
 WHERE year(effective_from) = {P.SLICE_YEAR}"""
-ORACLE["hashed_user"] = with_("mdm_user") + _mdm_hashed(P.SLICE_YEAR)
+ORACLE["hashed_user"] = with_("mdm_user") + _mdm_hashed("mdm_user", f"DATE '{P.SLICE_YEAR}-01-01'")
 
 # hubs: keys in the order the feeds are loaded (earlier year, then earlier feed)
 _HUB_FEEDS = {
     "user": (("user_mdm", "hashed_mdm", "user_id"), ("user_payment", "hashed_payment", "user_id")),
     "account": (("account", "hashed_payment", "account"),),
-    "billing_period": (("billing_period", "hashed_payment", "billing_period"),
-                       ("billing_period_billing", "hashed_billing", "billing_period")),
+    "billing_period": (("billing_period", "hashed_payment", "billing_period"),),
     "paysys": (("paysys", "hashed_payment", "pay_doc_type"),),
     "service": (("service_issue", "hashed_issue", "service"),
                 ("service_billing", "hashed_billing", "service")),
@@ -392,173 +405,115 @@ WHERE rn = 1""", f"hashed_{_link}")
     ORACLE[f"lnk_{_link}"] = with_(f"lnk_{_link}") + f"SELECT * FROM lnk_{_link}"
 
 
-def _sat_batches(name: str, source_cte: str, context: tuple[str, ...], first_only: bool,
-                 years, batch_from=None, start=None, parent=None) -> tuple[list[str], str]:
-    """CTE chain of the yearly satellite runs, each in the warehouse's own SQL form:
-    delete the year, take the batch, rank stored versions at or before the batch,
-    insert the batch rows whose (pk, hashdiff) is not among the latest."""
+def _sat(name: str, source: str, context: tuple[str, ...], first_only: bool, parent: str | None = None, where: str = "TRUE") -> str:
+    """A satellite after all runs: per key, each run in turn adds the hashdiffs that the
+    key's latest adding run did not add.  ``current`` is what that run added."""
     pk, hd = f"{parent or name}_pk", f"{name}_hashdiff"
     cols = ", ".join([pk, hd, *context, "effective_from", "load_dts", "rec_source"])
-    order = ", ".join(["effective_from", *context, "load_dts", "rec_source"])
-    parts, prev = [], start
-    for y in years:
-        tag = f"{name}_{y}" if start is None else f"{name}_re{y}"
-        batch = (batch_from(y) if batch_from else
-                 f"SELECT {cols} FROM {source_cte} WHERE year(load_dts) = {y}")
-        if first_only:
-            batch = (f"SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY {pk}, {hd} "
-                     f"ORDER BY {order}) AS row_num FROM ({batch}) b) n WHERE row_num = 1")
-        parts.append(f"src_{tag} AS ({batch})")
-        if prev is None:
-            parts.append(f"sat_{tag} AS (SELECT DISTINCT * FROM src_{tag})")
-        else:
-            parts.append(f"""kept_{tag} AS (SELECT * FROM {prev} WHERE year(load_dts) <> {y}),
-upd_{tag} AS (
-  SELECT s.* FROM kept_{tag} s JOIN src_{tag} src
-    ON s.{pk} = src.{pk} AND s.load_dts <= (SELECT max(load_dts) FROM src_{tag})),
-lat_{tag} AS (
-  SELECT {pk}, {hd} FROM (
-    SELECT {pk}, {hd}, load_dts, rank() OVER (PARTITION BY {pk} ORDER BY load_dts DESC) AS row_rank
-    FROM upd_{tag}) r
-  WHERE row_rank = 1),
-ins_{tag} AS (
-  SELECT DISTINCT a.* FROM src_{tag} a
-  LEFT JOIN lat_{tag} l ON l.{hd} = a.{hd} AND l.{pk} = a.{pk}
-  WHERE l.{hd} IS NULL),
-sat_{tag} AS (SELECT * FROM kept_{tag} UNION ALL SELECT * FROM ins_{tag})""")
-        prev = f"sat_{tag}"
-    return parts, prev
-
-
-_SATS = {  # name: (hashed cte, context, first_only)
-    "user": ("hashed_payment", ("phone",), True),
-    "payment": ("hashed_payment", ("pay_doc_num", "pay_sum"), False),
-    "issue": ("hashed_issue", ("title", "description", "end_time"), False),
-    "billing": ("hashed_billing", ("billing_sum",), False),
-    "traffic": ("hashed_traffic", ("bytes_sent", "bytes_received"), False),
-    "device": ("hashed_traffic", ("device_ip_addr",), True),
+    pick = f"DISTINCT ON ({pk}, {hd}, load_dts)" if first_only else "DISTINCT"
+    by = f"ORDER BY {pk}, {hd}, load_dts, effective_from, {', '.join(context)}" if first_only else ""
+    return f"""
+WITH RECURSIVE candidate AS (SELECT {pick} {cols} FROM {source} WHERE {where} {by}),
+run AS (
+  SELECT {pk} AS k, load_dts AS loaded, list(DISTINCT {hd}) AS found, row_number() OVER (PARTITION BY {pk} ORDER BY load_dts) AS nth
+  FROM candidate GROUP BY {pk}, load_dts),
+state AS (
+  SELECT k, loaded, nth, found AS added, found AS current FROM run WHERE nth = 1
+  UNION ALL
+  SELECT k, loaded, nth, added, CASE WHEN len(added) > 0 THEN added ELSE current END
+  FROM (SELECT run.k, run.loaded, run.nth, state.current, list_filter(run.found, lambda x: NOT list_contains(state.current, x)) AS added
+        FROM state JOIN run ON run.k = state.k AND run.nth = state.nth + 1) step)
+SELECT {cols} FROM candidate
+WHERE ({pk}, {hd}, load_dts) IN (SELECT (k, v, loaded) FROM (SELECT k, loaded, unnest(added) AS v FROM state) a)"""
+
+
+_SATS = {  # query: (satellite, source, context, first row per hashdiff and run only, parent)
+    "user": ("user", "hashed_payment", ("phone",), True, None),
+    "user_v1": ("user", "hashed_payment", ("phone",), False, None),
+    "payment": ("payment", "hashed_payment", ("pay_doc_num", "pay_sum"), False, None),
+    "issue": ("issue", "hashed_issue", ("title", "description", "end_time"), False, None),
+    "billing": ("billing", "hashed_billing", ("billing_sum",), False, None),
+    "traffic": ("traffic", "hashed_traffic", ("bytes_sent", "bytes_received"), False, None),
+    "device": ("device", "hashed_traffic", ("device_ip_addr",), True, None),
+    "user_mdm": ("user_mdm", "hashed_mdm", ("legal_type", "district", "billing_mode", "is_vip"), True, "user"),
 }
-
-
-def _mdm_batch(y: int) -> str:
-    return ("SELECT user_pk, user_mdm_hashdiff, legal_type, district, billing_mode, is_vip, "
-            f"effective_from, DATE '{y}-01-01' AS load_dts, rec_source FROM hashed_mdm")
-
-
-def sat_sql(name: str, years=P.YEARS) -> tuple[list[str], str, str]:
-    """(CTE parts, final CTE name, needed base CTE) of a satellite after ``years``."""
-    if name == "user_mdm":
-        parts, last = _sat_batches("user_mdm", "hashed_mdm",
-                                   ("legal_type", "district", "billing_mode", "is_vip"),
-                                   True, years, batch_from=_mdm_batch, parent="user")
-        return parts, last, "hashed_mdm"
-    if name == "user_v1":
-        src, ctx, _ = _SATS["user"]
-        parts, last = _sat_batches("user", src, ctx, False, years)
-        return parts, last, src
-    src, ctx, first = _SATS[name]
-    parts, last = _sat_batches(name, src, ctx, first, years)
-    return parts, last, src
-
-
-for _name in list(_SATS) + ["user_mdm", "user_v1"]:
-    _parts, _last, _base = sat_sql(_name)
-    cte(f"sat_{_name}", "WITH " + ",\n".join(_parts) + f"\nSELECT * FROM {_last}", _base)
+for _name, (_s, _src, _ctx, _first, _parent) in _SATS.items():
+    cte(f"sat_{_name}", _sat(_s, _src, _ctx, _first, _parent), _src)
     ORACLE[f"sat_{_name}"] = with_(f"sat_{_name}") + f"SELECT * FROM sat_{_name}"
 
-_parts, _last, _base = sat_sql("user", P.RERUN_YEARS)
-_src, _ctx, _ = _SATS["user"]
-_re_parts, _re_last = _sat_batches("user", _src, _ctx, True, [P.RERUN_YEAR], start=_last)
-ORACLE["sat_rerun_year"] = (with_(_base) + ",\n" + ",\n".join(_parts + _re_parts)
-                            + f"\nSELECT * FROM {_re_last}")
+# a rerun of the middle year changes nothing: the three runs in order
+_few = f"year(load_dts) IN ({', '.join(map(str, P.RERUN_YEARS))})"
+cte("sat_rerun", _sat("user", "hashed_payment", ("phone",), True, where=_few), "hashed_payment")
+ORACLE["sat_rerun_year"] = with_("sat_rerun") + "SELECT * FROM sat_rerun"
 
 
 # ------------------------------------------------------------------ marts
-_MEASURES = {  # link: (from_billing, satellite fields, formula, name)
-    "payment": (True, ("pay_sum",), "CAST(sum(pay_sum) AS DECIMAL(38,2))", "payment_sum"),
-    "billing": (True, ("billing_sum",), "CAST(sum(billing_sum) AS DECIMAL(38,2))", "billing_sum"),
-    "issue": (False, (), "count(*)", "issue_cnt"),
-    "traffic": (False, ("bytes_sent", "bytes_received"),
-                "CAST(sum(CAST(bytes_sent AS BIGINT) + CAST(bytes_received AS BIGINT)) AS BIGINT)",
-                "traffic_amount"),
+# A fact is a distinct version of a business event; its user must be known to payments or master data, and a
+# billed period to payments.  Every distinct version of a user's master data counts.
+_PERIOD = "CAST(year(TRY_STRPTIME(billing_period, '%Y-%m')) AS INTEGER)"
+_FACTS = {  # source: (distinct columns, report year, measure, its sum over the facts)
+    "payment": ("user_id, account, billing_period, pay_doc_type, pay_doc_num, pay_sum, pay_date", _PERIOD,
+                "payment_sum", "CAST(sum(pay_sum) AS DECIMAL(38,2))"),
+    "billing": ("user_id, billing_period, service, tariff, billing_sum, created_at", _PERIOD,
+                "billing_sum", "CAST(sum(billing_sum) AS DECIMAL(38,2))"),
+    "issue": ("user_id, service, start_time, title, description, end_time", "CAST(year(start_time) AS INTEGER)",
+              "issue_cnt", "count(*)"),
+    "traffic": ("user_id, device_id, traffic_time, bytes_sent, bytes_received", "CAST(year(traffic_time) AS INTEGER)",
+                "traffic_amount", "CAST(sum(CAST(bytes_sent AS BIGINT) + bytes_received) AS BIGINT)"),
 }
-_ZERO = {"payment_sum": "CAST(0 AS DECIMAL(38,2))", "billing_sum": "CAST(0 AS DECIMAL(38,2))",
-         "issue_cnt": "CAST(0 AS BIGINT)", "traffic_amount": "CAST(0 AS BIGINT)"}
 _DIMS = ("report_year", "legal_type", "district", "billing_mode", "registration_year")
 _DIMS_V1 = ("billing_year", "legal_type", "district", "registration_year")
-_YEAR_LIST = ", ".join(str(y) for y in P.YEARS)
-
-for _m, (_fb, _fields, _formula, _mname) in _MEASURES.items():
-    _sf = "".join(f", s.{f}" for f in _fields)
-    _date = ("TRY_STRPTIME(hbp.billing_period_key, '%Y-%m')" if _fb else "l.effective_from")
-    _hbp = ("JOIN hub_billing_period hbp ON l.billing_period_pk = hbp.billing_period_pk"
-            if _fb else "")
-    cte(f"raw_{_m}", f"""
-SELECT su.legal_type, su.district, su.billing_mode,
-       CAST(EXTRACT(YEAR FROM su.effective_from) AS INTEGER) AS registration_year,
-       su.is_vip{_sf},
-       CAST(EXTRACT(YEAR FROM {_date}) AS INTEGER) AS report_year
-FROM lnk_{_m} l
-{_hbp}
-JOIN hub_user hu ON l.user_pk = hu.user_pk
-JOIN sat_{_m} s ON l.{_m}_pk = s.{_m}_pk
-LEFT JOIN sat_user_mdm su ON hu.user_pk = su.user_pk""",
-        f"lnk_{_m}", "hub_user", f"sat_{_m}", "sat_user_mdm",
-        *(["hub_billing_period"] if _fb else []))
-    _g = ", ".join(_DIMS) + ", is_vip"
-    cte(f"agg_{_m}", f"SELECT {_g}, {_formula} AS {_mname} FROM raw_{_m} GROUP BY {_g}",
-        f"raw_{_m}")
-    ORACLE[f"report_{_m}"] = with_(f"agg_{_m}") + f"SELECT * FROM agg_{_m}"
-
-# Dimension members in the order the yearly runs add them: by first report year
-# with a payment, then by key, NULL last.
-for _d in _DIMS:
-    cte(f"dim_{_d}", f"""
-SELECT row_number() OVER (ORDER BY first_year, {_d}_key NULLS LAST) AS id, {_d}_key, first_year
-FROM (SELECT {_d} AS {_d}_key, min(report_year) AS first_year FROM agg_payment
-      WHERE report_year IN ({_YEAR_LIST}) GROUP BY {_d}) m""", "agg_payment")
-
-ORACLE["report_dims"] = with_(*[f"dim_{d}" for d in _DIMS]) + "\nUNION ALL\n".join(
-    f"SELECT '{d}' AS dimension, id, CAST({d}_key AS VARCHAR) AS member_key FROM dim_{d}"
-    for d in _DIMS)
-
-_cross = "\nCROSS JOIN ".join(f"dim_{d} d{i}" for i, d in enumerate(_DIMS))
-_on = {m: " AND ".join(f"{m}.{d} = d{i}.{d}_key" for i, d in enumerate(_DIMS))
-       + f" AND {m}.is_vip = vip.is_vip" for m in _MEASURES}
-_left = "\n".join(f"LEFT JOIN agg_{m} {m} ON {_on[m]}" for m in _MEASURES)
-_ids = ", ".join(f"d{i}.id AS {d}_id" for i, d in enumerate(_DIMS))
-_meas = ", ".join(f"coalesce({m}.{v[3]}, {_ZERO[v[3]]}) AS {v[3]}" for m, v in _MEASURES.items())
-_asof = " AND ".join(f"d{i}.first_year <= d0.report_year_key" for i in range(1, len(_DIMS)))
-ORACLE["report_fct_dense"] = with_(*[f"dim_{d}" for d in _DIMS],
-                                   *[f"agg_{m}" for m in _MEASURES], "sat_user_mdm") + f"""
-SELECT {_ids}, vip.is_vip, {_meas}
-FROM {_cross}
-CROSS JOIN (SELECT DISTINCT is_vip FROM sat_user_mdm) vip
-{_left}
-WHERE {_asof}"""
+
+cte("versions", """
+SELECT DISTINCT user_id, legal_type, district, billing_mode, is_vip, CAST(year(registered_at) AS INTEGER) AS registration_year
+FROM mdm_runs""", "mdm_runs")
+for _m, (_what, _year, _measure, _sum) in _FACTS.items():
+    _billed = "AND billing_period IN (SELECT billing_period FROM ods_payment)" if _m == "billing" else ""
+    cte(f"fact_{_m}", f"""
+SELECT * EXCLUDE (user_id), {_year} AS report_year
+FROM (SELECT DISTINCT {_what} FROM ods_{_m}) f LEFT JOIN versions USING (user_id)
+WHERE user_id IN (SELECT user_id FROM ods_payment UNION ALL SELECT user_id FROM mdm_user) {_billed}""",
+        f"ods_{_m}", "ods_payment", "mdm_user", "versions")
+    cte(f"total_{_m}", f"SELECT {', '.join(_DIMS)}, is_vip, {_sum} AS {_measure} FROM fact_{_m} GROUP BY ALL", f"fact_{_m}")
+    ORACLE[f"report_{_m}"] = with_(f"total_{_m}") + f"SELECT * FROM total_{_m}"
+
+
+def _members(dims: tuple[str, ...], source: str, prefix: str) -> None:
+    """Members numbered by the first report year that shows them, then by themselves, NULL last."""
+    for d in dims:
+        cte(f"{prefix}{d}", f"""
+SELECT row_number() OVER (ORDER BY since, {d} NULLS LAST) AS {d}_id, {d}, since
+FROM (SELECT {d}, min({dims[0]}) AS since FROM {source} WHERE {dims[0]} IS NOT NULL GROUP BY {d}) m""", source)
+
+
+def _listed(dims: tuple[str, ...], prefix: str) -> str:
+    return with_(*[f"{prefix}{d}" for d in dims]) + "\nUNION ALL\n".join(
+        f"SELECT '{d}' AS dimension, {d}_id AS id, CAST({d} AS VARCHAR) AS member_key FROM {prefix}{d}" for d in dims)
+
+
+_members(_DIMS, "total_payment", "dim_")
+ORACLE["report_dims"] = _listed(_DIMS, "dim_")
+# all measures in one table of cells, then one lookup per cell of the grid
+cte("cells", f"SELECT {', '.join(_DIMS)}, is_vip, {', '.join(f'any_value({f[2]}) AS {f[2]}' for f in _FACTS.values())} FROM (\n"
+    + "\nUNION ALL BY NAME\n".join(f"SELECT * FROM total_{m}" for m in _FACTS) + "\n) c GROUP BY ALL", *[f"total_{m}" for m in _FACTS])
+cte("flags", "SELECT DISTINCT is_vip FROM mdm_user", "mdm_user")
+_grid = "dim_report_year y\n" + "\n".join(f"JOIN dim_{d} ON dim_{d}.since <= y.report_year" for d in _DIMS[1:]) + "\nJOIN flags ON TRUE"
+_zero = {"payment_sum": "CAST(0 AS DECIMAL(38,2))", "billing_sum": "CAST(0 AS DECIMAL(38,2))"}
+ORACLE["report_fct_dense"] = with_(*[f"dim_{d}" for d in _DIMS], "cells", "flags") + f"""
+SELECT {', '.join(f'{d}_id' for d in _DIMS)}, is_vip, {', '.join(f"coalesce({f[2]}, {_zero.get(f[2], 'CAST(0 AS BIGINT)')}) AS {f[2]}" for f in _FACTS.values())}
+FROM (SELECT * EXCLUDE (since) FROM {_grid}) g
+LEFT JOIN cells USING ({', '.join(_DIMS)}, is_vip)"""
 
 # first mart version: payment only, billing year, sparse fact
-_g1 = ", ".join(_DIMS_V1) + ", is_vip"
-cte("tmp_payment_v1", f"""
-SELECT {_g1}, CAST(sum(pay_sum) AS DECIMAL(38,2)) AS payment_sum
-FROM (SELECT * EXCLUDE (report_year), report_year AS billing_year FROM raw_payment) r
-GROUP BY {_g1}""", "raw_payment")
-ORACLE["payment_report_tmp"] = with_("tmp_payment_v1") + "SELECT * FROM tmp_payment_v1"
-for _d in _DIMS_V1:
-    cte(f"dim1_{_d}", f"""
-SELECT row_number() OVER (ORDER BY first_year, {_d}_key NULLS LAST) AS id, {_d}_key, first_year
-FROM (SELECT {_d} AS {_d}_key, min(billing_year) AS first_year FROM tmp_payment_v1
-      WHERE billing_year IN ({_YEAR_LIST}) GROUP BY {_d}) m""", "tmp_payment_v1")
-ORACLE["payment_report_dims"] = with_(*[f"dim1_{d}" for d in _DIMS_V1]) + "\nUNION ALL\n".join(
-    f"SELECT '{d}' AS dimension, id, CAST({d}_key AS VARCHAR) AS member_key FROM dim1_{d}"
-    for d in _DIMS_V1)
-_joins1 = "\n".join(f"JOIN dim1_{d} d{i} ON tmp.{d} = d{i}.{d}_key" for i, d in enumerate(_DIMS_V1))
-_ids1 = ", ".join(f"d{i}.id AS {d}_id" for i, d in enumerate(_DIMS_V1))
-ORACLE["payment_report_fct"] = with_("tmp_payment_v1", *[f"dim1_{d}" for d in _DIMS_V1]) + f"""
-SELECT {_ids1}, tmp.is_vip, tmp.payment_sum
-FROM tmp_payment_v1 tmp
-{_joins1}
-WHERE tmp.billing_year IN ({_YEAR_LIST})"""
+cte("total_v1", f"""
+SELECT {', '.join(_DIMS_V1)}, is_vip, CAST(sum(pay_sum) AS DECIMAL(38,2)) AS payment_sum
+FROM (SELECT * RENAME (report_year AS billing_year) FROM fact_payment) f GROUP BY ALL""", "fact_payment")
+ORACLE["payment_report_tmp"] = with_("total_v1") + "SELECT * FROM total_v1"
+_members(_DIMS_V1, "total_v1", "dim1_")
+ORACLE["payment_report_dims"] = _listed(_DIMS_V1, "dim1_")
+ORACLE["payment_report_fct"] = with_("total_v1", *[f"dim1_{d}" for d in _DIMS_V1]) + f"""
+SELECT {', '.join(f'{d}_id' for d in _DIMS_V1)}, is_vip, payment_sum
+FROM total_v1 {' '.join(f'JOIN dim1_{d} USING ({d})' for d in _DIMS_V1)}"""
 
 # ------------------------------------------------------------------ table IO
 ORACLE["replace_slice_rerun"] = with_("ods_payment") + "SELECT * FROM ods_payment"

@@ -5,7 +5,6 @@ asked of years inside that range.
 """
 
 # fixed values: query parameters
-YEARS = (1995, 1996, 1997, 1998, 1999, 2000, 2001)
 SLICE_YEAR = 1997            # one-year ODS slices, flagship mart year
 TOP_YEAR = 2000              # top-20 downloaders, issues of a service
 TOP_SERVICE = "R"

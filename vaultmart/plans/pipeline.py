@@ -60,9 +60,9 @@ def run_lake_all(stg: Staging, root: str) -> None:
     spark = stg.payment.sparkSession
     for source in LAKE_SOURCES:
         tables.write_slices(ods_ops.ods_all_years(stg.source(source), source),
-                            _path(root, f"ods_{source}"))
+                            _path(root, f"ods_{source}"), whole=True)
     ods_traffic = tables.read_partitioned(spark, _path(root, "ods_traffic"))
-    tables.write_slices(min_max_avg_mart(ods_traffic, stamp=True), _path(root, "dm_traffic"))
+    tables.write_slices(min_max_avg_mart(ods_traffic, stamp=True), _path(root, "dm_traffic"), whole=True)
 
 
 # ------------------------------------------------------------------ vault

@@ -102,8 +102,7 @@ HUBS: tuple[HubSpec, ...] = (
     HubSpec("user", (HubSource("user_mdm", "mdm", "user_id"),
                      HubSource("user_payment", "payment", "user_id"))),
     HubSpec("account", (HubSource("account", "payment", "account"),)),
-    HubSpec("billing_period", (HubSource("billing_period", "payment", "billing_period"),
-                               HubSource("billing_period_billing", "billing", "billing_period"))),
+    HubSpec("billing_period", (HubSource("billing_period", "payment", "billing_period"),)),
     HubSpec("paysys", (HubSource("paysys", "payment", "pay_doc_type"),)),
     HubSpec("service", (HubSource("service_issue", "issue", "service"),
                         HubSource("service_billing", "billing", "service"))),
