@@ -149,10 +149,15 @@ FROM (SELECT {_STG_YEAR[s]} AS y, count(*) AS n FROM stg_{s}
 FULL JOIN (SELECT CAST(year AS INTEGER) AS y, count(*) AS n FROM ods_{s} GROUP BY 1) b
   ON a.y = b.y""" for s in _SOURCES)
 
-ORACLE["partition_values"] = with_(*[f"ods_{s}" for s in _SOURCES]) + "\nUNION ALL\n".join(
+cte("stored_issue", f"""
+SELECT * FROM ods_issue UNION ALL SELECT * REPLACE ('{P.BETWEEN_YEARS[0] + 1}' AS year) FROM ods_issue WHERE year = '{P.BETWEEN_YEARS[0]}'""",
+    "ods_issue")
+for _s in ("billing", "payment", "traffic"):
+    cte(f"stored_{_s}", f"SELECT * FROM ods_{_s}", f"ods_{_s}")
+ORACLE["partition_values"] = with_(*[f"stored_{s}" for s in _SOURCES]) + "\nUNION ALL\n".join(
     f"""SELECT '{s}' AS source, year, count(*) AS row_count,
        CAST(sum(CASE WHEN CAST(year({_DATE_FIELD[s]}) AS VARCHAR) = year THEN 1 ELSE 0 END) AS BIGINT) AS matching_rows
-FROM ods_{s} GROUP BY year""" for s in _SOURCES)
+FROM stored_{s} GROUP BY year""" for s in _SOURCES)
 
 _TEXT = {"date": "'%Y-%m-%d'", "ts": "'%Y-%m-%d %H:%M:%S'"}
 _BOUND_FMT = {"billing": _TEXT["date"], "payment": _TEXT["date"], "issue": _TEXT["ts"],
@@ -520,3 +525,15 @@ ORACLE["replace_slice_rerun"] = with_("ods_payment") + "SELECT * FROM ods_paymen
 ORACLE["drop_partitions_after"] = with_("ods_issue") + (
     f"SELECT * FROM ods_issue WHERE CAST(year AS INTEGER) <= {P.YEARS_AFTER}")
 ORACLE["mdm_reload"] = with_("mdm_user") + "SELECT * FROM mdm_user"
+
+# ------------------------------------------------------------------ scheduled runs: the same rows as in one go
+ORACLE["pipeline_lake"] = with_("dm_traffic") + """
+SELECT *, TIMESTAMP '2024-01-01 00:00:00' AS updated_at, 'scheduler' AS updated_by FROM dm_traffic"""
+ORACLE["pipeline_vault_sat_user"] = ORACLE["sat_user"]
+ORACLE["pipeline_vault_hub_user"] = ORACLE["hub_user"]
+ORACLE["pipeline_mart_dims"] = ORACLE["report_dims"]
+ORACLE["pipeline_mart_fct"] = with_(*[f"dim_{d}" for d in _DIMS], "total_payment", "flags") + f"""
+SELECT {', '.join(f'{d}_id' for d in _DIMS)}, is_vip, coalesce(payment_sum, CAST(0 AS DECIMAL(38,2))) AS payment_sum
+FROM (SELECT * EXCLUDE (since) FROM {_grid}) g
+LEFT JOIN total_payment USING ({', '.join(_DIMS)}, is_vip)"""
+ORACLE["pipeline_payment_v1"] = ORACLE["payment_report_fct"]

@@ -24,7 +24,8 @@ from ..operators.lake_mart import min_max_avg_mart
 from ..session import cut_lineage, scratch_scope
 from ..sources import tables
 from ..sources.fixtures import Staging
-from .specs import DM_DIMENSIONS, HUBS, LINKS, MEASURES, SAT_USER_MDM, SATS
+from .specs import (DM_DIMENSIONS, DM_V1_DIMENSIONS, HUBS, LINKS, MEASURE_BY_LINK, MEASURES,
+                    SAT_USER_MDM, SATS, MeasureSpec)
 
 LAKE_SOURCES = ("billing", "issue", "payment", "traffic")
 
@@ -43,10 +44,11 @@ def _read(spark: SparkSession, root: str, name: str) -> DataFrame | None:
 # ------------------------------------------------------------------ lake
 
 def run_lake_year(stg: Staging, root: str, year: int,
-                  updated_at: dt.datetime | None = None, updated_by: str | None = None) -> None:
-    """ODS slices of the four sources, then the traffic mart slice (it reads the ODS)."""
+                  updated_at: dt.datetime | None = None, updated_by: str | None = None,
+                  sources: tuple[str, ...] = LAKE_SOURCES) -> None:
+    """ODS slices of the sources, then the traffic mart slice (it reads the ODS)."""
     spark = stg.payment.sparkSession
-    for source in LAKE_SOURCES:
+    for source in sources:
         tables.replace_slice(ods_ops.ods_slice(stg.source(source), source, year),
                              _path(root, f"ods_{source}"), str(year))
     ods_traffic = tables.read_partitioned(spark, _path(root, "ods_traffic"))
@@ -71,13 +73,13 @@ def _slice_of_load_year(df: DataFrame | None, year: int) -> DataFrame | None:
     return None if df is None else df.filter(F.year("load_dts") != F.lit(year))
 
 
-def run_vault_year(stg: Staging, root: str, year: int) -> None:
+def run_vault_year(stg: Staging, root: str, year: int, only: frozenset[str] | None = None) -> None:
     with scratch_scope(stg.payment.sparkSession):
-        _run_vault_year(stg, root, year)
+        _run_vault_year(stg, root, year, only)
 
 
-def _run_vault_year(stg: Staging, root: str, year: int) -> None:
-    """One yearly vault run.
+def _run_vault_year(stg: Staging, root: str, year: int, only: frozenset[str] | None) -> None:
+    """One yearly vault run, of all tables or of those named (``hub_user``, ``lnk_issue``, ``sat_device``).
 
     The hashed ODS slice of each source is replaced (partitioned by the year of
     ``effective_from``); MDM is reloaded in full; hubs and links get the keys
@@ -87,7 +89,13 @@ def _run_vault_year(stg: Staging, root: str, year: int) -> None:
     spark = stg.payment.sparkSession
     load = ods_ops.load_date(year)
     hashed: dict[str, DataFrame] = {}
+    hubs = [x for x in HUBS if only is None or f"hub_{x.name}" in only]
+    links = [x for x in LINKS if only is None or f"lnk_{x.name}" in only]
+    sats = [x for x in SATS + (SAT_USER_MDM,) if only is None or f"sat_{x.name}" in only]
+    needed = {f.source for x in hubs for f in x.sources} | {x.source for x in (*links, *sats)}
     for source in LAKE_SOURCES:
+        if source not in needed:
+            continue
         rows = ods_ops.ods_slice(stg.source(source), source, year)
         tables.replace_slice(rows, _path(root, f"ods_t_{source}"), str(year))
         h = ods_ops.hashed_slice(rows, source, year)
@@ -95,21 +103,22 @@ def _run_vault_year(stg: Staging, root: str, year: int) -> None:
         hashed[source] = tables.read_partitioned(
             spark, _path(root, f"ods_t_{source}_hashed")).filter(
                 F.col("year") == F.lit(str(year))).drop("year")
-    tables.reload(stg.mdm_user, _path(root, "ods_t_user"))
-    tables.reload(ods_ops.mdm_reload(stg.mdm_user, year), _path(root, "ods_t_user_hashed"))
-    hashed["mdm"] = spark.read.parquet(_path(root, "ods_t_user_hashed"))
+    if "mdm" in needed:
+        tables.reload(stg.mdm_user, _path(root, "ods_t_user"))
+        tables.reload(ods_ops.mdm_reload(stg.mdm_user, year), _path(root, "ods_t_user_hashed"))
+        hashed["mdm"] = spark.read.parquet(_path(root, "ods_t_user_hashed"))
 
-    for hub in HUBS:
+    for hub in hubs:
         path = _path(root, f"dds_t_hub_{hub.name}")
         stored = _read(spark, root, f"dds_t_hub_{hub.name}")
         delta = vault.hub_delta(hashed, hub, stored)
         tables.append(cut_lineage(delta) if stored is not None else delta, path)
-    for link in LINKS:
+    for link in links:
         path = _path(root, f"dds_t_lnk_{link.name}")
         stored = _read(spark, root, f"dds_t_lnk_{link.name}")
         delta = vault.link_delta(hashed[link.source], link, stored)
         tables.append(cut_lineage(delta) if stored is not None else delta, path)
-    for sat in SATS + (SAT_USER_MDM,):
+    for sat in sats:
         name = f"dds_t_sat_{sat.name}"
         stored = _read(spark, root, name)
         if stored is not None:
@@ -123,38 +132,54 @@ def _run_vault_year(stg: Staging, root: str, year: int) -> None:
 
 # ------------------------------------------------------------------ mart
 
-def read_vault(spark: SparkSession, root: str) -> rm.VaultView:
+def read_vault(spark: SparkSession, root: str, measures: tuple[MeasureSpec, ...] = MEASURES) -> rm.VaultView:
     def sat(name):
         df = _read(spark, root, f"dds_t_sat_{name}")
         return df.drop("year")
     return rm.VaultView(
         hub_user=_read(spark, root, "dds_t_hub_user"),
         hub_billing_period=_read(spark, root, "dds_t_hub_billing_period"),
-        links={m.link: _read(spark, root, f"dds_t_lnk_{m.link}") for m in MEASURES},
-        sats={m.link: sat(m.link) for m in MEASURES},
+        links={m.link: _read(spark, root, f"dds_t_lnk_{m.link}") for m in measures},
+        sats={m.link: sat(m.link) for m in measures},
         sat_user_mdm=sat("user_mdm"),
     )
 
 
-def run_mart_year(spark: SparkSession, root: str, year: int) -> None:
+def run_mart_year(spark: SparkSession, root: str, year: int, measures: tuple[MeasureSpec, ...] = MEASURES) -> None:
+    with scratch_scope(spark):
+        _run_mart_year(spark, root, year, measures)
+
+
+def _fill_dimensions(spark: SparkSession, root: str, prefix: str, names: tuple[str, ...], payment: DataFrame) -> dict[str, DataFrame]:
+    """Append the new members of each dimension and read the dimensions back."""
+    dims = {}
+    for name in names:
+        stored = _read(spark, root, f"{prefix}{name}")
+        new = rm.fill_dimension(payment, name, stored)
+        tables.append(cut_lineage(new) if stored is not None else new, _path(root, f"{prefix}{name}"))
+        dims[name] = _read(spark, root, f"{prefix}{name}")
+    return dims
+
+
+def run_payment_mart_year(spark: SparkSession, root: str, year: int) -> None:
+    """First mart version: payment aggregate of the year, its dimensions, the sparse fact slice."""
     with scratch_scope(spark):
-        _run_mart_year(spark, root, year)
+        m = MEASURE_BY_LINK["payment"]
+        agg = cut_lineage(rm.report_aggregate(read_vault(spark, root, (m,)), m, year, DM_V1_DIMENSIONS, "billing_year"))
+        dims = _fill_dimensions(spark, root, "dm_payment_dim_", DM_V1_DIMENSIONS, agg)
+        fact = rm.sparse_fact(agg, dims, DM_V1_DIMENSIONS, m.name)
+        tables.replace_slice(fact.withColumn("billing_year", F.lit(str(year))),
+                             _path(root, "dm_payment_fct"), str(year), column="billing_year")
 
 
-def _run_mart_year(spark: SparkSession, root: str, year: int) -> None:
+def _run_mart_year(spark: SparkSession, root: str, year: int, measures: tuple[MeasureSpec, ...]) -> None:
     """Aggregates of the year, dimension fills from the payment aggregate, and
     the dense fact slice of the year (replaced, so a rerun does not double it)."""
-    v = read_vault(spark, root)
-    aggs = {m.link: cut_lineage(rm.report_aggregate(v, m, year)) for m in MEASURES}
-    dims = {}
-    for name in DM_DIMENSIONS:
-        stored = _read(spark, root, f"dm_report_dim_{name}")
-        new = rm.fill_dimension(aggs["payment"], name, stored)
-        tables.append(cut_lineage(new) if stored is not None else new,
-                      _path(root, f"dm_report_dim_{name}"))
-        dims[name] = _read(spark, root, f"dm_report_dim_{name}")
+    v = read_vault(spark, root, measures)
+    aggs = {m.link: cut_lineage(rm.report_aggregate(v, m, year)) for m in measures}
+    dims = _fill_dimensions(spark, root, "dm_report_dim_", DM_DIMENSIONS, aggs["payment"])
     vip = v.sat_user_mdm.select("is_vip").distinct()
-    fact = rm.dense_fact(dims, vip, aggs, year)
+    fact = rm.dense_fact(dims, vip, aggs, year, DM_DIMENSIONS, measures)
     tables.replace_slice(fact.withColumn("report_year", F.lit(str(year))),
                          _path(root, "dm_report_fct"), str(year), column="report_year")
 
