@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.casts import as_text, epoch_ms_to_ts, lenient, year_of
+from ..functions.casts import epoch_ms_to_ts, lenient, year_of
 from ..plans.specs import ODS_SPECS
 
 
@@ -48,12 +48,10 @@ def partition_check(ods: DataFrame, source: str) -> DataFrame:
 
 def date_bounds(ods: DataFrame, source: str) -> DataFrame:
     """V3: first and last value of the date field, as fixed text."""
-    spec = ODS_SPECS[source]
-    typ = dict(spec.columns)[spec.date_field]
+    field = ODS_SPECS[source].date_field
     return ods.agg(
         F.lit(source).alias("source"),
-        as_text(F.min(spec.date_field), typ).alias("min_value"),
-        as_text(F.max(spec.date_field), typ).alias("max_value"))
+        F.min(field).cast("string").alias("min_value"), F.max(field).cast("string").alias("max_value"))
 
 
 def period_bounds(stg_billing: DataFrame) -> DataFrame:
