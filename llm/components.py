@@ -17,11 +17,13 @@ def components(edges: DataFrame) -> DataFrame:
     checkpoint folder and the one before it deleted.
     """
     now = cut_lineage(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    if not now.limit(1).count():
+        return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     state = None
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         after = cut_lineage(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct())

@@ -2,7 +2,7 @@
 
 Candidates.  A document's set is the distinct ``size``-word shingles of its whole
 text, as 64-bit hashes.  If two sets reach the threshold ``t``, the first
-``|x| - ceil(t |x|) + l(x)`` hashes of each (``region``; ``l(x)`` a tenth of ``|x|``) share at
+``|x| - ceil(t |x|) + l(x)`` hashes of each (``region``; ``l(x)`` a quarter of ``|x|``) share at
 least ``l`` tokens.  The regions of a slice of documents are one row of a table
 written once.  Tokens are counted per slice before the shuffle, by hash range,
 so a token of a third of all documents arrives once per slice; only tokens of two
@@ -51,7 +51,7 @@ def _need(n, num: int, den: int):
 
 
 def _reach(n):
-    return np.maximum(1, n // 10)
+    return np.maximum(1, n // 4)
 
 
 def _pack(tokens: np.ndarray) -> bytes:
@@ -151,7 +151,7 @@ def _postings(table: DataFrame, num: int, den: int) -> DataFrame:
                 at = np.minimum(np.searchsorted(token, tokens), len(token) - 1)
                 times = np.where(token[at] == tokens, count[at], 1)
                 begin = np.concatenate([[0], np.cumsum(kept)])
-                least = np.maximum(1, _need(n, num, den) // 10)   # l() of the smallest possible partner
+                least = _reach(_need(n, num, den))   # l() of the smallest possible partner
                 nodes, posts, seen = [], [], set()
                 for i in range(len(n)):
                     if not kept[i] or (row["hi"][i], row["lo"][i]) in seen:
@@ -186,10 +186,10 @@ def _by_task(batches, keys: tuple[str, ...]):
         yield now, rows
 
 
-def _tree(rows: list[dict], num: int, den: int):
+def _tree(rows: list[dict], num: int, den: int, slack=None):
     from llm.trie import Group
 
-    group = Group([np.frombuffer(r["tokens"], "<u8") for r in rows], num, den)
+    group = Group([np.frombuffer(r["tokens"], "<u8") for r in rows], num, den, slack)
     return group, [rows[i] for i in group.order]
 
 
@@ -212,6 +212,8 @@ def _linked(spark, sets: DataFrame, num: int, den: int) -> DataFrame:
 
     done = cut_lineage(sets.repartition("block", "chunk").sortWithinPartitions("block", "chunk").mapInArrow(
         chunks, "block long, chunk int, sid long, label long, centre long, radius double, tokens binary"))
+    if not done.where("tokens is not null").limit(1).count():  # every block was one chunk: nothing is left to meet
+        return done.select("sid", "label")
     centres = done.where("tokens is not null and sid = centre")
     tiles = centres.groupBy("block").agg(F.ceil(F.greatest(F.sum(F.octet_length("tokens")) / (8 * CHUNK_TOKENS), F.count("*") / CHUNK_SETS)).cast("int").alias("tiles"))
     tiled = centres.join(tiles, "block").withColumn("own", F.pmod(F.xxhash64("sid"), "tiles").cast("int")).withColumn(
@@ -219,8 +221,8 @@ def _linked(spark, sets: DataFrame, num: int, den: int) -> DataFrame:
 
     def meet(batches):
         for (_, i, j), rows in _by_task(batches, ("block", "i", "j")):
-            # two members are similar only if their centres are at most 1 - t + both radii (each at most 1 - t) apart
-            group, rows = _tree(rows, max(1, 3 * num - 2 * den), den)
+            # two members are similar only if their centres are at most 1 - t and both radii apart
+            group, rows = _tree(rows, num, den, [den * r["radius"] for r in rows])
             out = []
             for x, r in enumerate(rows):
                 for y, inter in group.probe(x, lambda first, stop, x=x: stop <= x + 1):

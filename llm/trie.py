@@ -15,7 +15,8 @@ import numpy as np
 class Group:
     """Sets in tree order, their numbered tokens and the tree over them."""
 
-    def __init__(self, sets: list[np.ndarray], num: int = 80, den: int = 100):
+    def __init__(self, sets: list[np.ndarray], num: int = 80, den: int = 100, slack: list[float] | None = None):
+        """``slack[i]`` lowers the threshold of every pair with set ``i``, in units of ``1 / den``."""
         self.num, self.den = num, den
         every = np.concatenate(sets)
         token, back, times = np.unique(every, return_inverse=True, return_counts=True)
@@ -26,6 +27,7 @@ class Group:
         self.order = sorted(range(len(sets)), key=lambda i: numbered[i].astype(">i4").tobytes())
         self.sets = [numbered[i] for i in self.order]
         self.size = np.array([len(s) for s in self.sets])
+        self.slack = np.array([0.0] * len(sets) if slack is None else [slack[i] + 1e-7 for i in self.order])
         self.mask = np.zeros(len(token), bool)
         # node: (first set, one past the last, depth of the parent, depth, children)
         self.root = self._build()
@@ -64,16 +66,17 @@ class Group:
 
     def _node(self, first: int, stop: int, up: int, depth: int, children: list) -> tuple:
         sizes = self.size[first:stop]
-        return first, stop, up, depth, children, int(sizes.min()), int(sizes.max())
+        return first, stop, up, depth, children, int(sizes.min()), int(sizes.max()), float(self.slack[first:stop].max())
 
     def probe(self, x: int, skip) -> list[tuple[int, int]]:
         """(set, overlap) of the sets similar to set ``x``; ``skip(first, stop)`` leaves out a subtree."""
         own, n = self.sets[x], len(self.sets[x])
         self.mask[own] = True
-        num, den = self.num, self.den
+        den = self.den
         found, todo = [], [(self.root, 0)]
         while todo:
-            (first, stop, up, depth, children, least, most), overlap = todo.pop()
+            (first, stop, up, depth, children, least, most, slack), overlap = todo.pop()
+            num = max(1e-9, self.num - self.slack[x] - slack) if slack or self.slack[x] else self.num
             if skip(first, stop) or most * den < n * num or n * den < least * num:
                 continue
             rest = n
@@ -88,6 +91,7 @@ class Group:
             if least == depth:  # sets that end here
                 at = first
                 while at < stop and self.size[at] == depth:
+                    num = max(1e-9, self.num - self.slack[x] - self.slack[at]) if self.slack[x] or self.slack[at] else self.num
                     if (num + den) * overlap >= num * (n + depth):
                         found.append((at, overlap))
                     at += 1
