@@ -37,6 +37,8 @@ MALE = ("Mr", "Herr", "Señor", "Sr", "Monsieur", "Г-н", "Господин", "
 EITHER = ("Dr", "Prof")
 _ADDRESS = rf"(?:{'|'.join(sorted((*FEMALE, *MALE, *EITHER), key=len, reverse=True))})\.?"
 _NAME = r"\p{Lu}[\p{Ll}]+(?:-\p{Lu}\p{Ll}+)?"
+# Letters that a name or form of address could go on with; text without blanks has letters of other scripts right beside them.
+_LETTER = r"[\p{IsLatin}\p{IsGreek}\p{IsCyrillic}]"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 
 # Kind and pattern of a whole mention, in the order in which they are tried.
@@ -51,10 +53,10 @@ KINDS = (
     ("card", r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w])"),
     ("ssn", r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"),
     ("ip", rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d|\w)"),
-    ("person", rf"(?=[MFSDPHГΚ]){_ADDRESS} {_NAME}(?: {_NAME})?(?![\p{{L}}])"),
+    ("person", rf"(?=[MFSDPHГΚ])(?<!{_LETTER}|[\p{{N}}_]){_ADDRESS} {_NAME}(?: {_NAME})?(?!{_LETTER})"),
 )
-# Every mention starts where no word goes on; this is looked at first, so most places cost one step.
-MENTION = rf"(?<![\p{{L}}\p{{N}}_])(?:{'|'.join(f'(?:{p})' for _, p in KINDS)})"
+# No mention starts behind an ASCII letter, digit or _; this is looked at first, so most places cost one step.
+MENTION = rf"(?<![A-Za-z0-9_])(?:{'|'.join(f'(?:{p})' for _, p in KINDS)})"
 MAY_START = ("Mr", "Ms", "Miss", "Mme", "Mad", "Monsieur", "Frau", "Herr", "Señor", "Sr", "Dr", "Prof", "Г-", "Госпо", "Κυρί", "Κύρι",
              "token", "secret", "password", "passwd", "api", "access")  # of every address and every word before a secret
 LOWER = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзиклмнопрстуфхцчшэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}

@@ -78,3 +78,18 @@ def test_empty_table_and_plan(spark):
     assert df.count() == 0
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_each_kind_right_behind_a_letter_of_text_without_blanks(spark):
+    mentions = ["me@x.org", "04dbebab91ab85687d33eeaaf9ac699e1188f962", "DE89370400440532013000", "+49 30 901820", "(212) 555-0100",
+                "212-555-0100", "4111111111111111", "123-45-6789", "43.21.141.162", "Mrs. Anna Smith", "Госпожа Петрова"]
+    texts = []
+    for side in ("联系", "電話は", "โทรที่", "전화"):
+        texts += [(side, f"{side}{m}。{side}") for m in (*mentions, "password=correct-horse-battery")]
+        texts += [(side, f"{side}{m}{side}") for m in mentions[1:]]
+    out = replace_entities(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "doc_id long, text string"), KEY).collect()
+    for r in out:
+        side, was = texts[r.doc_id]
+        assert (r.n_entities, r.text != was, r.text.endswith(side)) == (1, True, True), was
+        assert not any(m in r.text for m in (*mentions, "correct-horse")), was
+        assert "@" in was or r.text.startswith(side), was  # letters of any script belong to a mail address
