@@ -12,8 +12,8 @@ each other, or an original of the corpus, are drawn again with the next attempt
 number until all are distinct; earlier attempts keep theirs.  An entity whose
 format has no free value after ``CROWDED`` attempts gets eight more digits.
 
-Texts without a digit, ``@`` or form of address cannot hold a mention; they pass
-through unshuffled.  The others are shuffled once, with the mentions of their own
+Texts without a digit, ``@``, form of address, word before a secret or 32
+hexadecimal letters cannot hold a mention; they pass through unshuffled.  The others are shuffled once, with the mentions of their own
 text.  Distinct entities are aggregated before any shuffle, and the joins with
 them have one row per mention on the small side, so a mention found in a third of
 all texts is split like any skewed join.
@@ -26,6 +26,8 @@ through unless they have the name of a result column, which then replaces them.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,8 +59,10 @@ KINDS = (
 )
 # No mention starts behind an ASCII letter, digit or _; this is looked at first, so most places cost one step.
 MENTION = rf"(?<![A-Za-z0-9_])(?:{'|'.join(f'(?:{p})' for _, p in KINDS)})"
-MAY_START = ("Mr", "Ms", "Miss", "Mme", "Mad", "Monsieur", "Frau", "Herr", "Señor", "Sr", "Dr", "Prof", "Г-", "Госпо", "Κυρί", "Κύρι",
-             "token", "secret", "password", "passwd", "api", "access")  # of every address and every word before a secret
+# What every mention holds one of: a digit, @ or 32 hexadecimal letters, the start of an address, a word before a secret in any case.
+MAY_HOLD = "[0-9@]|[a-fA-F]{32}"
+MAY_START = ("Mr", "Ms", "Miss", "Mme", "Mad", "Monsieur", "Frau", "Herr", "Señor", "Sr", "Dr", "Prof", "Г-", "Госпо", "Κυρί", "Κύρι")
+SECRET_WORDS = ("token", "secret", "password", "passwd", "api", "access")
 LOWER = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзиклмнопрстуфхцчшэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
 CROWDED = 12
 VOWELS = {"latin": "aeiou", "cyrillic": "аеиоу", "greek": "αεηιο"}
@@ -172,13 +176,19 @@ def draw(entities: DataFrame, key: str) -> DataFrame:
             "kind", "value", (F.col("attempt") + F.col("again").cast("int")).alias("attempt")), key))
 
 
+def _holds(text: Column, words: tuple[str, ...]) -> Column:
+    return reduce(lambda a, b: a | b, (F.contains(text, F.lit(w)) for w in words))
+
+
+def may_mention(text: Column) -> Column:
+    """False only for a text in which ``MENTION`` finds nothing."""
+    return F.coalesce(text.rlike(MAY_HOLD) | _holds(text, MAY_START) | _holds(F.lower(text), SECRET_WORDS), F.lit(False))
+
+
 def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     """The rows of ``docs`` with surrogates in ``text``, and ``n_entities``, the mentions replaced."""
     docs = docs.drop("n_entities").withColumn("text", F.col("text").cast("string"))
-    may = F.col("text").rlike("[0-9@]")
-    for word in MAY_START:
-        may = may | F.contains(F.col("text"), F.lit(word))
-    may = F.coalesce(may, F.lit(False))
+    may = may_mention(F.col("text"))
     found = F.regexp_extract_all(F.col("text"), F.lit(MENTION), 0)
     id_of, text_of = F.col("doc_id").cast("string"), F.xxhash64("text")
     mentions = docs.where(may).select(id_of.alias("__id"), text_of.alias("__text"), F.explode(F.array_distinct(found)).alias("mention"))

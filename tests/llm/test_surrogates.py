@@ -2,7 +2,8 @@ import re
 from collections import Counter
 
 import pytest
-from llm.surrogates import draw, replace_entities
+from llm.surrogates import EITHER, FEMALE, MALE, MENTION, draw, may_mention, replace_entities
+from pyspark.sql import functions as F
 
 KEY = "k"
 TEXTS = {
@@ -93,3 +94,17 @@ def test_each_kind_right_behind_a_letter_of_text_without_blanks(spark):
         assert (r.n_entities, r.text != was, r.text.endswith(side)) == (1, True, True), was
         assert not any(m in r.text for m in (*mentions, "correct-horse")), was
         assert "@" in was or r.text.startswith(side), was  # letters of any script belong to a mail address
+
+
+def test_prefilter_holds_every_text_with_a_mention(spark):
+    words = [w for x in ("token", "secret", "password", "passwd", "api_key", "api-key", "apikey", "access_key", "accesskey")
+             for w in (x, x.upper(), x.title(), x.swapcase())]
+    texts = [f"my {w}{sep}correct-horse-battery" for w in words for sep in (": ", "=", '" = "')]
+    texts += [f"{a}{dot} Anna" for a in ("Anna", *FEMALE, *MALE, *EITHER) for dot in ("", ".")]
+    texts += ["deadbeef" * 4, "DEADBEEF" * 4, "deadbeef" * 3, "no mention", "API and access token", ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    judged = df.select("text", may_mention(F.col("text")).alias("may"), F.regexp_count("text", F.lit(MENTION)).alias("n")).collect()
+    assert sum(r.n for r in judged) == len(texts) - 2 - 4
+    assert not [r.text for r in judged if r.n and not r.may]
+    assert not {r.doc_id for r in replace_entities(df, KEY).collect() if r.n_entities == 0} ^ {
+        i for i, r in enumerate(judged) if r.n == 0}
