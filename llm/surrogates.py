@@ -1,6 +1,7 @@
 """Surrogates for personal data, in DataFrame functions alone.
 
-One pattern finds mentions of all kinds; cards must pass the Luhn check.  The
+One pattern finds mentions of all kinds; cards must pass the Luhn check, and what
+stands behind the word of a secret is a secret whatever its shape.  The
 distinct mentions of the corpus are cut into entities (a person's given name
 and surname are entities of their own, so later mentions by surname agree), and
 every entity gets a surrogate from a keyed hash: digits for digits, letters of
@@ -46,7 +47,7 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 # Kind and pattern of a whole mention, in the order in which they are tried.
 KINDS = (
     ("email", r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}"),
-    ("secret", r"(?=[\w+/=.-]{12})(?<=(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key)\"?\s{0,3}[=:]\s{0,3}[\"']?)[\w+/=.-]{12,}"),
+    ("secret", r"(?=[\w+/=.-]{12})(?<=(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key)\"?\s{0,3}[=:]\s{0,3}[\"']?)([\w+/=.-]{12,})"),
     ("secret", r"(?<![\w])[0-9a-fA-F]{32,128}(?![\w])"),
     ("iban", r"(?<![\w])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\w])"),
     ("phone", r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?![\w])"),
@@ -57,7 +58,8 @@ KINDS = (
     ("ip", rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d|\w)"),
     ("person", rf"(?=[MFSDPHГΚ])(?<!{_LETTER}|[\p{{N}}_]){_ADDRESS} {_NAME}(?: {_NAME})?(?!{_LETTER})"),
 )
-# No mention starts behind an ASCII letter, digit or _; this is looked at first, so most places cost one step.
+# No mention starts behind an ASCII letter, digit or _; this is looked at first, so most places cost one step.  The one group
+# is a secret known by the word before it.
 MENTION = rf"(?<![A-Za-z0-9_])(?:{'|'.join(f'(?:{p})' for _, p in KINDS)})"
 # What every mention holds one of: a digit, @ or 32 hexadecimal letters, the start of an address, a word before a secret in any case.
 MAY_HOLD = "[0-9@]|[a-fA-F]{32}"
@@ -140,15 +142,22 @@ def with_surrogate(entities: DataFrame, key: str) -> DataFrame:
     return rows.select("kind", "value", "attempt", F.concat(drawn, F.coalesce(crowded, F.lit(""))).alias("surrogate"))
 
 
+def _found(text: Column) -> Column:
+    """All mentions of a text in order; one behind the word of a secret has ``=`` put before it, which starts no other."""
+    found, secrets = (F.regexp_extract_all(text, F.lit(MENTION), F.lit(i)) for i in (0, 1))
+    marked = F.zip_with(found, secrets, lambda m, secret: F.when(secret != "", F.concat(F.lit("="), secret)).otherwise(m))
+    return F.when(_holds(F.lower(text), SECRET_WORDS), marked).otherwise(found)
+
+
 def _kind_of(mention: Column) -> Column:
-    found = F.when(mention.rlike(rf"^(?:{KINDS[0][1]})$"), "email")
-    for kind, pattern in KINDS[3:]:
+    found = F.when(mention.startswith("="), "secret").when(mention.rlike(rf"^(?:{KINDS[0][1]})$"), "email")
+    for kind, pattern in KINDS[2:]:
         yes = mention.rlike(rf"^(?:{pattern})$")
         if kind == "card":
             found = found.when(yes, F.when(F.call_function("luhn_check", F.regexp_replace(mention, "[ -]", "")), "card"))
         else:
             found = found.when(yes, kind)
-    return found.otherwise("secret")  # known by what stands before it
+    return found.otherwise("secret")
 
 
 def _entities(mention: Column, kind: Column) -> Column:
@@ -158,7 +167,8 @@ def _entities(mention: Column, kind: Column) -> Column:
     given = F.when(female, "given_f").otherwise("given_m")
     person = F.transform(words, lambda w, i: F.struct(
         F.when(i == F.size(words) - 1, "surname").otherwise(given).alias("kind"), w.alias("value")))
-    plain = F.array(F.struct(kind.alias("kind"), F.when(kind == "email", F.lower(mention)).otherwise(mention).alias("value")))
+    value = F.when(kind == "email", F.lower(mention)).when(mention.startswith("="), F.substr(mention, F.lit(2))).otherwise(mention)
+    plain = F.array(F.struct(kind.alias("kind"), value.alias("value")))
     return F.when(kind == "person", person).otherwise(plain)
 
 
@@ -189,7 +199,7 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     """The rows of ``docs`` with surrogates in ``text``, and ``n_entities``, the mentions replaced."""
     docs = docs.drop("n_entities").withColumn("text", F.col("text").cast("string"))
     may = may_mention(F.col("text"))
-    found = F.regexp_extract_all(F.col("text"), F.lit(MENTION), 0)
+    found = _found(F.col("text"))
     id_of, text_of = F.col("doc_id").cast("string"), F.xxhash64("text")
     mentions = docs.where(may).select(id_of.alias("__id"), text_of.alias("__text"), F.explode(F.array_distinct(found)).alias("mention"))
     kinds = (mentions.select("mention").distinct().withColumn("kind", _kind_of(F.col("mention"))).where("kind is not null")

@@ -108,3 +108,16 @@ def test_prefilter_holds_every_text_with_a_mention(spark):
     assert not [r.text for r in judged if r.n and not r.may]
     assert not {r.doc_id for r in replace_entities(df, KEY).collect() if r.n_entities == 0} ^ {
         i for i, r in enumerate(judged) if r.n == 0}
+
+
+def test_secret_behind_its_word_is_one_whatever_its_shape(spark):
+    shapes = ["1234567890123456", "4845168114407321", "4111111111111111", "123-45-6789-0", "12345678901234", "DE89370400440532013000",
+              "192.168.100.200", "AB12" + "C3D4" * 7]
+    texts = [f"access_key={v} order {v} password: {v}" for v in shapes]
+    out = replace_entities(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), KEY).collect()
+    for r in out:
+        v = shapes[r.doc_id]
+        a, order, b = re.fullmatch(r"access_key=(\S+) order (\S+) password: (\S+)", r.text).groups()
+        assert a == b != v and len(a) == len(v)
+        plain = v in ("1234567890123456", "4845168114407321", "123-45-6789-0", "12345678901234")
+        assert (order == v) == plain and r.n_entities == (2 if plain else 3)
