@@ -3,8 +3,10 @@
 One pattern finds mentions of all kinds; cards must pass the Luhn check, and what
 stands behind the word of a secret is a secret whatever its shape.  The
 distinct mentions of the corpus are cut into entities (a person's given name
-and surname are entities of their own, so later mentions by surname agree), and
-every entity gets a surrogate from a keyed hash: digits for digits, letters of
+and surname are entities of their own, so later mentions by surname agree, with a
+form of address or bare in the same text; a bare word is one mention).  Dr and Prof
+take the gender that gendered mentions of the name agree on, else a neutral name.
+The README says which names are not found.  Every entity gets a surrogate from a keyed hash: digits for digits, letters of
 the same case and script for letters, punctuation kept, cards with a valid check
 digit and their first digit, given names with the ending of their gender, mail
 addresses of one domain on one surrogate domain and the same top level.  The
@@ -58,6 +60,7 @@ KINDS = (
     ("ip", rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d|\w)"),
     ("person", rf"(?=[MFSDPHГΚ])(?<!{_LETTER}|[\p{{N}}_]){_ADDRESS} {_NAME}(?: {_NAME})?(?!{_LETTER})"),
 )
+BARE = rf"(?<!{_LETTER}|[\p{{N}}_]){_NAME}(?!{_LETTER})"  # a word that may be a name without its form of address
 # No mention starts behind an ASCII letter, digit or _; this is looked at first, so most places cost one step.  The one group
 # is a secret known by the word before it.
 MENTION = rf"(?<![A-Za-z0-9_])(?:{'|'.join(f'(?:{p})' for _, p in KINDS)})"
@@ -102,7 +105,7 @@ def _shaped(value: Column, hexes: Column) -> Column:
 
 
 def _name(kind: Column, script: str, hexes: Column) -> Column:
-    """Three or four syllables; given names end by gender, surnames on a consonant and vowel of any kind."""
+    """Three or four syllables; given names end by gender, surnames and given names of no known gender on a consonant."""
     syllable = lambda i: F.concat(_pick(CONSONANTS[script], _byte(hexes, F.lit(2 * i))),
                                   _pick(VOWELS[script], _byte(hexes, F.lit(2 * i + 1))))
     stem = F.concat(syllable(0), syllable(1), F.when(_byte(hexes, F.lit(20)) % 2 == 0, syllable(2)).otherwise(F.lit("")))
@@ -137,7 +140,7 @@ def with_surrogate(entities: DataFrame, key: str) -> DataFrame:
              .when(kind == "phone", F.concat(prefix, F.substr(shaped, F.length(prefix) + 1, F.length(value))))
              .when((kind == "secret") & value.rlike("^[0-9a-f]+$"), hexed)
              .when((kind == "secret") & value.rlike("^[0-9A-F]+$"), F.upper(hexed))
-             .when(kind.isin("given_f", "given_m", "surname"), name).otherwise(shaped))
+             .when(kind.isin("given_f", "given_m", "given_n", "surname"), name).otherwise(shaped))
     crowded = F.when(F.col("attempt") >= CROWDED, F.substr(F.conv(F.substr(hexes, F.lit(1), F.lit(12)), 16, 10), F.lit(1), F.lit(8)))
     return rows.select("kind", "value", "attempt", F.concat(drawn, F.coalesce(crowded, F.lit(""))).alias("surrogate"))
 
@@ -160,18 +163,56 @@ def _kind_of(mention: Column) -> Column:
     return found.otherwise("secret")
 
 
-def _entities(mention: Column, kind: Column) -> Column:
+def _words(mention: Column) -> Column:
+    return F.split(F.regexp_replace(mention, rf"^{_ADDRESS} ", ""), " ")
+
+
+def _with_gender(kinds: DataFrame) -> DataFrame:
+    """``kinds`` with the ``gender`` (f, m or n) of each person's given name.  Forms of address of either gender take it from
+    the gendered mentions of the same given name and surname, else of the same given name, where those agree."""
+    words = _words(F.col("mention"))
+    said = F.when(F.col("mention").rlike(rf"^(?:{'|'.join(FEMALE)})\.? "), "f").when(
+        F.col("mention").rlike(rf"^(?:{'|'.join(MALE)})\.? "), "m")
+    full = (F.col("kind") == "person") & (F.size(words) > 1)
+    gendered = kinds.where(full & said.isNotNull()).select(words[0].alias("given"), words[1].alias("surname"), said.alias("gender"))
+
+    def agreed(name: str, *by: str) -> DataFrame:
+        seen = gendered.groupBy(*by).agg(F.min("gender").alias(name), F.max("gender").alias("other"))
+        return seen.where(F.col(name) == F.col("other")).drop("other")
+
+    open_ = full & said.isNull()
+    asked = kinds.where(open_).withColumn("given", words[0]).withColumn("surname", words[1])
+    told = (asked.join(agreed("of_full", "given", "surname"), ["given", "surname"], "left").join(agreed("of_given", "given"), ["given"], "left")
+            .select("mention", "kind", F.coalesce("of_full", "of_given", F.lit("n")).alias("gender")))
+    return kinds.where(~open_).withColumn("gender", F.coalesce(said, F.lit("n"))).unionByName(told)
+
+
+def _entities(mention: Column, kind: Column, gender: Column) -> Column:
     """``array<struct<kind, value>>`` of a mention, in the order of its text."""
-    words = F.split(F.regexp_replace(mention, rf"^{_ADDRESS} ", ""), " ")
-    female = mention.rlike(rf"^(?:{'|'.join(FEMALE)})\b")
-    given = F.when(female, "given_f").otherwise("given_m")
+    words = _words(mention)
     person = F.transform(words, lambda w, i: F.struct(
-        F.when(i == F.size(words) - 1, "surname").otherwise(given).alias("kind"), w.alias("value")))
+        F.when(i == F.size(words) - 1, "surname").otherwise(F.concat(F.lit("given_"), gender)).alias("kind"), w.alias("value")))
     value = F.when(kind == "email", F.lower(mention)).when(mention.startswith("="), F.substr(mention, F.lit(2))).otherwise(mention)
     plain = F.array(F.struct(kind.alias("kind"), value.alias("value")))
     return F.when(kind == "person", person).otherwise(plain)
 
 
+def _names_of_text(names: Column) -> Column:
+    """``map<name, surrogate>`` of a text's name parts; a word that is both is a surname, then a given name of known gender."""
+    names = F.array_sort(F.flatten(names))
+    first = F.filter(names, lambda n, i: (i == 0) | (F.get(names, i - 1)["value"] != n["value"]))
+    return F.map_from_entries(F.transform(first, lambda n: F.struct(n["value"], n["surrogate"])))
+
+
+def _said(names: Column, word: Column) -> Column:
+    """A capitalised word, or each side of its hyphen, by the names of its text."""
+    return F.coalesce(names[word], F.array_join(F.transform(F.split(word, "-"), lambda w: F.coalesce(names[w], w)), "-"))
+
+
+def _bare(gap: Column) -> Column:
+    return F.regexp_extract_all(gap, F.lit(BARE), F.lit(0))
+
+
 def draw(entities: DataFrame, key: str) -> DataFrame:
     """``kind, value, surrogate``: distinct surrogates for distinct entities, none of them an original of its kind."""
     fixed = cut_lineage(with_surrogate(entities.withColumn("attempt", F.lit(0)), key))
@@ -202,24 +243,33 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     found = _found(F.col("text"))
     id_of, text_of = F.col("doc_id").cast("string"), F.xxhash64("text")
     mentions = docs.where(may).select(id_of.alias("__id"), text_of.alias("__text"), F.explode(F.array_distinct(found)).alias("mention"))
-    kinds = (mentions.select("mention").distinct().withColumn("kind", _kind_of(F.col("mention"))).where("kind is not null")
-             .withColumn("parts", _entities(F.col("mention"), F.col("kind"))))
-    kinds = cut_lineage(kinds)
+    kinds = cut_lineage(mentions.select("mention").distinct().withColumn("kind", _kind_of(F.col("mention"))).where("kind is not null"))
+    kinds = cut_lineage(_with_gender(kinds).withColumn("parts", _entities(F.col("mention"), F.col("kind"), F.col("gender"))))
     parts = kinds.select("mention", "kind", F.posexplode("parts").alias("pos", "part")).select(
         "mention", F.col("kind").alias("of"), "pos", "part.kind", "part.value")
     drawn = draw(cut_lineage(parts.select("kind", "value").distinct()), key)
     address = F.regexp_extract("mention", rf"^{_ADDRESS} ", 0)
-    words = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "surrogate"))), lambda p: p["surrogate"]), " ")
+    words = F.array_join(F.transform("said", lambda p: p["surrogate"]), " ")
+    rank = lambda p: F.when(p["kind"] == "surname", 0).when(p["kind"] == "given_n", 2).otherwise(1)
+    names = F.transform("said", lambda p: F.struct(p["value"].alias("value"), rank(p).alias("rank"), p["surrogate"].alias("surrogate")))
+    person = F.col("of") == "person"
     surrogates = cut_lineage(
-        parts.join(drawn, ["kind", "value"]).groupBy("mention", "of").agg(words.alias("said"))
-        .select("mention", F.concat(F.when(F.col("of") == "person", address).otherwise(""), F.col("said")).alias("surrogate")))
+        parts.join(drawn, ["kind", "value"]).groupBy("mention", "of")
+        .agg(F.sort_array(F.collect_list(F.struct("pos", "kind", "value", "surrogate"))).alias("said"))
+        .select("mention", F.concat(F.when(person, address).otherwise(""), words).alias("surrogate"), F.when(person, names).alias("names")))
     of_text = (mentions.join(surrogates, "mention").groupBy("__id", "__text")
-               .agg(F.map_from_entries(F.collect_set(F.struct("mention", "surrogate"))).alias("__surrogates")))
+               .agg(F.map_from_entries(F.collect_set(F.struct("mention", "surrogate"))).alias("__surrogates"),
+                    _names_of_text(F.collect_set("names")).alias("__names")))
     held = docs.where(may).withColumn("__hash", text_of)
     held = held.join(of_text, id_of.eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__text")), "left").drop("__id", "__text", "__hash")
-    known = F.col("__surrogates")
-    pieces = F.zip_with(F.split("text", MENTION, -1), found, lambda gap, m: F.concat(gap, F.coalesce(known[m], m, F.lit(""))))
-    n = F.size(F.filter(found, lambda m: F.map_contains_key(known, m))).cast("long")
+    held = held.withColumn("__found", found).withColumn("__gaps", F.split("text", MENTION, -1))
+    known, names, found, gaps = F.col("__surrogates"), F.col("__names"), F.col("__found"), F.col("__gaps")
+    named = F.transform(gaps, lambda gap: F.array_join(F.zip_with(
+        F.split(gap, BARE, -1), _bare(gap), lambda g, w: F.concat(g, F.coalesce(_said(names, w), F.lit("")))), ""))
+    n_named = F.aggregate(gaps, F.lit(0), lambda n, gap: n + F.size(F.filter(_bare(gap), lambda w: _said(names, w) != w)))
+    has = F.size(names) > 0
+    pieces = F.zip_with(F.when(has, named).otherwise(gaps), found, lambda gap, m: F.concat(gap, F.coalesce(known[m], m, F.lit(""))))
+    n = (F.size(F.filter(found, lambda m: F.map_contains_key(known, m))) + F.when(has, n_named).otherwise(0)).cast("long")
     replaced = held.withColumn("n_entities", F.when(known.isNull(), F.lit(0).cast("long")).otherwise(n)).withColumn(
-        "text", F.when(known.isNull(), F.col("text")).otherwise(F.array_join(pieces, ""))).drop("__surrogates")
+        "text", F.when(known.isNull(), F.col("text")).otherwise(F.array_join(pieces, ""))).drop("__surrogates", "__names", "__found", "__gaps")
     return docs.where(~may).withColumn("n_entities", F.lit(0).cast("long")).unionByName(replaced)

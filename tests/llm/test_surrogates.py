@@ -121,3 +121,25 @@ def test_secret_behind_its_word_is_one_whatever_its_shape(spark):
         assert a == b != v and len(a) == len(v)
         plain = v in ("1234567890123456", "4845168114407321", "123-45-6789-0", "12345678901234")
         assert (order == v) == plain and r.n_entities == (2 if plain else 3)
+
+
+def test_bare_names_and_gender_of_either_forms(spark):
+    texts = ["Mrs. Anna Smith spoke. Smith said so, Anna left; Smith's car, non-Smith, Smith-Jones, Smithson, Hannah, anna.",
+             "Dr. Anna Smith and Prof. Maria Jones; Dr. Robin Poe, Dr. Kim Ray.", "Mrs. Maria Stone", "Smith and Anna are no persons here.",
+             "Mr. Kim Ray, Mr. Robin Fox, Mrs. Robin Fay", "Mrs. Ann-Marie Roe: Ann-Marie, Ann and Roe-Lee", "Mr. Paul Ford met Mrs. Ford Paul. Ford!",
+             "Mrs. Anna Smith会见Smith先生。Herr Müller, Müller 4111111111111111 Müller"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    out = {r.doc_id: r for r in replace_entities(df, KEY).collect()}
+    anna, smith = re.match(r"Mrs\. (\w+a) (\w+) ", out[0].text).groups()
+    assert out[0].text == texts[0].replace("Hannah", "H_").replace("Smithson", "S_").replace("Smith", smith).replace("Anna", anna).replace(
+        "S_", "Smithson").replace("H_", "Hannah")
+    assert out[0].n_entities == 6
+    maria, jones, robin, poe, kim, ray = re.fullmatch(
+        rf"Dr\. {anna} {smith} and Prof\. (\w+a) (\w+); Dr\. (\w+) (\w+), Dr\. (\w+n) (\w+)\.", out[1].text).groups()
+    assert out[2].text.startswith(f"Mrs. {maria} ") and out[4].text.startswith(f"Mr. {kim} {ray}, ")
+    assert robin[-1] not in "aeiou" and robin not in out[4].text
+    assert out[3].text == texts[3] and out[3].n_entities == 0
+    given, roe = re.match(r"Mrs\. (\w+) (\w+):", out[5].text).groups()
+    assert out[5].text == f"Mrs. {given} {roe}: {given}, Ann and {roe}-Lee" and out[5].n_entities == 3
+    assert re.fullmatch(r"Mr\. \w+n (\w+) met Mrs\. \w+a \w+\. \1!", out[6].text)
+    assert re.fullmatch(rf"Mrs\. {anna} {smith}会见{smith}先生。Herr (\w+), \1 \d{{16}} \1", out[7].text) and out[7].n_entities == 6
