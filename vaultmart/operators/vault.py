@@ -173,30 +173,38 @@ def satellite_over_years(batch_of_year: Callable[[int], DataFrame], sat: SatSpec
 def satellite_backfill(batches: DataFrame, sat: SatSpec) -> DataFrame:
     """Every run that ``batches`` holds, in the order of ``load_dts``, on an empty satellite.
 
-    One lazy plan, no job and no list of years.  A key's runs are reduced to
-    their sets of hashdiffs; a fold over them keeps the set that the key's
-    latest inserting run stored: a run inserts what is not in that set, and
-    only a run that inserts something replaces it.  The inserted (key, hashdiff,
-    load) triples then pick their rows, so context columns never enter the fold.
-    A key's state is one hashdiff per stored version and run; repeated rows of a
-    hot key collapse map-side before they reach it.  Rows with a NULL key never
-    match a stored version and are always inserted.
+    All versions of a key seen in one run only are inserted.  The (key, hashdiff,
+    load) triples of the other keys go through the runs in order, each a round
+    whose result is cut: a version is inserted unless the key's latest inserting
+    run stored it.  The triples found stored then leave the rows, so context
+    columns never enter the rounds.
+
+    A key's versions stay rows, never one value: a round joins them on (key,
+    hashdiff), which spreads a hot key, and on (key, load) with one row per key
+    on the right, which skew join splits.  There is one round per distinct load
+    date.  Rows with a NULL key never match a stored version and are always
+    inserted.
     """
     pk, hd = sat_keys(sat)
+    batches = batches.where(F.col("load_dts").isNotNull())  # rows without a date belong to no run
     rows = batches.select(*sat_columns(sat))
     rows = _first_rows(rows, sat, [pk, hd, "load_dts"]) if sat.first_only else rows.distinct()
-    keyed = F.col(pk).isNotNull() & F.col(hd).isNotNull()
-    runs = (rows.where(keyed).groupBy(pk, "load_dts").agg(F.collect_set(hd).alias("found"))
-            .groupBy(pk).agg(F.sort_array(F.collect_list(F.struct("load_dts", "found"))).alias("runs")))
-    none = F.array().cast("array<string>")
-    start = F.struct(none.alias("latest"), F.array().cast("array<struct<load_dts:date,added:array<string>>>").alias("done"))
-
-    def step(state, run):
-        added = F.array_except(run["found"], state["latest"])
-        return F.struct(F.when(F.size(added) > 0, added).otherwise(state["latest"]).alias("latest"),
-                        F.concat(state["done"], F.array(F.struct(run["load_dts"].alias("load_dts"), added.alias("added")))).alias("done"))
-
-    done = runs.select(pk, F.explode(F.aggregate("runs", start, step)["done"]).alias("_run"))
-    added = done.select(pk, F.col("_run.load_dts").alias("load_dts"), F.explode("_run.added").alias(hd))
-    return rows.where(keyed).join(added, [pk, hd, "load_dts"], "left_semi").select(*sat_columns(sat)).unionByName(
-        rows.where(~keyed))
+    versions = batches.where(F.col(pk).isNotNull() & F.col(hd).isNotNull()).select(pk, hd, "load_dts").distinct()
+    several = (versions.groupBy(pk).agg(F.min("load_dts").alias("_from"), F.max("load_dts").alias("_to"))
+               .where("_from < _to").select(pk))
+    folded = cut_lineage(versions.join(several, pk, "left_semi"))
+    judged: DataFrame | None = None
+    for (load,) in sorted(folded.select("load_dts").distinct().collect()):
+        found = folded.where(F.col("load_dts") == F.lit(load))
+        if judged is None:
+            judged = found.withColumn("_again", F.lit(False))
+            continue
+        stored = judged.where("not _again").select(pk, hd, "load_dts")
+        last = stored.groupBy(pk).agg(F.max("load_dts").alias("load_dts"))
+        latest = stored.join(last, [pk, "load_dts"], "left_semi").select(pk, hd, F.lit(True).alias("_stored"))
+        judged = judged.unionByName(cut_lineage(found.join(latest, [pk, hd], "left").select(
+            pk, hd, "load_dts", F.col("_stored").isNotNull().alias("_again"))))
+    if judged is None:
+        return rows
+    again = judged.where("_again").select(pk, hd, "load_dts")
+    return rows.join(again, [pk, hd, "load_dts"], "left_anti").select(*sat_columns(sat))
