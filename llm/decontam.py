@@ -120,12 +120,20 @@ def index(rows: list[tuple[int, str]], q: int, error: float) -> Block:
     return Block(ids, items, k, m - q + 1 - k * q, gram, np.append(first, len(h)), item[order], place[order], seen)
 
 
+def _end(text: str, border: int, need: int) -> int:
+    """Where a piece ends that goes on for ``need`` normalised characters behind ``border``, however stretched."""
+    more = 4 * need
+    while border + more < len(text) and len(normal(_codes(text[border:border + more]))[0]) < need:
+        more *= 2
+    return border + more
+
+
 def _pieces(texts: list[str], overlap: int) -> Iterator[list[tuple[int, int, str]]]:
-    """Groups of (row, start, piece of its text) of about ``PIECE`` characters."""
+    """Groups of (row, start, piece of its text) of about ``PIECE`` characters; pieces of a text share ``overlap`` normalised ones."""
     group, size = [], 0
     for row, text in enumerate(texts):
         for start in range(0, max(1, len(text)), PIECE):
-            piece = text[start:start + PIECE + overlap]
+            piece = text[start:_end(text, start + PIECE, overlap)]
             group.append((row, start, piece))
             size += len(piece)
             if size >= PIECE:
@@ -157,7 +165,7 @@ def matches(block: Block, texts: list[str], q: int) -> list[tuple[int, int, int,
     if not block.items:
         return []
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    overlap = 4 * max(map(len, block.items)) + 64
+    overlap = max(len(item) + int(k) for item, k in zip(block.items, block.k)) + 16
     for group in _pieces(texts, overlap):
         codes = _codes("\n".join(p for _, _, p in group))
         begin = np.concatenate([[0], np.cumsum([len(p) + 1 for _, _, p in group])])

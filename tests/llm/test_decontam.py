@@ -1,7 +1,8 @@
 import random
 import re
 
-from llm.decontam import ERROR, Q, contamination, decontaminate, index
+from llm import decontam
+from llm.decontam import ERROR, Q, contamination, decontaminate, index, matches
 
 SF = "/root/testdata/sf0.001"
 
@@ -80,3 +81,13 @@ def test_long_text_and_empty_tables(spark, frame):
     assert contamination(none, bench).count() == 0 and contamination(df, bench.where("false")).count() == 0
     assert decontaminate(df, bench.where("false")).count() == 3
     assert index([(1, "tiny")], Q, ERROR).items == []
+
+
+def test_stretched_item_at_the_border_of_a_piece(monkeypatch):
+    monkeypatch.setattr(decontam, "PIECE", 2000)
+    item = "the quick brown fox jumps over the lazy dog while seven wizards boxed"
+    block = index([(7, item)], Q, ERROR)
+    for gap in (" ", " " * 300, "\n" + "-=" * 700 + "\n", " | " * 2000):
+        for ahead in (1, 30, 200, 900, 1500, 1950, 1990, 1999, 2000, 3990):
+            text = "z" * (ahead - 1) + "." + item.replace(" ", gap) + "." + "y" * 5000
+            assert [(row, x, edits) for row, x, edits, *_ in matches(block, ["none", text, "zzzzz" + text], Q)] == [(1, 0, 0), (2, 0, 0)], (gap, ahead)
