@@ -99,6 +99,32 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *COUNTS, "base_failed", "kept", "score")
 
 
+def op11_ppm_code_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ppm import ppm_scores
+
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1, F.lit(False))
+    return ppm_scores(table(spark, sf_dir, "documents"), ~held_out).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op12_token_incidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .crosstok import align
+
+    docs, _ = align(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"), vocabulary_path("piece_bpe_32k.model"),
+                    vocabulary_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return docs.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_overlaps")
+
+
+def op13_vertical_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .hardneg import mine
+
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(
+        F.col("label")).alias("label"))
+    return mine(rows, F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_qgram_decontamination": op1_qgram_decontamination,
     "op2_gzip_normaliser": op2_gzip_normaliser,
@@ -110,6 +136,9 @@ QUERIES = {
     "op8_surrogates": op8_surrogates,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_ppm_code_length": op11_ppm_code_length,
+    "op12_token_incidence": op12_token_incidence,
+    "op13_vertical_scan": op13_vertical_scan,
 }
 
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -165,4 +194,22 @@ frequent AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE f.k IS NOT NULL) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE f.k IS NULL), '')) AS kept_sha256
 FROM keyed LEFT JOIN frequent f USING (k) GROUP BY doc_id""",
+    "op13_vertical_scan": """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS q
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+ranked AS (
+    SELECT p.anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+           row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+    FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same
+        AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INT) AS rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 10""",
 }

@@ -6,7 +6,7 @@ import pytest
 from llm.queries import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
-TABLES = ("documents", "pages", "benchmark", "labels", "conversations")
+TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
