@@ -43,6 +43,7 @@ from .common import cut_lineage, ship
 SLICE = 8 << 20          # characters of one slice
 STRETCH = 1 << 20        # characters of a text cut at once
 BLOCK = 1 << 15          # characters encoded in one call
+CHUNKS = 30_000          # chunks linked at once
 EXPAND = 4_000_000       # products of entries held at once
 
 _BORDER = re.compile(r"(?<=\S)(?= )")
@@ -180,10 +181,11 @@ _OPEN: dict[tuple, tuple] = {}
 
 
 def _encoders(paths: tuple) -> tuple:
-    """The two encoders of the vocabulary files with their token sizes and id texts, one set for each Python worker."""
+    """The two encoders of the vocabulary files with their token sizes, one set for each Python worker."""
     if paths not in _OPEN:
         made = ByteLevel(*paths[:3]), Pieces(paths[3])
-        _OPEN[paths] = tuple((e, np.array([len(b) for b in e.bytes], np.int64), [str(i).encode() for i in range(len(e.bytes))]) for e in made)
+        names = [b"%d%s" % (i, mark) for e in made for i in range(len(e.bytes)) for mark in (b",", b"|", b";", b"")]
+        _OPEN[paths] = (*((e, np.array([len(b) for b in e.bytes], np.int64)) for e in made), (names, np.array([len(x) for x in names])))
     return _OPEN[paths]
 
 
@@ -215,42 +217,30 @@ def _stretches(text: str):
         at = stop
 
 
-def _encoded(texts: list[str], encoder, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(ids, tokens of each text, whether its joined token bytes are its own) of chunks; regular ones are encoded in long runs."""
+def _encoded(texts: list[str], raw: list[bytes], encoder, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, tokens of each text, whether its joined token bytes are its own) of chunks (``raw``: in UTF-8); regular ones are encoded in long runs."""
     ids: list[np.ndarray] = []
     counts = np.zeros(len(texts), np.int64)
     good = np.ones(len(texts), bool)
-    raw = [t.encode() for t in texts]
-    spans, a, size = [], 0, 0
-    for i, t in enumerate(texts):
-        single = t[-1].isspace() or not t.strip()
-        if single or size > BLOCK:
-            if i > a:
-                spans.append((a, i))
-            a, size = i, 0
-        if single:
-            spans.append((i, i + 1))
-            a = i + 1
-        size += len(t)
-    if len(texts) > a:
-        spans.append((a, len(texts)))
-    for a, b in spans:
-        todo = [(a, b)]
-        while todo:
-            a, b = todo.pop()
-            got = np.array(encoder.encode("".join(texts[a:b])), np.int64)
-            if b"".join(map(encoder.bytes.__getitem__, got.tolist())) == b"".join(raw[a:b]):
-                ends = np.concatenate([[0], np.cumsum(sizes[got])])
-                borders = np.cumsum([0, *map(len, raw[a:b])])
-                at = np.searchsorted(ends, borders)
-                if (ends[at] == borders).all():
-                    ids.append(got)
-                    counts[a:b] = np.diff(at)
-                    continue
-            if b - a > 1:  # a chunk that does not come back: find it
-                todo.extend([((a + b) // 2, b), (a, (a + b) // 2)])
-            else:
-                good[a] = False
+    borders = np.cumsum([0, *map(len, raw)])
+    single = [i for i, t in enumerate(texts) if t[-1].isspace()]
+    cuts = np.unique(np.concatenate([[0, len(texts)], single, [i + 1 for i in single], np.searchsorted(borders, np.arange(0, borders[-1], BLOCK))]).astype(int)).tolist()
+    todo = list(zip(cuts[:-1], cuts[1:], strict=True))[::-1]
+    while todo:
+        a, b = todo.pop()
+        got = np.array(encoder.encode("".join(texts[a:b])), np.int64)
+        if b"".join(map(encoder.bytes.__getitem__, got.tolist())) == b"".join(raw[a:b]):
+            ends = np.concatenate([[0], np.cumsum(sizes[got])])
+            own = borders[a:b + 1] - borders[a]
+            at = np.searchsorted(ends, own)
+            if (ends[at] == own).all():
+                ids.append(got)
+                counts[a:b] = np.diff(at)
+                continue
+        if b - a > 1:  # a chunk that does not come back: find it
+            todo.extend([((a + b) // 2, b), (a, (a + b) // 2)])
+        else:
+            good[a] = False
     return np.concatenate([np.zeros(0, np.int64), *ids]), counts, good
 
 
@@ -264,34 +254,44 @@ class _Numbered(dict):
 
 def _linked_chunks(texts: list[str], paths: tuple) -> dict:
     """Of every chunk: tokens, groups, links, overlaps and the text of its groups; of all, the id pairs by chunk."""
-    (enc_a, size_a, name_a), (enc_b, size_b, name_b) = _encoders(paths)
-    (ids_a, n_a, good_a), (ids_b, n_b, good_b) = _encoded(texts, enc_a, size_a), _encoded(texts, enc_b, size_b)
+    parts = [_linked_block(texts[a:a + CHUNKS], paths, a) for a in range(0, len(texts), CHUNKS)] or [_linked_block([], paths, 0)]
+    out = {k: np.concatenate([p[k] for p in parts]) for k in parts[0] if k != "groups"}
+    return out | {"groups": [g for p in parts for g in p["groups"]]}
+
+
+def _linked_block(texts: list[str], paths: tuple, offset: int) -> dict:
+    (enc_a, size_a), (enc_b, size_b), (names, sizes) = _encoders(paths)  # names: ids of A, then of B, with each mark behind them
+    raw = [t.encode() for t in texts]
+    (ids_a, n_a, good_a), (ids_b, n_b, good_b) = _encoded(texts, raw, enc_a, size_a), _encoded(texts, raw, enc_b, size_b)
     good = good_a & good_b
-    keep_a, keep_b = np.repeat(good, n_a), np.repeat(good, n_b)
+    n = len(texts)
+    keep_a, keep_b = np.repeat(good[good_a], n_a[good_a]), np.repeat(good[good_b], n_b[good_b])
     ids_a, ids_b, n_a, n_b = ids_a[keep_a], ids_b[keep_b], np.where(good, n_a, 0), np.where(good, n_b, 0)
     ends_a, ends_b = np.cumsum(size_a[ids_a]), np.cumsum(size_b[ids_b])
     ends = group_ends(ends_a, ends_b)
     group_a, group_b = np.searchsorted(ends, ends_a), np.searchsorted(ends, ends_b)
-    chunk_a, chunk_b = np.repeat(np.arange(len(texts)), n_a), np.repeat(np.arange(len(texts)), n_b)
-    last_a = np.flatnonzero(np.diff(group_a, append=-1))
-    chunk_of_group = chunk_a[last_a] if len(last_a) else np.zeros(0, np.int64)
+    chunk_a, chunk_b = np.repeat(np.arange(n), n_a), np.repeat(np.arange(n), n_b)
+    last_a, last_b = np.diff(group_a, append=-1) != 0, np.diff(group_b, append=-1) != 0  # of a group
+    chunk_of_group = chunk_a[last_a]
 
     rows_a, by_group_a = _by_id(chunk_a << 32 | ids_a, group_a, len(ends))
     rows_b, by_group_b = _by_id(chunk_b << 32 | ids_b, group_b, len(ends))
     left, right, links = by_group_a.times(by_group_b.transposed(len(ends)))
     chunk = rows_a[left] >> 32
-    pair = (rows_a[left] & 0xFFFFFFFF) << 32 | (rows_b[right] & 0xFFFFFFFF) if len(left) else np.zeros(0, np.int64)
+    pair = (rows_a[left] & 0xFFFFFFFF) << 32 | (rows_b[right] & 0xFFFFFFFF)
     over_a, _, _ = overlap_links(ends_a, ends_b)
 
-    # the text of every group, then of every chunk
-    first_a, first_b = np.concatenate([[0], last_a + 1]).tolist(), np.concatenate([[0], np.flatnonzero(np.diff(group_b, append=-1)) + 1]).tolist()
-    said_a, said_b = [name_a[i] for i in ids_a.tolist()], [name_b[i] for i in ids_b.tolist()]
-    groups = [b",".join(said_a[first_a[g]:first_a[g + 1]]) + b"|" + b",".join(said_b[first_b[g]:first_b[g + 1]]) for g in range(len(ends))]
-    n_groups = np.bincount(chunk_of_group, minlength=len(texts))
-    upto = np.concatenate([[0], np.cumsum(n_groups)]).tolist()
-    count = lambda c, w=None: np.bincount(c, w, minlength=len(texts)).astype(np.int64)
-    return {"good": good, "n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": count(chunk, links), "n_overlaps": count(chunk_a[over_a]),
-            "groups": [b";".join(groups[upto[i]:upto[i + 1]]) for i in range(len(texts))], "chunk": chunk, "pair": pair, "links": links}
+    # the ids in the order of the groups' text, A before B, each with the mark behind it
+    last_group = np.diff(chunk_of_group, append=-1) != 0  # of a chunk
+    mark_a = np.where(last_a, 1, 0)
+    mark_b = np.where(last_b, np.where(last_group[group_b], 3, 2), 0)
+    order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+    said = np.concatenate([4 * ids_a + mark_a, 4 * (ids_b + len(size_a)) + mark_b])[order]
+    whole = b"".join(map(names.__getitem__, said.tolist()))
+    upto = np.concatenate([[0], np.cumsum(sizes[said])])[np.concatenate([[0], np.cumsum(n_a + n_b)])].tolist()
+    count = lambda c, w=None: np.bincount(c, w, minlength=n).astype(np.int64)
+    return {"good": good, "n_a": n_a, "n_b": n_b, "n_groups": count(chunk_of_group), "n_links": count(chunk, links), "n_overlaps": count(chunk_a[over_a]),
+            "groups": [whole[a:b] for a, b in zip(upto[:-1], upto[1:], strict=True)], "chunk": chunk + offset, "pair": pair, "links": links}
 
 
 def _pack(values: np.ndarray) -> bytes:
@@ -309,7 +309,7 @@ _SLICE = ("ids array<long>, " + ", ".join(f"{c} array<long>" for c in _COUNTS) +
 
 def _slice_row(ids: list, texts: list[str | None], paths: tuple) -> list:
     number = _Numbered()
-    lists = [[np.array(list(map(number.__getitem__, chunks(s))), np.int64) for s in _stretches(t)] if t else [] for t in texts]
+    lists = [[np.array(list(map(number.__getitem__, chunks(s))), np.int32) for s in _stretches(t)] if t else [] for t in texts]
     made = _linked_chunks(list(number), paths)
     pairs, where = np.unique(made["pair"], return_inverse=True)
     by_pair = Csr.of(made["chunk"], where, made["links"], len(number))
@@ -317,7 +317,7 @@ def _slice_row(ids: list, texts: list[str | None], paths: tuple) -> list:
     shas, held, docs = [], [], np.zeros(len(pairs), np.int64)
     size = np.diff(by_pair.start)
     for parts in lists:
-        found, times = np.unique(np.concatenate([np.zeros(0, np.int64), *parts]), return_counts=True)
+        found, times = np.unique(np.concatenate([np.zeros(0, np.int32), *parts]), return_counts=True)
         if not len(found) or not made["good"][found].all():
             found, times, parts = found[:0], times[:0], []
         sha = hashlib.sha256()

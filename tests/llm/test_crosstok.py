@@ -103,9 +103,10 @@ def test_empty_table(frame):
 def test_chunks_are_encoded_as_in_their_text(text):
     parts = crosstok.chunks(" " + text)
     assert "".join(parts) == " " + text
-    (a, size_a, _), (b, size_b, _) = crosstok._encoders(PATHS)
-    ids_a, n_a, good_a = crosstok._encoded(parts, a, size_a)
-    ids_b, n_b, good_b = crosstok._encoded(parts, b, size_b)
+    (a, size_a), (b, size_b), _ = crosstok._encoders(PATHS)
+    raw = [p.encode() for p in parts]
+    ids_a, n_a, good_a = crosstok._encoded(parts, raw, a, size_a)
+    ids_b, n_b, good_b = crosstok._encoded(parts, raw, b, size_b)
     left, right = tokens(text)
     assert good_a.all() and ids_a.tolist() == [i for i, _ in left]
     assert good_b.all() == (b"".join(t for _, t in right) == (" " + text).encode())
