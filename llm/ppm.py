@@ -47,7 +47,7 @@ from .common import cut_lineage, ship
 
 ORDER = 5               # bytes of the longest context: a run is order + 1 <= 6 bytes
 SLICE = 16 << 20        # bytes of text of one slice
-SEGMENT = 4 << 20       # bytes worked at once
+SEGMENT = 1 << 20       # bytes worked at once
 ENTRIES = 1_000_000     # runs or words of one counting task
 PAD, END = 0xFE, 0xFF   # symbols that no UTF-8 text holds
 END_TOKEN = np.uint64(0x5851F42D4C957F2D)
@@ -148,19 +148,23 @@ def _slice_row(ids: list, data: np.ndarray, lens: np.ndarray, train: np.ndarray,
         first = np.flatnonzero(np.concatenate([[True], runs[1:] != runs[:-1]]))
         found.append((runs[first], np.add.reduceat(flag, first)))
     runs, run_times = _distinct(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]))
-    words, doc = _tokens(lower, offs)
-    words, word_times = _distinct(words, train[doc].astype(np.int64))
+    found = [_distinct(words, train[doc].astype(np.int64)) for words, doc in _tokens(lower, offs)]
+    words, word_times = _distinct(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]))
     return (ids, lens.tolist(), zstandard.compress(data.tobytes(), 3), _pack(runs), _zip(run_times.astype("<i8")), len(runs),
             _pack(words), _zip(word_times.astype("<i8")), len(words), int(word_times.sum()))
 
 
-def _tokens(lower: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(key of every word and of one end per document, its document)."""
-    starts, ends = tv.word_spans(lower, offs)
-    words = tv.span_hashes(lower, starts, ends, lower=False) if len(starts) else np.zeros(0, np.uint64)
-    n = np.diff(np.searchsorted(starts, offs, side="left"))
-    docs = np.arange(len(offs) - 1)
-    return np.concatenate([words, np.full(len(docs), END_TOKEN)]), np.concatenate([np.repeat(docs, n), docs])
+def _tokens(lower: np.ndarray, offs: np.ndarray):
+    """(key of every word and of one end per document, its document), for about ``SEGMENT`` bytes of documents at a time."""
+    a, docs = 0, len(offs) - 1
+    while a < docs:
+        b = min(max(a + 1, int(np.searchsorted(offs, offs[a] + SEGMENT, side="right")) - 1), docs)
+        data, own = lower[offs[a]:offs[b]], offs[a:b + 1] - offs[a]
+        starts, ends = tv.word_spans(data, own)
+        words = tv.span_hashes(data, starts, ends, lower=False) if len(starts) else np.zeros(0, np.uint64)
+        n, doc = np.diff(np.searchsorted(starts, own, side="left")), np.arange(a, b)
+        yield np.concatenate([words, np.full(b - a, END_TOKEN)]), np.concatenate([np.repeat(doc, n), doc])
+        a = b
 
 
 _SLICE = ("ids array<long>, lens array<long>, texts binary, runs binary, run_times binary, n_runs long, "
@@ -339,13 +343,17 @@ def ppm_scores(docs: DataFrame, train: Column, order: int = ORDER, doc_id: str =
         key = _unpack(own["words"])
         count = _gather(key, word_ranges, [(r["range"], r["values"]) for r in rows if r["kind"] == 1], "<i8")
         log_p = np.log10((count + 0.5) / (n_train + 0.5 * (known + 1)))
-        token, doc = _tokens(lower, offs)
-        at = np.searchsorted(key, token)
         n = len(lens)
+        tokens, taught, base = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n)
+        for token, doc in _tokens(lower, offs):
+            at = np.searchsorted(key, token)
+            a, b = doc.min(), doc.max() + 1
+            for out, weight in ((tokens, None), (taught, count[at] > 0), (base, log_p[at])):
+                out[a:b] += np.bincount(doc - a, weight, minlength=b - a).astype(out.dtype)
         return pa.table({
-            "doc_id": pa.array(own["ids"], pa.int64()), "n_bytes": pa.array(lens), "n_tokens": pa.array(np.bincount(doc, minlength=n)),
-            "n_known": pa.array(np.bincount(doc[count[at] > 0], minlength=n)), "train_tokens": pa.array(np.full(n, n_train, np.int64)),
-            "base_score": pa.array(np.bincount(doc, log_p[at], minlength=n)), "score": pa.array(score)})
+            "doc_id": pa.array(own["ids"], pa.int64()), "n_bytes": pa.array(lens), "n_tokens": pa.array(tokens), "n_known": pa.array(taught),
+            "train_tokens": pa.array(np.full(n, n_train, np.int64)),
+            "base_score": pa.array(base), "score": pa.array(score)})
 
     columns = ("range", "values", "ids", "lens", "texts", "runs", "words")
     rows = [table.withColumns({"kind": F.lit(0), "range": F.lit(None).cast("int"), "values": F.lit(None).cast("binary")})]
