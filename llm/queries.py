@@ -197,9 +197,9 @@ FROM keyed LEFT JOIN frequent f USING (k) GROUP BY doc_id""",
     "op13_vertical_scan": """
 WITH v AS (
     SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-           list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS q
+           [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS q
     FROM embeddings
-    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 scored AS (
     SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
     FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
