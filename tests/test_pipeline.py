@@ -9,7 +9,7 @@ from vaultmart.operators import report_mart as rm
 from vaultmart.operators import vault
 from vaultmart.plans import pipeline
 from vaultmart.plans.catalog import Vault
-from vaultmart.plans.specs import HUB_BY_NAME, SAT_BY_NAME
+from vaultmart.plans.specs import HUB_BY_NAME, MEASURE_BY_LINK, SAT_BY_NAME
 from vaultmart.sources import tables
 from vaultmart.sources.fixtures import staging_from_testdata
 
@@ -64,7 +64,7 @@ def test_vault_and_mart_runs(spark, workdir):
     for y in YEARS:
         pipeline.run_vault_year(stg, workdir, y)
     pipeline.run_vault_year(stg, workdir, 1996)  # rerun of the middle year
-    stored = spark.read.parquet(f"{workdir}/dds_t_sat_user").drop("year")
+    stored = pipeline.read_satellite(spark, workdir, SAT_BY_NAME["user"]).drop("year")
     payment = Vault(spark, SMALL).hashed("payment").filter(F.year("load_dts").isin(list(YEARS)))
     expected = vault.satellite_backfill(payment, SAT_BY_NAME["user"])
     assert rows(stored) == rows(expected)
@@ -75,14 +75,48 @@ def test_vault_and_mart_runs(spark, workdir):
     fact = spark.read.parquet(f"{workdir}/dm_report_fct")
     sizes = [spark.read.parquet(f"{workdir}/dm_report_dim_{n}").count()
              for n in ("legal_type", "district", "billing_mode", "registration_year")]
-    vip = stored.sparkSession.read.parquet(f"{workdir}/dds_t_sat_user_mdm") \
-        .select("is_vip").distinct().count()
+    vip = pipeline.read_satellite(spark, workdir, SAT_BY_NAME["user_mdm"]).select("is_vip").distinct().count()
     expected_rows = vip
     for s in sizes:
         expected_rows *= s
     assert fact.count() == expected_rows
 
 
+def test_yearly_run_reads_current_versions_and_one_report_year(spark, workdir, monkeypatch):
+    """A run that follows the newest reads no history; a rerun does; the mart lists one year of the links."""
+    stg = staging_from_testdata(spark, SMALL)
+    only = frozenset({"hub_user", "hub_billing_period", "lnk_payment", "sat_payment", "sat_user", "sat_user_mdm"})
+    used = []
+    real = vault.satellite_delta
+
+    def seen(batch, sat, stored, load, current=None):
+        used.append((sat.name, load.year, stored is not None, current is not None))
+        return real(batch, sat, stored, load, current)
+    monkeypatch.setattr(vault, "satellite_delta", seen)
+    for y in (*YEARS, 1996, 1997):
+        pipeline.run_vault_year(stg, workdir, y, only)
+    user = [u[1:] for u in used if u[0] == "user"]
+    assert user == [(1995, False, False), (1996, False, True), (1997, False, True), (1996, True, False), (1997, True, False)]
+    monkeypatch.undo()
+    payment = Vault(spark, SMALL).hashed("payment").filter(F.year("load_dts").isin(list(YEARS)))
+    assert rows(pipeline.read_satellite(spark, workdir, SAT_BY_NAME["user"]).drop("year")) == rows(vault.satellite_backfill(payment, SAT_BY_NAME["user"]))
+    latest = spark.read.parquet(f"{workdir}/dds_c_sat_user/run=1997")
+    history = pipeline.read_satellite(spark, workdir, SAT_BY_NAME["user"]).drop("year")
+    assert rows(latest) == rows(vault.latest_versions(history, SAT_BY_NAME["user"], ods_ops.load_date(1997)))
+    v = pipeline.read_vault(spark, workdir, (MEASURE_BY_LINK["payment"],))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        m = MEASURE_BY_LINK["payment"]
+        facts = rm._facts(v, m, None, "report_year")
+        plan = v.links["payment"].join(v.sats["payment"], "payment_pk")._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and plan.count("Bucketed: true") == 2
+        plan = rm.report_aggregate(v, m, 1996)._jdf.queryExecution().executedPlan().toString()
+        assert "(link_year#" in plan and "= 1996)" in plan
+        assert facts.where("report_year = 1996").count() == rm._facts(v, m, 1996, "report_year").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def first_version(v):
     """The view with one version of each user's master data: a second one doubles the user's measures."""
     return replace(v, sat_user_mdm=v.sat_user_mdm.filter(F.year("load_dts") == 1995))

@@ -1,6 +1,7 @@
 """Hand-made frames for the rules that the test tables do not reach."""
 
 import datetime as dt
+import re
 from collections import Counter
 from decimal import Decimal
 from functools import reduce
@@ -88,7 +89,8 @@ def test_backfill_equals_runs_in_order(spark):
 
 
 def test_backfill_keeps_a_hot_key_as_rows(spark, monkeypatch):
-    """One key holds most versions, new and old ones in every run: no step gathers them into one value."""
+    """One key holds most versions, new and old ones in every run: no step gathers them into one value, and
+    a window over a key sees one row for each of its runs."""
     plans, cut = [], vault.cut_lineage
 
     def seen(df):
@@ -106,7 +108,82 @@ def test_backfill_keeps_a_hot_key_as_rows(spark, monkeypatch):
             result = vault.satellite_backfill(allb, sat)
         plans.append(result._jdf.queryExecution().executedPlan().toString())
         assert Counter(result.collect()) == Counter(expected)
-    assert plans and not [p for p in plans if "collect_" in p or "array" in p.lower() or "Window" in p]
+    assert plans and not [p for p in plans if "collect_" in p or "array" in p.lower()]
+    windows = [p for p in plans if "Window" in p]
+    assert windows
+    for p in windows:
+        below = p[p.rindex("Window"):]
+        assert re.search(r"Aggregate\(key(s)?=\[thing_pk#\d+, load_dts#\d+\]", below)
+
+
+def test_one_version_per_run_needs_no_rounds(spark, monkeypatch):
+    b = {y: batch(spark, y, ("FLAP", "AB"[y % 2], 1), ("SAME", "A", 1), (f"K{y}", "A", 1), *([("GAP", "A", 1)] if y != 2014 else []))
+         for y in (2013, 2014, 2015, 2017)}
+    allb = reduce(lambda x, y: x.unionByName(y), b.values())
+    expected = keys(run_years(spark, b))
+    monkeypatch.setattr(vault, "_stored_again", None)  # must not be called
+    assert keys(vault.satellite_backfill(allb, LINK_SAT)) == expected
+
+
+def test_rounds_beyond_the_kept_ones(spark, monkeypatch):
+    monkeypatch.setattr(vault, "_KEEP", 2)
+    b = {y: batch(spark, y, ("K", "ABC"[y % 3], 1), ("K", "ABC"[(y + y // 3) % 3], 1), ("L", "A", 1), ("L", "B" if y % 4 else "C", 2)) for y in range(2010, 2018)}
+    allb = reduce(lambda x, y: x.unionByName(y), b.values())
+    assert keys(vault.satellite_backfill(allb, LINK_SAT)) == keys(run_years(spark, b))
+
+
+def test_numbers_are_consecutive_without_one_task(spark, monkeypatch):
+    from vaultmart.operators import numbering
+    plans, cut = [], numbering.cut_lineage
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+    monkeypatch.setattr(numbering, "cut_lineage", seen)
+    rows = spark.range(5000).select(((F.col("id") * 7919) % 5000).alias("v"), F.lit("x").alias("place_")).unionByName(
+        spark.sql("select cast(null as bigint) as v, 'n' as place_"))
+    out = numbering.numbered(rows, [F.col("v").asc_nulls_last()], "n")
+    got = sorted((r.n, r.v) for r in out.collect())
+    assert [n for n, _ in got] == list(range(1, 5002)) and [v for _, v in got] == [*range(5000), None]
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert not [p for p in plans if "SinglePartition" in p or "Window" in p] and "rangepartitioning" in plans[0]
+    assert numbering.numbered(rows.limit(0), [F.col("v")], "n").count() == 0
+
+
+def test_bucketed_slices_join_without_exchange(spark, workdir):
+    b = tables.Buckets("pk", 4)
+    rows = spark.range(300).select(F.md5(F.col("id").cast("string")).alias("pk"), F.col("id").alias("v"), (F.col("id") % 3 + 2012).cast("string").alias("year"))
+    tables.append_bucketed(rows.where("v < 200"), f"{workdir}/a", b, "year")
+    tables.append_bucketed(rows.where("v >= 200"), f"{workdir}/a", b, "year")
+    for y in ("2012", "2013", "2014"):
+        tables.replace_slice(rows.where(F.col("year") == y), f"{workdir}/b", y, buckets=b)
+    tables.replace_slice(rows.where("year = '2013' and v > 100"), f"{workdir}/b", "2013", buckets=b)
+    tables.replace_slice(rows.limit(0), f"{workdir}/b", "2014", buckets=b)
+    left = tables.read_bucketed(spark, f"{workdir}/a", rows.schema, b)
+    right = tables.read_bucketed(spark, f"{workdir}/b", rows.schema, b)
+    assert sorted(left.collect()) == sorted(rows.select("pk", "v", "year").collect())
+    assert right.groupBy("year").count().orderBy("year").collect() == [("2012", 100), ("2013", 66)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = left.where("year = '2013'").select("pk", "v").join(right.select("pk", F.col("v").alias("w")), "pk")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "(year#" in plan.split("PartitionFilters")[1]
+        assert joined.count() == 66
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert tables.read_bucketed(spark, f"{workdir}/none", rows.schema, b) is None
+
+
+def test_load_counts_years_and_shows_a_loss(spark, workdir):
+    from pyspark.sql import Observation
+    stg = spark.createDataFrame([(1, "card", "1", "FL", "+7", "1997-01", d, "1.00") for d in ["1997-01-01", "1997-02-01", "1998-01-01", "zz", None]],
+                                tables.STG_SCHEMAS["payment"])
+    seen = Observation()
+    tables.write_slices(ods_ops.ods_all_years(checks.counted_by_year(stg, "payment", seen), "payment"), f"{workdir}/t")
+    compare = lambda: sorted(tuple(r) for r in checks.rows_by_year(seen, tables.read_partitioned(spark, f"{workdir}/t"), "payment").collect())
+    assert compare() == [("payment", 1997, 2, 2), ("payment", 1998, 1, 1)]
+    tables.drop_partitions(spark, f"{workdir}/t", lambda v: v == "1998")
+    assert compare() == [("payment", 1997, 2, 2), ("payment", 1998, 1, 0)]
 
 
 def test_epoch_golden_values(spark):

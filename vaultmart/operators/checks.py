@@ -7,9 +7,10 @@ one place.
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.casts import epoch_ms_to_ts, lenient, year_of
@@ -24,11 +25,26 @@ def _stg_year(stg: DataFrame, source: str):
     return year_of(lenient(spec.date_field, typ))
 
 
-def rows_by_year(stg: DataFrame, ods: DataFrame, source: str) -> DataFrame:
-    """V1: rows per year in staging (by the date field) and in the ODS (by partition)."""
-    s = (stg.select(_stg_year(stg, source).alias("year"))
-         .filter(F.col("year").isNotNull())
-         .groupBy("year").agg(F.count(F.lit(1)).alias("stg_rows")))
+# Bins of a histogram.  Bins of one year, which each task adds, are merged before any others, and exactly, so fewer
+# distinct years than bins are counted exactly.
+MOST_YEARS = 10_000
+
+
+def counted_by_year(stg: DataFrame, source: str, seen: Observation) -> DataFrame:
+    """``stg``, its rows per year counted into ``seen`` (``bins``) while it is loaded."""
+    return (stg.withColumn("_loaded_year", _stg_year(stg, source))
+            .observe(seen, F.histogram_numeric("_loaded_year", F.lit(MOST_YEARS)).alias("bins")).drop("_loaded_year"))
+
+
+def rows_by_year(seen: Observation, ods: DataFrame, source: str) -> DataFrame:
+    """V1: rows per year in staging, counted by the load itself, and in the stored ODS (by partition)."""
+    spark = ods.sparkSession
+    counts: Counter = Counter()
+    for b in seen.get["bins"] or []:  # a year has a bin from each task, or one of several tasks
+        counts[round(b["x"])] += round(b["y"])
+    if len(counts) >= MOST_YEARS:
+        raise ValueError(f"{source} has more years than the load counts")
+    s = spark.createDataFrame(sorted(counts.items()), "year int, stg_rows long")
     o = (ods.select(F.col("year").cast("int").alias("year"))
          .groupBy("year").agg(F.count(F.lit(1)).alias("ods_rows")))
     return (s.join(o, "year", "full")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.casts import epoch_ms_to_ts, lenient, year_bounds_ms, year_of
 from ..functions.keys import hash_columns
-from ..plans.specs import HUBS, LINKS, ODS_SPECS, SAT_USER_MDM, SATS, OdsSpec
+from ..plans.specs import HUBS, LINKS, ODS_SPECS, SAT_USER_MDM, SATS, OdsSpec, SatSpec
 
 # Business-key columns of each link key (the link's own hash key).
 LINK_KEY_COLUMNS: dict[str, tuple[str, ...]] = {
@@ -98,13 +98,16 @@ def _hash_layout(source: str) -> tuple[dict[str, tuple[str, ...]], dict[str, tup
     return keys, diffs
 
 
-def hashed(rows: DataFrame, source: str, load_dts: Column | dt.date | None = None) -> DataFrame:
+def hashed(rows: DataFrame, source: str, load_dts: Column | dt.date | None = None,
+           more: tuple[SatSpec, ...] = ()) -> DataFrame:
     """Hash staging: business keys -> ``<name>_pk``, contexts -> ``<name>_hashdiff``.
 
     ``load_dts`` is the run date of the batch; when None each row gets
     1 January of the year of its own ``effective_from`` (every yearly run at once).
+    ``more`` names satellites whose hashdiff is added to the usual ones.
     """
     keys, diffs = _hash_layout(source)
+    diffs |= {s.name: s.context for s in more}
     date_field = "registered_at" if source == "mdm" else ODS_SPECS[source].date_field
     out = rows
     for name, cols in keys.items():

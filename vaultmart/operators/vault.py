@@ -21,11 +21,14 @@ import datetime as dt
 from collections.abc import Callable, Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
-from ..plans.specs import HubSpec, LinkSpec, SatSpec
-from ..session import cut_lineage
+from ..plans.specs import LINK_YEAR, HubSpec, LinkSpec, SatSpec
+from ..session import cut_lineage, scratch_folder
+
+_KEEP = 8  # rounds after which the stored versions are written anew
 
 
 # ---------------------------------------------------------------- hubs
@@ -63,21 +66,31 @@ def hub_delta(hashed_by_source: dict[str, DataFrame], hub: HubSpec,
 
 # --------------------------------------------------------------- links
 
-def link_candidates(hashed_rows: DataFrame, link: LinkSpec) -> DataFrame:
-    """One row per link key: its earliest load and earliest ``effective_from``."""
+def link_candidates(hashed_rows: DataFrame, link: LinkSpec, year: Column | None = None) -> DataFrame:
+    """One row per link key: its earliest load and earliest ``effective_from``.
+
+    ``year`` (a function of the key's columns) adds the partition column of a stored link.
+    """
     pk = f"{link.name}_pk"
     members = [f"{h}_pk" for h in link.hubs]
+    added = [] if year is None else [year.cast("string").alias(LINK_YEAR)]
     first = hashed_rows.groupBy(pk).agg(
-        F.min(F.struct("load_dts", "effective_from", *members, "rec_source")).alias("_first"))
+        F.min(F.struct("load_dts", "effective_from", *members, "rec_source", *added)).alias("_first"))
     return first.select(pk, *[F.col(f"_first.{m}").alias(m) for m in members],
-                        "_first.effective_from", "_first.load_dts", "_first.rec_source")
+                        "_first.effective_from", "_first.load_dts", "_first.rec_source",
+                        *([F.col(f"_first.{LINK_YEAR}").alias(LINK_YEAR)] if added else []))
 
 
-def link_delta(hashed_rows: DataFrame, link: LinkSpec, stored: DataFrame | None) -> DataFrame:
-    rows = link_candidates(hashed_rows, link)
+def link_delta(hashed_rows: DataFrame, link: LinkSpec, stored: DataFrame | None, year: Column | None = None) -> DataFrame:
+    """Link rows to append: keys not stored yet, looked for in the partitions of the batch's years only."""
+    rows = link_candidates(hashed_rows, link, year)
     if stored is None:
         return rows
     pk = f"{link.name}_pk"
+    if year is not None:
+        years = [r[0] for r in hashed_rows.select(year.cast("string")).distinct().collect()]  # one value per report year
+        stored = stored.filter(F.col(LINK_YEAR).isin([y for y in years if y is not None])
+                               | (F.col(LINK_YEAR).isNull() if None in years else F.lit(False)))
     return rows.join(stored.select(pk), pk, "left_anti")
 
 
@@ -131,14 +144,17 @@ def latest_versions(stored: DataFrame, sat: SatSpec, bound: dt.date) -> DataFram
 
 
 def satellite_delta(hashed_batch: DataFrame, sat: SatSpec, stored: DataFrame | None,
-                    load_dts: dt.date) -> DataFrame:
+                    load_dts: dt.date, current: DataFrame | None = None) -> DataFrame:
     """Rows the run inserts: distinct batch rows whose (pk, hashdiff) is not
     among the key's latest stored versions.  ``stored`` must not hold the
-    run's own year (the run deletes it first).  A NULL key never matches, so
-    such rows are always inserted."""
+    run's own year (the run deletes it first).  ``current`` (key, hashdiff), where
+    it is kept, is what the latest stored versions are, and no history is read.  A
+    NULL key never matches, so such rows are always inserted."""
     # distinct first: repeated rows of a hot key collapse map-side, before
     # the anti join's shuffle on (pk, hashdiff)
     src = satellite_source(hashed_batch, sat).distinct()
+    if current is not None:
+        return src.join(current.select(*sat_keys(sat)), list(sat_keys(sat)), "left_anti").select(*sat_columns(sat))
     if stored is None:
         return src
     # only versions of the batch's keys matter: the stored history of all others is not aggregated
@@ -148,6 +164,13 @@ def satellite_delta(hashed_batch: DataFrame, sat: SatSpec, stored: DataFrame | N
     return src.join(latest, list(sat_keys(sat)), "left_anti")
 
 
+def current_versions(sat: SatSpec, delta: DataFrame, current: DataFrame) -> DataFrame:
+    """The (key, hashdiff) pairs of each key's latest inserting run after a run that inserted ``delta``."""
+    pk, hd = sat_keys(sat)
+    new = delta.where(F.col(pk).isNotNull() & F.col(hd).isNotNull()).select(pk, hd).distinct()
+    return current.select(pk, hd).join(new.select(pk).distinct(), pk, "left_anti").unionByName(new)
+
+
 # -------------------------------------------------------- several yearly runs
 
 def satellite_over_years(batch_of_year: Callable[[int], DataFrame], sat: SatSpec,
@@ -173,38 +196,56 @@ def satellite_over_years(batch_of_year: Callable[[int], DataFrame], sat: SatSpec
 def satellite_backfill(batches: DataFrame, sat: SatSpec) -> DataFrame:
     """Every run that ``batches`` holds, in the order of ``load_dts``, on an empty satellite.
 
-    All versions of a key seen in one run only are inserted.  The (key, hashdiff,
-    load) triples of the other keys go through the runs in order, each a round
-    whose result is cut: a version is inserted unless the key's latest inserting
-    run stored it.  The triples found stored then leave the rows, so context
-    columns never enter the rounds.
-
-    A key's versions stay rows, never one value: a round joins them on (key,
-    hashdiff), which spreads a hot key, and on (key, load) with one row per key
-    on the right, which skew join splits.  There is one round per distinct load
-    date.  Rows with a NULL key never match a stored version and are always
-    inserted.
+    A version is inserted unless the key's latest inserting run stored it.  Where a
+    key has one version in each of its runs that is the version of its run before, so
+    one pass over the runs of a key (one row per key and run) tells.  Keys with
+    several versions in a run go through the runs in rounds (``_stored_again``).
+    The triples (key, hashdiff, load) found stored then leave the rows, so context
+    columns enter neither.  Rows with a NULL key never match a stored version and
+    are always inserted.
     """
     pk, hd = sat_keys(sat)
     batches = batches.where(F.col("load_dts").isNotNull())  # rows without a date belong to no run
     rows = batches.select(*sat_columns(sat))
     rows = _first_rows(rows, sat, [pk, hd, "load_dts"]) if sat.first_only else rows.distinct()
-    versions = batches.where(F.col(pk).isNotNull() & F.col(hd).isNotNull()).select(pk, hd, "load_dts").distinct()
-    several = (versions.groupBy(pk).agg(F.min("load_dts").alias("_from"), F.max("load_dts").alias("_to"))
-               .where("_from < _to").select(pk))
-    folded = cut_lineage(versions.join(several, pk, "left_semi"))
-    judged: DataFrame | None = None
-    for (load,) in sorted(folded.select("load_dts").distinct().collect()):
-        found = folded.where(F.col("load_dts") == F.lit(load))
-        if judged is None:
-            judged = found.withColumn("_again", F.lit(False))
-            continue
-        stored = judged.where("not _again").select(pk, hd, "load_dts")
-        last = stored.groupBy(pk).agg(F.max("load_dts").alias("load_dts"))
-        latest = stored.join(last, [pk, "load_dts"], "left_semi").select(pk, hd, F.lit(True).alias("_stored"))
-        judged = judged.unionByName(cut_lineage(found.join(latest, [pk, hd], "left").select(
-            pk, hd, "load_dts", F.col("_stored").isNotNull().alias("_again"))))
-    if judged is None:
-        return rows
-    again = judged.where("_again").select(pk, hd, "load_dts")
+    versions = batches.where(F.col(pk).isNotNull() & F.col(hd).isNotNull()).select(pk, hd, "load_dts")
+    # one row per key and run, however many versions the run has: a key's window holds its runs
+    runs = versions.groupBy(pk, "load_dts").agg(F.min(hd).alias(hd), F.max(hd).alias("_other"))
+    of_key = Window.partitionBy(pk)
+    runs = cut_lineage(runs.select(
+        pk, hd, "load_dts", F.lag(hd).over(of_key.orderBy("load_dts")).alias("_before"),
+        F.max(F.col(hd) != F.col("_other")).over(of_key).alias("_several"), F.count("*").over(of_key).alias("_runs"))
+        .where("_several or _before = " + hd))
+    again = runs.where("not _several").select(pk, hd, "load_dts")
+    several = runs.where("_several and _runs > 1").select(pk).distinct()
+    if several.limit(1).count():
+        again = again.unionByName(_stored_again(versions.distinct().join(several, pk, "left_semi"), pk, hd))
     return rows.join(again, [pk, hd, "load_dts"], "left_anti").select(*sat_columns(sat))
+
+
+def _stored_again(versions: DataFrame, pk: str, hd: str) -> DataFrame:
+    """The triples of ``versions`` that the latest inserting run of their key stored, run by run.
+
+    A key's versions stay rows, never one value: a round joins them on (key,
+    hashdiff), which spreads a hot key, with what is stored, the versions of each
+    key's latest inserting run only.  A round writes its triples into a folder of
+    one table, read once at the end; what is stored is written every ``_KEEP``
+    rounds.  There is one round per distinct load date.
+    """
+    versions = cut_lineage(versions)
+    spark, folder = versions.sparkSession, scratch_folder(versions.sparkSession)
+    stored: DataFrame | None = None
+    for n, (load,) in enumerate(sorted(versions.select("load_dts").distinct().collect())):
+        found = versions.where(F.col("load_dts") == F.lit(load))
+        if stored is None:
+            judged = found.withColumn("_again", F.lit(False))
+        else:
+            judged = found.join(stored.withColumn("_again", F.lit(True)), [pk, hd], "left").withColumn("_again", F.col("_again").isNotNull())
+        path = f"{folder}/round={n}"
+        judged.write.parquet(path)
+        new = spark.read.schema(judged.schema).parquet(path).where("not _again").select(pk, hd)
+        stored = new if stored is None else stored.join(new.select(pk).distinct(), pk, "left_anti").unionByName(new)
+        if n % _KEEP == _KEEP - 1:
+            stored = cut_lineage(stored)
+    table = StructType([*versions.schema.fields, StructField("_again", BooleanType())])
+    return spark.read.schema(table).parquet(f"{folder}/round=*").where("_again").select(pk, hd, "load_dts")

@@ -7,12 +7,11 @@ and runs the warehouse builders over the whole tables.
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import checks, reports
@@ -21,13 +20,13 @@ from ..operators import report_mart as rm
 from ..operators import vault
 from ..operators.lake_mart import min_max_avg_mart
 from ..operators.ods import ods_all_years, ods_slice
-from ..session import cut_lineage, ensure_checkpoint_dir
+from ..session import cut_lineage, scratch_folder
 from ..sources import tables
 from ..sources.fixtures import Staging, mdm_snapshots, staging_from_testdata
 from . import params as P
 from . import pipeline
 from .specs import (DM_DIMENSIONS, DM_V1_DIMENSIONS, HUB_BY_NAME, LINK_BY_NAME,
-                    MEASURE_BY_LINK, MEASURES, SAT_BY_NAME, SAT_USER_V1)
+                    HUBS, LINKS, MEASURE_BY_LINK, MEASURES, SAT_BY_NAME, SAT_PAYMENT_V1, SAT_USER_MDM, SAT_USER_V1, SATS)
 
 SOURCES = ("billing", "issue", "payment", "traffic")
 
@@ -86,10 +85,14 @@ def _stored_ods(spark: SparkSession, sf_dir: str, source: str) -> str:
 
 @query("ods_rows_by_year")
 def ods_rows_by_year(spark, sf_dir):
-    """Rows per year in staging against the stored ODS tables."""
+    """Rows per year in staging, counted while the ODS tables are written, against the stored tables."""
     s = stg(spark, sf_dir)
-    return _union([checks.rows_by_year(s.source(src), tables.read_partitioned(spark, _stored_ods(spark, sf_dir, src)), src)
-                   for src in SOURCES])
+    out = []
+    for src in SOURCES:
+        seen, path = Observation(), _scratch(spark, f"ods_{src}")
+        tables.write_slices(ods_all_years(checks.counted_by_year(s.source(src), src, seen), src), path)
+        out.append(checks.rows_by_year(seen, tables.read_partitioned(spark, path), src))
+    return _union(out)
 
 
 @query("partition_values")
@@ -264,7 +267,10 @@ class Vault:
 
     def satellite(self, sat) -> DataFrame:
         """The satellite after every yearly run, in order."""
-        return vault.satellite_backfill(self.hashed(sat.source).select(*vault.sat_columns(sat)), sat)
+        rows = self.hashed(sat.source)
+        if f"{sat.name}_hashdiff" not in rows.columns:  # a satellite of the first version
+            rows = ods_ops.hashed(self.ods(sat.source), sat.source, more=(sat,))
+        return vault.satellite_backfill(rows.select(*vault.sat_columns(sat)), sat)
 
     def view(self, links=tuple(m.link for m in MEASURES)) -> rm.VaultView:
         """The tables a mart reads."""
@@ -325,6 +331,7 @@ for _name in LINK_BY_NAME:
 for _name, _sat in SAT_BY_NAME.items():
     QUERIES[f"sat_{_name}"] = _sat_query(_sat)
 QUERIES["sat_user_v1"] = _sat_query(SAT_USER_V1)
+QUERIES["sat_payment_v1"] = _sat_query(SAT_PAYMENT_V1)
 
 
 @query("sat_rerun_year")
@@ -388,8 +395,8 @@ def payment_report_fct(spark, sf_dir):
 # ------------------------------------------------------------------ table IO
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder for a query's tables inside the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    """A fresh folder for a query's tables inside the shared checkpoint folder; it goes with the session."""
+    return f"{scratch_folder(spark)}/{name}"
 
 
 @query("replace_slice_rerun")
@@ -429,13 +436,31 @@ def _run_years(spark: SparkSession, sf_dir: str) -> list[int]:
     return [r.y for r in rows]
 
 
-def _loaded_vault(spark: SparkSession, sf_dir: str, only: frozenset[str]) -> tuple[str, list[int]]:
+_DONE: dict[tuple, str] = {}
+
+
+def _once(spark: SparkSession, what: tuple, name: str, run: Callable[[str], None]) -> str:
+    """The folder that ``run`` fills; queries of one session that need the same runs share it while it stands."""
+    key = (spark.sparkContext.applicationId, *what)
+    if key not in _DONE or not tables.path_exists(spark, f"{_DONE[key]}/done"):
+        root = _scratch(spark, name)
+        run(root)
+        spark.range(1).write.parquet(f"{root}/done")
+        _DONE[key] = root
+    return _DONE[key]
+
+
+def _loaded_vault(spark: SparkSession, sf_dir: str, only: frozenset[str] | None) -> tuple[str, list[int]]:
     """Run the yearly vault loads in order, then one year again; (folder, years)."""
-    root, years, s = _scratch(spark, "vault"), _run_years(spark, sf_dir), stg(spark, sf_dir)
-    for year in [*years, *[y for y in years if y == P.RERUN_YEAR]]:
-        mdm = mdm_snapshots(s.mdm_user, F.array(F.lit(year))).drop("_year")
-        pipeline.run_vault_year(replace(s, mdm_user=mdm), root, year, only)
-    return root, years
+    years = _run_years(spark, sf_dir)
+
+    def load(root: str) -> None:
+        s = stg(spark, sf_dir)
+        for year in [*years, *[y for y in years if y == P.RERUN_YEAR]]:
+            mdm = mdm_snapshots(s.mdm_user, F.array(F.lit(year))).drop("_year")
+            pipeline.run_vault_year(replace(s, mdm_user=mdm), root, year, only)
+
+    return _once(spark, ("vault", sf_dir, only), "vault", load), years
 
 
 PAYMENT_VAULT = frozenset({"hub_user", "hub_billing_period", "lnk_payment", "sat_payment", "sat_user_mdm"})
@@ -453,10 +478,37 @@ def pipeline_lake(spark, sf_dir):
     return tables.read_partitioned(spark, f"{root}/dm_traffic")
 
 
+@query("pipeline_lake_tables")
+def pipeline_lake_tables(spark, sf_dir):
+    """All four sources, stamped by the runs themselves: rows per table and year, and whether every stamp of
+    the mart is of this run and its user."""
+    root, s = _scratch(spark, "lake"), stg(spark, sf_dir)
+    began, user = spark.sql("select current_timestamp() as t, current_user() as u").first()
+    for year in _run_years(spark, sf_dir):
+        pipeline.run_lake_year(s, root, year)
+    stamped = F.col("updated_at").isNotNull() & (F.col("updated_at") >= F.lit(began)) & (F.col("updated_at") <= F.current_timestamp()) & (
+        F.col("updated_by") == F.lit(user))
+    parts = [tables.read_partitioned(spark, f"{root}/ods_{src}").select(F.lit(f"ods_{src}").alias("table_name"), "year", F.lit(True).alias("stamped"))
+             for src in SOURCES]
+    parts.append(tables.read_partitioned(spark, f"{root}/dm_traffic").select(F.lit("dm_traffic").alias("table_name"), "year", stamped.alias("stamped")))
+    return _union(parts).groupBy("table_name", "year").agg(F.count("*").alias("row_count"), F.bool_and("stamped").alias("stamped"))
+
+
+@query("pipeline_vault_tables")
+def pipeline_vault_tables(spark, sf_dir):
+    """Every hub, link and satellite after the yearly runs and one run again: rows and keys per table and load."""
+    root, _ = _loaded_vault(spark, sf_dir, None)
+    stored = [(f"hub_{x.name}", f"{x.name}_pk", spark.read.parquet(f"{root}/dds_t_hub_{x.name}")) for x in HUBS]
+    stored += [(f"lnk_{x.name}", f"{x.name}_pk", pipeline.read_link(spark, root, x)) for x in LINKS]
+    stored += [(f"sat_{x.name}", vault.sat_keys(x)[0], pipeline.read_satellite(spark, root, x)) for x in (*SATS, SAT_USER_MDM)]
+    return _union([df.groupBy("load_dts").agg(F.count("*").alias("row_count"), F.count_distinct(k).alias("key_count"), F.min(k).alias("first_key"),
+                                              F.max(k).alias("last_key")).withColumn("table_name", F.lit(name)) for name, k, df in stored])
+
+
 @query("pipeline_vault_sat_user")
 def pipeline_vault_sat_user(spark, sf_dir):
     root, _ = _loaded_vault(spark, sf_dir, frozenset({"sat_user"}))
-    return spark.read.parquet(f"{root}/dds_t_sat_user").drop("year")
+    return pipeline.read_satellite(spark, root, SAT_BY_NAME["user"]).drop("year")
 
 
 @query("pipeline_vault_hub_user")
@@ -465,13 +517,25 @@ def pipeline_vault_hub_user(spark, sf_dir):
     return spark.read.parquet(f"{root}/dds_t_hub_user")
 
 
-def _payment_marts(spark, sf_dir):
-    root, years = _loaded_vault(spark, sf_dir, PAYMENT_VAULT)
-    for year in [*years, *[y for y in years if y == P.RERUN_YEAR]]:
-        pipeline.run_mart_year(spark, root, year, _V1_MEASURE)
+MART_VAULT = PAYMENT_VAULT | {f"{kind}_{m.link}" for m in MEASURES for kind in ("lnk", "sat")}
+
+
+def _marts(spark, sf_dir, only, measures):
+    """The yearly mart runs on the loaded vault, then one year again; the vault's folder holds the marts too."""
+    root, years = _loaded_vault(spark, sf_dir, only)
+
+    def load(_: str) -> None:
+        for year in [*years, *[y for y in years if y == P.RERUN_YEAR]]:
+            pipeline.run_mart_year(spark, root, year, measures)
+
+    _once(spark, ("marts", root), "marts", load)
     return root
 
 
+def _payment_marts(spark, sf_dir):
+    return _marts(spark, sf_dir, PAYMENT_VAULT, _V1_MEASURE)
+
+
 @query("pipeline_mart_dims")
 def pipeline_mart_dims(spark, sf_dir):
     root = _payment_marts(spark, sf_dir)
@@ -484,6 +548,12 @@ def pipeline_mart_fct(spark, sf_dir):
     return spark.read.parquet(f"{_payment_marts(spark, sf_dir)}/dm_report_fct").drop("report_year")
 
 
+@query("pipeline_mart_all")
+def pipeline_mart_all(spark, sf_dir):
+    """The dense fact of all four measures, run by run."""
+    return spark.read.parquet(f"{_marts(spark, sf_dir, MART_VAULT, MEASURES)}/dm_report_fct").drop("report_year")
+
+
 @query("pipeline_payment_v1")
 def pipeline_payment_v1(spark, sf_dir):
     root, years = _loaded_vault(spark, sf_dir, PAYMENT_VAULT)

@@ -34,8 +34,10 @@ def with_(*names: str) -> str:
 
 
 # ------------------------------------------------------------------ staging fixtures
-cte("stg_payment", """
-SELECT CAST(o_custkey AS INTEGER) AS user_id,
+# orders of low priority in status P belong to guests, whom master data do not know
+_USER = "CASE WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'P' THEN -o_custkey ELSE o_custkey END"
+cte("stg_payment", f"""
+SELECT CAST({_USER} AS INTEGER) AS user_id,
        o_orderpriority AS pay_doc_type,
        CASE WHEN o_orderkey % 97 = 0 THEN 'N/A-' ELSE '' END || CAST(o_orderkey AS VARCHAR) AS pay_doc_num,
        'FL-' || CAST(o_custkey AS VARCHAR) AS account,
@@ -45,8 +47,8 @@ SELECT CAST(o_custkey AS INTEGER) AS user_id,
        CAST(CAST(o_totalprice AS DECIMAL(10,2)) AS VARCHAR) AS pay_sum
 FROM orders""")
 
-cte("stg_billing", """
-SELECT CAST(o.o_custkey AS INTEGER) AS user_id,
+cte("stg_billing", f"""
+SELECT CAST({_USER} AS INTEGER) AS user_id,
        strftime(l.l_shipdate, '%Y-%m') AS billing_period,
        l.l_returnflag AS service,
        l.l_linestatus AS tariff,
@@ -54,8 +56,8 @@ SELECT CAST(o.o_custkey AS INTEGER) AS user_id,
        strftime(l.l_shipdate, '%Y-%m-%d') AS created_at
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""")
 
-cte("stg_issue", """
-SELECT CAST(o_custkey AS VARCHAR) AS user_id,
+cte("stg_issue", f"""
+SELECT CAST({_USER} AS VARCHAR) AS user_id,
        strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS start_time,
        strftime(o_orderdate + to_days(CAST(o_orderkey % 10 AS INTEGER)), '%Y-%m-%d %H:%M:%S') AS end_time,
        o_orderstatus AS title,
@@ -63,8 +65,8 @@ SELECT CAST(o_custkey AS VARCHAR) AS user_id,
        CASE o_orderkey % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'N' ELSE 'R' END AS service
 FROM orders""")
 
-cte("stg_traffic", """
-SELECT CAST(o.o_custkey AS INTEGER) AS user_id,
+cte("stg_traffic", f"""
+SELECT CAST({_USER} AS INTEGER) AS user_id,
        epoch_ms(l.l_shipdate) + l.l_partkey * 1000 + l.l_linenumber AS traffic_ms,
        'd00' || CAST(l.l_suppkey % 9 + 1 AS VARCHAR) AS device_id,
        '10.0.' || CAST(l.l_suppkey % 9 + 1 AS VARCHAR) || '.' || CAST(l.l_orderkey % 5 AS VARCHAR) AS device_ip_addr,
@@ -81,8 +83,7 @@ SELECT CAST(c.c_custkey AS INTEGER) AS user_id,
        make_date(CAST(1995 + c.c_custkey % 7 AS INTEGER), 1, 1) AS registered_at
 FROM customer c
 JOIN nation n ON c.c_nationkey = n.n_nationkey
-JOIN region r ON n.n_regionkey = r.r_regionkey
-WHERE c.c_acctbal >= 0""")
+JOIN region r ON n.n_regionkey = r.r_regionkey""")
 
 # ------------------------------------------------------------------ typed ODS, all years
 cte("ods_payment", """
@@ -306,6 +307,9 @@ SELECT p.* EXCLUDE (year),
        pay_date AS effective_from, {_load('pay_date')} AS load_dts, 'payment' AS rec_source
 FROM ods_payment p""", "ods_payment")
 
+cte("hashed_payment_v1", f"SELECT *, {h(*_c('pay_doc_type', 'pay_doc_num', 'pay_sum'))} AS payment_v1_hashdiff FROM hashed_payment",
+    "hashed_payment")
+
 cte("hashed_billing", f"""
 SELECT b.* EXCLUDE (year),
        {h(*_c('user_id'))} AS user_pk,
@@ -436,6 +440,7 @@ _SATS = {  # query: (satellite, source, context, first row per hashdiff and run
     "user": ("user", "hashed_payment", ("phone",), True, None),
     "user_v1": ("user", "hashed_payment", ("phone",), False, None),
     "payment": ("payment", "hashed_payment", ("pay_doc_num", "pay_sum"), False, None),
+    "payment_v1": ("payment_v1", "hashed_payment_v1", ("pay_doc_type", "pay_doc_num", "pay_sum"), False, "payment"),
     "issue": ("issue", "hashed_issue", ("title", "description", "end_time"), False, None),
     "billing": ("billing", "hashed_billing", ("billing_sum",), False, None),
     "traffic": ("traffic", "hashed_traffic", ("bytes_sent", "bytes_received"), False, None),
@@ -537,3 +542,14 @@ SELECT {', '.join(f'{d}_id' for d in _DIMS)}, is_vip, coalesce(payment_sum, CAST
 FROM (SELECT * EXCLUDE (since) FROM {_grid}) g
 LEFT JOIN total_payment USING ({', '.join(_DIMS)}, is_vip)"""
 ORACLE["pipeline_payment_v1"] = ORACLE["payment_report_fct"]
+
+# every table of the scheduled runs: rows by year or load, and their keys
+ORACLE["pipeline_lake_tables"] = with_(*[f"ods_{s}" for s in _SOURCES], "dm_traffic") + "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, year, count(*) AS row_count, TRUE AS stamped FROM {t} GROUP BY year"
+    for t in (*[f"ods_{s}" for s in _SOURCES], "dm_traffic"))
+_STORED = {**{f"hub_{x}": f"{x}_pk" for x in _HUB_FEEDS}, **{f"lnk_{x}": f"{x}_pk" for x in _LINK_HUBS},
+           **{f"sat_{n}": f"{parent or s}_pk" for n, (s, _, _, _, parent) in _SATS.items() if not n.endswith("_v1")}}
+ORACLE["pipeline_vault_tables"] = with_(*_STORED) + "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, load_dts, count(*) AS row_count, count(DISTINCT {k}) AS key_count, min({k}) AS first_key, max({k}) AS last_key "
+    f"FROM {t} GROUP BY load_dts" for t, k in _STORED.items())
+ORACLE["pipeline_mart_all"] = ORACLE["report_fct_dense"]

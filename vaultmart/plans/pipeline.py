@@ -13,10 +13,14 @@ replaces that year's slices and leaves the other years alone.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DateType, StringType, StructField, StructType
 
+from ..functions.casts import period_year
 from ..operators import ods as ods_ops
 from ..operators import report_mart as rm
 from ..operators import vault
@@ -24,8 +28,8 @@ from ..operators.lake_mart import min_max_avg_mart
 from ..session import cut_lineage, scratch_scope
 from ..sources import tables
 from ..sources.fixtures import Staging
-from .specs import (DM_DIMENSIONS, DM_V1_DIMENSIONS, HUBS, LINKS, MEASURE_BY_LINK, MEASURES,
-                    SAT_USER_MDM, SATS, MeasureSpec)
+from .specs import (BUCKETS, DM_DIMENSIONS, DM_V1_DIMENSIONS, HUBS, LINK_BY_NAME, LINK_YEAR, LINKS, MEASURE_BY_LINK, MEASURES,
+                    ODS_SPECS, SAT_BY_NAME, SAT_USER_MDM, SATS, HubSpec, LinkSpec, MeasureSpec, SatSpec)
 
 LAKE_SOURCES = ("billing", "issue", "payment", "traffic")
 
@@ -73,75 +77,147 @@ def _slice_of_load_year(df: DataFrame | None, year: int) -> DataFrame | None:
     return None if df is None else df.filter(F.year("load_dts") != F.lit(year))
 
 
+def _buckets(spark: SparkSession, key: str) -> tables.Buckets:
+    return tables.Buckets(key, int(spark.conf.get("spark.vaultmart.buckets", str(BUCKETS))))
+
+
+def _text() -> StructField:
+    return StructField("rec_source", StringType())
+
+
+def _sat_schema(sat: SatSpec) -> StructType:
+    """Columns of a stored satellite, from the metadata."""
+    if sat.source == "mdm":
+        kinds, effective = {"is_vip": BooleanType()}, DateType()
+    else:
+        spec = dict(ODS_SPECS[sat.source].columns)
+        kinds = {c: StructType.fromDDL(f"x {spec[c]}")[0].dataType for c in sat.context}
+        effective = StructType.fromDDL(f"x {spec[ODS_SPECS[sat.source].date_field]}")[0].dataType
+    return StructType([*[StructField(c, StringType()) for c in vault.sat_keys(sat)],
+                       *[StructField(c, kinds.get(c, StringType())) for c in sat.context],
+                       StructField("effective_from", effective), StructField("load_dts", DateType()), _text()])
+
+
+def _link_schema(link: LinkSpec) -> StructType:
+    effective = StructType.fromDDL(f"x {dict(ODS_SPECS[link.source].columns)[ODS_SPECS[link.source].date_field]}")[0].dataType
+    return StructType([StructField(f"{n}_pk", StringType()) for n in (link.name, *link.hubs)]
+                      + [StructField("effective_from", effective), StructField("load_dts", DateType()), _text()])
+
+
+def read_satellite(spark: SparkSession, root: str, sat: SatSpec) -> DataFrame | None:
+    """A stored satellite, partitioned by ``year`` of the load and bucketed by its key."""
+    return tables.read_bucketed(spark, _path(root, f"dds_t_sat_{sat.name}"), _sat_schema(sat), _buckets(spark, vault.sat_keys(sat)[0]))
+
+
+def read_link(spark: SparkSession, root: str, link: LinkSpec) -> DataFrame | None:
+    """A stored link, partitioned by report year (``link_year``) and bucketed by its key."""
+    return tables.read_bucketed(spark, _path(root, f"dds_t_lnk_{link.name}"), _link_schema(link), _buckets(spark, f"{link.name}_pk"), LINK_YEAR)
+
+
+def _link_year(link: LinkSpec) -> Column:
+    """Report year of a link's events: the billing period's, else the event's."""
+    return period_year("billing_period") if MEASURE_BY_LINK[link.name].from_billing else F.year("effective_from")
+
+
 def run_vault_year(stg: Staging, root: str, year: int, only: frozenset[str] | None = None) -> None:
     with scratch_scope(stg.payment.sparkSession):
         _run_vault_year(stg, root, year, only)
 
 
+def _together(jobs: list) -> None:
+    """Run independent jobs side by side; the first error is raised."""
+    with ThreadPoolExecutor(4) as pool:
+        for done in [pool.submit(inheritable_thread_target(j)) for j in jobs]:
+            done.result()
+
+
 def _run_vault_year(stg: Staging, root: str, year: int, only: frozenset[str] | None) -> None:
     """One yearly vault run, of all tables or of those named (``hub_user``, ``lnk_issue``, ``sat_device``).
 
     The hashed ODS slice of each source is replaced (partitioned by the year of
     ``effective_from``); MDM is reloaded in full; hubs and links get the keys
     they do not hold yet; each satellite replaces its own load-year slice with
-    the rows that differ from the latest stored versions.
+    the rows that differ from the latest stored versions.  Tables that do not
+    depend on each other are loaded side by side.
     """
     spark = stg.payment.sparkSession
-    load = ods_ops.load_date(year)
     hashed: dict[str, DataFrame] = {}
     hubs = [x for x in HUBS if only is None or f"hub_{x.name}" in only]
     links = [x for x in LINKS if only is None or f"lnk_{x.name}" in only]
     sats = [x for x in SATS + (SAT_USER_MDM,) if only is None or f"sat_{x.name}" in only]
     needed = {f.source for x in hubs for f in x.sources} | {x.source for x in (*links, *sats)}
-    for source in LAKE_SOURCES:
-        if source not in needed:
-            continue
+
+    def load_source(source: str) -> None:
         rows = ods_ops.ods_slice(stg.source(source), source, year)
         tables.replace_slice(rows, _path(root, f"ods_t_{source}"), str(year))
-        h = ods_ops.hashed_slice(rows, source, year)
-        tables.replace_slice(h, _path(root, f"ods_t_{source}_hashed"), str(year))
+        stored = tables.read_partitioned(spark, _path(root, f"ods_t_{source}")).filter(F.col("year") == F.lit(str(year)))
+        tables.replace_slice(ods_ops.hashed_slice(stored, source, year), _path(root, f"ods_t_{source}_hashed"), str(year))
         hashed[source] = tables.read_partitioned(
             spark, _path(root, f"ods_t_{source}_hashed")).filter(
                 F.col("year") == F.lit(str(year))).drop("year")
-    if "mdm" in needed:
+
+    def load_master() -> None:
         tables.reload(stg.mdm_user, _path(root, "ods_t_user"))
-        tables.reload(ods_ops.mdm_reload(stg.mdm_user, year), _path(root, "ods_t_user_hashed"))
+        tables.reload(ods_ops.mdm_reload(spark.read.parquet(_path(root, "ods_t_user")), year), _path(root, "ods_t_user_hashed"))
         hashed["mdm"] = spark.read.parquet(_path(root, "ods_t_user_hashed"))
 
-    for hub in hubs:
-        path = _path(root, f"dds_t_hub_{hub.name}")
+    def load_hub(hub: HubSpec) -> None:
         stored = _read(spark, root, f"dds_t_hub_{hub.name}")
         delta = vault.hub_delta(hashed, hub, stored)
-        tables.append(cut_lineage(delta) if stored is not None else delta, path)
-    for link in links:
-        path = _path(root, f"dds_t_lnk_{link.name}")
-        stored = _read(spark, root, f"dds_t_lnk_{link.name}")
-        delta = vault.link_delta(hashed[link.source], link, stored)
-        tables.append(cut_lineage(delta) if stored is not None else delta, path)
-    for sat in sats:
-        name = f"dds_t_sat_{sat.name}"
-        stored = _read(spark, root, name)
-        if stored is not None:
-            # only loads up to this run can be "latest": prune later partitions
-            stored = stored.filter(F.col("year").cast("int") <= F.lit(year)).drop("year")
-        delta = vault.satellite_delta(hashed[sat.source], sat,
-                                      _slice_of_load_year(stored, year), load)
-        tables.replace_slice(delta.withColumn("year", F.lit(str(year))),
-                             _path(root, name), str(year), reads_target=stored is not None)
+        tables.append(cut_lineage(delta) if stored is not None else delta, _path(root, f"dds_t_hub_{hub.name}"))
+
+    def load_link(link: LinkSpec) -> None:
+        stored = read_link(spark, root, link)
+        delta = vault.link_delta(hashed[link.source], link, stored, _link_year(link))
+        tables.append_bucketed(cut_lineage(delta), _path(root, f"dds_t_lnk_{link.name}"), _buckets(spark, f"{link.name}_pk"), LINK_YEAR)
+
+    _together([lambda s=s: load_source(s) for s in LAKE_SOURCES if s in needed] + ([load_master] if "mdm" in needed else []))
+    _together([lambda x=x: load_hub(x) for x in hubs] + [lambda x=x: load_link(x) for x in links]
+              + [lambda x=x: _load_satellite(spark, root, x, hashed[x.source], year) for x in sats])
+
+
+def _load_satellite(spark: SparkSession, root: str, sat: SatSpec, batch: DataFrame, year: int) -> None:
+    """Replace a satellite's slice of the year, and the table of its current versions.
+
+    ``dds_c_sat_<name>/run=<year>`` holds (key, hashdiff) of every key's latest
+    inserting run after the run of that year.  A run that follows it compares its
+    batch with that table alone; a run of an earlier year reads the history, and
+    the table is built anew from it.
+    """
+    path, side = _path(root, f"dds_t_sat_{sat.name}"), _path(root, f"dds_c_sat_{sat.name}")
+    key, columns = _buckets(spark, vault.sat_keys(sat)[0]), list(vault.sat_keys(sat))
+    loads = [int(v) for v in tables.list_partitions(spark, path) if v != str(year)]
+    newest = max(loads, default=None)
+    current = None
+    if newest is not None and newest < year and str(newest) in tables.list_partitions(spark, side, "run"):
+        current = spark.read.schema(StructType([StructField(c, StringType()) for c in columns])).parquet(f"{side}/run={newest}")
+    stored = read_satellite(spark, root, sat) if loads and current is None else None
+    if stored is not None:
+        # only loads up to this run can be "latest": prune later partitions
+        stored = _slice_of_load_year(stored.filter(F.col("year").cast("int") <= F.lit(year)).drop("year"), year)
+    delta = cut_lineage(vault.satellite_delta(batch, sat, stored, ods_ops.load_date(year), current))
+    tables.replace_slice(delta.withColumn("year", F.lit(str(year))), path, str(year), buckets=key)
+    if current is not None:
+        latest = vault.current_versions(sat, delta, current)
+    elif not loads:
+        latest = vault.current_versions(sat, delta, delta.limit(0))
+    else:
+        latest = vault.latest_versions(read_satellite(spark, root, sat).drop("year").where(
+            " and ".join(f"{c} is not null" for c in columns)), sat, ods_ops.load_date(max(*loads, year)))
+    last = str(max([*loads, year]))
+    tables.replace_slice(latest, side, last, "run", reads_target=True)
+    tables.drop_partitions(spark, side, lambda v: v != last, "run")
 
 
 # ------------------------------------------------------------------ mart
 
 def read_vault(spark: SparkSession, root: str, measures: tuple[MeasureSpec, ...] = MEASURES) -> rm.VaultView:
-    def sat(name):
-        df = _read(spark, root, f"dds_t_sat_{name}")
-        return df.drop("year")
     return rm.VaultView(
         hub_user=_read(spark, root, "dds_t_hub_user"),
         hub_billing_period=_read(spark, root, "dds_t_hub_billing_period"),
-        links={m.link: _read(spark, root, f"dds_t_lnk_{m.link}") for m in measures},
-        sats={m.link: sat(m.link) for m in measures},
-        sat_user_mdm=sat("user_mdm"),
+        links={m.link: read_link(spark, root, LINK_BY_NAME[m.link]) for m in measures},
+        sats={m.link: read_satellite(spark, root, SAT_BY_NAME[m.link]) for m in measures},
+        sat_user_mdm=read_satellite(spark, root, SAT_USER_MDM),
     )
 
 
@@ -152,13 +228,10 @@ def run_mart_year(spark: SparkSession, root: str, year: int, measures: tuple[Mea
 
 def _fill_dimensions(spark: SparkSession, root: str, prefix: str, names: tuple[str, ...], payment: DataFrame) -> dict[str, DataFrame]:
     """Append the new members of each dimension and read the dimensions back."""
-    dims = {}
-    for name in names:
-        stored = _read(spark, root, f"{prefix}{name}")
-        new = rm.fill_dimension(payment, name, stored)
-        tables.append(cut_lineage(new) if stored is not None else new, _path(root, f"{prefix}{name}"))
-        dims[name] = _read(spark, root, f"{prefix}{name}")
-    return dims
+    stored = {n: d for n in names if (d := _read(spark, root, f"{prefix}{n}")) is not None}
+    for name, rows in rm.new_members(payment, names, stored).items():
+        tables.append(cut_lineage(rows), _path(root, f"{prefix}{name}"))
+    return {n: _read(spark, root, f"{prefix}{n}") for n in names}
 
 
 def run_payment_mart_year(spark: SparkSession, root: str, year: int) -> None:
@@ -173,13 +246,12 @@ def run_payment_mart_year(spark: SparkSession, root: str, year: int) -> None:
 
 
 def _run_mart_year(spark: SparkSession, root: str, year: int, measures: tuple[MeasureSpec, ...]) -> None:
-    """Aggregates of the year, dimension fills from the payment aggregate, and
-    the dense fact slice of the year (replaced, so a rerun does not double it)."""
+    """Totals of the year in one pass, dimension fills from its payments, and the
+    dense fact slice of the year (replaced, so a rerun does not double it)."""
     v = read_vault(spark, root, measures)
-    aggs = {m.link: cut_lineage(rm.report_aggregate(v, m, year)) for m in measures}
-    dims = _fill_dimensions(spark, root, "dm_report_dim_", DM_DIMENSIONS, aggs["payment"])
+    totals = cut_lineage(rm.report_totals(v, measures, year))
+    dims = _fill_dimensions(spark, root, "dm_report_dim_", DM_DIMENSIONS, totals.filter(F.col(rm.PAYMENT_ROWS) > 0))
     vip = v.sat_user_mdm.select("is_vip").distinct()
-    fact = rm.dense_fact(dims, vip, aggs, year, DM_DIMENSIONS, measures)
+    fact = rm.dense_fact(dims, vip, totals, DM_DIMENSIONS, measures, year)
     tables.replace_slice(fact.withColumn("report_year", F.lit(str(year))),
                          _path(root, "dm_report_fct"), str(year), column="report_year")
-

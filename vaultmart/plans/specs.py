@@ -79,6 +79,9 @@ class MeasureSpec:
 # Mart measures: payment_sum = sum(pay_sum), billing_sum = sum(billing_sum),
 #   issue_cnt = count(*), traffic_amount = sum(bigint bytes_sent + bigint bytes_received)
 # Small mart (first version) dimensions: billing_year, legal_type, district, registration_year
+# Stored tables: ods_<source>, ods_t_<source>, ods_t_<source>_hashed, ods_t_user, ods_t_user_hashed,
+#   dds_t_hub_<hub>, dds_t_lnk_<link>, dds_t_sat_<satellite>, dm_traffic,
+#   dm_report_dim_<dimension>, dm_report_fct, dm_payment_dim_<dimension>, dm_payment_fct
 # ----------------------------------------------------------------------------------
 
 ODS_SPECS: dict[str, OdsSpec] = {
@@ -132,8 +135,10 @@ SAT_USER_MDM = SatSpec("user_mdm", "mdm", ("legal_type", "district", "billing_mo
                        "user", True)
 SAT_BY_NAME = {s.name: s for s in SATS + (SAT_USER_MDM,)}
 
-# First warehouse version: the user satellite kept every effective date.
+# First warehouse version: the user satellite kept every effective date, and the
+# document type was context of a payment.
 SAT_USER_V1 = SatSpec("user", "payment", ("phone",), "user", False)
+SAT_PAYMENT_V1 = SatSpec("payment_v1", "payment", ("pay_doc_type", "pay_doc_num", "pay_sum"), "payment", False)
 
 DM_DIMENSIONS: tuple[str, ...] = ("report_year", "legal_type", "district", "billing_mode",
                                   "registration_year")
@@ -153,6 +158,13 @@ MEASURES: tuple[MeasureSpec, ...] = (
 MEASURE_BY_LINK = {m.link: m for m in MEASURES}
 
 
+# Partition column of the stored links: the report year of the measure that reads them.
+LINK_YEAR = "link_year"
+# Files per partition of a stored link or satellite, the same for all: at full size, such that one holds about
+# 128 MB.  A warehouse keeps its number; spark.vaultmart.buckets sets it for a new one.
+BUCKETS = 8
+
+
 def measure_type(m: MeasureSpec) -> str:
     """Declared type of a measure: money as decimal(38,2), counts and bytes as bigint."""
     return "decimal(38,2)" if m.name in ("payment_sum", "billing_sum") else "bigint"

@@ -94,6 +94,18 @@ def scratch_scope(spark: SparkSession):
             path.getFileSystem(conf).delete(path, True)
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder for tables in the shared checkpoint folder; it goes with the open scope, or with the session."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)  # else it outlives the session
+    if _OPEN_SCOPES:
+        _OPEN_SCOPES[-1].append(folder)
+    return folder
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` as a Parquet table in the shared checkpoint folder and
     read it back.
@@ -103,11 +115,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     the next step short, and its file sizes give the planner real statistics
     for its broadcast decisions.
     """
-    spark = df.sparkSession
-    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    folder = scratch_folder(df.sparkSession)
     df.write.mode("overwrite").parquet(folder)
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)  # else they outlive the session
-    if _OPEN_SCOPES:
-        _OPEN_SCOPES[-1].append(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

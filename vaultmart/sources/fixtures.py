@@ -7,9 +7,11 @@ derived from the TPC-H-like test tables with the same column shapes:
 * billing  <- lineitem joined to orders (one bill per line)
 * issue    <- orders (one issue per order)
 * traffic  <- lineitem joined to orders (one traffic record per line)
-* mdm user <- customer joined to nation and region; customers with a negative
-  account balance are unknown to master data, which exercises the NULL
-  dimension members of the marts.
+* mdm user <- customer joined to nation and region, all of them
+
+Orders of low priority in status P belong to guests: their user id is the
+customer's, negated, which master data do not know.  This exercises the NULL
+dimension members of the marts.
 
 Everything stays lazy; Spark reads only the columns each adapter uses.
 """
@@ -18,7 +20,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casts import ts_to_epoch_ms
@@ -46,10 +48,16 @@ def _amount_text(col: str):
     return F.col(col).cast("decimal(10,2)").cast("string")
 
 
+def _user(kind: str) -> Column:
+    """The user of an order, a guest's id being the customer's negated."""
+    guest = (F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "P")
+    return F.when(guest, -F.col("o_custkey")).otherwise(F.col("o_custkey")).cast(kind).alias("user_id")
+
+
 def stg_payment(orders: DataFrame) -> DataFrame:
     ck = F.col("o_custkey")
     return orders.select(
-        ck.cast("int").alias("user_id"),
+        _user("int"),
         F.col("o_orderpriority").alias("pay_doc_type"),
         F.when(F.col("o_orderkey") % 97 == 0, F.concat(F.lit("N/A-"), F.col("o_orderkey").cast("string")))
         .otherwise(F.col("o_orderkey").cast("string")).alias("pay_doc_num"),
@@ -63,13 +71,13 @@ def stg_payment(orders: DataFrame) -> DataFrame:
 
 
 def _lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    return lineitem.join(orders.select("o_orderkey", "o_custkey"),
+    return lineitem.join(orders.select("o_orderkey", _user("int")),
                          lineitem.l_orderkey == orders.o_orderkey, "inner")
 
 
 def stg_billing(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     return _lines(lineitem, orders).select(
-        F.col("o_custkey").cast("int").alias("user_id"),
+        "user_id",
         F.date_format("l_shipdate", "yyyy-MM").alias("billing_period"),
         F.col("l_returnflag").alias("service"),
         F.col("l_linestatus").alias("tariff"),
@@ -81,7 +89,7 @@ def stg_billing(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
 def stg_issue(orders: DataFrame) -> DataFrame:
     ok = F.col("o_orderkey")
     return orders.select(
-        F.col("o_custkey").cast("string").alias("user_id"),
+        _user("string"),
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("start_time"),
         F.date_format(F.timestamp_add("DAY", (ok % 10).cast("int"), F.col("o_orderdate")),
                       "yyyy-MM-dd HH:mm:ss").alias("end_time"),
@@ -94,7 +102,7 @@ def stg_issue(orders: DataFrame) -> DataFrame:
 def stg_traffic(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     device_no = (F.col("l_suppkey") % 9 + 1).cast("string")
     return _lines(lineitem, orders).select(
-        F.col("o_custkey").cast("int").alias("user_id"),
+        "user_id",
         (ts_to_epoch_ms("l_shipdate") + F.col("l_partkey") * 1000 + F.col("l_linenumber"))
         .alias("traffic_ms"),
         F.concat(F.lit("d00"), device_no).alias("device_id"),
@@ -107,8 +115,7 @@ def stg_traffic(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
 
 def mdm_user(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "r_name")
-    return (customer.filter(F.col("c_acctbal") >= 0)
-            .join(geo, customer.c_nationkey == geo.n_nationkey)
+    return (customer.join(geo, customer.c_nationkey == geo.n_nationkey)
             .select(
                 F.col("c_custkey").cast("int").alias("user_id"),
                 F.col("c_mktsegment").alias("legal_type"),

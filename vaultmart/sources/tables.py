@@ -10,6 +10,9 @@ touched:
 * ``reload``          TRUNCATE + INSERT
 * ``list_partitions`` SHOW PARTITIONS
 * ``drop_partitions`` ALTER TABLE ... DROP PARTITION (year > 2012), any predicate
+* ``read_bucketed``   a partitioned table whose files are bucketed and sorted by a
+  key, read through the session catalog: two of them with the same key and number
+  of buckets join without a shuffle
 
 A builder that reads the table it replaces (satellites, marts) is cut from its
 input with a reliable checkpoint before the old files go.
@@ -17,8 +20,10 @@ input with a reliable checkpoint before the old files go.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,6 +89,11 @@ def read_partitioned(spark: SparkSession, path: str, schema: StructType | None =
     return df.withColumn(column, F.col(column).cast("string")) if column in df.columns else df
 
 
+def _files(spark: SparkSession, path: str) -> set[str]:
+    fs, p = _fs(spark, path)
+    return {st.getPath().getName() for st in fs.listStatus(p)}
+
+
 def _work_folder(path: str) -> str:
     """Folder beside a table for slices on their way; its name starts with a dot, so no read of the table sees it."""
     head, _, name = path.rstrip("/").rpartition("/")
@@ -110,8 +120,55 @@ def recover_slice(spark: SparkSession, path: str, value: str, column: str = "yea
             fs.delete(status.getPath(), True)
 
 
+@dataclass(frozen=True)
+class Buckets:
+    """File layout of a vault table: rows of a key lie in one of ``number`` files of their partition, sorted by it."""
+
+    key: str
+    number: int
+
+
+def _write(df: DataFrame, path: str, buckets: Buckets | None) -> None:
+    """Rows as Parquet files in a new folder, bucketed if asked."""
+    if buckets is None:
+        df.write.mode("overwrite").parquet(path)
+        return
+    spark, name = df.sparkSession, f"slice_{uuid.uuid4().hex}"
+    (df.repartition(buckets.number, buckets.key).write.bucketBy(buckets.number, buckets.key).sortBy(buckets.key)
+     .option("path", path).saveAsTable(name))
+    spark.sql(f"DROP TABLE {name}")  # the files stay: the table names their folder
+
+
+def _ddl(schema: StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
+def _register(spark: SparkSession, path: str, schema: StructType, buckets: Buckets, column: str) -> str:
+    """The folder as a bucketed table of the session catalog, with the partitions that it has now."""
+    name = "vault_" + hashlib.md5(path.encode()).hexdigest()
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    fields = StructType([f for f in schema.fields if f.name != column] + [StructField(column, StringType())])
+    fs, folder = _fs(spark, path)
+    fs.mkdirs(folder)
+    spark.sql(f"CREATE TABLE {name} ({_ddl(fields)}) USING parquet PARTITIONED BY (`{column}`) CLUSTERED BY (`{buckets.key}`) "
+              f"SORTED BY (`{buckets.key}`) INTO {buckets.number} BUCKETS LOCATION '{path}'")
+    spark.sql(f"MSCK REPAIR TABLE {name}")
+    return name
+
+
+def read_bucketed(spark: SparkSession, path: str, schema: StructType, buckets: Buckets, column: str = "year") -> DataFrame | None:
+    """A bucketed, partitioned table (``None`` if it was never written); the partition column is a string."""
+    return spark.table(_register(spark, path, schema, buckets, column)) if path_exists(spark, path) else None
+
+
+def append_bucketed(df: DataFrame, path: str, buckets: Buckets, column: str) -> None:
+    """Add rows to the partitions that they name, bucketed."""
+    name = _register(df.sparkSession, path, df.schema, buckets, column)
+    df.select(*[c for c in df.columns if c != column], column).repartition(buckets.number, buckets.key).write.insertInto(name)
+
+
 def replace_slice(df: DataFrame, path: str, value: str, column: str = "year",
-                  reads_target: bool = False) -> None:
+                  reads_target: bool = False, buckets: Buckets | None = None) -> None:
     """Replace the partition ``column=value`` by ``df`` (empty ``df`` empties it).
 
     The slice is written outside the table, the old one is moved aside, the new
@@ -125,7 +182,7 @@ def replace_slice(df: DataFrame, path: str, value: str, column: str = "year",
     data = df.drop(column) if column in df.columns else df
     recover_slice(spark, path, value, column)
     stem = f"{_work_folder(path)}/{column}={value}.{uuid.uuid4().hex}"
-    data.write.mode("overwrite").parquet(f"{stem}.new")
+    _write(data, f"{stem}.new", buckets)
     fs, target = _fs(spark, f"{path.rstrip('/')}/{column}={value}")
     new, old = _fs(spark, f"{stem}.new")[1], _fs(spark, f"{stem}.old")[1]
     fs.mkdirs(target.getParent())
@@ -148,12 +205,12 @@ def write_slices(df: DataFrame, path: str, column: str = "year", whole: bool = F
     With ``whole`` the table holds exactly the partitions of ``df`` afterwards
     (a backfill: a year that has vanished from staging goes).
     """
+    spark = df.sparkSession
+    before = {v: _files(spark, f"{path.rstrip('/')}/{column}={v}") for v in list_partitions(spark, path, column)} if whole else {}
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(column).parquet(path))
-    if whole:
-        spark = df.sparkSession
-        kept = {str(r[0]) for r in df.select(column).distinct().collect()}  # one row per partition
-        drop_partitions(spark, path, lambda v: v not in kept, column)
+    # a partition whose files are those of before was not written: the data no longer have it
+    drop_partitions(spark, path, lambda v: v in before and before[v] == _files(spark, f"{path.rstrip('/')}/{column}={v}"), column)
 
 
 def append(df: DataFrame, path: str, column: str | None = None) -> None:
