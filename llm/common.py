@@ -8,7 +8,7 @@ import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vaultmart.session import cut_lineage, ensure_checkpoint_dir  # noqa: F401  (re-exported)
+from vaultmart.session import cut_lineage, ensure_checkpoint_dir, scratch_folder  # noqa: F401  (re-exported)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,17 @@ def ship(spark: SparkSession) -> None:
     sc._llm_shipped = True
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores behind it as it takes to be none of the columns of ``df``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def delete_folder(spark: SparkSession, folder: str) -> None:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import delete_folder, ensure_checkpoint_dir, table
+from .common import delete_folder, scratch_folder, table
 
 SURROGATE_KEY = "registered query"  # a production run passes a secret of its own
 VOCABULARY = "word_bpe_49k.json"
@@ -36,7 +34,7 @@ def op1_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_gzip_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import warc
 
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/warc/{uuid.uuid4().hex}"
+    root = scratch_folder(spark)  # goes with the session
     warc.write_monolithic(warc.records(table(spark, sf_dir, "pages"), min_bytes=0), f"{root}/monolithic")
     warc.normalise(spark, f"{root}/monolithic", f"{root}/members").write.parquet(f"{root}/archives")
     delete_folder(spark, f"{root}/monolithic")

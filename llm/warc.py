@@ -7,7 +7,10 @@ which inflates the stream once, writes every record as a member of its own and
 beside the archive a sidecar of JSON lines (``offset, length`` of each member).
 Both files are written under a temporary name and then moved, so a repeated
 task replaces them by the same bytes.  ``read_records`` opens archives through
-their sidecars only, member by member.  Memory holds one record at a time.
+their sidecars only, member by member.  Memory holds one record at a time: a
+stream is inflated a megabyte at a time however well it was compressed.  An archive
+that does not end with the end of a gzip member and of a record is an error, never
+a shorter archive.
 
 Equal payloads (SHA-1, pre-aggregated before the shuffle) of at least
 ``min_bytes`` bytes are stored once, by the record of the smallest ``page_id``;
@@ -39,6 +42,7 @@ from pyspark.sql import functions as F
 from .common import ship
 
 CHUNK = 1 << 20
+READ_BYTES = 32 << 20
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "
 DATE = "2024-01-01T00:00:00Z"
 
@@ -88,14 +92,22 @@ def _open(path: str) -> tuple[pafs.FileSystem, str]:
 
 
 def _inflated(stream) -> Iterator[bytes]:
-    """The bytes of a gzip file of any number of members."""
-    inflate = zlib.decompressobj(31)
+    """The bytes of a gzip file of any number of members, at most ``CHUNK`` at a time; an error unless the last one ends properly."""
+    inflate, begun = zlib.decompressobj(31), False
     while data := stream.read(CHUNK):
         while data:
-            yield inflate.decompress(data)
-            data = inflate.unused_data
-            if data:
+            if inflate.eof:
+                data = data.lstrip(b"\0")  # padding between or behind members
+                if not data:
+                    break
                 inflate = zlib.decompressobj(31)
+            begun = True
+            yield inflate.decompress(data, CHUNK)
+            data = inflate.unused_data if inflate.eof else inflate.unconsumed_tail
+    while begun and not inflate.eof and (data := inflate.decompress(b"", CHUNK)):
+        yield data
+    if not inflate.eof:
+        raise ValueError("the archive ends inside a gzip member")
 
 
 class _Reader:
@@ -175,7 +187,7 @@ def normalise(spark: SparkSession, source: str, target: str) -> DataFrame:
                 yield pa.RecordBatch.from_pylist([{"archive": f"{name}.warc.gz", "records": count, "bytes": offset}])
 
     paths = files(spark, source, "*.gz")
-    return paths.repartition(max(1, min(len(paths.inputFiles()), 1 << 14)), "path").mapInArrow(
+    return paths.repartitionByRange(max(1, min(len(paths.inputFiles()), 1 << 14)), "path").mapInArrow(
         run, "archive string, records long, bytes long")
 
 
@@ -187,6 +199,9 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
     """
     ship(spark)
     index = (spark.read.schema("archive string, offset long, length long").option("pathGlobFilter", "*.index.jsonl").json(folder))
+    # the sidecars are a thousandth of the archives: tasks are ranges of about READ_BYTES of members, not of the sidecars
+    tasks = max(1, -(-(index.agg(F.sum("length")).first()[0] or 0) // READ_BYTES))
+    index = index.repartitionByRange(tasks, "archive", "offset").sortWithinPartitions("archive", "offset")
 
     def run(batches):
         handle, name = None, None
