@@ -7,6 +7,11 @@ on ``k + 1`` neighbouring diagonals.  Matching q-grams of a text are counted per
 item in diagonal bands of width ``2 (k + 1)`` that overlap by half, so such a run of
 diagonals lies in one band; bands that reach the bound are kept, and an
 alignment of the item inside the band (any start and end in the text) decides.
+Counted are places of the text, not pairs of places: where a q-gram stands at
+neighbouring places of an item (a run of one letter), it counts once for each band
+that the run touches.  Counts are taken along the text in steps of ``STEP``, and a
+band that the text has passed without reaching the bound is dropped, so memory does
+not grow with the repetitions on either side.
 
 The benchmark goes to the executors in blocks of at most ``BLOCK_CHARS``
 characters, each block one pass over the documents; documents are never
@@ -37,6 +42,8 @@ ERROR = 0.08
 BLOCK_CHARS = 2_000_000
 PIECE = 1_500_000
 FILTER_BITS = 22
+STEP = 1_000_000     # counts held at once
+BANDS = 2_000        # bands aligned at once
 _B = np.uint64(0x9E3779B97F4A7C15)
 _NORM: list[np.ndarray] = []
 
@@ -94,9 +101,10 @@ class Block:
     k: np.ndarray
     bound: np.ndarray
     gram: np.ndarray    # sorted distinct hashes
-    first: np.ndarray   # where a gram's places start, one more at the end
+    first: np.ndarray   # where a gram's runs of places start, one more at the end
     item: np.ndarray
-    place: np.ndarray
+    place: np.ndarray   # last place of a run
+    more: np.ndarray    # places of the run before it
     seen: np.ndarray    # bit filter over the hashes
 
 
@@ -113,11 +121,15 @@ def index(rows: list[tuple[int, str]], q: int, error: float) -> Block:
     h = np.concatenate([grams(c, q) for c in items]) if items else np.zeros(0, np.uint64)
     item = np.repeat(np.arange(len(items)), np.maximum(m - q + 1, 0))
     place = np.concatenate([np.arange(len(c) - q + 1) for c in items]) if items else np.zeros(0, np.int64)
-    order = np.argsort(h, kind="stable")
-    gram, first = np.unique(h[order], return_index=True)
+    order = np.argsort(h, kind="stable")  # the places of a gram stay in order of item and place
+    h, item, place = h[order], item[order], place[order]
+    last = np.append((h[1:] != h[:-1]) | (item[1:] != item[:-1]) | (place[1:] != place[:-1] + 1), True)[:len(h)]
+    more = np.diff(np.flatnonzero(last), prepend=-1) - 1
+    h, item, place = h[last], item[last], place[last]
+    gram, first = np.unique(h, return_index=True)
     seen = np.zeros(1 << FILTER_BITS, bool)
     seen[gram & np.uint64((1 << FILTER_BITS) - 1)] = True
-    return Block(ids, items, k, m - q + 1 - k * q, gram, np.append(first, len(h)), item[order], place[order], seen)
+    return Block(ids, items, k, m - q + 1 - k * q, gram, np.append(first, len(h)), item, place, more, seen)
 
 
 def _end(text: str, border: int, need: int) -> int:
@@ -160,6 +172,58 @@ def _align(item: np.ndarray, text: np.ndarray, low: np.ndarray, width: int) -> t
     return cost[np.arange(len(low)), end], np.clip(low + end + len(item), 0, len(text))
 
 
+def _bands(block: Block, hit: np.ndarray, g: np.ndarray, unit_at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(item, unit, band) that reach the bound, in this order, from the grams ``g`` at the places ``hit`` (in order).
+
+    Band b holds the diagonals from ``b w`` to ``(b + 2) w - 1`` (``w = k + 1``), so a diagonal lies in two bands.
+    """
+    none = np.zeros(0, np.int64)
+    if not len(hit):
+        return none, none, none
+    runs = block.first[g + 1] - block.first[g]
+    upto = np.cumsum(runs)
+    size = np.array([len(x) for x in block.items], np.int64)
+    kept, open_keys, open_count, a = [], np.zeros((3, 0), np.int64), none, 0
+    while a < len(hit):
+        b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + STEP // 4, side="right")))
+        n = runs[a:b]
+        entry = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(block.first[g[a:b]], n)
+        item, where = block.item[entry], np.repeat(hit[a:b], n)
+        width = block.k[item] + 1
+        low = (where - block.place[entry]) // width - 1
+        number = (where - block.place[entry] + block.more[entry]) // width - low + 1
+        for i, j in _steps(number):
+            m = number[i:j]
+            band = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(low[i:j], m)
+            keys = np.stack([np.repeat(item[i:j], m), np.repeat(unit_at[where[i:j]], m), band])
+            keys, count = _counted(np.concatenate([open_keys, keys], axis=1), np.concatenate([open_count, np.ones(len(band), np.int64)]))
+            # a place further on has a diagonal beyond the band
+            passed = (keys[2] + 2) * (block.k[keys[0]] + 1) + size[keys[0]] < where[j - 1]
+            kept.append(keys[:, passed & (count >= block.bound[keys[0]])])
+            open_keys, open_count = keys[:, ~passed], count[~passed]
+        a = b
+    kept.append(open_keys[:, open_count >= block.bound[open_keys[0]]])
+    keys = np.concatenate(kept, axis=1)
+    return tuple(keys[:, np.lexsort((keys[2], keys[1], keys[0]))])
+
+
+def _steps(number: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges whose numbers add up to about ``STEP``."""
+    upto, a = np.cumsum(number), 0
+    while a < len(number):
+        b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + STEP, side="right")))
+        yield a, b
+        a = b
+
+
+def _counted(keys: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct columns of ``keys``, counts added up."""
+    order = np.lexsort(keys[::-1])
+    keys, count = keys[:, order], count[order]
+    first = np.flatnonzero(np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)]))[:keys.shape[1]]
+    return keys[:, first], np.add.reduceat(count, first) if len(first) else count
+
+
 def matches(block: Block, texts: list[str], q: int) -> list[tuple[int, int, int, int, int]]:
     """(row, number of the item, edits, start, end) of every item found; places are code points of the text."""
     if not block.items:
@@ -175,38 +239,27 @@ def matches(block: Block, texts: list[str], q: int) -> list[tuple[int, int, int,
         g = np.searchsorted(block.gram, h[hit])
         same = (g < len(block.gram)) & (block.gram[np.minimum(g, len(block.gram) - 1)] == h[hit])
         hit, g = hit[same], g[same]
-        n = block.first[g + 1] - block.first[g]
-        if not len(hit):
-            continue
-        entry = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(block.first[g], n)
-        item = block.item[entry]
-        where = np.repeat(hit, n)
-        unit = np.searchsorted(begin, at[where], side="right") - 1
-        width = block.k[item] + 1
-        band = (where - block.place[entry]) // width
-        # a band is b * width .. (b + 2) * width - 1: every diagonal lies in two of them
-        key = np.concatenate([band, band - 1]) + len(c)
-        order = np.lexsort((key, np.tile(unit, 2), np.tile(item, 2)))
-        table = np.stack([np.tile(item, 2)[order], np.tile(unit, 2)[order], key[order]])
-        new = np.flatnonzero(np.concatenate([[True], (table[:, 1:] != table[:, :-1]).any(axis=0)]))
-        count = np.diff(np.append(new, table.shape[1]))
-        new = new[count >= block.bound[table[0, new]]]
+        item, unit, band = _bands(block, hit, g, np.searchsorted(begin, at, side="right") - 1)
         bounds = np.searchsorted(at, begin)
-        for x, u in sorted({(int(table[0, i]), int(table[1, i])) for i in new}):
-            mine = new[(table[0, new] == x) & (table[1, new] == u)]
+        cuts = np.flatnonzero(np.concatenate([[True], (item[1:] != item[:-1]) | (unit[1:] != unit[:-1]), [True]])) if len(item) else []
+        for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+            x, u = int(item[i]), int(unit[i])
             k, a, b = int(block.k[x]), bounds[u], bounds[u + 1]
-            low = (table[2, mine] - len(c)) * (k + 1) - a
-            edits, end = _align(block.items[x], c[a:b], low - k, 2 * (k + 1) + 2 * k)
-            i = int(edits.argmin())
-            if edits[i] <= k:
-                row, start, _ = group[u]
-                stop = int(end[i])
-                first = max(0, stop - len(block.items[x]))
-                place = at[a:b] - begin[u] + start
-                found = (int(edits[i]), int(place[min(first, b - a - 1)]), int(place[min(stop, b - a) - 1]) + 1)
-                old = best.get((row, x))
-                if old is None or found < old:
-                    best[row, x] = found
+            row, start, _ = group[u]
+            for some in range(i, j, BANDS):  # along the text
+                low = band[some:min(j, some + BANDS)] * (k + 1) - a
+                edits, end = _align(block.items[x], c[a:b], low - k, 2 * (k + 1) + 2 * k)
+                n = int(edits.argmin())
+                if edits[n] <= k:
+                    stop = int(end[n])
+                    first = max(0, stop - len(block.items[x]))
+                    place = lambda p: int(at[a + p] - begin[u] + start)  # noqa: E731, B023
+                    found = (int(edits[n]), place(min(first, b - a - 1)), place(min(stop, b - a) - 1) + 1)
+                    old = best.get((row, x))
+                    if old is None or found < old:
+                        best[row, x] = found
+                if best.get((row, x), (1,))[0] == 0:
+                    break  # no later place is better
     return [(row, x, *v) for (row, x), v in sorted(best.items())]
 
 

@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 
 from llm import decontam
 from llm.decontam import ERROR, Q, contamination, decontaminate, index, matches
@@ -91,3 +92,26 @@ def test_stretched_item_at_the_border_of_a_piece(monkeypatch):
         for ahead in (1, 30, 200, 900, 1500, 1950, 1990, 1999, 2000, 3990):
             text = "z" * (ahead - 1) + "." + item.replace(" ", gap) + "." + "y" * 5000
             assert [(row, x, edits) for row, x, edits, *_ in matches(block, ["none", text, "zzzzz" + text], Q)] == [(1, 0, 0), (2, 0, 0)], (gap, ahead)
+
+
+def test_repeated_letters_equal_full_alignment(monkeypatch):
+    rng = random.Random(3)
+    runs = lambda n: "".join(rng.choice("aab") * rng.choice((1, 2, 30, 80)) for _ in range(n))
+    items = [(1, "a" * 60), (2, runs(5)[:200]), (3, "ab" * 40), (4, "a" * 40 + "b" * 40)]
+    texts = ["a" * 59, "a" * 55, "b" * 90, "a" * 400, "ab" * 300, "a" * 45 + "b" * 50, *(runs(8) for _ in range(20))]
+    kept = [(i, x) for i, x in items if len(x) >= Q]
+    want = {(row, n) for row, t in enumerate(texts) for n, (_, x) in enumerate(kept)
+            if least_edits(x, t) <= min(int(len(x) * ERROR), (len(x) - Q) // Q)}
+    for step in (decontam.STEP, 50):
+        monkeypatch.setattr(decontam, "STEP", step)
+        assert {(row, n) for row, n, *_ in matches(index(items, Q, ERROR), texts, Q)} == want
+    assert 20 < len(want) < len(kept) * len(texts)
+
+
+def test_one_letter_item_and_text_stay_in_bounds():
+    block = index([(1, "a" * 600), (2, "a" * 300 + "b" * 300)], Q, ERROR)
+    tracemalloc.start()
+    found = matches(block, ["a" * 1_500_000, "0" * 300_000], Q)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(row, x, edits, start) for row, x, edits, start, _ in found] == [(0, 0, 0, 0)] and peak < 1 << 30
