@@ -16,7 +16,7 @@ fit into a row.
 
 Defined results: null text or role is empty; turns are ordered by ``turn`` (null
 first), then role and text, so ties and repeated rows have one fixed order; rows
-with null ``conv_id`` are one conversation; an empty table gives no rows.  Other
+with null ``conv_id`` are one conversation, which like any has to fit into a row; an empty table gives no rows.  Other
 columns are ignored.
 """
 

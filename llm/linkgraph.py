@@ -9,7 +9,8 @@ along the edges from the trusted seeds and distrust against them from the
 blocked seeds, both as personalised PageRank in one loop of joins:
 ``x = (1 - damping) * seeds + damping * x P``; what reaches a host without
 further edges stays there.  The loop ends when no host's score moves by more than
-``tolerance``, or after ``rounds``.  A host is blocked if its distrust is at least
+``tolerance``; as a round shrinks what is left by ``damping``, that takes at most
+``log(tolerance / seeds) / log(damping)`` rounds.  A host is blocked if its distrust is at least
 ``least`` and above its trust.
 
 Each block of rounds is written to the shared checkpoint folder, so a lost
@@ -57,7 +58,7 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.where((F.col("src") != "") & (F.col("src") != F.col("dst"))).groupBy("src", "dst").agg(F.count("*").alias("links"))
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, rounds: int = 40, tolerance: float = 1e-6) -> DataFrame:
+def propagate(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, tolerance: float = 1e-6) -> DataFrame:
     """``host, trust, distrust`` of every host reached from the seeds (``host, trusted, blocked``)."""
     out = edges.groupBy("src").agg(F.sum("links").alias("all_out"))
     into = edges.groupBy("dst").agg(F.sum("links").alias("all_in"))
@@ -70,7 +71,7 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, rounds:
         seeds.where("trusted").select(F.lit("trust").alias("kind"), "host", F.lit(1.0 - damping).alias("score"))
         .unionByName(seeds.where("blocked").select(F.lit("distrust").alias("kind"), "host", F.lit(1.0 - damping).alias("score"))))
     scores = start
-    for _ in range(0, rounds, BLOCK_ROUNDS):
+    while True:
         before = scores
         for _ in range(BLOCK_ROUNDS):
             moved = scores.join(steps, ["kind", "host"]).select(
