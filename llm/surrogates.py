@@ -6,10 +6,12 @@ distinct mentions of the corpus are cut into entities (a person's given name
 and surname are entities of their own, so later mentions by surname agree, with a
 form of address or bare in the same text; a bare word is one mention).  Dr and Prof
 take the gender that gendered mentions of the name agree on, else a neutral name.
-The README says which names are not found.  Every entity gets a surrogate from a keyed hash: digits for digits, letters of
-the same case and script for letters, punctuation kept, cards with a valid check
-digit and their first digit, given names with the ending of their gender, mail
-addresses of one domain on one surrogate domain and the same top level.  The
+The README says which names are not found.  Every entity gets a surrogate from a
+keyed hash: digits for digits, letters of the same case and script for letters,
+punctuation kept, cards with a valid check digit and their first digit, account
+numbers (IBAN) with their country and its check digits, addresses (IP) of the same
+class (private, loopback, link-local or public), given names with the ending of their
+gender, mail addresses of one domain on one surrogate domain and the same top level.  The
 same entity always gets the same surrogate.  Surrogates of one kind that meet
 each other, or an original of the corpus, are drawn again with the next attempt
 number until all are distinct; earlier attempts keep theirs.  An entity whose
@@ -34,7 +36,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage
+from .common import cut_lineage, free_names
 
 # Forms of address by gender (fixed values).
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Señora", "Sra", "Madame", "Mme", "Mademoiselle", "Г-жа", "Госпожа", "Κυρία")
@@ -57,7 +59,7 @@ KINDS = (
     ("phone", r"(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w])"),
     ("card", r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w])"),
     ("ssn", r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"),
-    ("ip", rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d|\w)"),
+    ("ip", rf"(?<![\w.])(?<!(?i:version|release|ver)[ .]{{1,2}})(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d|\w)"),
     ("person", rf"(?=[MFSDPHГΚ])(?<!{_LETTER}|[\p{{N}}_]){_ADDRESS} {_NAME}(?: {_NAME})?(?!{_LETTER})"),
 )
 BARE = rf"(?<!{_LETTER}|[\p{{N}}_]){_NAME}(?!{_LETTER})"  # a word that may be a name without its form of address
@@ -68,7 +70,12 @@ MENTION = rf"(?<![A-Za-z0-9_])(?:{'|'.join(f'(?:{p})' for _, p in KINDS)})"
 MAY_HOLD = "[0-9@]|[a-fA-F]{32}"
 MAY_START = ("Mr", "Ms", "Miss", "Mme", "Mad", "Monsieur", "Frau", "Herr", "Señor", "Sr", "Dr", "Prof", "Г-", "Госпо", "Κυρί", "Κύρι")
 SECRET_WORDS = ("token", "secret", "password", "passwd", "api", "access")
-LOWER = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзиклмнопрстуфхцчшэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
+# Letters to draw from, by script (fixed values: the lower case, or common letters where a script has no case).
+LOWER = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзиклмнопрстуфхцчшэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω",
+         "armenian": "աբգդեզէըթժիլխծկհձղճմյնշոչպջռսվտրցփքօֆ", "georgian": "აბგდევზთიკლმნოპჟრსტუფქღყშჩცძწჭხჯჰ", "hebrew": "אבגדהוזחטיכלמנסעפצקרשת",
+         "arabic": "ابتثجحخدذرزسشصضطظعغفقكلمنهوي", "devanagari": "कखगघचछजझटठडढतथदधनपफबभमयरलवशषसह", "thai": "กขคงจฉชซญดตถทธนบปผพฟภมยรลวศสหอ",
+         "hangul": "가나다라마바사아자차카타파하고노도로모보소오조초코토포호", "hiragana": "あいうえおかきくけこさしすせそたちつてとなにぬねの",
+         "katakana": "アイウエオカキクケコサシスセソタチツテトナニヌネノ", "han": "一二三四五六七八九十人口日月山水火木金土"}
 CROWDED = 12
 VOWELS = {"latin": "aeiou", "cyrillic": "аеиоу", "greek": "αεηιο"}
 CONSONANTS = {"latin": "bdfghklmnprstvz", "cyrillic": "бвгдзклмнпрстфх", "greek": "βγδζθκλμνπρστφχ"}
@@ -97,8 +104,10 @@ def _shaped(value: Column, hexes: Column) -> Column:
     def one(i: Column) -> Column:
         c, b = F.substr(value, i, F.lit(1)), _byte(hexes, i)
         small = F.lower(c)
-        drawn = F.when(small.rlike(r"^\p{IsCyrillic}"), _pick(LOWER["cyrillic"], b)).when(
-            small.rlike(r"^\p{IsGreek}"), _pick(LOWER["greek"], b)).otherwise(_pick(LOWER["latin"], b))
+        drawn = F.when(small.between("a", "z"), _pick(LOWER["latin"], b))
+        for script, letters in LOWER.items():
+            drawn = drawn.when(small.rlike(rf"^\p{{Is{script.title()}}}"), _pick(letters, b))
+        drawn = drawn.otherwise(_pick(LOWER["latin"], b))
         return (F.when(c.rlike("^[0-9]"), F.pmod(b, F.lit(10)).cast("string"))
                 .when(c.rlike(r"^\p{Lu}"), F.upper(drawn)).when(c.rlike(r"^\p{L}"), drawn).otherwise(c))
     return F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(F.length(value), F.lit(1))), one), "")
@@ -116,6 +125,25 @@ def _name(kind: Column, script: str, hexes: Column) -> Column:
     return F.initcap(F.concat(stem, ending))
 
 
+def _iban(value: Column, shaped: Column) -> Column:
+    """Country of ``value``, the check digits that fit, the rest of ``shaped``."""
+    country, rest = F.substr(value, F.lit(1), F.lit(2)), F.substr(shaped, F.lit(5))
+    letters = F.filter(F.split(F.concat(F.replace(rest, F.lit(" "), F.lit("")), country, F.lit("00")), ""), lambda c: c != "")
+    left = F.aggregate(letters, F.lit(0), lambda n, c: F.when(c.between("0", "9"), (n * 10 + F.ascii(c) - 48) % 97).otherwise(
+        (n * 100 + F.ascii(c) - 55) % 97))  # A counts as 10
+    return F.concat(country, F.lpad((98 - left).cast("string"), 2, "0"), rest)
+
+
+def _ip(value: Column, hexes: Column) -> Column:
+    """Another address of the class of ``value``."""
+    byte = [_byte(hexes, F.lit(i)) for i in range(4)]
+    dotted = lambda *parts: F.concat_ws(".", *[p if isinstance(p, Column) else F.lit(p) for p in parts])
+    return (F.when(value.rlike(r"^(10|127)\."), dotted(F.regexp_extract(value, r"^\d+", 0), *byte[1:]))
+            .when(value.rlike(r"^(192\.168|169\.254)\."), dotted(F.regexp_extract(value, r"^\d+\.\d+", 0), *byte[2:]))
+            .when(value.rlike(r"^172\.(1[6-9]|2\d|3[01])\."), dotted("172", (16 + F.pmod(byte[1], F.lit(16))).cast("string"), *byte[2:]))
+            .otherwise(dotted((11 + F.pmod(byte[0], F.lit(89))).cast("string"), *byte[1:])))
+
+
 def with_surrogate(entities: DataFrame, key: str) -> DataFrame:
     """Entity rows ``kind, value, attempt`` with their ``surrogate``; each step is a column of its own."""
     kind, value, hexes, shaped = F.col("kind"), F.col("value"), F.col("hexes"), F.col("shaped")
@@ -130,13 +158,11 @@ def with_surrogate(entities: DataFrame, key: str) -> DataFrame:
     rows = rows.withColumn("body", F.concat(F.substr(value, F.lit(1), F.lit(1)), F.substr(shaped, F.lit(2), F.length(value) - 2)))
     digits = F.transform(F.sequence(F.lit(0), F.lit(9)), lambda d: d.cast("string"))
     valid = F.filter(digits, lambda d: F.call_function("luhn_check", F.regexp_replace(F.concat(F.col("body"), d), "[ -]", "")))
-    octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.when(
-        i == 0, 1 + F.pmod(_byte(hexes, i), F.lit(223))).otherwise(_byte(hexes, i)).cast("string")), ".")
     hexed = F.array_join(F.transform(F.sequence(F.lit(1), F.length(value)), lambda i: F.substr(
         hexes, F.lit(1) + F.pmod(i, F.lit(256)), F.lit(1))), "")
     name = F.when(value.rlike(r"^\p{IsCyrillic}"), _name(kind, "cyrillic", hexes)).when(
         value.rlike(r"^\p{IsGreek}"), _name(kind, "greek", hexes)).otherwise(_name(kind, "latin", hexes))
-    drawn = (F.when(kind == "ip", octets).when(kind == "card", F.concat(F.col("body"), F.element_at(valid, 1)))
+    drawn = (F.when(kind == "ip", _ip(value, hexes)).when(kind == "iban", _iban(value, shaped)).when(kind == "card", F.concat(F.col("body"), F.element_at(valid, 1)))
              .when(kind == "phone", F.concat(prefix, F.substr(shaped, F.length(prefix) + 1, F.length(value))))
              .when((kind == "secret") & value.rlike("^[0-9a-f]+$"), hexed)
              .when((kind == "secret") & value.rlike("^[0-9A-F]+$"), F.upper(hexed))
@@ -223,8 +249,8 @@ def draw(entities: DataFrame, key: str) -> DataFrame:
                   .withColumn("again", F.col("original").isNotNull() | (F.col("keeper.value") != F.col("value"))))
         if not judged.where("again").limit(1).count():
             return fixed.select("kind", "value", "surrogate")
-        fixed = cut_lineage(with_surrogate(judged.select(
-            "kind", "value", (F.col("attempt") + F.col("again").cast("int")).alias("attempt")), key))
+        drawn = with_surrogate(judged.where("again").select("kind", "value", (F.col("attempt") + 1).alias("attempt")), key)
+        fixed = cut_lineage(judged.where("not again").select(*drawn.columns).unionByName(drawn))
 
 
 def _holds(text: Column, words: tuple[str, ...]) -> Column:
@@ -239,10 +265,14 @@ def may_mention(text: Column) -> Column:
 def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     """The rows of ``docs`` with surrogates in ``text``, and ``n_entities``, the mentions replaced."""
     docs = docs.drop("n_entities").withColumn("text", F.col("text").cast("string"))
+    of, text_hash, known_, names_, found_, gaps_, its_id, its_text = free_names(docs, "of", "hash", "known", "names", "found", "gaps", "of_id", "of_text")
     may = may_mention(F.col("text"))
-    found = _found(F.col("text"))
-    id_of, text_of = F.col("doc_id").cast("string"), F.xxhash64("text")
-    mentions = docs.where(may).select(id_of.alias("__id"), text_of.alias("__text"), F.explode(F.array_distinct(found)).alias("mention"))
+    id_of = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit(""))
+    keyed = docs.where(may).withColumn(of, id_of).withColumn(text_hash, F.xxhash64("text"))
+    # the mentions of a text are looked for once and written
+    scanned = cut_lineage(keyed.select(F.col(of).alias("of_id"), F.col(text_hash).alias("of_text"), _found(F.col("text")).alias("found"))
+                          .where(F.size("found") > 0)).dropDuplicates(["of_id", "of_text"])
+    mentions = scanned.select("of_id", "of_text", F.explode(F.array_distinct("found")).alias("mention"))
     kinds = cut_lineage(mentions.select("mention").distinct().withColumn("kind", _kind_of(F.col("mention"))).where("kind is not null"))
     kinds = cut_lineage(_with_gender(kinds).withColumn("parts", _entities(F.col("mention"), F.col("kind"), F.col("gender"))))
     parts = kinds.select("mention", "kind", F.posexplode("parts").alias("pos", "part")).select(
@@ -257,13 +287,13 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
         parts.join(drawn, ["kind", "value"]).groupBy("mention", "of")
         .agg(F.sort_array(F.collect_list(F.struct("pos", "kind", "value", "surrogate"))).alias("said"))
         .select("mention", F.concat(F.when(person, address).otherwise(""), words).alias("surrogate"), F.when(person, names).alias("names")))
-    of_text = (mentions.join(surrogates, "mention").groupBy("__id", "__text")
-               .agg(F.map_from_entries(F.collect_set(F.struct("mention", "surrogate"))).alias("__surrogates"),
-                    _names_of_text(F.collect_set("names")).alias("__names")))
-    held = docs.where(may).withColumn("__hash", text_of)
-    held = held.join(of_text, id_of.eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__text")), "left").drop("__id", "__text", "__hash")
-    held = held.withColumn("__found", found).withColumn("__gaps", F.split("text", MENTION, -1))
-    known, names, found, gaps = F.col("__surrogates"), F.col("__names"), F.col("__found"), F.col("__gaps")
+    of_text = (mentions.join(surrogates, "mention").groupBy("of_id", "of_text")
+               .agg(F.map_from_entries(F.collect_set(F.struct("mention", "surrogate"))).alias(known_),
+                    _names_of_text(F.collect_set("names")).alias(names_)))
+    of_text = scanned.join(of_text, ["of_id", "of_text"]).withColumnsRenamed({"found": found_, "of_id": its_id, "of_text": its_text})
+    held = keyed.join(of_text, (F.col(of) == F.col(its_id)) & (F.col(text_hash) == F.col(its_text)), "left").select(
+        *docs.columns, known_, names_, found_).withColumn(gaps_, F.when(F.col(known_).isNotNull(), F.split("text", MENTION, -1)))
+    known, names, found, gaps = F.col(known_), F.col(names_), F.col(found_), F.col(gaps_)
     named = F.transform(gaps, lambda gap: F.array_join(F.zip_with(
         F.split(gap, BARE, -1), _bare(gap), lambda g, w: F.concat(g, F.coalesce(_said(names, w), F.lit("")))), ""))
     n_named = F.aggregate(gaps, F.lit(0), lambda n, gap: n + F.size(F.filter(_bare(gap), lambda w: _said(names, w) != w)))
@@ -271,5 +301,5 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     pieces = F.zip_with(F.when(has, named).otherwise(gaps), found, lambda gap, m: F.concat(gap, F.coalesce(known[m], m, F.lit(""))))
     n = (F.size(F.filter(found, lambda m: F.map_contains_key(known, m))) + F.when(has, n_named).otherwise(0)).cast("long")
     replaced = held.withColumn("n_entities", F.when(known.isNull(), F.lit(0).cast("long")).otherwise(n)).withColumn(
-        "text", F.when(known.isNull(), F.col("text")).otherwise(F.array_join(pieces, ""))).drop("__surrogates", "__names", "__found", "__gaps")
+        "text", F.when(known.isNull(), F.col("text")).otherwise(F.array_join(pieces, ""))).drop(known_, names_, found_, gaps_)
     return docs.where(~may).withColumn("n_entities", F.lit(0).cast("long")).unionByName(replaced)

@@ -143,3 +143,48 @@ def test_bare_names_and_gender_of_either_forms(spark):
     assert out[5].text == f"Mrs. {given} {roe}: {given}, Ann and {roe}-Lee" and out[5].n_entities == 3
     assert re.fullmatch(r"Mr\. \w+n (\w+) met Mrs\. \w+a \w+\. \1!", out[6].text)
     assert re.fullmatch(rf"Mrs\. {anna} {smith}会见{smith}先生。Herr (\w+), \1 \d{{16}} \1", out[7].text) and out[7].n_entities == 6
+
+
+def test_account_numbers_keep_country_and_check_digits_and_addresses_their_class(spark):
+    rows = [(1, "DE89370400440532013000 and GB82 WEST 1234 5698 7654 32"), (2, "10.0.0.1 192.168.1.1 127.0.0.1 172.20.3.4 169.254.7.7 8.8.4.4"),
+            (3, "version 1.2.3.4 stays, at 1.2.3.4 not"), (4, "дом@почта.рф 山田@例え.jp")]
+    got = {r.doc_id: r.text for r in replace_entities(spark.createDataFrame(rows, "doc_id long, text string"), KEY).collect()}
+
+    def valid(iban):
+        s = iban.replace(" ", "")
+        return int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
+
+    a, b = got[1].split(" and ")
+    assert re.fullmatch(r"DE\d{20}", a) and re.fullmatch(r"GB\d\d [A-Z]{4} \d{4} \d{4} \d{4} \d\d", b) and valid(a) and valid(b)
+    assert a != rows[0][1][:22] and b != rows[0][1][27:]
+    new = got[2].split(" ")
+    for old, x, pattern in zip(rows[1][1].split(" "), new, (r"10\.", r"192\.168\.", r"127\.", r"172\.(1[6-9]|2\d|3[01])\.", r"169\.254\.", r"(1[1-9]|[2-9]\d)\."), strict=True):
+        assert re.match(pattern, x) and x != old and all(0 <= int(n) < 256 for n in x.split("."))
+    assert got[3].startswith("version 1.2.3.4 stays, at ") and not got[3].endswith("1.2.3.4 not")
+    assert re.fullmatch(r"[а-я]{3}@[а-я]{5}\.рф [一-龥]{2}@[一-龥ぁ-ん]{2}\.jp", got[4]) and "山田" not in got[4]
+
+
+def test_clashing_columns_pass_through(spark):
+    names = ["doc_id", "text", "of", "hash", "known", "names", "found", "gaps", "of_id", "of_text", "__hash", "__found", "__gaps"]
+    rows = [(i, t, *[f"{i}{n}" for n in names[2:]]) for i, t in enumerate(["me@x.org", "none", None])]
+    out = replace_entities(spark.createDataFrame(rows, names), KEY).collect()
+    assert sorted((r.doc_id, *[r[n] for n in names[2:]], r.n_entities) for r in out) == sorted((r[0], *r[2:], int(r[1] == "me@x.org")) for r in rows)
+
+
+def test_equals_plain_replacement(spark, frame):
+    """Every mention is replaced by the surrogate that its entities got, found once more by a plain pattern over the original."""
+    simple = re.compile(r"[a-z]+\d*@[a-z]+\.org|\d{3}-\d{2}-\d{4}|\(\d{3}\) \d{3}-\d{4}")
+    texts = [f"write ann{i % 7}@site.org or 1{i % 5}3-45-67{i % 9}9, (21{i % 4}) 555-01{i % 10}0; ann{i % 3}@site.org" for i in range(60)]
+    out = {r.doc_id: r for r in replace_entities(frame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"), KEY).collect()}
+    known = {}
+    for i, t in enumerate(texts):
+        parts, new = simple.split(t), out[i].text
+        place = 0
+        for k, m in enumerate(simple.findall(t)):
+            place += len(parts[k])
+            assert new[:place].endswith(parts[k])
+            surrogate = new[place:place + len(m)]
+            assert known.setdefault(m, surrogate) == surrogate and surrogate != m
+            place += len(m)
+        assert new[place:] == parts[-1] and out[i].n_entities == 4
+    assert len(set(known.values())) == len(known) and not set(known) & set(known.values())
