@@ -1,13 +1,15 @@
 """Language identification: script ranges narrow the candidates, Viterbi labels spans of mixed text.
 
-A word is a run of letters and marks.  Training counts character trigrams
+A word is a run of letters and marks; where its script changes it is cut, and scripts
+written without blanks are cut into units of ``UNIT`` characters, so spans can
+change inside a sentence of theirs.  Training counts character trigrams
 (lower-cased, word borders included) per language into a fixed number of hash
 buckets, and letters per script; the counts are summed inside each task and then
 by Spark over all labelled documents, so the model has at most
 ``languages * (BUCKETS + scripts)`` numbers whatever the input.  A word's score
 for a language is the sum of its trigrams' log probabilities; only languages
 that write at least ``MIN_SHARE`` of their letters in the word's script are
-candidates for it.  Viterbi over a document's words, with a fixed penalty for
+candidates for it (a cut word keeps the trigrams of the whole one).  Viterbi over a document's words, with a fixed penalty for
 each switch, gives every word a language.  All documents of a slice step through
 their words together in numpy.
 
@@ -16,7 +18,8 @@ their words together in numpy.
 Defined results: null text or text without a letter is ``und`` with score 0; so
 is every text if nothing was learned; a word in a script that no language writes
 favours none; ties go to the language first in order; rows with null language
-teach nothing; rows with equal or null ids are judged one by one; an empty table
+teach nothing; more than ``MAX_LANGS`` languages are an error (the model would not
+fit the driver); rows with equal or null ids are judged one by one; an empty table
 stays empty.  Texts are read whole, whatever their length; a long text is
 scored in segments cut at word ends.
 """
@@ -37,6 +40,9 @@ BUCKETS = 1 << 16
 MIN_SHARE = 0.001
 SWITCH = 8.0
 SLICE_CHARS = 3_000_000
+UNIT = 4
+MAX_LANGS = 500      # 65,536 numbers of 8 bytes each
+UNSPACED = ("han", "kana", "thai", "lao", "khmer", "myanmar", "tibetan")  # fixed values: scripts without blanks between words
 
 # First code point of each block of letters, with its script.
 SCRIPTS = ((0x0000, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"), (0x0590, "hebrew"),
@@ -142,6 +148,8 @@ def learn(docs: DataFrame) -> Model:
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)),
                                               pa.array(counts[at])], ["lang", "bucket", "n"])
 
+    if docs.where("lang is not null and text is not null").select("lang").distinct().limit(MAX_LANGS + 1).count() > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages")
     counts = (docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
               .where("lang is not null and text is not null").mapInArrow(run, "lang string, bucket int, n long")
               .groupBy("lang", "bucket").agg(F.sum("n").alias("n"))).toArrow()
@@ -155,6 +163,19 @@ def learn(docs: DataFrame) -> Model:
     return Model(langs, table, letters >= MIN_SHARE * np.maximum(letters.sum(0), 1))
 
 
+def _units(inside: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(where units start, script by character) of the characters of words that start at ``first``; a mark has the script before it."""
+    _, letter, _, script = _tables()
+    place = np.arange(len(inside))
+    begins = np.zeros(len(inside), bool)
+    begins[first] = True
+    own = script[inside[np.maximum.accumulate(np.where(letter[inside] | begins, place, 0))]]
+    begins[1:] |= own[1:] != own[:-1]
+    since = place - np.maximum.accumulate(np.where(begins, place, 0))
+    begins |= np.isin(own, [NAMES.index(n) for n in UNSPACED]) & (since % UNIT == 0)
+    return np.flatnonzero(begins), own
+
+
 def word_scores(model: Model, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, letters, scores by language) of every word of the code points."""
     _, letter, is_word, script = _tables()
@@ -165,10 +186,11 @@ def word_scores(model: Model, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray
         s, e = _runs(word)
         if not len(s):
             continue
-        first = np.concatenate([[0], np.cumsum(e - s)[:-1]])
+        inside, at = part[word], np.flatnonzero(word)
+        first, own = _units(inside, np.concatenate([[0], np.cumsum(e - s)[:-1]]))
+        s, e = at[first], at[np.append(first[1:], len(at)) - 1] + 1
         got = np.add.reduceat(model.table[_trigrams(part, word)], first, axis=0)
-        inside = part[word]
-        allowed = model.candidate[script[inside[first]]]
+        allowed = model.candidate[own[first]]
         some = allowed.any(axis=1, keepdims=True)
         got = np.where(allowed, got, got.min(axis=1, keepdims=True) - 50)  # not a candidate: far below every candidate
         got = np.where(some, got, 0)
@@ -242,7 +264,7 @@ def label(model: Model, texts: list[str], switch: float = SWITCH) -> list[tuple[
         weight = np.bincount(rows * len(model.langs) + path, letters, (b - a) * len(model.langs)).reshape(b - a, -1)
         change = np.flatnonzero(np.concatenate([[True], (path[1:] != path[:-1]) | (rows[1:] != rows[:-1])])) if len(path) else []
         spans: list[list] = [[] for _ in range(b - a)]
-        for i, j in zip(change, [*change[1:], len(path)], strict=True):
+        for i, j in zip(change, [*change[1:], len(path)][:len(change)], strict=True):
             r = rows[i]
             spans[r].append((int(starts[i] - begin[r]), int(ends[j - 1] - begin[r]), model.langs[path[i]]))
         for r in range(b - a):

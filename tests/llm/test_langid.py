@@ -67,3 +67,55 @@ def test_scripts_narrow_candidates(spark):
 def test_nothing_learned(spark, frame):
     model = learn(spark.createDataFrame([(None, "en"), ("a", None)], "text string, lang string"))
     assert isinstance(model, Model) and label(model, ["abc", ""]) == [("und", 0.0, []), ("und", 0.0, [])]
+
+
+def test_words_are_cut_at_script_changes_and_unspaced_text_into_units(spark):
+    rows = [("the language of the programming and the code", "en"), ("一种广泛使用的编程语言是它", "zh"), ("ภาษาไทยและการเขียน", "th")] * 3
+    model = learn(spark.createDataFrame(rows, "text string, lang string"))
+    text = "the language Python是一种广泛使用的编程语言 and the code"
+    spans = label(model, [text], 2.0)[0][2]
+    assert [text[a:b] for a, b, lang in spans if lang == "zh"] == ["是一种广泛使用的编程语言"] and [s[2] for s in spans] == ["en", "zh", "en"]
+    assert [s[2] for s in label(model, ["是Python"], 2.0)[0][2]] == ["zh", "en"]
+    codes, _ = _codes(["ภาษาไทยและ"])
+    starts, ends, letters, _ = word_scores(model, codes)
+    assert len(starts) > 1 and starts.tolist()[1:] == ends.tolist()[:-1] and letters.sum() == sum(c.isalpha() for c in "ภาษาไทยและ")
+
+
+def test_label_equals_plain_version(spark):
+    """Score and prediction by units found and labelled one by one."""
+    from llm import langid
+    rows = [("the cat and the dog", "en"), ("кот и пёс", "ru"), ("мачка и пас", "sr"), ("o gato e o cao", "pt"), ("一种广泛使用", "zh")]
+    model = learn(spark.createDataFrame(rows, "text string, lang string"))
+    _, letter, word, script = langid._tables()
+    for text in ("the cat и мачка", "gato 一种广泛使用 the dog", "пас a\u0301bc", "x", "12", "кот кот кот o gato"):
+        codes, _ = _codes([text])
+        starts, ends, letters, scores = word_scores(model, codes)
+        units, i = [], 0
+        while i < len(text):
+            c = ord(text[i])
+            if not word[c]:
+                i += 1
+                continue
+            j = i + 1
+            while j < len(text) and word[ord(text[j])] and (not letter[ord(text[j])] or script[ord(text[j])] == script[c]) and not (
+                    langid.NAMES[script[c]] in langid.UNSPACED and j - i >= langid.UNIT):
+                j += 1
+            units.append((i, j))
+            i = j
+        assert list(zip(starts.tolist(), ends.tolist(), strict=True)) == units
+        lang, score, _ = label(model, [text])[0]
+        if units:
+            best = viterbi(scores, np.array([0, len(units)]))
+            most = max(total(scores, np.array(p), langid.SWITCH) for p in np.ndindex(*[len(model.langs)] * len(units)))
+            assert total(scores, best, langid.SWITCH) == pytest.approx(most, abs=1e-3)
+            weight = [sum(int(n) for n, p in zip(letters, best, strict=True) if p == k) for k in range(len(model.langs))]
+            assert score == pytest.approx(max(weight) / sum(weight)) and lang == model.langs[weight.index(max(weight))]
+        else:
+            assert (lang, score) == ("und", 0.0)
+
+
+def test_too_many_languages_are_an_error(spark, monkeypatch):
+    from llm import langid
+    monkeypatch.setattr(langid, "MAX_LANGS", 3)
+    with pytest.raises(ValueError):
+        learn(spark.createDataFrame([("a b", str(i)) for i in range(4)], "text string, lang string"))
