@@ -11,13 +11,17 @@ rarest tokens (prefix filter, ascending document frequency): each of those that
 others have too is a posting, and sets with a common posting are in one block.
 Equal sets are one set from here on.
 
-Join.  Blocks are cut into chunks of bounded size.  One task holds the sets of a
-chunk in a prefix tree (``trie``) and links them.  Blocks of one chunk are done.
-For the others each chunk is covered by stars (a centre and sets similar to it);
-the centres of all chunks meet, tile by tile, in trees with the threshold that
-could still hide a link between two members, by the triangle inequality of the
-Jaccard distance; centres that are similar link their stars, and undecided pairs
-of stars that are still apart are compared member by member.  So no step holds a
+Order.  The tokens of all sets that have a block are counted over those sets, in
+slices as above; every set is stored in that global order, rarest token first.
+
+Join.  A block of bounded size is one chunk; a larger one is cut into chunks, sets
+with the same least neighbour together.  One task holds the sets of a chunk in a
+prefix tree (``trie``) and links them.  What is left are links between the chunks of
+a large block, and those share a posting: in a few rounds one set per class and
+posting is compared with the posting's first (a class is what is linked so far), which
+joins the parts of large groups of copies.  Postings that still hold several classes
+are joined in trees of their own, postings with the same members once; only a single
+posting with more members than a chunk is met part by part.  So no step holds a
 block, nothing is capped, and every link counts.
 
 Defined results: a text with fewer words is one shingle of all of them; null text,
@@ -36,13 +40,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .common import cut_lineage, drop_table, ship
+from .common import cut_lineage, drop_table, free_names, ship
 from .components import components
 
 RANGE_TOKENS = 1_500_000   # tokens of one counting task
 CHUNK_TOKENS = 1_500_000   # tokens and sets of one tree
-CHUNK_SETS = 2_000
+CHUNK_SETS = 6_000
 SLICE_BYTES = 8 << 20
+SEGMENT_BYTES = 1 << 20
+ROUNDS = 3                 # of comparing the classes of a posting by one set each
 
 
 def _need(n, num: int, den: int):
@@ -74,6 +80,17 @@ def _fingerprint(s: np.ndarray) -> tuple[int, int]:
     return a - (1 << 64) * (a >> 63), b - (1 << 64) * (b >> 63)
 
 
+def _shingles(column, size: int) -> list[np.ndarray]:
+    """The shingle set of every row, about ``SEGMENT_BYTES`` of rows at a time."""
+    _, offs = tv.column_bytes(column)
+    out, a, rows = [], 0, len(offs) - 1
+    while a < rows:
+        b = max(a + 1, int(np.searchsorted(offs, offs[a] + SEGMENT_BYTES, side="right")) - 1)
+        out.extend(tv.shingle_sets(column.slice(a, b - a), size))
+        a = b
+    return out
+
+
 def _sets_table(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
     """One row per slice: per document id, text hash, set size and fingerprint; the regions of all, one after the other."""
     def run(batches):
@@ -83,7 +100,7 @@ def _sets_table(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
             while a < batch.num_rows:
                 b = max(a + 1, int(np.searchsorted(offs, offs[a] + SLICE_BYTES, side="right")) - 1)
                 part = batch.slice(a, b - a)
-                sets = tv.shingle_sets(part.column(2), size)
+                sets = _shingles(part.column(2), size)
                 n = np.array([len(s) for s in sets], np.int64)
                 keep = np.where(n > 0, np.minimum(n, n - _need(n, num, den) + _reach(n)), 0)
                 prints = [_fingerprint(s) for s in sets]
@@ -100,15 +117,20 @@ def _sets_table(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
     return cut_lineage(table.withColumn("slice", F.monotonically_increasing_id()))
 
 
-def _shared(table: DataFrame) -> DataFrame:
+def _upper(data: bytes) -> np.ndarray:
+    """Whole tokens, their lowest 16 bits cleared as ``_pack`` does."""
+    return np.frombuffer(data, "<u8") & ~np.uint64(0xFFFF)
+
+
+def _shared(table: DataFrame, read=_unpack, width: int = 6) -> DataFrame:
     """``slice, tokens, counts``: the tokens of a slice that two or more documents hold, with their numbers of documents."""
     total = table.agg(F.sum(F.octet_length("tokens")).alias("b")).first().b or 0
-    ranges = max(1, -(-int(total) // 6 // RANGE_TOKENS))
+    ranges = max(1, -(-int(total) // width // RANGE_TOKENS))
 
     def split(batches):
         for batch in batches:
             for at, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                token, times = np.unique(_unpack(data), return_counts=True)
+                token, times = np.unique(read(data), return_counts=True)
                 where = ((token >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
                 edges = np.searchsorted(where, np.arange(ranges + 1))
                 full = [r for r in range(ranges) if edges[r + 1] > edges[r]]
@@ -186,123 +208,180 @@ def _by_task(batches, keys: tuple[str, ...]):
         yield now, rows
 
 
-def _tree(rows: list[dict], num: int, den: int, slack=None):
+def _tree(rows: list[dict], num: int, den: int):
     from llm.trie import Group
 
-    group = Group([np.frombuffer(r["tokens"], "<u8") for r in rows], num, den, slack)
+    group = Group([np.frombuffer(r["tokens"], "<u8") for r in rows], num, den, [np.frombuffer(r["counts"], "<u4") for r in rows])
     return group, [rows[i] for i in group.order]
 
 
-def _linked(spark, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """``sid, label`` of every row of ``sets`` (``block, chunk, chunks, sid, tokens``): equal labels for linked sets."""
+def _ordered(sets: DataFrame) -> DataFrame:
+    """``sid, tokens, counts`` of all sets of the slices of ``sets``, rarest token first; ``counts`` over all these sets."""
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                tokens = np.frombuffer(row["tokens"], "<u8")
+                shared = row["shared"] or []
+                token = np.concatenate([np.zeros(0, np.uint64), *(_unpack(x["tokens"]) for x in shared)])
+                count = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x["counts"], "<i8") for x in shared)])
+                order = np.argsort(token)
+                token, count = np.append(token[order], np.uint64(0)), np.append(count[order], 1)
+                upper = _upper(row["tokens"])
+                at = np.searchsorted(token[:-1], upper)
+                times = np.where(token[at] == upper, count[at], 1)
+                ends = np.cumsum(row["n"]).tolist()
+                out = []
+                for a, b in zip([0, *ends[:-1]], ends, strict=True):
+                    order = a + np.lexsort((tokens[a:b], times[a:b]))
+                    out.append((tokens[order].tobytes(), times[order].astype("<u4").tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array(row["sids"], pa.int64()), *(pa.array([o[k] for o in out], pa.binary()) for k in range(2))],
+                                                 ["sid", "tokens", "counts"])
+
+    shared = _shared(sets, _upper, 8).groupBy("slice").agg(F.collect_list(F.struct("tokens", "counts")).alias("shared"))
+    return sets.join(shared, "slice", "left").select("sids", "n", "tokens", "shared").mapInArrow(run, "sid long, tokens binary, counts binary")
+
+
+def _linked(sets: DataFrame, posts: DataFrame, num: int, den: int) -> DataFrame:
+    """``sid, label`` of every row of ``sets`` (``block, chunk, chunks, sid, node, tokens, counts``): equal labels for linked sets."""
     def chunks(batches):
         for _, rows in _by_task(batches, ("block", "chunk")):
             group, rows = _tree(rows, num, den)
             label = group.components()
             many = rows[0]["chunks"] > 1
-            centre, distance = group.stars() if many else (label, np.zeros(len(rows)))
-            radius = np.zeros(len(rows))
-            np.maximum.at(radius, centre, distance)
             sid = [r["sid"] for r in rows]
             yield pa.RecordBatch.from_arrays([
-                pa.array([r["block"] for r in rows], pa.int64()), pa.array([r["chunk"] for r in rows], pa.int32()), pa.array(sid, pa.int64()),
-                pa.array([sid[i] for i in label], pa.int64()), pa.array([sid[i] for i in centre], pa.int64()), pa.array(radius),
-                pa.array([r["tokens"] if many else None for r in rows], pa.binary())],
-                ["block", "chunk", "sid", "label", "centre", "radius", "tokens"])
+                pa.array([r["chunk"] for r in rows], pa.int64()), pa.array(sid, pa.int64()), pa.array([r["node"] for r in rows], pa.int64()),
+                pa.array([sid[i] for i in label], pa.int64()), *(pa.array([r[c] if many else None for r in rows], pa.binary()) for c in ("tokens", "counts"))],
+                ["chunk", "sid", "node", "label", "tokens", "counts"])
 
     done = cut_lineage(sets.repartition("block", "chunk").sortWithinPartitions("block", "chunk").mapInArrow(
-        chunks, "block long, chunk int, sid long, label long, centre long, radius double, tokens binary"))
-    if not done.where("tokens is not null").limit(1).count():  # every block was one chunk: nothing is left to meet
+        chunks, "chunk long, sid long, node long, label long, tokens binary, counts binary"))
+    live = done.where("tokens is not null")
+    if not live.limit(1).count():  # every block was one chunk: no set has a partner elsewhere
+        return done.select("sid", "label")
+    edges = _across(live, posts, num, den)
+    if edges is None:
         return done.select("sid", "label")
-    centres = done.where("tokens is not null and sid = centre")
-    tiles = centres.groupBy("block").agg(F.ceil(F.greatest(F.sum(F.octet_length("tokens")) / (8 * CHUNK_TOKENS), F.count("*") / CHUNK_SETS)).cast("int").alias("tiles"))
-    tiled = centres.join(tiles, "block").withColumn("own", F.pmod(F.xxhash64("sid"), "tiles").cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+    last = components(edges)
+    return done.select("sid", "label").join(last.select(F.col("node").alias("label"), "component"), "label", "left").select(
+        "sid", F.coalesce("component", "label").alias("label"))
+
+
+def _across(live: DataFrame, posts: DataFrame, num: int, den: int) -> DataFrame | None:
+    """``a, b``: labels joined by links between the chunks of a block."""
+    member = posts.join(live.select("node", "sid", "chunk", "label"), "node").select("token", "sid", "chunk", "label")
+
+    def open_postings(rows: DataFrame) -> DataFrame:
+        mixed = rows.groupBy("token").agg(F.min("label").alias("l"), F.max("label").alias("m"), F.min("chunk").alias("c"), F.max("chunk").alias("d"))
+        return cut_lineage(rows.join(mixed.where("l <> m and c <> d").select("token"), "token"))
+
+    def similar(batches):
+        for batch in batches:
+            near = []
+            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
+                x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+                inter = len(np.intersect1d(x, y, assume_unique=True))
+                near.append(den * inter >= num * (len(x) + len(y) - inter))
+            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    member, edges = open_postings(member), None
+    for r in range(ROUNDS):
+        if not member.limit(1).count():
+            return edges
+        one = member.groupBy("token", "label").agg(F.min(F.struct(F.xxhash64("sid", F.lit(r)).alias("h"), "sid", "chunk")).alias("x"))
+        first = one.groupBy("token").agg(F.min(F.struct("x", "label")).alias("y"))
+        pairs = one.join(first, "token").where("label <> y.label and x.chunk <> y.x.chunk").select(
+            F.col("label").alias("a"), F.col("y.label").alias("b"), F.col("x.sid").alias("left"), F.col("y.x.sid").alias("right")).distinct()
+        pairs = pairs.join(live.select(F.col("sid").alias("left"), F.col("tokens").alias("x")), "left").join(
+            live.select(F.col("sid").alias("right"), F.col("tokens").alias("y")), "right").where(
+            F.least(F.octet_length("x"), F.octet_length("y")) * den >= F.greatest(F.octet_length("x"), F.octet_length("y")) * num)
+        found = cut_lineage(pairs.select("a", "b", "x", "y").mapInArrow(similar, "a long, b long").distinct())
+        if not found.limit(1).count():
+            continue
+        edges = found if edges is None else edges.unionByName(found)
+        of = cut_lineage(components(found))
+        member = open_postings(member.join(of.select(F.col("node").alias("label"), "component"), "label", "left").select(
+            "token", "sid", "chunk", F.coalesce("component", "label").alias("label")))
+
+    held = member.groupBy("token").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("sid")).alias("h"), F.bit_xor(F.xxhash64("sid", F.lit(1))).alias("k"))
+    once = held.groupBy("m", "h", "k").agg(F.min("token").alias("token")).select("token", F.ceil(F.col("m") / CHUNK_SETS).cast("int").alias("parts"))
+    cells = member.join(once, "token").withColumn("own", F.pmod(F.xxhash64("sid"), "parts").cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    cells = cells.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "sid", "label").join(
+        live.select("sid", "tokens", "counts"), "sid")
 
     def meet(batches):
-        for (_, i, j), rows in _by_task(batches, ("block", "i", "j")):
-            # two members are similar only if their centres are at most 1 - t and both radii apart
-            group, rows = _tree(rows, num, den, [den * r["radius"] for r in rows])
-            out = []
-            for x, r in enumerate(rows):
-                for y, inter in group.probe(x, lambda first, stop, x=x: stop <= x + 1):
-                    s = rows[y]
-                    if y <= x or s["chunk"] == r["chunk"] or (i != j and s["own"] == r["own"]) or s["label"] == r["label"]:
-                        continue
-                    union = int(group.size[x] + group.size[y]) - inter
-                    near = den * inter >= num * union
-                    if near or 1 - inter / union <= 1 - num / den + r["radius"] + s["radius"] + 1e-9:
-                        out.append((r["label"], s["label"], r["sid"], s["sid"], near))
-            yield pa.RecordBatch.from_arrays([*(pa.array([o[k] for o in out], pa.int64()) for k in range(4)),
-                                              pa.array([o[4] for o in out], pa.bool_())], ["a", "b", "left", "right", "near"])
-
-    met = cut_lineage(tiled.select("block", "i", "j", "own", "chunk", "sid", "label", "radius", "tokens").repartition("block", "i", "j")
-                      .sortWithinPartitions("block", "i", "j").mapInArrow(meet, "a long, b long, left long, right long, near boolean"))
-    near = met.where("near").select("a", "b")
-    first = cut_lineage(components(near))
-    at = lambda c: F.coalesce(F.col(c), F.col(c[1:]))
-    apart = (met.where("not near").join(first.select(F.col("node").alias("a"), F.col("component").alias("_a")), "a", "left")
-             .join(first.select(F.col("node").alias("b"), F.col("component").alias("_b")), "b", "left").where(at("_a") != at("_b")))
-    pairs = cut_lineage(apart.select("a", "b", "left", "right").distinct().withColumn("pair", F.monotonically_increasing_id()))
-    members = pairs.select("pair", "a", "b", F.explode(F.array("left", "right")).alias("centre")).join(
-        done.where("tokens is not null").select("centre", "sid", "tokens"), "centre")
-
-    def compare(batches):
-        for _, rows in _by_task(batches, ("pair",)):
+        for _, rows in _by_task(batches, ("token", "i", "j")):
             group, rows = _tree(rows, num, den)
-            side = np.array([r["centre"] for r in rows])
+            label = [r["label"] for r in rows]
+            group.classes(np.unique(label, return_inverse=True)[1])
+            out = []
             for x in range(len(rows)):
-                hit = group.probe(x, lambda first, stop, x=x: bool((side[first:stop] == side[x]).all()))
-                if any(side[y] != side[x] for y, _ in hit):
-                    yield pa.RecordBatch.from_arrays([pa.array([rows[0]["a"]], pa.int64()), pa.array([rows[0]["b"]], pa.int64())], ["a", "b"])
-                    break
+                for y, _ in group.probe(x, all_sets=False):
+                    if group.label[x] != group.label[y]:
+                        out.append((label[x], label[y]))
+                        group.join(x, y)
+            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in range(2)], ["a", "b"])
 
-    more = members.repartition("pair").sortWithinPartitions("pair").mapInArrow(compare, "a long, b long")
-    last = components(near.unionByName(more))
-    return done.select("sid", "label").join(last.select(F.col("node").alias("label"), "component"), "label", "left").select(
-        "sid", F.coalesce("component", "label").alias("label"))
+    met = cut_lineage(cells.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(meet, "a long, b long").distinct())
+    return met if edges is None else edges.unionByName(met)
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs``; sets link from a similarity of ``num / den``."""
-    spark = docs.sparkSession
-    ship(spark)
+    ship(docs.sparkSession)
     table = _sets_table(docs, size, num, den)
     rows = table.select(F.explode(F.arrays_zip("ids", "keys", "n", "hi", "lo")).alias("r")).select(
         F.col("r.ids").alias("doc_id"), F.col("r.keys").alias("key"), F.col("r.n").alias("n"), F.col("r.hi").alias("hi"), F.col("r.lo").alias("lo"))
-    posts = cut_lineage(_postings(table, num, den))
-    leader = posts.groupBy("token").agg(F.min("node").alias("b"), F.max("node").alias("z")).where("b <> z")
-    edges = posts.join(leader, "token").select(F.col("node").alias("a"), "b").where("a <> b").distinct()
+    every = cut_lineage(_postings(table, num, den))
+    # a passage's tokens are in the same sets: of the postings with the same members one is enough
+    held = every.groupBy("token").agg(F.min("node").alias("b"), F.max("node").alias("z"), F.count("*").cast("int").alias("m"),
+                                      F.bit_xor(F.xxhash64("node")).alias("h")).where("b <> z")
+    posts = cut_lineage(every.join(held.groupBy("b", "z", "m", "h").agg(F.min("token").alias("token")).select("token", "b"), "token"))
+    drop_table(every)
+    edges = posts.select(F.col("node").alias("a"), "b").where("a <> b").distinct()
     blocks = components(edges).withColumnRenamed("component", "block")
 
     # one row per distinct set of a block, with a document that has it
     sets = rows.where("n > 0").join(blocks, F.col("lo") == F.col("node")).groupBy("hi", "lo", "n", "block").agg(
         F.min(F.struct("doc_id", "key")).alias("of"))
     sets = cut_lineage(sets.select("hi", "lo", "n", "block", "of.doc_id", "of.key").withColumn("sid", F.monotonically_increasing_id()))
-    drop_table(posts)
     chunks = sets.groupBy("block").agg(F.ceil(F.greatest(F.sum("n") / CHUNK_TOKENS, F.count("*") / CHUNK_SETS)).cast("int").alias("chunks"),
                                        F.count("*").alias("m")).where("m > 1").drop("m")
-    placed = sets.join(chunks, "block").select(
-        "block", "chunks", F.pmod(F.xxhash64("sid"), "chunks").cast("int").alias("chunk"), "sid", "hi", "lo", F.col("doc_id").alias("id"), "key")
+    # sets of a large block go with their least neighbour; a neighbour with more than a chunk has chunks of its own
+    least = edges.groupBy("a").agg(F.min("b").alias("lead"))
+    placed = sets.join(chunks, "block").join(least, F.col("lo") == F.col("a"), "left").withColumn("lead", F.coalesce("lead", "lo")).drop("a")
+    leads = placed.where("chunks > 1").groupBy("block", "lead").agg(
+        F.ceil(F.greatest(F.sum("n") / CHUNK_TOKENS, F.count("*") / CHUNK_SETS)).cast("int").alias("own")).where("own > 1")
+    placed = placed.join(leads, ["block", "lead"], "left").select(
+        "block", "chunks", F.when(F.col("chunks") == 1, F.lit(0)).when(F.col("own") > 1, F.xxhash64("lead", F.pmod(F.xxhash64("sid"), "own")))
+        .otherwise(F.pmod(F.xxhash64("lead"), 2 * F.col("chunks"))).alias("chunk"), "sid", "hi", "lo", F.col("doc_id").alias("id"), "key")
+    placed = cut_lineage(placed)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), F.col("text").cast("string").alias("text"))
-    found = texts.join(placed, (texts.key == placed.key) & texts.doc_id.eqNullSafe(placed.id)).select(
-        "block", "chunk", "chunks", "sid", "hi", "lo", "text")
+    # never a broadcast: the sets with a block grow with the documents
+    found = texts.join(placed.hint("merge"), (texts.key == placed.key) & texts.doc_id.eqNullSafe(placed.id)).select("sid", "hi", "lo", "text")
 
     def again(batches):
         for batch in batches:
             for a in range(0, batch.num_rows, 500):
                 part = batch.slice(a, 500)
-                got = tv.shingle_sets(part.column(6), size)
-                keep = [_fingerprint(s) == (h, w) for s, h, w in zip(got, part.column(4).to_pylist(), part.column(5).to_pylist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array([s.astype("<u8").tobytes() for s in got], pa.binary())],
-                                                 ["block", "chunk", "chunks", "sid", "tokens"]).filter(pa.array(keep, pa.bool_()))
-
-    linked = _linked(spark, found.mapInArrow(again, "block long, chunk int, chunks int, sid long, tokens binary"), num, den)
+                got = _shingles(part.column(3), size)
+                rows = [(i, s) for i, h, w, s in zip(*(part.column(k).to_pylist() for k in range(3)), got, strict=True) if _fingerprint(s) == (h, w)]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([[r[0] for r in rows]], pa.list_(pa.int64())), pa.array([[len(r[1]) for r in rows]], pa.list_(pa.int64())),
+                        pa.array([np.concatenate([r[1] for r in rows]).astype("<u8").tobytes()], pa.binary())], ["sids", "n", "tokens"])
+
+    slices = cut_lineage(found.mapInArrow(again, "sids array<long>, n array<long>, tokens binary").withColumn("slice", F.monotonically_increasing_id()))
+    whole = placed.select("block", "chunk", "chunks", "sid", F.col("lo").alias("node")).join(_ordered(slices), "sid")
+    linked = _linked(whole, posts, num, den)
     label = linked.groupBy("sid").agg(F.min("label").alias("label"))
     classes = cut_lineage(rows.where("n > 0").groupBy("hi", "lo").agg(F.min("doc_id").alias("least")))
     member = classes.join(sets.select("hi", "lo", "sid").join(label, "sid"), ["hi", "lo"])
     of_label = member.groupBy("label").agg(F.min("least").alias("component"))
     of_class = cut_lineage(member.join(of_label, "label").select("hi", "lo", "component"))
+    for used in (posts, slices):
+        drop_table(used)
     named = cut_lineage(classes.join(of_class, ["hi", "lo"], "left").select("hi", "lo", F.coalesce("component", "least").alias("component")))
     return rows.join(named, ["hi", "lo"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
@@ -310,9 +389,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
 
 def keep_one(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each component the row of its smallest id; every empty set stays."""
+    key, own, some = free_names(docs, "key", "id", "some")
     found = near_duplicates(docs, size, num, den)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(
-        (F.max("n_shingles") > 0).alias("__some")).withColumnRenamed("doc_id", "__id")
-    rows = docs.withColumn("__key", F.xxhash64("text")).join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")))
-    once = rows.where("__some").dropDuplicates(["__id", "__key"])
-    return once.unionByName(rows.where("not __some")).select(*docs.columns)
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias(own)).agg((F.max("n_shingles") > 0).alias(some))
+    rows = docs.withColumn(key, F.xxhash64("text")).join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col(own)))
+    once = rows.where(F.col(some)).dropDuplicates([own, key])
+    return once.unionByName(rows.where(~F.col(some))).select(*docs.columns)
