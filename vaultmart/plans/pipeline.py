@@ -124,10 +124,10 @@ def run_vault_year(stg: Staging, root: str, year: int, only: frozenset[str] | No
         _run_vault_year(stg, root, year, only)
 
 
-def _together(jobs: list) -> None:
+def _together(spark: SparkSession, jobs: list) -> None:
     """Run independent jobs side by side; the first error is raised."""
     with ThreadPoolExecutor(4) as pool:
-        for done in [pool.submit(inheritable_thread_target(j)) for j in jobs]:
+        for done in [pool.submit(inheritable_thread_target(spark)(j)) for j in jobs]:
             done.result()
 
 
@@ -171,8 +171,8 @@ def _run_vault_year(stg: Staging, root: str, year: int, only: frozenset[str] | N
         delta = vault.link_delta(hashed[link.source], link, stored, _link_year(link))
         tables.append_bucketed(cut_lineage(delta), _path(root, f"dds_t_lnk_{link.name}"), _buckets(spark, f"{link.name}_pk"), LINK_YEAR)
 
-    _together([lambda s=s: load_source(s) for s in LAKE_SOURCES if s in needed] + ([load_master] if "mdm" in needed else []))
-    _together([lambda x=x: load_hub(x) for x in hubs] + [lambda x=x: load_link(x) for x in links]
+    _together(spark, [lambda s=s: load_source(s) for s in LAKE_SOURCES if s in needed] + ([load_master] if "mdm" in needed else []))
+    _together(spark, [lambda x=x: load_hub(x) for x in hubs] + [lambda x=x: load_link(x) for x in links]
               + [lambda x=x: _load_satellite(spark, root, x, hashed[x.source], year) for x in sats])
 
 
