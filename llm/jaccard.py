@@ -329,6 +329,11 @@ def _across(live: DataFrame, posts: DataFrame, num: int, den: int) -> DataFrame
 
 def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs``; sets link from a similarity of ``num / den``."""
+    return _classes(docs, size, num, den).select("doc_id", "n_shingles", "component_id")
+
+
+def _classes(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
+    """``near_duplicates`` with the hash of each row's text (``key``) and the least set of its class (``root``)."""
     ship(docs.sparkSession)
     table = _sets_table(docs, size, num, den)
     rows = table.select(F.explode(F.arrays_zip("ids", "keys", "n", "hi", "lo")).alias("r")).select(
@@ -378,20 +383,28 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     label = linked.groupBy("sid").agg(F.min("label").alias("label"))
     classes = cut_lineage(rows.where("n > 0").groupBy("hi", "lo").agg(F.min("doc_id").alias("least")))
     member = classes.join(sets.select("hi", "lo", "sid").join(label, "sid"), ["hi", "lo"])
-    of_label = member.groupBy("label").agg(F.min("least").alias("component"))
-    of_class = cut_lineage(member.join(of_label, "label").select("hi", "lo", "component"))
+    of_label = member.groupBy("label").agg(F.min("least").alias("component"), F.min(F.struct("hi", "lo")).alias("root"))
+    of_class = cut_lineage(member.join(of_label, "label").select("hi", "lo", "component", "root"))
     for used in (posts, slices):
         drop_table(used)
-    named = cut_lineage(classes.join(of_class, ["hi", "lo"], "left").select("hi", "lo", F.coalesce("component", "least").alias("component")))
+    named = cut_lineage(classes.join(of_class, ["hi", "lo"], "left").select(
+        "hi", "lo", F.coalesce("component", "least").alias("component"), F.coalesce("root", F.struct("hi", "lo")).alias("root")))
     return rows.join(named, ["hi", "lo"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
+        "key", "root")
 
 
 def keep_one(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of ``docs`` without near duplicates: of each component the row of its smallest id; every empty set stays."""
-    key, own, some = free_names(docs, "key", "id", "some")
-    found = near_duplicates(docs, size, num, den)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias(own)).agg((F.max("n_shingles") > 0).alias(some))
-    rows = docs.withColumn(key, F.xxhash64("text")).join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col(own)))
-    once = rows.where(F.col(some)).dropDuplicates([own, key])
-    return once.unionByName(rows.where(~F.col(some))).select(*docs.columns)
+    """The rows of ``docs`` without near duplicates: of each class one row of its smallest id (a null one counts as the
+    largest; of several texts under that id, that of the smallest hash); every row with the empty set stays."""
+    key, own, text_hash = free_names(docs, "key", "own", "text_hash")
+    found = cut_lineage(_classes(docs, size, num, den))
+    rows = docs.withColumn(key, F.xxhash64("text"))
+
+    def of(chosen: DataFrame) -> DataFrame:
+        chosen = chosen.select(F.col("doc_id").alias(own), F.col("key").alias(text_hash))
+        return rows.join(chosen, (F.col(key) == F.col(text_hash)) & F.col("doc_id").cast("long").eqNullSafe(F.col(own)))
+
+    least = found.where("n_shingles > 0").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "key")).alias("r"))
+    once = of(least.select("r.doc_id", "r.key")).dropDuplicates([own, key])
+    return once.unionByName(of(found.where("n_shingles = 0").select("doc_id", "key").distinct())).select(*docs.columns)

@@ -75,3 +75,59 @@ def test_run_gives_the_last_stage(spark):
     for parts in by.values():
         ends = np.cumsum([n for _, n in sorted(parts)])
         assert [o for o, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= 2048
+
+PLAIN = " ".join(f"word{i} of a longer text" for i in range(30))
+ODD = [(1, None), (2, ""), (3, " \n\t"), (4, PLAIN), (4, PLAIN), (4, PLAIN + " tail"), (None, PLAIN), (None, None), (5, "x" * 200_000), (6, "one two three\n" * 20_000),
+       (7, "\x00 \U0001F600 ß"), (8, PLAIN.upper())]
+MORE = "doc_id long, text string, lang string, source string, n_chars long, kept string, key string, n_dropped string, start string"
+
+
+def odd(frame):
+    return frame([(d, t, None, "s", 3, "own", "k", "n", "s") for d, t in ODD], MORE)
+
+
+def texts_of(df):
+    return sorted(((r.doc_id, r.text) for r in df.collect()), key=repr)
+
+
+def test_quality_stage_on_odd_rows(spark, frame):
+    out = corpus_pipeline.quality_rules(spark, odd(frame), SF)
+    assert out.columns == COLUMNS
+    got = texts_of(out)
+    assert not [t for _, t in got if not t or len(t.split()) < 50]
+    assert [x for x in got if x[1] == PLAIN] in ([], sorted([(4, PLAIN), (4, PLAIN), (None, PLAIN)], key=repr))
+
+
+def test_line_stage_on_odd_rows(spark, frame):
+    out = corpus_pipeline.line_dedup(spark, odd(frame), SF)
+    assert out.columns == COLUMNS
+    got = texts_of(out)
+    assert len(got) == len(ODD) and set(got) == {(d, t or "") for d, t, _, _ in lines(ODD, 10, 1)}
+
+
+def test_near_duplicate_stage_on_odd_rows(spark, frame):
+    got = texts_of(corpus_pipeline.near_duplicates(spark, odd(frame), SF))
+    assert [d for d, t in got if t and t.lower().startswith("word0")] == [4]  # of equal and similar texts, with one id or several
+    assert {(1, None), (2, ""), (3, " \n\t"), (None, None), (5, "x" * 200_000), (7, "\x00 \U0001F600 ß")} <= set(got)
+    assert len(got) == 8
+
+
+def test_decontamination_stage_on_odd_rows(spark, frame):
+    item = next(r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect() if r.text and len(norm(r.text)) > 60)
+    rows = [(d, t, None, "s", 3, "own", "k", "n", "s") for d, t in [*ODD, (20, item), (None, "a " + item), (21, PLAIN + " " + item.upper())]]
+    out = corpus_pipeline.benchmark_decontamination(spark, frame(rows, MORE), SF)
+    assert out.columns == COLUMNS and texts_of(out) == sorted(ODD, key=repr)
+
+
+def test_packing_stage_on_odd_rows(spark, frame):
+    rows = corpus_pipeline.packing(spark, odd(frame), SF).collect()
+    for d in {d for d, _ in ODD}:
+        parts = sorted((r.start, r.length, r.doc_tokens) for r in rows if r.doc_id == d)
+        assert parts and all(n >= 1 for _, n, _ in parts)
+    assert sum(r.length for r in rows) == sum({(r.doc_id, r.doc_tokens, k): r.doc_tokens for k, r in enumerate(rows) if r.start == 0}.values())
+
+
+def test_stages_on_an_empty_table(spark):
+    none = spark.createDataFrame([], MORE)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, SF).count() == 0, name
