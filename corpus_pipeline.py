@@ -6,7 +6,8 @@ folder and reads again as the next stage's ``docs``.  All stages but the last
 return the columns of ``documents``.
 
 Defined results: rejected, duplicate and contaminated rows go, every other row
-stays with its remaining lines (``n_chars`` follows the text where lines went); the
+stays with its remaining lines (``n_chars`` follows the text where lines went); columns
+that ``documents`` has beyond the five of ``COLUMNS`` are left out by every stage; the
 operators' docstrings say what nulls, empty texts, ties and repeated rows give.
 """
 
@@ -61,7 +62,7 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: The trees, the near-duplicate groups, the alignment and the tokens have no SQL form; tests/llm/test_pipeline.py has a plain version.
+#: The trees, the near-duplicate groups, the alignment and the tokens have no SQL form; tests/llm/test_corpus_pipeline.py has a plain version.
 ORACLE_SQL = None
 
 
