@@ -14,10 +14,12 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from vaultmart.operators import ods as ods_ops  # noqa: E402
 from vaultmart.operators import report_mart as rm  # noqa: E402
+from vaultmart.operators import vault  # noqa: E402
 from vaultmart.plans import params as P  # noqa: E402
-from vaultmart.plans.catalog import QUERIES, Vault, stg  # noqa: E402
-from vaultmart.plans.specs import MEASURE_BY_LINK  # noqa: E402
-from vaultmart.session import build_session  # noqa: E402
+from vaultmart.plans import pipeline  # noqa: E402
+from vaultmart.plans.catalog import PAYMENT_VAULT, QUERIES, Vault, stg  # noqa: E402
+from vaultmart.plans.specs import MEASURE_BY_LINK, SAT_BY_NAME  # noqa: E402
+from vaultmart.session import build_session, scratch_folder  # noqa: E402
 from vaultmart.sources import tables  # noqa: E402
 
 
@@ -46,9 +48,26 @@ def main():
                 plan(v.hub("user"))))
     out.append(("Link load (min of a struct per key, combined map-side)",
                 plan(v.link("billing"))))
-    out.append(("Report aggregate (link x satellite, per-user partial sum, then master data)",
-                plan(rm.report_aggregate(v.view(["payment"]), MEASURE_BY_LINK["payment"],
-                                         P.SLICE_YEAR))))
+    # a stored vault of two runs, read as the next run and the mart read it
+    root = scratch_folder(spark) + "/vault"
+    fixtures = stg(spark, sf_dir)
+    for year in (1996, 1997):
+        pipeline.run_vault_year(fixtures, root, year, PAYMENT_VAULT | {"sat_user"})
+    batch = v.hashed("payment").where("year(load_dts) = 1998")
+    user = SAT_BY_NAME["user"]
+    current = spark.read.parquet(f"{root}/dds_c_sat_user/run=1997")
+    out.append(("Satellite load that follows the newest run (current versions only, no history)",
+                plan(vault.satellite_delta(batch, user, None, ods_ops.load_date(1998), current))))
+    m = MEASURE_BY_LINK["payment"]
+    view = pipeline.read_vault(spark, root, (m,))
+    out.append(("Report aggregate of one year on the stored vault (one year of the links, no exchange between link and satellite)",
+                plan(rm.report_aggregate(view, m, P.SLICE_YEAR))))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    out.append(("All measures in one pass (facts as one union, hub and master data joined once)",
+                plan(rm.report_totals(v.view()))))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    _, fact = rm.marts_backfill(Vault(spark, sf_dir).view())
+    out.append(("Dense fact (grid from a range, one join on the cell number)", plan(fact)))
     for title, text in out:
         print(f"### {title}\n\n```\n{text}\n```\n")
 
