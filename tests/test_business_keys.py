@@ -6,6 +6,7 @@ from collections import Counter
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from vaultmart.operators import ods as ods_ops
 from vaultmart.operators import report_mart as rm
@@ -64,3 +65,36 @@ def test_no_hash_of_an_event_is_shuffled(spark, link):
     plain = rm.VaultView(view.hub_user, view.hub_billing_period, {k: x.drop(vault.KEY) for k, x in view.links.items()},
                          {k: x.drop(vault.KEY) for k, x in view.sats.items()}, view.sat_user_mdm)
     assert Counter(rm.report_aggregate(view, m).collect()) == Counter(rm.report_aggregate(plain, m).collect())
+
+
+def test_yearly_loads_of_a_link_keep_no_second_satellite(spark, workdir):
+    """Keys met in several runs, one of them run again: what the loads in one job give, and no table of all current versions."""
+    import os
+    from dataclasses import replace
+
+    from vaultmart.plans import pipeline
+    from vaultmart.sources.fixtures import staging_from_testdata
+
+    typed = odd_rows(spark, "billing")
+    stg = replace(staging_from_testdata(spark, SMALL), billing=typed.select(
+        "user_id", *[F.col(c).cast("string").alias(c) for c in typed.columns[1:]]))
+    only = frozenset({"lnk_billing", "sat_billing", "sat_traffic"})
+    for year in (2013, 2014, 2015, 2017, 2014):
+        pipeline.run_vault_year(stg, workdir, year, only)
+    sat, link = SAT_BY_NAME["billing"], LINK_BY_NAME["billing"]
+    hashed = ods_ops.hashed(typed, "billing")
+    want = vault.satellite_backfill(hashed.select(*vault.sat_columns(sat)), sat)
+    got = pipeline.read_satellite(spark, workdir, sat).select(*want.columns)
+    assert Counter(got.collect()) == Counter(want.collect())
+    want = vault.link_candidates(hashed, link)
+    got = pipeline.read_link(spark, workdir, link).select(*want.columns)
+    assert Counter(got.collect()) == Counter(want.collect())
+    assert not [f for f in os.listdir(workdir) if f.startswith("dds_c_sat_")]
+
+
+def test_master_data_are_dealt_by_user(spark, monkeypatch):
+    mdm = Vault(spark, SMALL)
+    monkeypatch.setattr(ods_ops, "USERS_PER_TASK", 10)
+    runs = mdm.mdm_runs()
+    per_task = runs.groupBy(F.spark_partition_id().alias("p")).agg(F.count_distinct("user_id").alias("n")).collect()
+    assert len(per_task) > 8 and max(r.n for r in per_task) < 40

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,10 +22,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DateType, StringType, StructField, StructType
 
 from ..functions.casts import period_year
+from ..functions.keys import business_key
 from ..operators import ods as ods_ops
 from ..operators import report_mart as rm
 from ..operators import vault
 from ..operators.lake_mart import min_max_avg_mart
+from ..operators.ods import LINK_KEY_COLUMNS
 from ..session import cut_lineage, scratch_scope
 from ..sources import tables
 from ..sources.fixtures import Staging
@@ -115,8 +118,9 @@ def read_link(spark: SparkSession, root: str, link: LinkSpec) -> DataFrame | Non
 
 
 def _link_year(link: LinkSpec) -> Column:
-    """Report year of a link's events: the billing period's, else the event's."""
-    return period_year("billing_period") if MEASURE_BY_LINK[link.name].from_billing else F.year("effective_from")
+    """Report year of a link (partition value): its billing period's, else its event's."""
+    year = period_year(f"{vault.KEY}.billing_period") if MEASURE_BY_LINK[link.name].from_billing else F.year("effective_from")
+    return year.cast("string").alias(LINK_YEAR)
 
 
 def run_vault_year(stg: Staging, root: str, year: int, only: frozenset[str] | None = None) -> None:
@@ -157,7 +161,7 @@ def _run_vault_year(stg: Staging, root: str, year: int, only: frozenset[str] | N
                 F.col("year") == F.lit(str(year))).drop("year")
 
     def load_master() -> None:
-        tables.reload(stg.mdm_user, _path(root, "ods_t_user"))
+        tables.reload(ods_ops.spread(stg.mdm_user), _path(root, "ods_t_user"))
         tables.reload(ods_ops.mdm_reload(spark.read.parquet(_path(root, "ods_t_user")), year), _path(root, "ods_t_user_hashed"))
         hashed["mdm"] = spark.read.parquet(_path(root, "ods_t_user_hashed"))
 
@@ -167,9 +171,19 @@ def _run_vault_year(stg: Staging, root: str, year: int, only: frozenset[str] | N
         tables.append(cut_lineage(delta) if stored is not None else delta, _path(root, f"dds_t_hub_{hub.name}"))
 
     def load_link(link: LinkSpec) -> None:
-        stored = read_link(spark, root, link)
-        delta = vault.link_delta(hashed[link.source], link, stored, _link_year(link))
-        tables.append_bucketed(cut_lineage(delta), _path(root, f"dds_t_lnk_{link.name}"), _buckets(spark, f"{link.name}_pk"), LINK_YEAR)
+        path, buckets, pk = _path(root, f"dds_t_lnk_{link.name}"), _buckets(spark, f"{link.name}_pk"), f"{link.name}_pk"
+        keys = vault.link_keys(hashed[link.source], link)
+        # stored links can meet the batch only in partitions of its report years (one value each)
+        batch = {r[0] for r in hashed[link.source].select(business_key(hashed[link.source], LINK_KEY_COLUMNS[link.name]).alias(vault.KEY), "effective_from")
+                 .select(_link_year(link)).distinct().collect()}
+        met = [v for v in tables.list_partitions(spark, path, LINK_YEAR) if (None if v == tables.NULL_PARTITION else v) in batch]
+        if met:
+            year = F.col(LINK_YEAR)
+            stored = read_link(spark, root, link).where(year.isin(met) | (year.isNull() if tables.NULL_PARTITION in met else F.lit(False)))
+            keys = cut_lineage(keys.withColumn(pk, vault.link_hash(keys, link)).join(stored.select(pk), pk, "left_anti").drop(pk))
+        # dealt to their buckets before they are hashed
+        rows = vault.link_hashed(keys.repartition(buckets.number, vault.link_hash(keys, link)), link)
+        tables.append_bucketed(rows.withColumn(LINK_YEAR, _link_year(link)).drop(vault.KEY), path, replace(buckets, dealt=True), LINK_YEAR)
 
     _together(spark, [lambda s=s: load_source(s) for s in LAKE_SOURCES if s in needed] + ([load_master] if "mdm" in needed else []))
     _together(spark, [lambda x=x: load_hub(x) for x in hubs] + [lambda x=x: load_link(x) for x in links]
@@ -182,8 +196,12 @@ def _load_satellite(spark: SparkSession, root: str, sat: SatSpec, batch: DataFra
     ``dds_c_sat_<name>/run=<year>`` holds (key, hashdiff) of every key's latest
     inserting run after the run of that year.  A run that follows it compares its
     batch with that table alone; a run of an earlier year reads the history, and
-    the table is built anew from it.
+    the table is built anew from it.  A link's satellite has no such table, see
+    ``_load_link_satellite``.
     """
+    if sat.parent in LINK_KEY_COLUMNS:
+        _load_link_satellite(spark, root, sat, batch, year)
+        return
     path, side = _path(root, f"dds_t_sat_{sat.name}"), _path(root, f"dds_c_sat_{sat.name}")
     key, columns = _buckets(spark, vault.sat_keys(sat)[0]), list(vault.sat_keys(sat))
     loads = [int(v) for v in tables.list_partitions(spark, path) if v != str(year)]
@@ -205,10 +223,33 @@ def _load_satellite(spark: SparkSession, root: str, sat: SatSpec, batch: DataFra
         latest = vault.latest_versions(read_satellite(spark, root, sat).drop("year").where(
             " and ".join(f"{c} is not null" for c in columns)), sat, ods_ops.load_date(max(*loads, year)))
     last = str(max([*loads, year]))
-    tables.replace_slice(latest, side, last, "run", reads_target=True)
+    tables.replace_slice(latest, side, last, "run")  # reads the run before and the history, never this folder
     tables.drop_partitions(spark, side, lambda v: v != last, "run")
 
 
+def _load_link_satellite(spark: SparkSession, root: str, sat: SatSpec, batch: DataFrame, year: int) -> None:
+    """Replace the slice of the year of a link's satellite.
+
+    Nearly every event is new, so a table of current versions would be the satellite
+    once more, written anew by every run.  Where the key holds the date, no other run
+    has it; else the batch's keys are looked up in the stored satellite, which is
+    bucketed by key and not moved.  Rows become distinct and go to their buckets
+    before they are hashed.
+    """
+    path, pk, hd = _path(root, f"dds_t_sat_{sat.name}"), *vault.sat_keys(sat)
+    buckets = _buckets(spark, pk)
+    rows = vault.sat_narrow(batch, sat).distinct()
+    loads = [] if vault.one_run(sat) else [int(v) for v in tables.list_partitions(spark, path) if v != str(year)]
+    if any(v <= year for v in loads):
+        stored = _slice_of_load_year(read_satellite(spark, root, sat).filter(F.col("year").cast("int") <= F.lit(year)).drop("year"), year)
+        latest = cut_lineage(vault.batch_versions(batch, sat, stored, ods_ops.load_date(year)))
+        if latest.limit(1).count():
+            columns = rows.columns
+            rows = vault.sat_hashed(rows, sat).join(latest, [pk, hd], "left_anti").select(*columns)
+    rows = vault.sat_hashed(rows.repartition(buckets.number, vault.sat_hash(rows, sat)), sat).drop(vault.KEY)
+    tables.replace_slice(rows.withColumn("year", F.lit(str(year))), path, str(year), buckets=replace(buckets, dealt=True))
+
+
 # ------------------------------------------------------------------ mart
 
 def read_vault(spark: SparkSession, root: str, measures: tuple[MeasureSpec, ...] = MEASURES) -> rm.VaultView:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (IntegerType, LongType, StringType, StructField, StructType)
 
-from ..session import cut_lineage
+from ..session import CODEC, cut_lineage
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's folder name of a NULL partition value
 
@@ -126,15 +126,20 @@ class Buckets:
 
     key: str
     number: int
+    dealt: bool = False  # rows to be written lie in the tasks of their buckets already
+
+
+def _dealt(df: DataFrame, buckets: Buckets) -> DataFrame:
+    return df if buckets.dealt else df.repartition(buckets.number, buckets.key)
 
 
 def _write(df: DataFrame, path: str, buckets: Buckets | None) -> None:
     """Rows as Parquet files in a new folder, bucketed if asked."""
     if buckets is None:
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option("compression", CODEC).parquet(path)
         return
     spark, name = df.sparkSession, f"slice_{uuid.uuid4().hex}"
-    (df.repartition(buckets.number, buckets.key).write.bucketBy(buckets.number, buckets.key).sortBy(buckets.key)
+    (_dealt(df, buckets).write.option("compression", CODEC).bucketBy(buckets.number, buckets.key).sortBy(buckets.key)
      .option("path", path).saveAsTable(name))
     spark.sql(f"DROP TABLE {name}")  # the files stay: the table names their folder
 
@@ -151,7 +156,7 @@ def _register(spark: SparkSession, path: str, schema: StructType, buckets: Bucke
     fs, folder = _fs(spark, path)
     fs.mkdirs(folder)
     spark.sql(f"CREATE TABLE {name} ({_ddl(fields)}) USING parquet PARTITIONED BY (`{column}`) CLUSTERED BY (`{buckets.key}`) "
-              f"SORTED BY (`{buckets.key}`) INTO {buckets.number} BUCKETS LOCATION '{path}'")
+              f"SORTED BY (`{buckets.key}`) INTO {buckets.number} BUCKETS OPTIONS (compression '{CODEC}') LOCATION '{path}'")
     spark.sql(f"MSCK REPAIR TABLE {name}")
     return name
 
@@ -164,7 +169,7 @@ def read_bucketed(spark: SparkSession, path: str, schema: StructType, buckets: B
 def append_bucketed(df: DataFrame, path: str, buckets: Buckets, column: str) -> None:
     """Add rows to the partitions that they name, bucketed."""
     name = _register(df.sparkSession, path, df.schema, buckets, column)
-    df.select(*[c for c in df.columns if c != column], column).repartition(buckets.number, buckets.key).write.insertInto(name)
+    df.select(*[c for c in df.columns if c != column], column).transform(_dealt, buckets).write.insertInto(name)
 
 
 def replace_slice(df: DataFrame, path: str, value: str, column: str = "year",
@@ -207,14 +212,14 @@ def write_slices(df: DataFrame, path: str, column: str = "year", whole: bool = F
     """
     spark = df.sparkSession
     before = {v: _files(spark, f"{path.rstrip('/')}/{column}={v}") for v in list_partitions(spark, path, column)} if whole else {}
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (df.write.mode("overwrite").option("compression", CODEC).option("partitionOverwriteMode", "dynamic")
      .partitionBy(column).parquet(path))
     # a partition whose files are those of before was not written: the data no longer have it
     drop_partitions(spark, path, lambda v: v in before and before[v] == _files(spark, f"{path.rstrip('/')}/{column}={v}"), column)
 
 
 def append(df: DataFrame, path: str, column: str | None = None) -> None:
-    writer = df.write.mode("append")
+    writer = df.write.mode("append").option("compression", CODEC)
     if column:
         writer = writer.partitionBy(column)
     writer.parquet(path)
@@ -224,7 +229,7 @@ def reload(df: DataFrame, path: str, reads_target: bool = False) -> None:
     """Full reload (TRUNCATE + INSERT)."""
     if reads_target:
         df = cut_lineage(df)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", CODEC).parquet(path)
 
 
 def list_partitions(spark: SparkSession, path: str, column: str = "year") -> list[str]:
