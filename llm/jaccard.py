@@ -34,6 +34,8 @@ empty table stays empty.  Other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -159,11 +161,17 @@ def _shared(table: DataFrame, read=_unpack, width: int = 6) -> DataFrame:
     return blobs.groupBy("range").applyInArrow(count, "slice long, tokens binary, counts binary")
 
 
+def _each(batch) -> Iterator[dict]:
+    """Rows of a batch, one at a time: a row is a slice of some megabytes."""
+    for k in range(batch.num_rows):
+        yield batch.slice(k, 1).to_pylist()[0]
+
+
 def _postings(table: DataFrame, num: int, den: int) -> DataFrame:
     """``token, node`` of the rarest shared tokens of every set that may have a partner; ``node`` is 64 bits of its fingerprint."""
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _each(batch):
                 n, kept = np.array(row["n"], np.int64), np.array(row["kept"], np.int64)
                 tokens = _unpack(row["tokens"])
                 token = np.concatenate([_unpack(x["tokens"]) for x in row["shared"]])
@@ -219,7 +227,7 @@ def _ordered(sets: DataFrame) -> DataFrame:
     """``sid, tokens, counts`` of all sets of the slices of ``sets``, rarest token first; ``counts`` over all these sets."""
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _each(batch):
                 tokens = np.frombuffer(row["tokens"], "<u8")
                 shared = row["shared"] or []
                 token = np.concatenate([np.zeros(0, np.uint64), *(_unpack(x["tokens"]) for x in shared)])

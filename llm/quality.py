@@ -30,7 +30,7 @@ from .common import ship
 from .trees import Forest, fit
 
 SAMPLE = 20_000
-SLICE = 4 << 20
+SLICE = 1 << 20
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 FEATURES = ("log_words", "word_length", "symbols", "dup_lines", "repeat_words", "capitals", "digits", "marks",
             "distinct_words", "top_word", "words_per_line", "non_ascii")

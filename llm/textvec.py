@@ -13,7 +13,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-SEGMENT = 4 << 20
+SEGMENT = 1 << 19  # some 40 bytes of numpy arrays for each byte
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
 

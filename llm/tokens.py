@@ -21,7 +21,7 @@ import numpy as np
 import tiktoken
 from tokenizers import Tokenizer
 
-CACHE_ENTRIES = 600_000  # about 130 MB; the cache starts anew beyond it
+CACHE_ENTRIES = 200_000  # about 45 MB; the cache starts anew beyond it
 
 # The split rule of the word vocabulary, and the byte alphabet of byte-level merge models
 # (fixed values: printable bytes stand for themselves, the rest follow from 256 on).
