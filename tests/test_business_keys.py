@@ -98,3 +98,12 @@ def test_master_data_are_dealt_by_user(spark, monkeypatch):
     runs = mdm.mdm_runs()
     per_task = runs.groupBy(F.spark_partition_id().alias("p")).agg(F.count_distinct("user_id").alias("n")).collect()
     assert len(per_task) > 8 and max(r.n for r in per_task) < 40
+
+
+def test_events_are_dealt_by_number_of_rows(spark, monkeypatch):
+    """A task of a report holds a bounded number of events, however few bytes they are in a shuffle."""
+    monkeypatch.setattr(vault, "EVENTS_PER_TASK", 50, raising=False)
+    v = Vault(spark, SMALL)
+    for rows in (v._link("issue"), v._satellite(SAT_BY_NAME["issue"])):
+        tasks = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(tasks) > 20 and max(tasks) < 120
