@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DateType, StringType, StructField, StructType
 
 from ..functions.casts import period_year
-from ..functions.keys import business_key
+from ..functions.keys import hash_columns
 from ..operators import ods as ods_ops
 from ..operators import report_mart as rm
 from ..operators import vault
@@ -31,7 +31,7 @@ from ..operators.ods import LINK_KEY_COLUMNS
 from ..session import cut_lineage, scratch_scope
 from ..sources import tables
 from ..sources.fixtures import Staging
-from .specs import (BUCKETS, DM_DIMENSIONS, DM_V1_DIMENSIONS, HUBS, LINK_BY_NAME, LINK_YEAR, LINKS, MEASURE_BY_LINK, MEASURES,
+from .specs import (BUCKETS, DM_DIMENSIONS, DM_V1_DIMENSIONS, HUBS, LINK_BY_NAME, LINK_BY_SOURCE, LINK_YEAR, LINKS, MEASURE_BY_LINK, MEASURES,
                     ODS_SPECS, SAT_BY_NAME, SAT_USER_MDM, SATS, HubSpec, LinkSpec, MeasureSpec, SatSpec)
 
 LAKE_SOURCES = ("billing", "issue", "payment", "traffic")
@@ -118,9 +118,26 @@ def read_link(spark: SparkSession, root: str, link: LinkSpec) -> DataFrame | Non
 
 
 def _link_year(link: LinkSpec) -> Column:
-    """Report year of a link (partition value): its billing period's, else its event's."""
-    year = period_year(f"{vault.KEY}.billing_period") if MEASURE_BY_LINK[link.name].from_billing else F.year("effective_from")
-    return year.cast("string").alias(LINK_YEAR)
+    """Report year of a link (partition value): its billing period's, else its event's; a function of the link's key."""
+    return period_year(F.upper(F.trim("billing_period"))) if MEASURE_BY_LINK[link.name].from_billing else F.year("effective_from")
+
+
+def _link_years(batch: DataFrame, link: LinkSpec, year: int) -> set[str | None]:
+    """Report years of a batch's links, one value each: its periods', else the year of the run."""
+    if not MEASURE_BY_LINK[link.name].from_billing:
+        return {str(year)}
+    return {r[0] for r in batch.select("billing_period").distinct().select(_link_year(link).cast("string")).distinct().collect()}
+
+
+def _chosen(only: frozenset[str] | None) -> tuple[list[HubSpec], list[LinkSpec], list[SatSpec]]:
+    return ([x for x in HUBS if only is None or f"hub_{x.name}" in only], [x for x in LINKS if only is None or f"lnk_{x.name}" in only],
+            [x for x in SATS + (SAT_USER_MDM,) if only is None or f"sat_{x.name}" in only])
+
+
+def vault_sources(only: frozenset[str] | None) -> set[str]:
+    """The sources of a yearly vault run of all tables or of those named."""
+    hubs, links, sats = _chosen(only)
+    return {f.source for x in hubs for f in x.sources} | {x.source for x in (*links, *sats)}
 
 
 def run_vault_year(stg: Staging, root: str, year: int, only: frozenset[str] | None = None) -> None:
@@ -142,23 +159,26 @@ def _run_vault_year(stg: Staging, root: str, year: int, only: frozenset[str] | N
     ``effective_from``); MDM is reloaded in full; hubs and links get the keys
     they do not hold yet; each satellite replaces its own load-year slice with
     the rows that differ from the latest stored versions.  Tables that do not
-    depend on each other are loaded side by side.
+    depend on each other are loaded side by side, those of the events first.
+
+    A hashed slice lies in the buckets of its link's key: events are dealt once, and
+    the loads of the link and of its satellite neither move nor hash them again.
     """
     spark = stg.payment.sparkSession
     hashed: dict[str, DataFrame] = {}
-    hubs = [x for x in HUBS if only is None or f"hub_{x.name}" in only]
-    links = [x for x in LINKS if only is None or f"lnk_{x.name}" in only]
-    sats = [x for x in SATS + (SAT_USER_MDM,) if only is None or f"sat_{x.name}" in only]
-    needed = {f.source for x in hubs for f in x.sources} | {x.source for x in (*links, *sats)}
+    hubs, links, sats = _chosen(only)
+    needed = vault_sources(only)
 
     def load_source(source: str) -> None:
         rows = ods_ops.ods_slice(stg.source(source), source, year)
         tables.replace_slice(rows, _path(root, f"ods_t_{source}"), str(year))
-        stored = tables.read_partitioned(spark, _path(root, f"ods_t_{source}")).filter(F.col("year") == F.lit(str(year)))
-        tables.replace_slice(ods_ops.hashed_slice(stored, source, year), _path(root, f"ods_t_{source}_hashed"), str(year))
-        hashed[source] = tables.read_partitioned(
-            spark, _path(root, f"ods_t_{source}_hashed")).filter(
-                F.col("year") == F.lit(str(year))).drop("year")
+        stored = tables.read_partitioned(spark, _path(root, f"ods_t_{source}")).filter(F.col("year") == F.lit(str(year))).drop("year")
+        path, buckets = _path(root, f"ods_t_{source}_hashed"), replace(_buckets(spark, f"{LINK_BY_SOURCE[source].name}_pk"), ordered=False)
+        # dealt to their buckets before the other hashes are made
+        dealt = stored.withColumn(buckets.key, hash_columns(stored, LINK_KEY_COLUMNS[LINK_BY_SOURCE[source].name])).repartition(buckets.number, buckets.key)
+        rows = ods_ops.hashed_slice(dealt, source, year)
+        tables.replace_slice(rows, path, str(year), buckets=replace(buckets, dealt=True))
+        hashed[source] = tables.read_bucketed(spark, path, rows.schema, buckets).filter(F.col("year") == F.lit(str(year))).drop("year")
 
     def load_master() -> None:
         tables.reload(ods_ops.spread(stg.mdm_user), _path(root, "ods_t_user"))
@@ -172,22 +192,19 @@ def _run_vault_year(stg: Staging, root: str, year: int, only: frozenset[str] | N
 
     def load_link(link: LinkSpec) -> None:
         path, buckets, pk = _path(root, f"dds_t_lnk_{link.name}"), _buckets(spark, f"{link.name}_pk"), f"{link.name}_pk"
-        keys = vault.link_keys(hashed[link.source], link)
-        # stored links can meet the batch only in partitions of its report years (one value each)
-        batch = {r[0] for r in hashed[link.source].select(business_key(hashed[link.source], LINK_KEY_COLUMNS[link.name]).alias(vault.KEY), "effective_from")
-                 .select(_link_year(link)).distinct().collect()}
+        rows = vault.link_candidates(hashed[link.source], link, _link_year(link))
+        # stored links can meet the batch only in partitions of its report years
+        batch = _link_years(hashed[link.source], link, year)
         met = [v for v in tables.list_partitions(spark, path, LINK_YEAR) if (None if v == tables.NULL_PARTITION else v) in batch]
         if met:
-            year = F.col(LINK_YEAR)
-            stored = read_link(spark, root, link).where(year.isin(met) | (year.isNull() if tables.NULL_PARTITION in met else F.lit(False)))
-            keys = cut_lineage(keys.withColumn(pk, vault.link_hash(keys, link)).join(stored.select(pk), pk, "left_anti").drop(pk))
-        # dealt to their buckets before they are hashed
-        rows = vault.link_hashed(keys.repartition(buckets.number, vault.link_hash(keys, link)), link)
-        tables.append_bucketed(rows.withColumn(LINK_YEAR, _link_year(link)).drop(vault.KEY), path, replace(buckets, dealt=True), LINK_YEAR)
+            held = F.col(LINK_YEAR)
+            stored = read_link(spark, root, link).where(held.isin(met) | (held.isNull() if tables.NULL_PARTITION in met else F.lit(False)))
+            rows = cut_lineage(rows.join(stored.select(pk), pk, "left_anti"))
+        tables.append_bucketed(rows, path, replace(buckets, dealt=not met), LINK_YEAR)
 
     _together(spark, [lambda s=s: load_source(s) for s in LAKE_SOURCES if s in needed] + ([load_master] if "mdm" in needed else []))
-    _together(spark, [lambda x=x: load_hub(x) for x in hubs] + [lambda x=x: load_link(x) for x in links]
-              + [lambda x=x: _load_satellite(spark, root, x, hashed[x.source], year) for x in sats])
+    _together(spark, [lambda x=x: load_link(x) for x in links] + [lambda x=x: _load_satellite(spark, root, x, hashed[x.source], year) for x in sats]
+              + [lambda x=x: load_hub(x) for x in hubs])
 
 
 def _load_satellite(spark: SparkSession, root: str, sat: SatSpec, batch: DataFrame, year: int) -> None:
@@ -232,22 +249,25 @@ def _load_link_satellite(spark: SparkSession, root: str, sat: SatSpec, batch: Da
 
     Nearly every event is new, so a table of current versions would be the satellite
     once more, written anew by every run.  Where the key holds the date, no other run
-    has it; else the batch's keys are looked up in the stored satellite, which is
-    bucketed by key and not moved.  Rows become distinct and go to their buckets
-    before they are hashed.
+    has it; else the stored satellite's history passes by the batch's keys.  Both are
+    bucketed by key and not moved, and a bucket of the batch is looked up as a hash
+    table, so the history is not sorted.
     """
     path, pk, hd = _path(root, f"dds_t_sat_{sat.name}"), *vault.sat_keys(sat)
     buckets = _buckets(spark, pk)
-    rows = vault.sat_narrow(batch, sat).distinct()
+    # distinct rows, their context's hash beside it; grouped by sort, which the write needs anyway
+    rows = batch.groupBy(pk, *sat.context, "effective_from").agg(F.min(hd).alias(hd))
     loads = [] if vault.one_run(sat) else [int(v) for v in tables.list_partitions(spark, path) if v != str(year)]
+    again = False
     if any(v <= year for v in loads):
         stored = _slice_of_load_year(read_satellite(spark, root, sat).filter(F.col("year").cast("int") <= F.lit(year)).drop("year"), year)
-        latest = cut_lineage(vault.batch_versions(batch, sat, stored, ods_ops.load_date(year)))
-        if latest.limit(1).count():
-            columns = rows.columns
-            rows = vault.sat_hashed(rows, sat).join(latest, [pk, hd], "left_anti").select(*columns)
-    rows = vault.sat_hashed(rows.repartition(buckets.number, vault.sat_hash(rows, sat)), sat).drop(vault.KEY)
-    tables.replace_slice(rows.withColumn("year", F.lit(str(year))), path, str(year), buckets=replace(buckets, dealt=True))
+        met = stored.join(batch.select(pk).hint("shuffle_hash"), pk, "left_semi")
+        latest = cut_lineage(vault.latest_versions(met, sat, ods_ops.load_date(year)))
+        again = bool(latest.limit(1).count())
+        if again:
+            rows = rows.join(latest, [pk, hd], "left_anti")
+    rows = rows.withColumns({"load_dts": F.lit(ods_ops.load_date(year)), "rec_source": F.lit(sat.source)}).select(*vault.sat_columns(sat))
+    tables.replace_slice(rows.withColumn("year", F.lit(str(year))), path, str(year), buckets=replace(buckets, dealt=not again))
 
 
 # ------------------------------------------------------------------ mart

@@ -122,11 +122,12 @@ def recover_slice(spark: SparkSession, path: str, value: str, column: str = "yea
 
 @dataclass(frozen=True)
 class Buckets:
-    """File layout of a vault table: rows of a key lie in one of ``number`` files of their partition, sorted by it."""
+    """File layout of a vault table: rows of a key lie in one of ``number`` files of their partition, sorted by it if asked."""
 
     key: str
     number: int
     dealt: bool = False  # rows to be written lie in the tasks of their buckets already
+    ordered: bool = True
 
 
 def _dealt(df: DataFrame, buckets: Buckets) -> DataFrame:
@@ -136,11 +137,11 @@ def _dealt(df: DataFrame, buckets: Buckets) -> DataFrame:
 def _write(df: DataFrame, path: str, buckets: Buckets | None) -> None:
     """Rows as Parquet files in a new folder, bucketed if asked."""
     if buckets is None:
-        df.write.mode("overwrite").option("compression", CODEC).parquet(path)
+        df.write.mode("overwrite").options(**CODEC).parquet(path)
         return
     spark, name = df.sparkSession, f"slice_{uuid.uuid4().hex}"
-    (_dealt(df, buckets).write.option("compression", CODEC).bucketBy(buckets.number, buckets.key).sortBy(buckets.key)
-     .option("path", path).saveAsTable(name))
+    writer = _dealt(df, buckets).write.options(**CODEC).bucketBy(buckets.number, buckets.key)
+    (writer.sortBy(buckets.key) if buckets.ordered else writer).option("path", path).saveAsTable(name)
     spark.sql(f"DROP TABLE {name}")  # the files stay: the table names their folder
 
 
@@ -155,8 +156,10 @@ def _register(spark: SparkSession, path: str, schema: StructType, buckets: Bucke
     fields = StructType([f for f in schema.fields if f.name != column] + [StructField(column, StringType())])
     fs, folder = _fs(spark, path)
     fs.mkdirs(folder)
+    ordered = f"SORTED BY (`{buckets.key}`) " if buckets.ordered else ""
+    options = ", ".join(f"'{k}' '{v}'" for k, v in CODEC.items())
     spark.sql(f"CREATE TABLE {name} ({_ddl(fields)}) USING parquet PARTITIONED BY (`{column}`) CLUSTERED BY (`{buckets.key}`) "
-              f"SORTED BY (`{buckets.key}`) INTO {buckets.number} BUCKETS OPTIONS (compression '{CODEC}') LOCATION '{path}'")
+              f"{ordered}INTO {buckets.number} BUCKETS OPTIONS ({options}) LOCATION '{path}'")
     spark.sql(f"MSCK REPAIR TABLE {name}")
     return name
 
@@ -212,14 +215,14 @@ def write_slices(df: DataFrame, path: str, column: str = "year", whole: bool = F
     """
     spark = df.sparkSession
     before = {v: _files(spark, f"{path.rstrip('/')}/{column}={v}") for v in list_partitions(spark, path, column)} if whole else {}
-    (df.write.mode("overwrite").option("compression", CODEC).option("partitionOverwriteMode", "dynamic")
+    (df.write.mode("overwrite").options(**CODEC).option("partitionOverwriteMode", "dynamic")
      .partitionBy(column).parquet(path))
     # a partition whose files are those of before was not written: the data no longer have it
     drop_partitions(spark, path, lambda v: v in before and before[v] == _files(spark, f"{path.rstrip('/')}/{column}={v}"), column)
 
 
 def append(df: DataFrame, path: str, column: str | None = None) -> None:
-    writer = df.write.mode("append").option("compression", CODEC)
+    writer = df.write.mode("append").options(**CODEC)
     if column:
         writer = writer.partitionBy(column)
     writer.parquet(path)
@@ -229,7 +232,7 @@ def reload(df: DataFrame, path: str, reads_target: bool = False) -> None:
     """Full reload (TRUNCATE + INSERT)."""
     if reads_target:
         df = cut_lineage(df)
-    df.write.mode("overwrite").option("compression", CODEC).parquet(path)
+    df.write.mode("overwrite").options(**CODEC).parquet(path)
 
 
 def list_partitions(spark: SparkSession, path: str, column: str = "year") -> list[str]:
